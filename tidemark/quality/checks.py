@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ratio, round2
 from tidemark.functions.predicates import within_closed
 
-ROWS = F.count(F.lit(1))
+
+def row_count() -> Column:
+    """Number of rows."""
+    return F.count(F.lit(1))
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
@@ -26,7 +29,7 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
 def schema_report(df: DataFrame, required: list[str]) -> DataFrame:
     """One row per required column, with the rows that fill it."""
     present = [c for c in required if c in df.columns]
-    counted = df.agg(*[F.count(c).alias(f"n_{c}") for c in present], ROWS.alias("rows"))
+    counted = df.agg(*[F.count(c).alias(f"n_{c}") for c in present], row_count().alias("rows"))
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -41,7 +44,7 @@ def schema_report(df: DataFrame, required: list[str]) -> DataFrame:
 def null_report(df: DataFrame, columns: list[str], threshold: float = 0.0) -> DataFrame:
     """Null count and share of each named column that exists; an empty table passes."""
     present = [c for c in columns if c in df.columns]
-    counted = df.agg(ROWS.alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in present])
+    counted = df.agg(row_count().alias("total_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in present])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("null_count")) for c in present]
     share = F.coalesce(ratio("null_count", "total_rows"), F.lit(0.0))
     return counted.select("total_rows", F.inline(F.array(*rows))).select(
@@ -55,9 +58,9 @@ def null_report(df: DataFrame, columns: list[str], threshold: float = 0.0) -> Da
 
 def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows beyond the first of each key; null keys count as values."""
-    per_key = df.groupBy(*keys).agg(ROWS.alias("_n"))
+    per_key = df.groupBy(*keys).agg(row_count().alias("_n"))
     return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), ROWS.alias("unique_rows")
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), row_count().alias("unique_rows")
     ).withColumns(
         {
             "duplicate_count": F.col("total_rows") - F.col("unique_rows"),
@@ -100,7 +103,7 @@ def range_report(df: DataFrame, column: str, low: float | None, high: float | No
 
 def completeness_report(df: DataFrame, threshold: float = 0.95) -> DataFrame:
     """Filled cells over all cells, overall and per column; an empty table fails."""
-    counted = df.agg(ROWS.alias("total_rows"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
+    counted = df.agg(row_count().alias("total_rows"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
     filled = sum((F.col(f"n_{c}") for c in df.columns), F.lit(0))
     cells = F.col("total_rows") * len(df.columns)
     overall = F.coalesce(ratio(filled, cells), F.lit(0.0))
@@ -130,13 +133,13 @@ def integrity_report(child: DataFrame, parent: DataFrame, child_key: str, parent
     known = parent.select(F.col(parent_key).alias("_known")).distinct()
     matched = keys.join(known, F.col("_key") == F.col("_known"), "left")
     return matched.agg(
-        ROWS.alias("total_child_keys"), F.count_if(F.col("_known").isNull()).alias("orphan_count")
+        row_count().alias("total_child_keys"), F.count_if(F.col("_known").isNull()).alias("orphan_count")
     ).withColumn("passed", F.col("orphan_count") == 0)
 
 
 def profile(df: DataFrame) -> DataFrame:
     """Row count, column count and nulls per column."""
-    counted = df.agg(ROWS.alias("row_count"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
+    counted = df.agg(row_count().alias("row_count"), *[F.count(c).alias(f"n_{c}") for c in df.columns])
     rows = [
         F.struct(F.lit(c).alias("column_name"), (F.col("row_count") - F.col(f"n_{c}")).alias("null_count"))
         for c in df.columns
@@ -146,7 +149,7 @@ def profile(df: DataFrame) -> DataFrame:
 
 def error_rate(df: DataFrame, critical: list[str], ranges: dict, limit: float) -> DataFrame:
     """Rows that break any declared rule over all rows; a missing value breaks its range."""
-    return df.agg(ROWS.alias("rows"), F.count_if(breaks_rules(critical, ranges)).alias("failing_rows")).select(
+    return df.agg(row_count().alias("rows"), F.count_if(breaks_rules(critical, ranges)).alias("failing_rows")).select(
         "rows",
         "failing_rows",
         ratio("failing_rows", "rows").alias("error_rate"),

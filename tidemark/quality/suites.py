@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, round2
 from tidemark.functions.predicates import within_closed
-from tidemark.quality.checks import ROWS, duplicate_report, integrity_report, missing_columns
+from tidemark.quality.checks import duplicate_report, integrity_report, missing_columns, row_count
 from tidemark.quality.rules import DatasetRules, ReferenceRule
 
 RESULT_SCHEMA = (
@@ -29,7 +29,7 @@ def dataset_checks(df: DataFrame, rules: DatasetRules) -> DataFrame:
     rows = [*_schema_row(df, rules), *_null_rows(df, rules), *_completeness_row(df, rules)]
     for column, (low, high) in rules.ranges.items():
         rows.append(_range_row(df, column, low, high))
-    counted = df.agg(ROWS.alias("_rows"), *_counters(df, rules))
+    counted = df.agg(row_count().alias("_rows"), *_counters(df, rules))
     fused = counted.select(F.inline(F.array(*rows)))
     results = fused
     if not missing_columns(df, rules.keys):
@@ -57,10 +57,10 @@ def layer_checks(
 def summarize(results: DataFrame) -> DataFrame:
     """Checks, passes, failures and pass rate in percent per layer."""
     return results.groupBy("layer").agg(
-        ROWS.alias("total_checks"),
+        row_count().alias("total_checks"),
         F.count_if("passed").alias("passed_checks"),
         F.count_if(~F.col("passed")).alias("failed_checks"),
-        round2(ratio(F.count_if("passed"), ROWS) * 100).alias("pass_rate"),
+        round2(ratio(F.count_if("passed"), row_count()) * 100).alias("pass_rate"),
     )
 
 

@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,12 @@ class Staging:
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def freeze_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Freeze independent tables at the same time, so that small jobs overlap."""
+        with ThreadPoolExecutor(len(tables)) as pool:
+            frozen = pool.map(lambda item: self.freeze(item[1], item[0]), tables.items())
+            return dict(zip(tables, frozen, strict=True))
+
     def folder(self, name: str) -> str:
         """A fresh path below this run's folder."""
         return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"

@@ -285,8 +285,7 @@ def suite_silver(spark, sf):
         "localities": clean_localities(localities(spark, sf)),
         "series": clean_series(points).select("series_code", "series_name", "obs_date", "value"),
     }
-    tables = {name: staging.freeze(df, name) for name, df in clean.items()}
-    return layer_checks(spark, tables, SILVER_RULES)
+    return layer_checks(spark, staging.freeze_all(clean), SILVER_RULES)
 
 
 GOLD_COLUMNS = {

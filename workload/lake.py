@@ -181,14 +181,19 @@ def partition_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+def _half_up(column: str, type_: str) -> str:
+    """A double rounded half up by its decimal digits; DuckDB's direct cast may round a tie down."""
+    return f"CAST(CAST(CAST({column} AS VARCHAR) AS {type_}) AS DOUBLE)"
+
+
 @query(
     "contract_cast",
     f"""WITH {GROUP_SQL} SELECT group_code, group_short, group_name, period, CAST(entities AS INTEGER) AS entities,
         measure, CAST(CAST(total AS DECIMAL(18,2)) AS DOUBLE) AS total,
-        CAST(CAST(mean_rate AS DECIMAL(18,4)) AS DOUBLE) AS mean_rate,
-        CAST(CAST(growth_total AS DECIMAL(10,4)) AS DOUBLE) AS growth_total,
-        CAST(CAST(growth_measure AS DECIMAL(10,4)) AS DOUBLE) AS growth_measure,
-        CAST(CAST(share_in_nation AS DECIMAL(10,4)) AS DOUBLE) AS share_in_nation, rank_in_nation FROM fact_group""",
+        {_half_up("mean_rate", "DECIMAL(18,4)")} AS mean_rate,
+        {_half_up("growth_total", "DECIMAL(10,4)")} AS growth_total,
+        {_half_up("growth_measure", "DECIMAL(10,4)")} AS growth_measure,
+        {_half_up("share_in_nation", "DECIMAL(10,4)")} AS share_in_nation, rank_in_nation FROM fact_group""",
 )
 def contract_cast(spark, sf):
     tables = star(spark, sf)

@@ -12,14 +12,37 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
+from tidemark.sources.lake import read_table
 from tidemark.staging import Staging
 
 SERIES = {"view": 11, "signup": 12, "purchase": 13, "error": 14, "click": 15, "uncoded": None}
 SERIES_NAMES = ["view", "signup", "purchase", "error", "click"]
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
 def code(nation: str, customer: str):
@@ -212,11 +235,17 @@ fact_nation AS (
 
 
 def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. Measure and rate are written first, as the clean layer would be."""
+    """Dimensions and entity fact. The clean tables are written first, as in a lake."""
     staging = staging or Staging(spark)
-    measures = staging.freeze(measure(spark, sf_dir), "measure")
-    rates = staging.freeze(rate(spark, sf_dir), "rate")
-    entities = model.dim_entity(clean_localities(localities(spark, sf_dir)), staging)
+    clean = staging.freeze_all(
+        {
+            "localities": clean_localities(localities(spark, sf_dir)),
+            "measure": measure(spark, sf_dir),
+            "rate": rate(spark, sf_dir),
+        }
+    )
+    measures, rates = clean["measure"], clean["rate"]
+    entities = model.dim_entity(clean["localities"], staging)
     periods = model.dim_period(spark, [measures, rates])
     fact = model.fact_entity(measures, rates, entities, periods, staging)
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}

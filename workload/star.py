@@ -137,9 +137,8 @@ def dim_entity(spark, sf):
 
 @query("dim_period", f"WITH {BASE_SQL}, {DIM_PERIOD_SQL} SELECT * FROM dim_period")
 def dim_period(spark, sf):
-    staging = Staging(spark)
-    tables = [staging.freeze(build(spark, sf), "clean") for build in (measure, rate)]
-    return model.dim_period(spark, tables)
+    tables = Staging(spark).freeze_all({"measure": measure(spark, sf), "rate": rate(spark, sf)})
+    return model.dim_period(spark, list(tables.values()))
 
 
 # Joins
@@ -202,8 +201,13 @@ def fact_entity(spark, sf):
 def fact_entity_no_overlap(spark, sf):
     """Measure and rate of different years, as the default periods give: no total, ranks by code."""
     staging = Staging(spark)
-    measures = staging.freeze(measure(spark, sf).filter("period = 1998"), "measure")
-    rates = staging.freeze(rate(spark, sf).filter("period = 1996"), "rate")
+    clean = staging.freeze_all(
+        {
+            "measure": measure(spark, sf).filter("period = 1998"),
+            "rate": rate(spark, sf).filter("period = 1996"),
+        }
+    )
+    measures, rates = clean["measure"], clean["rate"]
     entities = model.dim_entity(clean_localities(localities(spark, sf)), staging)
     return model.fact_entity(measures, rates, entities, model.dim_period(spark, [measures, rates]), staging)
 
