@@ -25,6 +25,7 @@ def test_standard_name_keeps_accents_and_strips_spaces(spark):
         ('{"valor": null}', None),
         ('{"other": 1}', None),
         ('{"valor": "..."}', None),
+        ('{"valor": ""}', None),
         ("...", None),
         ("", None),
         ("n/a", None),

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql.readwriter import DataFrameWriter
 
-from tidemark.plans.run import Job, Lake, overall, report_frame, run_layer
+from tidemark.plans.run import FullRun, Job, Lake, report_frame, run_layer
 from tidemark.quality.rules import DatasetRules
 from tidemark.sinks.contract import CONTRACTS, Contract, contract_violations, to_contract
 from tidemark.sinks.jdbc import JdbcTarget, create_if_absent, export_all, export_table
@@ -160,7 +160,9 @@ def test_layer_run_goes_on_after_a_failure(spark, tmp_path):
     unchecked = run_layer(lake, "silver", jobs[:1], rules, checks_enabled=False)
     assert unchecked.pass_rate is None
     failed = spark.createDataFrame([("t", False, "x")], "table string, exported boolean, message string")
-    assert overall([run, unchecked], failed) == {"total_rows": 4, "mean_pass_rate": 75.0, "exported": False}
+    assert FullRun([run, unchecked], failed).overall() == {"total_rows": 4, "mean_pass_rate": 75.0, "exported": False}
+    assert FullRun([run], export_error="down").overall()["exported"] is False
+    assert FullRun([unchecked]).overall() == {"total_rows": 2, "mean_pass_rate": None, "exported": None}
 
 
 def test_shared_root_is_the_configured_folder(spark):
@@ -200,15 +202,15 @@ def test_series_only_lakehouse(spark, tmp_path):
 
     sources = {"localities": down, "measure": down, "rate": down, "series": series}
     lake = Lake(spark, str(tmp_path))
-    runs = run_all(lake, sources, ["x", "y"], entities_enabled=False)
-    status = {(r.layer, r.dataset): r.status for r in report_frame(spark, runs).collect()}
+    run = run_all(lake, sources, ["x", "y"], entities_enabled=False)
+    status = {(r.layer, r.dataset): r.status for r in report_frame(spark, run.layers).collect()}
     assert status["gold", "fact_nation"] == "done" and status["gold", "fact_entity"] == "disabled"
     nation = rows(lake.read("gold", "fact_nation").select("period", "x_mean", "x_max", "y_mean"))
     assert [(p, m, str(x), y) for p, m, x, y in nation] == [(2020, 2.0, "3.0000", None), (2021, 4.0, "4.0000", None)]
 
 
 def test_default_periods_and_enriched_nation(spark, tmp_path):
-    """Several default periods at once; the national fact carries the series."""
+    """Several default periods at once; the national fact carries the series; the target cannot be reached."""
     from tidemark.plans.lakehouse import run_all
     from tidemark.sources.series import land_series, series_catalogue
 
@@ -229,6 +231,9 @@ def test_default_periods_and_enriched_nation(spark, tmp_path):
         "series": series,
     }
     lake = Lake(spark, str(tmp_path))
-    run_all(lake, sources, ["x"], None, None, enrich=True)
+    run = run_all(lake, sources, ["x"], None, None, enrich=True, target=TARGET)
     got = rows(lake.read("gold", "fact_nation").select("period", "groups", "measure", "total", "x_mean"))
     assert got == [(2021, 1, None, None, 1.0), (2024, 1, 1000, None, None)]
+    status = {r.table: r.exported for r in run.export.collect()}
+    assert set(status) == {"dim_period", "fact_nation", "dim_entity", "fact_entity", "fact_group"}
+    assert not any(status.values()) and run.overall()["exported"] is False

@@ -38,7 +38,8 @@ def audit_columns(df: DataFrame, processed_at: dt.datetime | None = None) -> Dat
     if processed_at is None:
         stamp, day = F.current_timestamp(), F.current_date()
     else:
-        stamp, day = F.lit(processed_at), F.lit(processed_at.date())
+        # As text the time is read in the session's zone, whatever the zone of this process.
+        stamp, day = F.lit(str(processed_at)).cast("timestamp"), F.lit(processed_at.date())
     return df.withColumns({"processed_at": stamp, "load_date": day})
 
 
@@ -52,13 +53,15 @@ def parse_decimal(parsed: str | Column, raw: str | Column, type_: str = "decimal
     return F.coalesce(_col(parsed), _col(raw).try_cast(type_))
 
 
-def decode_value(raw: str | Column) -> Column:
-    """Number in an aggregates response: plain text or an object with ``valor``.
+def value_text(raw: str | Column) -> Column:
+    """Text of a value in an aggregates response: the value itself, or ``valor`` of an object."""
+    raw = _col(raw)
+    return F.when(F.startswith(raw, F.lit("{")), F.get_json_object(raw, "$.valor")).otherwise(raw)
 
-    The missing marker, empty text and other non-numbers give null.
-    """
-    text = F.coalesce(F.get_json_object(_col(raw), "$.valor"), _col(raw))
-    return F.when(text != MISSING_MARKER, text.try_cast("double"))
+
+def decode_value(raw: str | Column) -> Column:
+    """Number in an aggregates response; the missing marker, empty text and other non-numbers give null."""
+    return value_text(raw).try_cast("double")
 
 
 def with_total(df: DataFrame, rate: str, measure: str, name: str) -> DataFrame:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 from tidemark.functions.columns import audit_columns
 from tidemark.plans import clean, model
-from tidemark.plans.run import Job, Lake, LayerRun, run_layer
+from tidemark.plans.run import FullRun, Job, Lake, run_layer
 from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SILVER_RULES
+from tidemark.sinks.jdbc import JdbcTarget, export_all
 from tidemark.sources.selection import pick_periods
 from tidemark.staging import Staging
 
@@ -112,23 +113,29 @@ def run_all(
     enrich: bool = False,
     rate_type: str = "double",
     processed_at: dt.datetime | None = None,
-) -> list[LayerRun]:
-    """Bronze, silver and gold in order, each followed by its checks."""
+    target: JdbcTarget | None = None,
+) -> FullRun:
+    """Bronze, silver and gold in order, each followed by its checks; then the export, if a target is given.
+
+    A failed export is recorded and does not fail the run.
+    """
     staging = Staging(lake.spark)
     bronze = bronze_jobs(sources, measure_period, rate_period, entities_enabled, processed_at)
-    runs = [
-        run_layer(lake, "bronze", bronze, BRONZE_RULES),
-        run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type), SILVER_RULES),
-        run_layer(
-            lake,
-            "gold",
-            gold_jobs(staging, series_names, entities_enabled, enrich),
-            GOLD_RULES,
-            GOLD_REFERENCES,
-        ),
-    ]
+    gold = gold_jobs(staging, series_names, entities_enabled, enrich)
+    run = FullRun(
+        [
+            run_layer(lake, "bronze", bronze, BRONZE_RULES),
+            run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type), SILVER_RULES),
+            run_layer(lake, "gold", gold, GOLD_RULES, GOLD_REFERENCES),
+        ]
+    )
     staging.clear()
-    return runs
+    if target is not None:
+        try:
+            run.export = export_all(lake.spark, run.layers[-1].tables.get, target)
+        except Exception as error:  # the lake is complete without the export
+            run.export_error = str(error)
+    return run
 
 
 def _optional(lake: Lake, dataset: str) -> DataFrame | None:

@@ -99,14 +99,24 @@ def report_frame(spark: SparkSession, runs: list[LayerRun]) -> DataFrame:
     return spark.createDataFrame([row for run in runs for row in run.report], REPORT_SCHEMA)
 
 
-def overall(runs: list[LayerRun], export: DataFrame | None = None) -> dict:
-    """Rows over all layers, mean pass rate of the checked ones, and the export result."""
-    rates = [run.pass_rate for run in runs if run.pass_rate is not None]
-    done = None
-    if export is not None:
-        done = export.filter(~F.col("exported")).isEmpty()
-    return {
-        "total_rows": sum(run.rows for run in runs),
-        "mean_pass_rate": round(sum(rates) / len(rates), 2) if rates else None,
-        "exported": done,
-    }
+@dataclass
+class FullRun:
+    """All layers, and the export status if an export was asked for."""
+
+    layers: list[LayerRun]
+    export: DataFrame | None = None
+    export_error: str | None = None
+
+    def overall(self) -> dict:
+        """Rows over all layers, mean pass rate of the checked ones, and whether the export went through."""
+        rates = [layer.pass_rate for layer in self.layers if layer.pass_rate is not None]
+        exported = None
+        if self.export_error is not None:
+            exported = False
+        elif self.export is not None:
+            exported = self.export.filter(~F.col("exported")).isEmpty()
+        return {
+            "total_rows": sum(layer.rows for layer in self.layers),
+            "mean_pass_rate": round(sum(rates) / len(rates), 2) if rates else None,
+            "exported": exported,
+        }

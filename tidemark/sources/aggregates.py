@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import decode_value
+from tidemark.functions.columns import MISSING_MARKER, decode_value, value_text
 
 # Field names of the public aggregates format. A map value may be
 # text or an object; read as text, an object keeps its JSON form.
@@ -24,16 +24,12 @@ def read_aggregates(spark: SparkSession, path: str, source: str) -> DataFrame:
 
 def parse_aggregates(texts: DataFrame, column: str, source: str) -> DataFrame:
     """Flatten responses held as JSON text in ``column``, each an array of variables."""
-    parsed = texts.select(F.from_json(column, f"array<struct<{AGGREGATES_SCHEMA}>>").alias("response"))
-    return flatten_aggregates(parsed.select(F.inline("response")), source)
+    return flatten_aggregates(_parsed(texts, column), source)
 
 
 def flatten_aggregates(responses: DataFrame, source: str) -> DataFrame:
     """One row per (locality, year); a year that is no number becomes null."""
-    results = responses.select(F.col("id").alias("variable"), F.explode("resultados").alias("result"))
-    series = results.select("variable", F.explode("result.series").alias("s"))
-    points = series.select("variable", "s.localidade", F.explode("s.serie").alias("year", "raw"))
-    return points.select(
+    return _points(responses).select(
         F.col("localidade.id").alias("entity_code"),
         F.col("localidade.nome").alias("entity_name"),
         F.col("year").try_cast("int").alias("period"),
@@ -46,13 +42,20 @@ def flatten_aggregates(responses: DataFrame, source: str) -> DataFrame:
 
 def rejected_values(texts: DataFrame, column: str) -> DataFrame:
     """Count values that are present, not the missing marker, and still no number."""
-    parsed = texts.select(F.from_json(column, f"array<struct<{AGGREGATES_SCHEMA}>>").alias("response"))
-    points = (
-        parsed.select(F.inline("response"))
-        .select(F.explode("resultados").alias("result"))
-        .select(F.explode("result.series").alias("s"))
-        .select(F.explode("s.serie").alias("year", "raw"))
-    )
-    text = F.coalesce(F.get_json_object("raw", "$.valor"), F.col("raw"))
-    bad = (F.trim(text) != "") & (text != "...") & decode_value("raw").isNull()
+    text = value_text("raw")
+    bad = (F.trim(text) != "") & (text != MISSING_MARKER) & decode_value("raw").isNull()
+    points = _points(_parsed(texts, column))
     return points.agg(F.count(F.lit(1)).alias("values"), F.count_if(bad).alias("rejected"))
+
+
+def _parsed(texts: DataFrame, column: str) -> DataFrame:
+    # For a plain inline Spark adds filters that parse the text again; the
+    # outer one has none, and its rows of nulls end at the next explode.
+    parsed = F.from_json(column, f"array<struct<{AGGREGATES_SCHEMA}>>")
+    return texts.select(F.inline_outer(parsed))
+
+
+def _points(responses: DataFrame) -> DataFrame:
+    results = responses.select(F.col("id").alias("variable"), F.explode("resultados").alias("result"))
+    series = results.select("variable", F.explode("result.series").alias("s"))
+    return series.select("variable", "s.localidade", F.explode("s.serie").alias("year", "raw"))

@@ -269,8 +269,8 @@ report AS (
 def run_report(spark, sf):
     lake = Lake(spark, Staging(spark).folder("lake"))
     sources = run_sources(spark, sf)
-    runs = run_all(lake, sources, SERIES_NAMES, 1997, 1997, rate_type="decimal(18,2)", processed_at=STAMP)
-    return report_frame(spark, runs).select("layer", "dataset", "status", "rows")
+    run = run_all(lake, sources, SERIES_NAMES, 1997, 1997, rate_type="decimal(18,2)", processed_at=STAMP)
+    return report_frame(spark, run.layers).select("layer", "dataset", "status", "rows")
 
 
 @query(
