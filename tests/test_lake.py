@@ -32,6 +32,8 @@ def test_write_modes_and_empty_tables(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     with pytest.raises(Exception, match="exist"):
         write_table(periods(spark, [(3, 2020, "a")]), path, mode="error")
+    assert write_table(periods(spark, [(9, 2020, "a")]), path, mode="ignore") is None
+    assert spark.read.parquet(path).count() == 2
     assert write_table(periods(spark, []), str(tmp_path / "empty")) == 0
     assert spark.read.parquet(str(tmp_path / "empty")).columns == ["v", "period", "source"]
 

@@ -157,6 +157,16 @@ def error_rate(df: DataFrame, critical: list[str], ranges: dict, limit: float) -
     )
 
 
+def group_agreement(values: DataFrame, entities: DataFrame) -> DataFrame:
+    """Entities whose code prefix names another group than the dimension does, over the known entities."""
+    codes = values.select("entity_code", F.col("group_code").alias("_prefix")).distinct()
+    known = codes.join(entities.select("entity_code", "group_code"), "entity_code")
+    differs = ~F.col("_prefix").eqNullSafe(F.col("group_code"))
+    return known.agg(row_count().alias("entities"), F.count_if(differs).alias("disagreeing")).withColumn(
+        "passed", F.col("disagreeing") == 0
+    )
+
+
 def breaks_rules(critical: list[str], ranges: dict) -> Column:
     """True for a row with a critical null or a value outside its range."""
     broken = F.lit(False)

@@ -33,9 +33,12 @@ class ReferenceRule:
 # Columns, keys, bounds and thresholds of the standard suites.
 MEASURE_BOUNDS = (0, 20_000_000)
 RATE_BOUNDS = (0, 1_000_000)
-TOTAL_BOUNDS = (0, 1_000_000_000_000)
-PERIOD_BOUNDS = (2000, 2030)
 ERROR_RATE = 0.05
+DECLARED_RANGES = {
+    "measure": MEASURE_BOUNDS,
+    "total": (0, 1_000_000_000_000),
+    "period": (2000, 2030),
+}
 
 BRONZE_RULES = [
     DatasetRules(

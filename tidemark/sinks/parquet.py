@@ -19,8 +19,8 @@ def write_table(
     partition_by: list[str] | None = None,
     compression: str = "snappy",
     full: bool = False,
-) -> int:
-    """Write a table and return the number of rows written.
+) -> int | None:
+    """Write a table and return the number of rows written; None for mode ``ignore``, which may write none.
 
     An overwrite replaces only the partitions present in ``df``; ``full``
     replaces the whole table. Rows are rebalanced by the partition columns, so
@@ -29,14 +29,15 @@ def write_table(
     """
     columns = partition_by or []
     out = df.hint("rebalance", *columns) if columns else df
-    counted = Observation()
-    out = out.observe(counted, F.count(F.lit(1)).alias("rows"))
+    counted = None if mode == "ignore" else Observation()
+    if counted:
+        out = out.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode).option("compression", compression)
     if columns:
         writer = writer.partitionBy(*columns)
         writer = writer.option("partitionOverwriteMode", "static" if full else "dynamic")
     writer.parquet(path)
-    return counted.get["rows"]
+    return counted.get["rows"] if counted else None
 
 
 def layout_of(layer: str, df: DataFrame) -> list[str]:

@@ -9,6 +9,7 @@ from tidemark.plans.clean import clean_localities, clean_measure, clean_rate, cl
 from tidemark.quality import checks
 from tidemark.quality.rules import (
     BRONZE_RULES,
+    DECLARED_RANGES,
     ERROR_RATE,
     GOLD_REFERENCES,
     GOLD_RULES,
@@ -166,6 +167,38 @@ def error_rate(spark, sf):
     return checks.error_rate(orders_with_nulls(spark, sf), ["o_orderkey", "status"], ranges, ERROR_RATE)
 
 
+@query(
+    "declared_error_rate",
+    f"""WITH {FACT_SQL}, t AS (
+          SELECT count(*) AS rows, count(*) FILTER (WHERE entity_code IS NULL OR period IS NULL OR total IS NULL
+                   OR measure IS NULL OR measure NOT BETWEEN 0 AND 20000000
+                   OR total NOT BETWEEN 0 AND 1000000000000 OR period NOT BETWEEN 2000 AND 2030) AS failing_rows
+          FROM fact)
+        SELECT *, CAST(failing_rows AS DOUBLE) / rows AS error_rate,
+               CAST(failing_rows AS DOUBLE) / rows <= {ERROR_RATE} AS passed FROM t""",
+)
+def declared_error_rate(spark, sf):
+    fact = star(spark, sf)["fact_entity"]
+    return checks.error_rate(fact, ["entity_code", "period", "total"], DECLARED_RANGES, ERROR_RATE)
+
+
+@query(
+    "group_agreement",
+    f"""WITH {ENT_SQL}, {LOCALITIES_SQL}, {order_values_sql(3)},
+             k AS (SELECT DISTINCT entity_code, CASE WHEN source_group = '07' THEN '99' ELSE source_group END AS prefix
+                   FROM (SELECT entity_code, substr(entity_code, 1, 2) AS source_group FROM raw)),
+             t AS (SELECT count(*) AS entities, count(*) FILTER (WHERE prefix <> group_code) AS disagreeing
+                   FROM k JOIN localities USING (entity_code))
+        SELECT *, disagreeing = 0 AS passed FROM t""",
+)
+def group_agreement(spark, sf):
+    """One group is named differently by the values."""
+    prefix = F.substring("entity_code", 1, 2)
+    named = F.when(prefix == "07", F.lit("99")).otherwise(prefix)
+    values = order_values(spark, sf, 3).select("entity_code", named.alias("group_code"))
+    return checks.group_agreement(values, clean_localities(localities(spark, sf)))
+
+
 # Suites. The SQL of each check is written out per dataset.
 
 
