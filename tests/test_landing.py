@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 
 from tidemark.sources.aggregates import parse_aggregates, read_aggregates, rejected_values
@@ -79,6 +80,13 @@ def test_series_files_are_read_in_one_job(spark, tmp_path):
     ]
 
 
+def test_a_broken_file_fails_its_source(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps(RESPONSE), encoding="utf-8")
+    (tmp_path / "cut.json").write_text(json.dumps(RESPONSE)[:200], encoding="utf-8")
+    with pytest.raises(Exception, match="FAILFAST"):
+        read_aggregates(spark, str(tmp_path), "population").collect()
+
+
 def test_default_catalogue(spark):
     assert series_catalogue(spark).count() == len(DEFAULT_SERIES) == 16
 

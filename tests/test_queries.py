@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import duckdb
 import pytest
+from conftest import plan
 
 import __spark_entry__ as entry
 
@@ -33,6 +34,9 @@ def ordered(found):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
+    physical = plan(df)
+    for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert operator not in physical
     columns = sorted(df.columns)
     relation = duck.sql(entry.oracle_sql()[name])
     assert sorted(relation.columns) == columns

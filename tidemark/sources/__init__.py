@@ -1 +1,4 @@
 """Reading landed JSON payloads and lake tables."""
+
+# One JSON array per file. A file that is not valid JSON fails the source, rather than losing its rows.
+JSON_ARRAY_FILE = {"multiLine": "true", "mode": "FAILFAST"}

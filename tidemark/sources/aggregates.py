@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import MISSING_MARKER, decode_value, value_text
+from tidemark.sources import JSON_ARRAY_FILE
 
 # Field names of the public aggregates format. A map value may be
 # text or an object; read as text, an object keeps its JSON form.
@@ -18,7 +19,7 @@ AGGREGATES_SCHEMA = (
 
 def read_aggregates(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Read landed response files (one JSON array each) and flatten them."""
-    responses = spark.read.schema(AGGREGATES_SCHEMA).option("multiLine", True).json(path)
+    responses = spark.read.schema(AGGREGATES_SCHEMA).options(**JSON_ARRAY_FILE).json(path)
     return flatten_aggregates(responses, source)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import JSON_ARRAY_FILE
+
 # Field names of the public localities format.
 LOCALITIES_SCHEMA = (
     "id string, nome string, microrregiao struct<mesorregiao: struct<UF: struct<"
@@ -16,7 +18,7 @@ _GROUP = "microrregiao.mesorregiao.UF"
 
 def read_localities(spark: SparkSession, path: str) -> DataFrame:
     """Read landed response files (one JSON array each) and project them."""
-    rows = spark.read.schema(LOCALITIES_SCHEMA).option("multiLine", True).json(path)
+    rows = spark.read.schema(LOCALITIES_SCHEMA).options(**JSON_ARRAY_FILE).json(path)
     return flatten_localities(rows)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_date, parse_decimal, year_month
+from tidemark.sources import JSON_ARRAY_FILE
 
 # Name and public code of each default series.
 DEFAULT_SERIES = {
@@ -41,7 +42,7 @@ def read_series(spark: SparkSession, path: str, catalogue: DataFrame, source: st
     """Read every series under ``path/series_code=<code>/`` in one job and type it."""
     raw = (
         spark.read.schema(f"{SERIES_SCHEMA}, series_code int")
-        .option("multiLine", True)
+        .options(**JSON_ARRAY_FILE)
         .option("basePath", path)
         .json(path)
     )
