@@ -8,7 +8,7 @@ from tidemark.sources.aggregates import parse_aggregates, read_aggregates, rejec
 from tidemark.sources.lake import read_table
 from tidemark.sources.localities import read_localities
 from tidemark.sources.selection import pick_periods, trailing_window
-from tidemark.sources.series import DEFAULT_SERIES, read_series, series_catalogue
+from tidemark.sources.series import DEFAULT_SERIES, broken_series, read_series, series_catalogue
 
 RESPONSE = [
     {
@@ -80,6 +80,15 @@ def test_series_files_are_read_in_one_job(spark, tmp_path):
     ]
 
 
+def test_a_broken_series_file_does_not_stop_the_other_series(spark, tmp_path):
+    for code, text in {1: '[{"data": "01/01/2020", "valor": "1"}]', 2: '[{"data": "01/01/2020", "val'}.items():
+        (tmp_path / f"series_code={code}").mkdir()
+        (tmp_path / f"series_code={code}" / "p.json").write_text(text)
+    got = read_series(spark, str(tmp_path), series_catalogue(spark, {"a": 1, "b": 2}), "api")
+    assert rows(got.select("series_code", "date_text")) == [(1, "01/01/2020")]
+    assert rows(broken_series(spark, str(tmp_path))) == [(2, 1)]
+
+
 def test_a_broken_file_fails_its_source(spark, tmp_path):
     (tmp_path / "good.json").write_text(json.dumps(RESPONSE), encoding="utf-8")
     (tmp_path / "cut.json").write_text(json.dumps(RESPONSE)[:200], encoding="utf-8")

@@ -16,7 +16,8 @@ def with_growth(
     ``columns`` maps a value column to the name of its growth. The first
     period, a null on either side and a zero base give null. ``strict`` also
     gives null when the previous row is not the period directly before.
-    An empty ``partition`` suits one row per period only.
+    A partition holds one row per period, so it never outgrows the number of
+    periods; an empty ``partition`` suits tables with one row per period only.
     """
     window = Window.partitionBy(*partition).orderBy(period)
     added = {}

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_date, parse_decimal, year_month
-from tidemark.sources import JSON_ARRAY_FILE
 
 # Name and public code of each default series.
 DEFAULT_SERIES = {
@@ -39,16 +38,27 @@ def series_catalogue(spark: SparkSession, series: dict[str, int | None] | None =
 
 
 def read_series(spark: SparkSession, path: str, catalogue: DataFrame, source: str) -> DataFrame:
-    """Read every series under ``path/series_code=<code>/`` in one job and type it."""
-    raw = (
-        spark.read.schema(f"{SERIES_SCHEMA}, series_code int")
-        .options(**JSON_ARRAY_FILE)
-        .option("basePath", path)
-        .json(path)
-    )
+    """Read every series under ``path/series_code=<code>/`` in one job and type it.
+
+    A file that is not valid JSON loses only its own points; ``broken_series`` lists it.
+    """
+    raw = _raw_points(spark, path).filter(F.col("_broken").isNull()).drop("_broken")
     return land_series(raw, catalogue, source)
 
 
+def broken_series(spark: SparkSession, path: str) -> DataFrame:
+    """Files per series that could not be parsed."""
+    # Spark refuses a query that reads the broken text alone; its points are null as well.
+    broken = _raw_points(spark, path).filter(F.col("_broken").isNotNull() & F.col("data").isNull())
+    return broken.groupBy("series_code").agg(F.count(F.lit(1)).alias("files"))
+
+
+def _raw_points(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.schema(f"{SERIES_SCHEMA}, _broken string, series_code int")
+    options = {"multiLine": "true", "columnNameOfCorruptRecord": "_broken", "basePath": path}
+    return reader.options(**options).json(path)
+
+
 def land_series(raw: DataFrame, catalogue: DataFrame, source: str) -> DataFrame:
     """Tag raw points with their catalogue entry and add typed date, year, month and value.
 

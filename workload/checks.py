@@ -21,7 +21,6 @@ from tidemark.quality.suites import layer_checks, summarize
 from tidemark.staging import Staging
 from workload.registry import query
 from workload.standin import (
-    DIM_ENTITY_SQL,
     ENT_SQL,
     FACT_SQL,
     LOCALITIES_SQL,

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.functions import predicates as p
-from tidemark.operators.combine import orphan_sample
+from tidemark.operators.combine import orphan_sample, orphans
 from tidemark.operators.dedupe import keep_latest, keep_one
+from tidemark.operators.keys import spine_index
 from tidemark.operators.rollup import distinct_count
 from tidemark.operators.spine import distinct_values, union_periods
 from tidemark.plans.clean import CleaningRules, apply_rules
@@ -250,8 +251,6 @@ def distinct_values_(spark, sf):
        FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS period FROM orders) ORDER BY period""",
 )
 def ordered_periods(spark, sf):
-    from tidemark.operators.keys import spine_index
-
     years = distinct_values(table(spark, sf, "orders").select(F.year("o_orderdate").alias("period")), "period")
     return spine_index(years, "period", "period_key").orderBy("period")
 
@@ -321,8 +320,6 @@ def row_counts(spark, sf):
     """SELECT DISTINCT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
 )
 def orphan_keys(spark, sf):
-    from tidemark.operators.combine import orphans
-
     return orphans(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id", "doc_id")
 
 

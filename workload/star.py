@@ -28,6 +28,7 @@ from workload.standin import (
     SERIES,
     SERIES_NAMES,
     base_sql,
+    entity_codes,
     fact_sql,
     growth_sql,
     localities,
@@ -168,8 +169,6 @@ def stacked_measures(spark, sf):
           AND l.group_code <> '03'""",
 )
 def attach_group(spark, sf):
-    from workload.standin import entity_codes
-
     orders = table(spark, sf, "orders")
     coded = orders.join(entity_codes(spark, sf), orders.o_custkey == F.col("c_custkey"))
     known = clean_localities(localities(spark, sf)).filter("group_code <> '03'")
