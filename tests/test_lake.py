@@ -4,10 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql.readwriter import DataFrameWriter
 
+from tidemark.functions.names import with_surveyed_names
 from tidemark.plans.run import FullRun, Job, Lake, report_frame, run_layer
 from tidemark.quality.rules import DatasetRules
 from tidemark.sinks.contract import CONTRACTS, Contract, contract_violations, to_contract
-from tidemark.sinks.jdbc import JdbcTarget, create_if_absent, export_all, export_table
+from tidemark.sinks.jdbc import JdbcTarget, create_all, create_if_absent, export_all, export_table
 from tidemark.sinks.parquet import apply_retention, layout_of, retained, write_table
 from tidemark.staging import shared_root
 
@@ -137,6 +138,22 @@ def test_export_all_reports_missing_and_failed_tables(spark, monkeypatch):
     ]
 
 
+def test_create_all_makes_empty_tables_of_what_the_lake_holds(spark, monkeypatch):
+    saved = Saved().install(monkeypatch)
+    period = spark.createDataFrame([(1, 2020, 1, 1)], "period_key int, period int, half int, quarter int")
+    assert create_all({"dim_period": period}.get, TARGET) == ["dim_period"]
+    assert [(mode, options["dbtable"], n) for mode, options, _, n in saved] == [("ignore", "s.dim_period", 0)]
+
+
+def test_surveyed_names(spark):
+    gold = spark.createDataFrame([], "period int, measure bigint, total double, x_mean double, x_max double")
+    assert with_surveyed_names(gold, "gold").columns == ["ano", "populacao_total", "pib_total", "x_medio", "x_max"]
+    silver = spark.createDataFrame([], "entity_code string, measure bigint")
+    assert with_surveyed_names(silver, "silver").columns == ["codigo_municipio", "populacao"]
+    series = spark.createDataFrame([], "series_code int, date_text string, value_text string, value double")
+    assert with_surveyed_names(series, "silver").columns == ["serie_codigo", "data", "valor", "valor_decimal"]
+
+
 def test_layer_run_goes_on_after_a_failure(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
 

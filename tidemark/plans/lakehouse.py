@@ -69,9 +69,9 @@ def gold_jobs(
     """Modelling jobs; without entity data the national fact comes from the series alone."""
 
     def periods(lake: Lake) -> DataFrame:
-        tables = [_optional(lake, n) for n in ("measure", "rate")] if entities_enabled else []
+        tables = [lake.find("silver", n) for n in ("measure", "rate")] if entities_enabled else []
         found = [t for t in tables if t is not None]
-        return model.dim_period(lake.spark, found, _optional(lake, "series"), as_of=as_of)
+        return model.dim_period(lake.spark, found, lake.find("silver", "series"), as_of=as_of)
 
     def entity_fact(lake: Lake) -> DataFrame:
         return model.fact_entity(
@@ -132,14 +132,7 @@ def run_all(
     staging.clear()
     if target is not None:
         try:
-            run.export = export_all(lake.spark, run.layers[-1].tables.get, target)
+            run.export = export_all(lake.spark, lambda name: lake.find("gold", name), target)
         except Exception as error:  # the lake is complete without the export
             run.export_error = str(error)
     return run
-
-
-def _optional(lake: Lake, dataset: str) -> DataFrame | None:
-    try:
-        return lake.read("silver", dataset)
-    except Exception:  # the table was never written
-        return None

@@ -10,6 +10,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,13 @@ class Lake:
     def read(self, layer: str, dataset: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, dataset))
 
+    def find(self, layer: str, dataset: str) -> DataFrame | None:
+        """The table, or None if it was never written."""
+        try:
+            return self.read(layer, dataset)
+        except AnalysisException:
+            return None
+
 
 @dataclass
 class Job:

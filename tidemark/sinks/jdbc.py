@@ -62,6 +62,17 @@ def create_if_absent(df: DataFrame, name: str, target: JdbcTarget, contract: Con
     export_table(df.limit(0), name, target, "ignore", contract)
 
 
+def create_all(load: Callable[[str], DataFrame | None], target: JdbcTarget, tables: list[str] | None = None) -> list[str]:
+    """Create the empty tables the target lacks; return the names the lake holds."""
+    held = []
+    for name in tables or REQUIRED_TABLES + OPTIONAL_TABLES:
+        df = load(name)
+        if df is not None:
+            create_if_absent(df, name, target, CONTRACTS.get(name))
+            held.append(name)
+    return held
+
+
 def _text_types(contract: Contract) -> str:
     return ", ".join(f"{name} {t}" for name, t in contract.types.items() if t.startswith("varchar"))
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import audit_columns
+from tidemark.functions.names import with_surveyed_names
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
 from tidemark.plans.lakehouse import bronze_jobs, run_all
@@ -215,6 +216,17 @@ def contract_violations_(spark, sf):
     return contract_violations(entities, CONTRACTS["dim_entity"])
 
 
+@query(
+    "surveyed_names",
+    f"""WITH {DIM_ENTITY_SQL} SELECT entity_key AS sk_municipio, entity_code AS codigo_municipio,
+        entity_name AS nome_municipio, group_code AS codigo_uf, group_short AS sigla_uf, group_name AS nome_uf,
+        region_code AS codigo_regiao, region_name AS nome_regiao, region_short AS sigla_regiao FROM dim_entity""",
+)
+def surveyed_names(spark, sf):
+    entities = model.dim_entity(clean_localities(localities(spark, sf)), Staging(spark))
+    return with_surveyed_names(entities, "gold")
+
+
 # Layer runs
 
 
