@@ -20,6 +20,8 @@ def build(spark, staging, measures, rates, **options):
     dims = entities(spark, staging)
     periods = model.dim_period(spark, [m, r])
     fact = model.fact_entity(m, r, dims, periods, staging, **options)
+    windowed = model.fact_entity(m, r, dims, periods, staging, rows=len(measures) + len(rates), **options)
+    assert rows(windowed) == rows(fact)
     return fact, dims, periods
 
 

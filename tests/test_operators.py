@@ -78,9 +78,13 @@ def brute_standings(data):
 
 def check_standings(session, staging, data):
     df = session.createDataFrame(data, "g string, period int, v decimal(18,2), id string").repartition(5)
-    got = standings(df, "g", "period", "v", "id", staging).collect()
     expected = brute_standings(data)
+    by_sort = standings(df, "g", "period", "v", "id", staging)
+    by_window = standings(df, "g", "period", "v", "id", staging, rows=len(data))
+    assert by_sort.schema.names == by_window.schema.names and by_sort.dtypes == by_window.dtypes
+    got = by_sort.collect()
     assert len(got) == len(data)
+    assert sorted(map(str, got)) == sorted(map(str, by_window.collect()))
     for r in got:
         want = expected[r["id"]]
         assert r["rank_in_nation"] == want["p"][0]
@@ -107,6 +111,17 @@ def test_standings_where_nearly_all_rows_tie(uncoalesced, staging):
     check_standings(uncoalesced, staging, data)
 
 
+def test_small_tables_use_one_shuffle_by_period_and_others_are_sorted(spark, staging, monkeypatch):
+    df = spark.createDataFrame([("g", 2000, 1.0, "a")], "g string, period int, v double, id string")
+    small = standings(df, "g", "period", "v", "id", staging, rows=1)
+    assert plan(small).count("Exchange hashpartitioning") == 1
+    frozen = []
+    monkeypatch.setattr(type(staging), "freeze", lambda self, d, name: frozen.append(name) or d)
+    standings(df, "g", "period", "v", "id", staging, rows=1_000_001)
+    standings(df, "g", "period", "v", "id", staging)
+    assert frozen == ["standings", "cells"] * 2
+
+
 def test_sort_ranges_split_a_tied_value(uncoalesced, staging):
     from tidemark.operators.keys import place_in_order
 

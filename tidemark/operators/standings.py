@@ -11,6 +11,9 @@ from tidemark.staging import Staging
 
 _CELL = ["_part", "_period", "_group", "_no_group"]
 
+# Up to this many rows in all, one task can hold a whole period.
+PLAIN_WINDOW_ROWS = 1_000_000
+
 
 def standings(
     df: DataFrame,
@@ -20,6 +23,7 @@ def standings(
     tiebreak: str,
     staging: Staging,
     period_columns: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add rank and share of ``value`` in (group, period) and in (period), at any size.
 
@@ -30,8 +34,13 @@ def standings(
     ever receives more than one sort range of a period or group.
 
     ``period_columns`` is an optional table with one row per period whose
-    other columns are added through the small cell table.
+    other columns are added, through the small cell table.
+
+    ``rows`` is the number of rows, or an upper bound, where it is known. Only a
+    table known to be small takes plain windows instead, with the same result.
     """
+    if rows is not None and rows <= PLAIN_WINDOW_ROWS:
+        return _plain_standings(df, group, period, value, tiebreak, period_columns)
     order = [F.col(period), F.col(value).desc_nulls_last(), F.col(tiebreak)]
     placed = place_in_order(df, order, staging, "standings").withColumns(
         {
@@ -47,10 +56,9 @@ def standings(
 
     in_cell = Window.partitionBy(*_CELL).orderBy("_pos")
     ranked = placed.withColumn("_nth", F.row_number().over(in_cell)).join(offsets, _CELL, "left")
-    extra = [c for c in (period_columns.columns if period_columns is not None else []) if c != period]
     return ranked.select(
         *df.columns,
-        *extra,
+        *_added(period_columns, period),
         percent(value, "_group_total").alias("share_in_group"),
         percent(value, "_period_total").alias("share_in_nation"),
         (F.col("_before_in_group") + F.col("_nth")).cast("int").alias("rank_in_group"),
@@ -58,6 +66,32 @@ def standings(
     )
 
 
+def _plain_standings(df, group, period, value, tiebreak, period_columns):
+    """The same columns by windows; both run on one shuffle by period."""
+    in_period, in_group = Window.partitionBy(period), Window.partitionBy(period, group)
+    order = [F.col(value).desc_nulls_last(), F.col(tiebreak)]
+    by_period = df.withColumns(
+        {
+            "share_in_nation": percent(value, F.sum(value).over(in_period)),
+            "rank_in_nation": F.row_number().over(in_period.orderBy(*order)),
+        }
+    )
+    ranked = by_period.withColumns(
+        {
+            "share_in_group": percent(value, F.sum(value).over(in_group)),
+            "rank_in_group": F.row_number().over(in_group.orderBy(*order)),
+        }
+    )
+    if period_columns is not None:
+        ranked = ranked.join(period_columns, period, "left")
+    names = ["share_in_group", "share_in_nation", "rank_in_group", "rank_in_nation"]
+    return ranked.select(*df.columns, *_added(period_columns, period), *names)
+
+
+def _added(period_columns: DataFrame | None, period: str) -> list[str]:
+    return [c for c in period_columns.columns if c != period] if period_columns is not None else []
+
+
 def _cell_offsets(placed: DataFrame, value: str, staging: Staging) -> DataFrame:
     """Totals, and rows in earlier sort tasks, for every cell.
 

@@ -74,13 +74,10 @@ def gold_jobs(
         return model.dim_period(lake.spark, found, lake.find("silver", "series"), as_of=as_of)
 
     def entity_fact(lake: Lake) -> DataFrame:
-        return model.fact_entity(
-            lake.read("silver", "measure"),
-            lake.read("silver", "rate"),
-            lake.read("gold", "dim_entity"),
-            lake.read("gold", "dim_period"),
-            staging,
-        )
+        measure, rate = lake.read("silver", "measure"), lake.read("silver", "rate")
+        rows = measure.count() + rate.count()  # written tables: counted from their footers
+        entities, spine = lake.read("gold", "dim_entity"), lake.read("gold", "dim_period")
+        return model.fact_entity(measure, rate, entities, spine, staging, rows=rows)
 
     def nation(lake: Lake) -> DataFrame:
         if not entities_enabled:

@@ -80,11 +80,14 @@ def fact_entity(
     periods: DataFrame,
     staging: Staging,
     strict_growth: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Entity fact from cleaned measure and rate, both unique per entity and period.
 
     ``total`` is in thousands. One shuffle by entity serves the outer join, both
     dimension lookups and the growth; one sort serves all ranks and shares.
+    ``rows``, where known, is the rows of both inputs together, an upper bound
+    of the rows of the fact; see ``standings``.
     """
     keys = ["entity_code", "period"]
     both = stack_measures(
@@ -100,7 +103,7 @@ def fact_entity(
         strict_growth,
     )
     period_keys = periods.select("period", "period_key")
-    placed = standings(grown, "group_code", "period", "total", "entity_code", staging, period_keys)
+    placed = standings(grown, "group_code", "period", "total", "entity_code", staging, period_keys, rows)
     return placed.select(*FACT_ENTITY)
 
 

@@ -234,8 +234,10 @@ fact_nation AS (
   FROM summed)"""
 
 
-def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. The clean tables are written first, as in a lake."""
+def star(
+    spark: SparkSession, sf_dir: str, staging: Staging | None = None, counted: bool = True
+) -> dict[str, DataFrame]:
+    """Dimensions and entity fact. The clean tables are written first, as in a lake, and counted."""
     staging = staging or Staging(spark)
     clean = staging.freeze_all(
         {
@@ -247,7 +249,8 @@ def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> di
     measures, rates = clean["measure"], clean["rate"]
     entities = model.dim_entity(clean["localities"], staging)
     periods = model.dim_period(spark, [measures, rates])
-    fact = model.fact_entity(measures, rates, entities, periods, staging)
+    rows = measures.count() + rates.count() if counted else None
+    fact = model.fact_entity(measures, rates, entities, periods, staging, rows=rows)
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
 
 

@@ -192,6 +192,12 @@ def fact_entity(spark, sf):
     return star(spark, sf)["fact_entity"]
 
 
+@query("fact_entity_sorted", f"WITH {FACT_SQL} SELECT {FACT_COLUMNS} FROM fact")
+def fact_entity_sorted(spark, sf):
+    """The same fact where the number of rows is not known to be small."""
+    return star(spark, sf, counted=False)["fact_entity"]
+
+
 @query(
     "fact_entity_no_overlap",
     f"""WITH {fact_sql(base_sql("year(o_orderdate) = 1998", "year(o_orderdate) = 1996"))}
