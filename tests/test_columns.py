@@ -37,6 +37,11 @@ def test_decode_value(spark, raw, expected):
     assert one(df.select(c.decode_value("raw"))) == expected
 
 
+def test_decode_period(spark):
+    df = spark.createDataFrame([("2020",), ("202201",), ("media",), ("-5",), ("99999999999",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(c.decode_period("t")).collect()] == [2020, 202201] + [None] * 5
+
+
 def test_dates_and_decimals_fall_back_to_text(spark):
     data = [
         (dt.date(2020, 1, 2), "05/06/2021", Decimal("1.5"), "9"),

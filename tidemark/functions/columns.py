@@ -61,7 +61,14 @@ def value_text(raw: str | Column) -> Column:
 
 def decode_value(raw: str | Column) -> Column:
     """Number in an aggregates response; the missing marker, empty text and other non-numbers give null."""
-    return value_text(raw).try_cast("double")
+    # The frequent non-numbers are told apart first: a failing cast is many times slower.
+    text = value_text(raw)
+    return F.when(~text.isin(MISSING_MARKER, ""), text.try_cast("double"))
+
+
+def decode_period(text: str | Column) -> Column:
+    """Period of all-digit text, null for any other."""
+    return F.when(_col(text).rlike("^[0-9]+$"), _col(text).try_cast("int"))
 
 
 def with_total(df: DataFrame, rate: str, measure: str, name: str) -> DataFrame:

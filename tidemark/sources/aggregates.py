@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import MISSING_MARKER, decode_value, value_text
+from tidemark.functions.columns import MISSING_MARKER, decode_period, decode_value, value_text
 from tidemark.sources import JSON_ARRAY_FILE
 
 # Field names of the public aggregates format. A map value may be
@@ -31,13 +31,13 @@ def parse_aggregates(texts: DataFrame, column: str, source: str) -> DataFrame:
 def flatten_aggregates(responses: DataFrame, source: str) -> DataFrame:
     """One row per (locality, year); a year that is no number becomes null."""
     return _points(responses).select(
-        F.col("localidade.id").alias("entity_code"),
-        F.col("localidade.nome").alias("entity_name"),
-        F.col("year").try_cast("int").alias("period"),
+        "entity_code",
+        "entity_name",
+        decode_period("year").alias("period"),
         decode_value("raw").alias("value"),
         "variable",
         F.lit(source).alias("source"),
-        F.col("localidade.nivel.id").alias("level"),
+        "level",
     )
 
 
@@ -59,4 +59,14 @@ def _parsed(texts: DataFrame, column: str) -> DataFrame:
 def _points(responses: DataFrame) -> DataFrame:
     results = responses.select(F.col("id").alias("variable"), F.explode("resultados").alias("result"))
     series = results.select("variable", F.explode("result.series").alias("s"))
-    return series.select("variable", "s.localidade", F.explode("s.serie").alias("year", "raw"))
+    # Only flat columns go along with each year, not the whole series again.
+    flat = series.select(
+        "variable",
+        F.col("s.localidade.id").alias("entity_code"),
+        F.col("s.localidade.nome").alias("entity_name"),
+        F.col("s.localidade.nivel.id").alias("level"),
+        F.col("s.serie").alias("serie"),
+    )
+    return flat.select(
+        "variable", "entity_code", "entity_name", "level", F.explode("serie").alias("year", "raw")
+    )
