@@ -237,7 +237,7 @@ fact_nation AS (
 def star(
     spark: SparkSession, sf_dir: str, staging: Staging | None = None, counted: bool = True
 ) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. The clean tables are written first, as in a lake, and counted."""
+    """Dimensions and entity fact. Clean tables and dimensions are written first, as in a lake."""
     staging = staging or Staging(spark)
     clean = staging.freeze_all(
         {
@@ -247,8 +247,13 @@ def star(
         }
     )
     measures, rates = clean["measure"], clean["rate"]
-    entities = model.dim_entity(clean["localities"], staging)
-    periods = model.dim_period(spark, [measures, rates])
+    dimensions = staging.freeze_all(
+        {
+            "dim_entity": model.dim_entity(clean["localities"], staging),
+            "dim_period": model.dim_period(spark, [measures, rates]),
+        }
+    )
+    entities, periods = dimensions["dim_entity"], dimensions["dim_period"]
     rows = measures.count() + rates.count() if counted else None
     fact = model.fact_entity(measures, rates, entities, periods, staging, rows=rows)
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
