@@ -7,6 +7,7 @@ import pytest
 from conftest import plan
 
 import __spark_entry__ as entry
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -31,9 +32,9 @@ def ordered(found):
     return sorted(map(plain, found), key=lambda r: tuple((v is None, v if v is not None else 0) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     physical = plan(df)
     for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
         assert operator not in physical
