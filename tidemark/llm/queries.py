@@ -2,6 +2,7 @@
 
 import tidemark.llm.exact_dedup  # noqa: F401  registers its query
 import tidemark.llm.license_scan  # noqa: F401
+import tidemark.llm.secret_scan  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
