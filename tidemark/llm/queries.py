@@ -1,8 +1,9 @@
 """All queries of the text operators."""
 
-import tidemark.llm.byte_bpe  # noqa: F401  registers its query  registers its query
+import tidemark.llm.byte_bpe  # noqa: F401  registers its query
 import tidemark.llm.exact_dedup  # noqa: F401
 import tidemark.llm.license_scan  # noqa: F401
+import tidemark.llm.packing  # noqa: F401
 import tidemark.llm.secret_scan  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL
 
