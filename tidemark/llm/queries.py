@@ -2,6 +2,7 @@
 
 import tidemark.llm.byte_bpe  # noqa: F401  registers its query
 import tidemark.llm.exact_dedup  # noqa: F401
+import tidemark.llm.language_id  # noqa: F401
 import tidemark.llm.license_scan  # noqa: F401
 import tidemark.llm.packing  # noqa: F401
 import tidemark.llm.secret_scan  # noqa: F401
