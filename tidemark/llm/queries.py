@@ -1,6 +1,7 @@
 """All queries of the text operators."""
 
 import tidemark.llm.byte_bpe  # noqa: F401  registers its query
+import tidemark.llm.embedding_dedup  # noqa: F401
 import tidemark.llm.exact_dedup  # noqa: F401
 import tidemark.llm.language_id  # noqa: F401
 import tidemark.llm.license_scan  # noqa: F401
