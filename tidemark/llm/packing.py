@@ -17,32 +17,53 @@ from tidemark.staging import Staging
 
 #: Tokens of a sequence, id behind every document, pieces packed together in one task, most rounds of the search,
 #: items of a bin that are offered in pairs, remembered words.
-CAPACITY, END_ID, GROUP, ROUNDS, PAIRED, MEMORY = 2048, 0, 8192, 200, 32, 400_000
-#: White space that surely parts words for the tokenizer; other white space stays in a word and is left to it.
-BREAKS = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+CAPACITY, END_ID, GROUP, ROUNDS, PAIRED, MEMORY = 2048, 0, 8192, 200, 32, 1_200_000
+#: Marks that the tokenizer surely parts from letters before them.
+MARKS = ".,;:!?|*&%$#)"
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit words; each word is encoded once and remembered, up to a bound."""
+    """Ids of texts as little-endian 32-bit words; each word is encoded once and remembered, up to a bound.
+
+    Words end at ASCII white space, which surely parts them for the tokenizer; other white space is left to it.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def encode(self, text: str) -> bytes:
-        words = text.translate(BREAKS).split(" ")
+        words = text.encode("utf-8", "replace").split()
         new = set(words).difference(self.known)
-        if new and len(self.known) + len(new) > MEMORY:
-            self.known, new = {"": b""}, set(words) - {""}
+        if new and len(self.known) + 2 * len(new) > MEMORY:
+            self.known, new = {b"": b""}, set(words)
         if new:
-            listed = list(new)
-            found = self.tokenizer.encode_batch(listed, add_special_tokens=False)
-            self.known.update(zip(listed, (np.array(x.ids, "<u4").tobytes() for x in found), strict=True))
+            self.learn(new)
         return b"".join(map(self.known.__getitem__, words))
 
+    def learn(self, words: set[bytes]) -> None:
+        """Encode new words in one call; a word that differs from a known one only by case or by marks behind it is put together."""
+        split = {w: parted(w.decode()) for w in words}
+        wanted = list({part for parts in split.values() for part in parts}.difference(self.known))
+        if wanted:
+            found = self.tokenizer.encode_batch([[w.decode() for w in wanted]], is_pretokenized=True, add_special_tokens=False)[0]
+            ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(wanted))) * 4
+            ids = np.array(found.ids, "<u4").tobytes()
+            self.known.update((w, ids[i:j]) for w, i, j in zip(wanted, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+        self.known.update([(w, self.known[a] + self.known[b]) for w, (a, b) in split.items()])
+
+
+def parted(word: str) -> tuple[bytes, bytes]:
+    """Lower-cased word, where that is plain ASCII, and the marks behind its last letter; the tokenizer parts there too."""
+    plain = word.lower() if word.isascii() else word
+    core = plain.rstrip(MARKS)
+    if core and core[-1] < "\u0250" and core[-1].lower()[-1].isalpha():
+        return core.encode(), plain[len(core) :].encode()
+    return plain.encode(), b""
+
 
 @cache
 def word_ids(path: str) -> WordIds:
