@@ -7,6 +7,7 @@ import tidemark.llm.language_id  # noqa: F401
 import tidemark.llm.license_scan  # noqa: F401
 import tidemark.llm.minhash_dedup  # noqa: F401
 import tidemark.llm.packing  # noqa: F401
+import tidemark.llm.pii  # noqa: F401
 import tidemark.llm.secret_scan  # noqa: F401
 import tidemark.llm.toxicity  # noqa: F401
 from tidemark.llm.common import QUERIES, SQL
