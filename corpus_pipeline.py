@@ -1,9 +1,66 @@
-"""Corpus pipeline: filled in below as its operators come."""
+"""Corpus pipeline: from raw documents to packed training sequences.
 
-STAGES = []
+Toxic documents go, of equal and of nearly equal documents one stays, live-looking credentials are masked, and
+what is left is tokenised and packed. Every stage reads all rows that its predecessor kept. Its result is written
+as Parquet and read again, so a lost executor never sends the run back beyond the stage that was running. Rows
+with a null or empty text are documents like any other; they are equal to each other, so one of them stays. An
+empty table gives an empty result, and columns beside those of ``documents`` pass through up to packing.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.llm.common import table
+from tidemark.llm.exact_dedup import drop_exact_duplicates
+from tidemark.llm.minhash_dedup import drop_near_duplicates
+from tidemark.llm.packing import pack, pieces
+from tidemark.llm.secret_scan import mask_live
+from tidemark.llm.toxicity import drop_toxic, known_labels, train
+from tidemark.staging import Staging
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the clause grammar, learned from ``labels``, rejects."""
+    return drop_toxic(docs, train(Staging(spark), docs, known_labels(table(spark, sf_dir, "labels"))))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, keep the smallest ``doc_id``."""
+    return drop_exact_duplicates(Staging(spark), docs)
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more on shingles of five words, keep the smallest ``doc_id``."""
+    return drop_near_duplicates(Staging(spark), docs, words=5, percent=80)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask credentials that only one source holds; every document stays."""
+    return mask_live(Staging(spark), docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece with its sequence and offset."""
+    return pack(Staging(spark), pieces(docs, public_tokenizers.path("word_bpe_49k.json"))).drop("row")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("minhash_dedup", minhash_dedup),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
+
+#: SQL cannot express the learned grammar or the tokenizer; the tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Documents as they are."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    staging, docs = Staging(spark), table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staging.freeze(stage(spark, docs, sf_dir), name)
+    return docs

@@ -284,7 +284,7 @@ def verified_in_regions(members: DataFrame, words: int, percent: int, work: int)
     return spread.mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK) -> DataFrame:
+def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None) -> DataFrame:
     """One row per text: ``row``, id, ``n_shingles``, ``component_id``, ``kept_row``.
 
     Texts with the same shingle set become one representative. Representatives that are neighbours in one of the
@@ -296,11 +296,12 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
     with the smallest id, then the first written; a null id comes last. Texts without words and null texts link
     with nothing. Repeated rows are in one component. An empty table gives an empty result; other columns are not
-    read.
+    read. ``row_col`` names a column that numbers the rows; without it they are numbered here.
     """
     text = F.col(text_col)
     content = (F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(SEED), text).alias("h2"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), *content, text.alias("text"))
+    number = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = docs.select(number.alias("row"), F.col(id_col).alias("id"), *content, text.alias("text"))
     rows = staging.freeze(described(rows, words), "described")
     reps = rows.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("id").alias("least"), F.min(F.struct("h1", "h2")).alias("content"), F.first("n").alias("n"), F.first("signature").alias("signature"),
@@ -332,9 +333,9 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
 def drop_near_duplicates(staging: Staging, docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; all columns stay. Rows are written once, so their numbers hold."""
     numbered = staging.freeze(docs.select(F.monotonically_increasing_id().alias("_number"), F.struct("*").alias("_doc")), "numbered")
-    plain = numbered.select(F.struct(F.col(f"_doc.`{id_col}`").isNull().alias("no_id"), F.col(f"_doc.`{id_col}`").alias("id"), "_number").alias("_id"), F.col(f"_doc.`{text_col}`").alias("_text"))
-    found = near_duplicates(staging, plain, words, percent, "_id", "_text")
-    gone = found.where(~F.col("kept_row")).select(F.col("_id._number").alias("_gone"))
+    plain = numbered.select(F.col(f"_doc.`{id_col}`").alias("_id"), F.col(f"_doc.`{text_col}`").alias("_text"), "_number")
+    found = near_duplicates(staging, plain, words, percent, "_id", "_text", row_col="_number")
+    gone = found.where(~F.col("kept_row")).select(F.col("row").alias("_gone"))
     return numbered.join(gone, F.col("_number") == F.col("_gone"), "left_anti").select("_doc.*")
 
 

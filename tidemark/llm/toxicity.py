@@ -269,6 +269,16 @@ def score(docs: DataFrame, scorer: Scorer, columns: list[str], text_col: str = "
     return narrow.mapInPandas(run, f"{schema}, score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score at or above the threshold; all columns and all other rows stay."""
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return texts.fillna("").map(scorer.score)
+
+    return docs.where(scored(F.col(text_col)) < threshold)
+
+
 def known_labels(labels: DataFrame) -> DataFrame:
     """Labels to learn from: those whose id's remainder by 4 is not 2, one an id."""
     return labels.where(remainder(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
