@@ -1,6 +1,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from tidemark.operators.keys import dense_index, spine_index
 from tidemark.operators.rollup import distinct_count, rollup_level
 from tidemark.operators.series import fold_series, series_wide
 from tidemark.operators.spine import union_periods
-from tidemark.operators.standings import ranked_small, shared_small, standings
+from tidemark.operators.standings import standings
 
 
 def test_keep_latest_breaks_ties_the_same_way_in_any_row_order(spark):
@@ -79,12 +80,8 @@ def brute_standings(data):
 def check_standings(session, staging, data):
     df = session.createDataFrame(data, "g string, period int, v decimal(18,2), id string").repartition(5)
     expected = brute_standings(data)
-    by_sort = standings(df, "g", "period", "v", "id", staging)
-    by_window = standings(df, "g", "period", "v", "id", staging, rows=len(data))
-    assert by_sort.schema.names == by_window.schema.names and by_sort.dtypes == by_window.dtypes
-    got = by_sort.collect()
+    got = standings(df, "g", "period", "v", "id", staging).collect()
     assert len(got) == len(data)
-    assert sorted(map(str, got)) == sorted(map(str, by_window.collect()))
     for r in got:
         want = expected[r["id"]]
         assert r["rank_in_nation"] == want["p"][0]
@@ -98,7 +95,7 @@ def test_standings_with_hot_group_hot_value_and_nulls(uncoalesced, staging):
     data = []
     for i in range(3000):
         group = "hot" if i % 3 == 0 else rng.choice(["a", "b", "", None])
-        period = 2000 if rng.random() < 0.5 else rng.choice([1999, 2001, 2002])
+        period = 2000 if rng.random() < 0.5 else rng.choice([1999, 2001, 2002, None])
         value = rng.choice([None, Decimal("5.00"), Decimal("5.00"), Decimal(rng.randrange(40))])
         data.append((group, period, value, f"{i:05d}"))
     check_standings(uncoalesced, staging, data)
@@ -111,15 +108,18 @@ def test_standings_where_nearly_all_rows_tie(uncoalesced, staging):
     check_standings(uncoalesced, staging, data)
 
 
-def test_small_tables_use_one_shuffle_by_period_and_others_are_sorted(spark, staging, monkeypatch):
-    df = spark.createDataFrame([("g", 2000, 1.0, "a")], "g string, period int, v double, id string")
-    small = standings(df, "g", "period", "v", "id", staging, rows=1)
-    assert plan(small).count("Exchange hashpartitioning") == 1
-    frozen = []
-    monkeypatch.setattr(type(staging), "freeze", lambda self, d, name: frozen.append(name) or d)
-    standings(df, "g", "period", "v", "id", staging, rows=1_000_001)
-    standings(df, "g", "period", "v", "id", staging)
-    assert frozen == ["standings", "cells"] * 2
+def test_sorting_computes_its_input_once(spark, staging):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    data = [("g", 2000 + i % 3, float(i), f"{i:05d}") for i in range(500)]
+    df = spark.createDataFrame(data, "g string, period int, v double, id string").withColumn("v", counted("v"))
+    assert len(standings(df, "g", "period", "v", "id", staging).collect()) == 500
+    assert seen.value == 500
 
 
 def test_sort_ranges_split_a_tied_value(uncoalesced, staging):
@@ -137,6 +137,12 @@ def test_stacked_measures_equal_the_outer_join_and_need_one_shuffle(spark):
     stacked = stack_measures(left, right, ["e", "p"], ["e"])
     assert rows(stacked) == rows(full_outer(left, right, ["e", "p"]).select("e", "p", "m", "r"))
     grown = with_growth(stacked, {"m": "g"}, "p", ["e"])
+    for repeated in (left.unionByName(left), left.unionByName(left.filter("p = 1"))):
+        with pytest.raises(Exception, match="not unique"):
+            stack_measures(repeated, right, ["e", "p"], ["e"]).collect()
+    lost = spark.createDataFrame([(None, 1, 10), (None, 1, 20)], "e string, p int, m int")
+    more = spark.createDataFrame([(None, 1, 0.5)], "e string, p int, r double")
+    assert rows(stack_measures(lost, more, ["e", "p"], ["e"])) == rows(full_outer(lost, more, ["e", "p"]).select("e", "p", "m", "r"))
     assert plan(grown).count("Exchange hashpartitioning") == 1
 
 
@@ -197,9 +203,3 @@ def test_period_lists(spark):
     b = spark.createDataFrame([(2003,), (2001,)], "period int")
     spine = union_periods([a, b], "period")
     assert rows(spine_index(spine, "period", "key")) == [(1, 2000), (2, 2001), (3, 2003)]
-
-
-def test_small_rank_and_share(spark):
-    df = spark.createDataFrame([("a", 1, 5.0), ("b", 1, 15.0), ("c", 1, None), ("d", 2, 0.0)], "g string, p int, v double")
-    ranked = ranked_small(shared_small(df, ["p"], "v", "share"), ["p"], "v", "g", "rank")
-    assert rows(ranked.select("g", "share", "rank")) == [("a", 25.0, 2), ("b", 75.0, 1), ("c", None, 3), ("d", None, 1)]

@@ -16,11 +16,22 @@ def stack_measures(left: DataFrame, right: DataFrame, keys: list[str], colocate:
 
     Stacking the tables and merging equal keys gives the rows of ``full_outer``
     but leaves the result partitioned by ``colocate``, so windows over those
-    columns and joins on them need no further shuffle of these rows.
+    columns and joins on them need no further shuffle of these rows. A key that
+    one side repeats raises an error in the same aggregation. Rows with a null
+    key match nothing, as in a join.
     """
     values = [c for c in left.columns + right.columns if c not in keys]
-    stacked = left.unionByName(right, allowMissingColumns=True).repartition(*colocate)
-    return stacked.groupBy(*keys).agg(*[F.max(v).alias(v) for v in values])
+    sided = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    apart = sided.withColumn("_apart", F.when(no_key, F.monotonically_increasing_id()))
+    merged = (
+        apart.repartition(*colocate)
+        .groupBy(*keys, "_apart")
+        .agg(*[F.max(v).alias(v) for v in values], F.count("*").alias("_rows"), (F.max("_side") - F.min("_side") + 1).alias("_sides"))
+    )
+    message = F.lit(f"a key of {', '.join(keys)} is not unique in one of the stacked tables")
+    unique = F.when(F.col("_rows") == F.col("_sides"), True).otherwise(F.raise_error(message).cast("boolean"))
+    return merged.where(unique).select(*keys, *values)
 
 
 def attach(fact: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -9,10 +9,7 @@ from tidemark.functions.columns import percent
 from tidemark.operators.keys import place_in_order
 from tidemark.staging import Staging
 
-_CELL = ["_part", "_period", "_group", "_no_group"]
-
-# Up to this many rows in all, one task can hold a whole period.
-PLAIN_WINDOW_ROWS = 1_000_000
+_CELL = ["_part", "_period", "_no_period", "_group", "_no_group"]
 
 
 def standings(
@@ -23,36 +20,33 @@ def standings(
     tiebreak: str,
     staging: Staging,
     period_columns: DataFrame | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
     """Add rank and share of ``value`` in (group, period) and in (period), at any size.
 
-    Ranks run from the highest value, nulls last, ties by ``tiebreak``. The rows
-    are sorted once by (period, value, tiebreak) and frozen. Everything else
+    Ranks run from the highest value, nulls last, ties by ``tiebreak``. A null
+    period or group is a period or group of its own, as in a window. The rows
+    are frozen, so that sorting samples them without computing them twice, then
+    sorted once by (period, value, tiebreak) and numbered. Everything else
     comes from the counts and sums of the cells (sort task, period, group): a
     row's rank is its place in its cell plus the rows of earlier cells. No task
     ever receives more than one sort range of a period or group.
 
     ``period_columns`` is an optional table with one row per period whose
     other columns are added, through the small cell table.
-
-    ``rows`` is the number of rows, or an upper bound, where it is known. Only a
-    table known to be small takes plain windows instead, with the same result.
     """
-    if rows is not None and rows <= PLAIN_WINDOW_ROWS:
-        return _plain_standings(df, group, period, value, tiebreak, period_columns)
     order = [F.col(period), F.col(value).desc_nulls_last(), F.col(tiebreak)]
-    placed = place_in_order(df, order, staging, "standings").withColumns(
+    placed = place_in_order(staging.freeze(df, "unsorted"), order, staging, "standings").withColumns(
         {
-            "_period": F.col(period),
+            "_period": F.coalesce(F.col(period).cast("string"), F.lit("")),
+            "_no_period": F.col(period).isNull(),
             "_group": F.coalesce(F.col(group).cast("string"), F.lit("")),
             "_no_group": F.col(group).isNull(),
         }
     )
     offsets = _cell_offsets(placed, value, staging)
     if period_columns is not None:
-        known = period_columns.withColumnRenamed(period, "_period")
-        offsets = offsets.join(known, "_period", "left")
+        known = period_columns.withColumn("_period", F.col(period).cast("string")).withColumn("_no_period", F.lit(False))
+        offsets = offsets.join(known.drop(period), ["_period", "_no_period"], "left")
 
     in_cell = Window.partitionBy(*_CELL).orderBy("_pos")
     ranked = placed.withColumn("_nth", F.row_number().over(in_cell)).join(offsets, _CELL, "left")
@@ -66,28 +60,6 @@ def standings(
     )
 
 
-def _plain_standings(df, group, period, value, tiebreak, period_columns):
-    """The same columns by windows; both run on one shuffle by period."""
-    in_period, in_group = Window.partitionBy(period), Window.partitionBy(period, group)
-    order = [F.col(value).desc_nulls_last(), F.col(tiebreak)]
-    by_period = df.withColumns(
-        {
-            "share_in_nation": percent(value, F.sum(value).over(in_period)),
-            "rank_in_nation": F.row_number().over(in_period.orderBy(*order)),
-        }
-    )
-    ranked = by_period.withColumns(
-        {
-            "share_in_group": percent(value, F.sum(value).over(in_group)),
-            "rank_in_group": F.row_number().over(in_group.orderBy(*order)),
-        }
-    )
-    if period_columns is not None:
-        ranked = ranked.join(period_columns, period, "left")
-    names = ["share_in_group", "share_in_nation", "rank_in_group", "rank_in_nation"]
-    return ranked.select(*df.columns, *_added(period_columns, period), *names)
-
-
 def _added(period_columns: DataFrame | None, period: str) -> list[str]:
     return [c for c in period_columns.columns if c != period] if period_columns is not None else []
 
@@ -102,14 +74,15 @@ def _cell_offsets(placed: DataFrame, value: str, staging: Staging) -> DataFrame:
         F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_sum"), F.min("_pos").alias("_min_pos")
     )
     cells = staging.freeze(summed, "cells")
-    runs = cells.groupBy("_part", "_period").agg(
+    runs = cells.groupBy("_part", "_period", "_no_period").agg(
         F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.min("_min_pos").alias("_first")
     )
-    by_period = Window.partitionBy("_period")
-    by_group = Window.partitionBy("_period", "_group", "_no_group")
+    by_period = Window.partitionBy("_period", "_no_period")
+    by_group = Window.partitionBy("_period", "_no_period", "_group", "_no_group")
     runs = runs.select(
         "_part",
         "_period",
+        "_no_period",
         "_first",
         F.sum("_sum").over(by_period).alias("_period_total"),
         _rows_before(by_period).alias("_before_in_period"),
@@ -119,20 +92,10 @@ def _cell_offsets(placed: DataFrame, value: str, staging: Staging) -> DataFrame:
         F.sum("_sum").over(by_group).alias("_group_total"),
         _rows_before(by_group).alias("_before_in_group"),
     )
-    return cells.join(runs, ["_part", "_period"])
+    return cells.join(runs, ["_part", "_period", "_no_period"])
 
 
 def _rows_before(window):
     earlier = window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("_n").over(earlier), F.lit(0))
 
-
-def ranked_small(df: DataFrame, partition: list[str], value: str, tiebreak: str, name: str) -> DataFrame:
-    """Row number within the partition for tables of group grain, a few rows per period."""
-    window = Window.partitionBy(*partition).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak))
-    return df.withColumn(name, F.row_number().over(window))
-
-
-def shared_small(df: DataFrame, partition: list[str], value: str, name: str) -> DataFrame:
-    """Share of the partition total in percent for tables of group grain."""
-    return df.withColumn(name, percent(value, F.sum(value).over(Window.partitionBy(*partition))))

@@ -49,7 +49,7 @@ def bronze_jobs(
     ]
 
 
-def silver_jobs(entities_enabled: bool = True, rate_type: str = "double") -> list[Job]:
+def silver_jobs(entities_enabled: bool = True, rate_type: str = "decimal(18,4)") -> list[Job]:
     """Cleaning jobs over the bronze tables."""
     return [
         Job("localities", lambda lake: clean.clean_localities(lake.read("bronze", "localities")), entities_enabled),
@@ -75,9 +75,8 @@ def gold_jobs(
 
     def entity_fact(lake: Lake) -> DataFrame:
         measure, rate = lake.read("silver", "measure"), lake.read("silver", "rate")
-        rows = measure.count() + rate.count()  # written tables: counted from their footers
         entities, spine = lake.read("gold", "dim_entity"), lake.read("gold", "dim_period")
-        return model.fact_entity(measure, rate, entities, spine, staging, rows=rows)
+        return model.fact_entity(measure, rate, entities, spine, staging)
 
     def nation(lake: Lake) -> DataFrame:
         if not entities_enabled:
@@ -92,7 +91,7 @@ def gold_jobs(
         Job("fact_entity", entity_fact, entities_enabled, ["dim_entity", "dim_period"]),
         Job(
             "fact_group",
-            lambda lake: model.fact_group(lake.read("gold", "fact_entity"), lake.read("gold", "dim_entity")),
+            lambda lake: model.fact_group(lake.read("gold", "fact_entity"), lake.read("gold", "dim_entity"), staging),
             entities_enabled,
             ["fact_entity"],
         ),
@@ -108,7 +107,7 @@ def run_all(
     rate_period: int | None = 2021,
     entities_enabled: bool = True,
     enrich: bool = False,
-    rate_type: str = "double",
+    rate_type: str = "decimal(18,4)",
     processed_at: dt.datetime | None = None,
     target: JdbcTarget | None = None,
 ) -> FullRun:

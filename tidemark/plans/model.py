@@ -14,7 +14,7 @@ from tidemark.operators.keys import dense_index, spine_index
 from tidemark.operators.rollup import mean
 from tidemark.operators.series import fold_series, series_wide
 from tidemark.operators.spine import union_periods
-from tidemark.operators.standings import ranked_small, shared_small, standings
+from tidemark.operators.standings import standings
 from tidemark.staging import Staging
 
 DIM_ENTITY = [
@@ -73,6 +73,18 @@ def dim_period(
     )
 
 
+def totals(measure: DataFrame, rate: DataFrame, period: int | None = None) -> DataFrame:
+    """Measure, rate and total per entity and period, partitioned by entity; ``period`` picks one before the join.
+
+    The roll-ups start here: they need neither keys nor ranks of the entity fact.
+    """
+    keys = ["entity_code", "period"]
+    sides = [measure.select(*keys, "measure"), rate.select(*keys, "rate")]
+    if period is not None:
+        sides = [side.filter(F.col("period") == period) for side in sides]
+    return with_total(stack_measures(*sides, keys, colocate=["entity_code"]), "rate", "measure", "total")
+
+
 def fact_entity(
     measure: DataFrame,
     rate: DataFrame,
@@ -80,21 +92,13 @@ def fact_entity(
     periods: DataFrame,
     staging: Staging,
     strict_growth: bool = False,
-    rows: int | None = None,
 ) -> DataFrame:
     """Entity fact from cleaned measure and rate, both unique per entity and period.
 
     ``total`` is in thousands. One shuffle by entity serves the outer join, both
     dimension lookups and the growth; one sort serves all ranks and shares.
-    ``rows``, where known, is the rows of both inputs together, an upper bound
-    of the rows of the fact; see ``standings``.
     """
-    keys = ["entity_code", "period"]
-    both = stack_measures(
-        measure.select(*keys, "measure"), rate.select(*keys, "rate"), keys, colocate=["entity_code"]
-    )
-    totals = with_total(both, "rate", "measure", "total")
-    located = attach(totals, entities, "entity_code", ["entity_key", "group_code"])
+    located = attach(totals(measure, rate), entities, "entity_code", ["entity_key", "group_code"])
     grown = with_growth(
         located,
         {"total": "growth_total", "measure": "growth_measure"},
@@ -103,12 +107,12 @@ def fact_entity(
         strict_growth,
     )
     period_keys = periods.select("period", "period_key")
-    placed = standings(grown, "group_code", "period", "total", "entity_code", staging, period_keys, rows)
+    placed = standings(grown, "group_code", "period", "total", "entity_code", staging, period_keys)
     return placed.select(*FACT_ENTITY)
 
 
-def fact_group(fact: DataFrame, entities: DataFrame) -> DataFrame:
-    """Group fact: sums, unweighted mean rate, growth, national share and rank."""
+def fact_group(fact: DataFrame, entities: DataFrame, staging: Staging) -> DataFrame:
+    """Group fact from the entity fact or its totals: sums, unweighted mean rate, growth, national share and rank."""
     groups = ["group_code", "group_short", "group_name"]
     rolled = (
         attach(fact, entities, "entity_code", groups)
@@ -123,8 +127,7 @@ def fact_group(fact: DataFrame, entities: DataFrame) -> DataFrame:
     grown = with_growth(
         rolled, {"total": "growth_total", "measure": "growth_measure"}, "period", ["group_code"]
     )
-    shared = shared_small(grown, ["period"], "total", "share_in_nation")
-    return ranked_small(shared, ["period"], "total", "group_code", "rank_in_nation").select(
+    return standings(grown, "group_code", "period", "total", "group_code", staging).select(
         "group_code",
         "group_short",
         "group_name",

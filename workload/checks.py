@@ -350,7 +350,7 @@ def suite_gold(spark, sf):
     staging = Staging(spark)
     tables = star(spark, sf, staging)
     tables["fact_entity"] = staging.freeze(tables["fact_entity"], "fact_entity")
-    groups = model.fact_group(tables["fact_entity"], tables["dim_entity"])
+    groups = model.fact_group(tables["fact_entity"], tables["dim_entity"], Staging(spark))
     tables["fact_group"] = staging.freeze(groups, "fact_group")
     tables["fact_nation"] = model.fact_nation(tables["fact_group"])
     return layer_checks(spark, tables, GOLD_RULES, GOLD_REFERENCES)

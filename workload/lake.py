@@ -199,7 +199,7 @@ def _half_up(column: str, type_: str) -> str:
 )
 def contract_cast(spark, sf):
     tables = star(spark, sf)
-    groups = model.fact_group(tables["fact_entity"], tables["dim_entity"])
+    groups = model.fact_group(tables["fact_entity"], tables["dim_entity"], Staging(spark))
     return to_contract(groups, CONTRACTS["fact_group"])
 
 

@@ -234,18 +234,21 @@ fact_nation AS (
   FROM summed)"""
 
 
-def star(
-    spark: SparkSession, sf_dir: str, staging: Staging | None = None, counted: bool = True
-) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. Clean tables and dimensions are written first, as in a lake."""
-    staging = staging or Staging(spark)
-    clean = staging.freeze_all(
+def clean_tables(spark: SparkSession, sf_dir: str, staging: Staging) -> dict[str, DataFrame]:
+    """Clean localities, measure and rate, written first, as in a lake."""
+    return staging.freeze_all(
         {
             "localities": clean_localities(localities(spark, sf_dir)),
             "measure": measure(spark, sf_dir),
             "rate": rate(spark, sf_dir),
         }
     )
+
+
+def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
+    """Dimensions and entity fact."""
+    staging = staging or Staging(spark)
+    clean = clean_tables(spark, sf_dir, staging)
     measures, rates = clean["measure"], clean["rate"]
     dimensions = staging.freeze_all(
         {
@@ -254,11 +257,17 @@ def star(
         }
     )
     entities, periods = dimensions["dim_entity"], dimensions["dim_period"]
-    rows = measures.count() + rates.count() if counted else None
-    fact = model.fact_entity(measures, rates, entities, periods, staging, rows=rows)
+    fact = model.fact_entity(measures, rates, entities, periods, staging)
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
 
 
+def group_fact(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> DataFrame:
+    """Group fact from the totals, without the ranks and keys of the entity fact."""
+    staging = staging or Staging(spark)
+    clean = clean_tables(spark, sf_dir, staging)
+    return model.fact_group(model.totals(clean["measure"], clean["rate"]), clean["localities"], staging)
+
+
 def series_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw series points as text pairs with their series code."""
     codes = F.create_map(*[F.lit(v) for n in SERIES_NAMES for v in (n, SERIES[n])])

@@ -28,8 +28,10 @@ from workload.standin import (
     SERIES,
     SERIES_NAMES,
     base_sql,
+    clean_tables,
     entity_codes,
     fact_sql,
+    group_fact,
     growth_sql,
     localities,
     measure,
@@ -192,12 +194,6 @@ def fact_entity(spark, sf):
     return star(spark, sf)["fact_entity"]
 
 
-@query("fact_entity_sorted", f"WITH {FACT_SQL} SELECT {FACT_COLUMNS} FROM fact")
-def fact_entity_sorted(spark, sf):
-    """The same fact where the number of rows is not known to be small."""
-    return star(spark, sf, counted=False)["fact_entity"]
-
-
 @query(
     "fact_entity_no_overlap",
     f"""WITH {fact_sql(base_sql("year(o_orderdate) = 1998", "year(o_orderdate) = 1996"))}
@@ -219,14 +215,12 @@ def fact_entity_no_overlap(spark, sf):
 
 @query("fact_group", f"WITH {GROUP_SQL} SELECT {GROUP_COLUMNS} FROM fact_group")
 def fact_group(spark, sf):
-    tables = star(spark, sf)
-    return model.fact_group(tables["fact_entity"], tables["dim_entity"])
+    return group_fact(spark, sf)
 
 
 @query("fact_nation", f"WITH {NATION_SQL} SELECT {NATION_COLUMNS} FROM fact_nation")
 def fact_nation(spark, sf):
-    tables = star(spark, sf)
-    return model.fact_nation(model.fact_group(tables["fact_entity"], tables["dim_entity"]))
+    return model.fact_nation(group_fact(spark, sf))
 
 
 @query(
@@ -235,8 +229,9 @@ def fact_nation(spark, sf):
         FROM fact f LEFT JOIN dim_entity d ON f.entity_code = d.entity_code WHERE period = 1998 GROUP BY 1""",
 )
 def star_region_total(spark, sf):
-    tables = star(spark, sf)
-    return model.total_by_region(tables["fact_entity"], tables["dim_entity"], 1998)
+    clean = clean_tables(spark, sf, Staging(spark))
+    year = model.totals(clean["measure"], clean["rate"], period=1998)
+    return model.total_by_region(year, clean["localities"], 1998)
 
 
 # Growth, shares and ranks on their own
@@ -291,7 +286,7 @@ def growth_nation(spark, sf):
 
 
 ORDER_STANDINGS_SQL = f"""WITH o AS (
-  SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, CAST(year(o_orderdate) AS INTEGER) AS period,
+  SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, nullif(CAST(year(o_orderdate) AS INTEGER), 1995) AS period,
          CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 50000) * 50000 AS DECIMAL(18,2)) END AS value
   FROM orders)
 SELECT o_orderkey, priority, period, CAST(value AS DOUBLE) AS value,
@@ -306,12 +301,12 @@ FROM o"""
 
 @query("order_standings", ORDER_STANDINGS_SQL)
 def order_standings(spark, sf):
-    """Ranks and shares with few distinct values, a third of them null, and a null group."""
+    """Ranks and shares with few distinct values, a third of them null, a null group and a null period."""
     rounded = (F.floor(F.col("o_totalprice") / 50000) * 50000).cast("decimal(18,2)")
     orders = table(spark, sf, "orders").select(
         "o_orderkey",
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"),
-        F.year("o_orderdate").alias("period"),
+        F.nullif(F.year("o_orderdate"), F.lit(1995)).alias("period"),
         F.when(F.col("o_orderstatus") != "P", rounded).alias("value"),
     )
     return standings(orders, "priority", "period", "value", "o_orderkey", Staging(spark))
@@ -394,6 +389,5 @@ def _yearly_points(spark, sf, shift: int = 0):
         FROM fact_nation n LEFT JOIN wide ON n.period = wide.period""",
 )
 def nation_enriched(spark, sf):
-    tables = star(spark, sf)
-    nation = model.fact_nation(model.fact_group(tables["fact_entity"], tables["dim_entity"]))
+    nation = model.fact_nation(group_fact(spark, sf))
     return model.nation_enriched(nation, _yearly_points(spark, sf, shift=26), SERIES_NAMES)
