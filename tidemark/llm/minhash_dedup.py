@@ -132,8 +132,27 @@ def star(close: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         marks = after
 
 
+def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each linked id with the smallest one it reaches, in place of all links (a, b): fewer links than ids."""
+    order = np.argsort(ids)
+    known = ids[order]
+    i, j = np.searchsorted(known, a), np.searchsorted(known, b)
+    marks = np.arange(len(known))
+    while True:
+        low = np.minimum(marks[i], marks[j])
+        after = marks.copy()
+        np.minimum.at(after, marks[i], low)
+        np.minimum.at(after, marks[j], low)
+        after = after[after]
+        if (after == marks).all():
+            break
+        marks = after
+    moved = marks != np.arange(len(known))
+    return known[moved], known[marks[moved]]
+
+
 def candidates_in(ids: np.ndarray, keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between documents of a sorted stretch with at least ``least`` equal hashes.
+    """Links between documents of a sorted stretch with at least ``least`` equal hashes, as a forest.
 
     Neighbours up to ``NEAR`` places away are compared at once; regions too large for that go deeper, to the depth
     at which a region has at most ``REGION`` documents, and are compared in full.
@@ -158,7 +177,7 @@ def candidates_in(ids: np.ndarray, keys: np.ndarray, least: int) -> tuple[np.nda
             ends = star(equal >= least, ids[i:j])
             a.append(ends[0])
             b.append(ends[1])
-    return (np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
+    return forest(ids, np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
 
 
 def candidate_links(trees: DataFrame, percent: int) -> DataFrame:
