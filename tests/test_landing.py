@@ -47,7 +47,7 @@ def test_aggregates_from_files(spark, tmp_path):
 def test_aggregates_from_text_and_rejects(spark):
     df = spark.createDataFrame([(json.dumps(RESPONSE),), ("[]",)], "payload string")
     assert rows(parse_aggregates(df, "payload", "population")) == EXPECTED
-    assert tuple(rejected_values(df, "payload").first()) == (6, 1)
+    assert tuple(rejected_values(df, "payload").first())[:2] == (6, 1)
 
 
 def test_localities_with_missing_levels(spark, tmp_path):

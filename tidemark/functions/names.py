@@ -59,14 +59,17 @@ SERIES_VALUES = {"value_text": "valor", "value": "valor_decimal"}
 MEAN_ENDING = ("_mean", "_medio")
 
 
-def with_surveyed_names(df: DataFrame, layer: str) -> DataFrame:
-    """Rename the columns of a table of the given layer."""
+def surveyed_names(columns: list[str], layer: str) -> dict[str, str]:
+    """Our name and the surveyed one of each column of a table of the given layer."""
     names = dict(COLUMN_NAMES)
     names["measure"] = MEASURE_NAMES.get(layer, "populacao")
-    if "value_text" in df.columns:
+    if "value_text" in columns:
         names |= SERIES_VALUES
     ours, theirs = MEAN_ENDING
-    for column in df.columns:
-        if column.endswith(ours):
-            names[column] = column.removesuffix(ours) + theirs
-    return df.withColumnsRenamed(names)
+    names |= {c: c.removesuffix(ours) + theirs for c in columns if c.endswith(ours)}
+    return {c: names[c] for c in columns if c in names}
+
+
+def with_surveyed_names(df: DataFrame, layer: str) -> DataFrame:
+    """Rename the columns of a table of the given layer."""
+    return df.withColumnsRenamed(surveyed_names(df.columns, layer))

@@ -19,14 +19,21 @@ MEASURE_PERIODS = [202201, 202210, 2024]
 RATE_PERIODS = list(range(2010, 2022))
 
 
+# Silver tables that each gold table cannot do without.
+GOLD_READS = {"dim_entity": ["localities"], "dim_period": [], "fact_entity": ["measure", "rate"]}
+
+
 def bronze_jobs(
     sources: dict[str, object],
-    measure_period: int | None = 2024,
-    rate_period: int | None = 2021,
+    measure_period: int | list[int] | None = 2024,
+    rate_period: int | list[int] | None = 2021,
     entities_enabled: bool = True,
     processed_at: dt.datetime | None = None,
 ) -> list[Job]:
-    """Landing jobs. ``sources`` maps localities, measure, rate and series to functions of the lake."""
+    """Landing jobs. ``sources`` maps localities, measure, rate and series to functions of the lake.
+
+    A period is one value, a list, or None for the usual list. A further entry such as ``series_rejects`` counts what that landing leaves out, for the run report.
+    """
 
     def landed(name: str, pick=None):
         def build(lake: Lake) -> DataFrame:
@@ -35,17 +42,17 @@ def bronze_jobs(
 
         return build
 
-    def measures(df):
-        return pick_periods(df, "period", measure_period, MEASURE_PERIODS)
+    def picked(chosen, usual):
+        single, several = (None, chosen) if isinstance(chosen, list) else (chosen, usual)
+        return lambda df: pick_periods(df, "period", single, several)
 
-    def rates(df):
-        return pick_periods(df, "period", rate_period, RATE_PERIODS)
+    measures, rates = picked(measure_period, MEASURE_PERIODS), picked(rate_period, RATE_PERIODS)
 
     return [
-        Job("localities", landed("localities"), entities_enabled),
-        Job("measure", landed("measure", measures), entities_enabled),
-        Job("rate", landed("rate", rates), entities_enabled),
-        Job("series", landed("series")),
+        Job("localities", landed("localities"), entities_enabled, rejects=sources.get("localities_rejects")),
+        Job("measure", landed("measure", measures), entities_enabled, rejects=sources.get("measure_rejects")),
+        Job("rate", landed("rate", rates), entities_enabled, rejects=sources.get("rate_rejects")),
+        Job("series", landed("series"), rejects=sources.get("series_rejects")),
     ]
 
 
@@ -103,29 +110,32 @@ def run_all(
     lake: Lake,
     sources: dict[str, object],
     series_names: list[str],
-    measure_period: int | None = 2024,
-    rate_period: int | None = 2021,
+    measure_period: int | list[int] | None = 2024,
+    rate_period: int | list[int] | None = 2021,
     entities_enabled: bool = True,
     enrich: bool = False,
     rate_type: str = "decimal(18,4)",
     processed_at: dt.datetime | None = None,
     target: JdbcTarget | None = None,
+    checks_enabled: bool = True,
 ) -> FullRun:
-    """Bronze, silver and gold in order, each followed by its checks; then the export, if a target is given.
+    """Bronze, silver and gold in order, each followed by its checks unless these are off; then the export, if a target is given.
 
-    A failed export is recorded and does not fail the run.
+    A dataset whose source failed in an earlier layer is skipped. A failed export is recorded and does not fail
+    the run.
     """
     staging = Staging(lake.spark)
     bronze = bronze_jobs(sources, measure_period, rate_period, entities_enabled, processed_at)
     gold = gold_jobs(staging, series_names, entities_enabled, enrich)
-    run = FullRun(
-        [
-            run_layer(lake, "bronze", bronze, BRONZE_RULES),
-            run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type), SILVER_RULES),
-            run_layer(lake, "gold", gold, GOLD_RULES, GOLD_REFERENCES),
-        ]
-    )
-    staging.clear()
+    try:
+        landed = run_layer(lake, "bronze", bronze, BRONZE_RULES, checks_enabled=checks_enabled)
+        stale = {name: [name] for name in landed.failures}
+        cleaned = run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type), SILVER_RULES, checks_enabled=checks_enabled, failed=stale)
+        stale = {name: [s for s in reads if s in cleaned.failures] for name, reads in GOLD_READS.items()}
+        modelled = run_layer(lake, "gold", gold, GOLD_RULES, GOLD_REFERENCES, checks_enabled, stale)
+    finally:
+        staging.clear()
+    run = FullRun([landed, cleaned, modelled])
     if target is not None:
         try:
             run.export = export_all(lake.spark, lambda name: lake.find("gold", name), target)

@@ -10,7 +10,6 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,21 +34,34 @@ class Lake:
         return self.spark.read.parquet(self.path(layer, dataset))
 
     def find(self, layer: str, dataset: str) -> DataFrame | None:
-        """The table, or None if it was never written."""
-        try:
-            return self.read(layer, dataset)
-        except AnalysisException:
-            return None
+        """The table, or None if it was never written; a broken one raises."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, dataset))
+        held = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self.read(layer, dataset) if held else None
 
 
 @dataclass
 class Job:
-    """How to build one dataset. ``needs`` names datasets of this layer to be built before."""
+    """How to build one dataset. ``needs`` names datasets of this layer to be built before.
+
+    ``rejects`` counts what the landing leaves out; its counts go into the message of the report row.
+    """
 
     dataset: str
     build: Callable[[Lake], DataFrame]
     enabled: bool = True
     needs: list[str] = field(default_factory=list)
+    rejects: Callable[[Lake], DataFrame] | None = None
+
+
+def _rejected(job: Job, lake: Lake) -> str | None:
+    """Sums of the counts, one row at most leaves Spark."""
+    if job.rejects is None:
+        return None
+    counts = job.rejects(lake)
+    numbers = [f.name for f in counts.schema.fields if f.dataType.typeName() == "long"]
+    sums = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in numbers]).first()
+    return ", ".join(f"{n}: {sums[n]}" for n in numbers)
 
 
 @dataclass
@@ -61,6 +73,11 @@ class LayerRun:
     checks: DataFrame
     pass_rate: float | None
 
+    @property
+    def failures(self) -> list[str]:
+        """Datasets that failed, or were skipped for one that did."""
+        return [r[1] for r in self.report if r[2] in ("failed", "skipped")]
+
     @property
     def rows(self) -> int:
         return sum(r[3] or 0 for r in self.report)
@@ -73,18 +90,21 @@ def run_layer(
     rules: list[DatasetRules],
     references: list[ReferenceRule] | None = None,
     checks_enabled: bool = True,
+    failed: dict[str, list[str]] | None = None,
 ) -> LayerRun:
     """Run the jobs in order, then check the written tables.
 
     Checks and later jobs read what was written, so nothing is computed twice.
+    ``failed`` maps a dataset to those of earlier layers that it reads and that
+    failed in this run; it is skipped, so no table of an older run passes for new.
     """
-    tables, report = {}, []
+    tables, report, failed = {}, [], failed or {}
     for job in jobs:
         started = time.monotonic()
         if not job.enabled:
             report.append((layer, job.dataset, "disabled", None, 0.0, None))
             continue
-        absent = [n for n in job.needs if n not in tables]
+        absent = [*failed.get(job.dataset, []), *(n for n in job.needs if n not in tables)]
         if absent:
             report.append((layer, job.dataset, "skipped", None, 0.0, f"needs {', '.join(absent)}"))
             continue
@@ -92,7 +112,7 @@ def run_layer(
             df = job.build(lake)
             rows = write_table(df, lake.path(layer, job.dataset), partition_by=layout_of(layer, df))
             tables[job.dataset] = lake.read(layer, job.dataset)
-            report.append((layer, job.dataset, "done", rows, time.monotonic() - started, None))
+            report.append((layer, job.dataset, "done", rows, time.monotonic() - started, _rejected(job, lake)))
         except Exception as error:  # one dataset must not stop the others
             seconds = time.monotonic() - started
             report.append((layer, job.dataset, "failed", None, seconds, str(error)))

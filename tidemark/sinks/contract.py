@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,14 @@ class Contract:
     key: list[str]
     foreign: dict[str, tuple[str, str]] = field(default_factory=dict)
 
+    def with_lengths(self, **lengths: int) -> Contract:
+        """The same contract with other text lengths."""
+        return replace(self, types=self.types | {name: f"varchar({n})" for name, n in lengths.items()})
+
+
+class ContractBroken(ValueError):
+    """Rows do not fit their target table; the message counts them per column."""
+
 
 # Column types and keys of the target tables.
 CONTRACTS = {
@@ -101,12 +109,20 @@ CONTRACTS = {
 
 
 def to_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """Project and cast to the contract; a column the table lacks is written as null.
+    """Cast to the contract; a column the table lacks is written as null, columns beyond it pass through.
 
-    A text longer than its column and a number that does not fit become null,
-    as ``contract_violations`` reports.
+    For rows that fit: see ``require_contract``.
     """
-    return df.select(*[_fitted(df, name, type_).alias(name) for name, type_ in contract.types.items()])
+    own = [_fitted(df, name, type_).alias(name) for name, type_ in contract.types.items()]
+    return df.select(*own, *[c for c in df.columns if c not in contract.types])
+
+
+def require_contract(df: DataFrame, contract: Contract) -> None:
+    """Raise ``ContractBroken`` with the counts per column if any row does not fit; one pass over the table."""
+    broken = contract_violations(df, contract).filter("violations > 0").collect()
+    if broken:
+        counts = ", ".join(f"{r['column_name']}: {r['violations']}" for r in broken)
+        raise ContractBroken(f"rows that do not fit the target table, by column: {counts}")
 
 
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:

@@ -7,18 +7,22 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sinks.contract import CONTRACTS, Contract, to_contract
+from tidemark.functions.names import TABLE_NAMES, surveyed_names, with_surveyed_names
+from tidemark.sinks.contract import CONTRACTS, Contract, require_contract, to_contract
 
 WRITE_MODES = ("overwrite", "append", "ignore", "error")
 
-# Tables that must exist in the lake, then those that may be absent.
+# Tables in the order of their foreign keys, and those that must exist in the lake.
+TABLES = ["dim_entity", "dim_period", "fact_entity", "fact_group", "fact_nation"]
 REQUIRED_TABLES = ["dim_period", "fact_nation"]
-OPTIONAL_TABLES = ["dim_entity", "fact_entity", "fact_group"]
 
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Where to write; ``connections`` bounds the parallel connections."""
+    """Where to write; ``connections`` bounds the parallel connections, and so the write tasks.
+
+    ``surveyed`` takes the table and column names of the surveyed schema.
+    """
 
     url: str
     driver: str
@@ -26,9 +30,11 @@ class JdbcTarget:
     password: str | None = None
     schema: str | None = None
     connections: int = 8
+    surveyed: bool = False
     extra: dict[str, str] = field(default_factory=dict)
 
     def table(self, name: str) -> str:
+        name = TABLE_NAMES.get(name, name) if self.surveyed else name
         return f"{self.schema}.{name}" if self.schema else name
 
     def options(self, name: str) -> dict[str, str]:
@@ -44,15 +50,23 @@ def export_table(
 ) -> None:
     """Write one table, cast to its contract if one is given.
 
-    An overwrite truncates an existing table, so declared keys and types stay.
+    A row that does not fit the contract fails the table with the counts per column; nothing is written then.
+    An overwrite truncates an existing table, so declared keys and types stay. Where the database refuses to
+    truncate a table that foreign keys refer to, switch these off before, or delete the rows in reverse order of
+    ``TABLES`` and append.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode}")
-    out = df if contract is None else to_contract(df, contract)
+    out = df
+    if contract is not None:
+        require_contract(df, contract)
+        out = to_contract(df, contract)
+    names = surveyed_names(out.columns, "gold") if target.surveyed else {}
+    out = with_surveyed_names(out, "gold") if target.surveyed else out
     writer = out.write.format("jdbc").options(**target.options(name)).mode(mode)
     if mode == "overwrite":
         writer = writer.option("truncate", "true")
-    if contract is not None and (texts := _text_types(contract)):
+    if contract is not None and (texts := _text_types(contract, names)):
         writer = writer.option("createTableColumnTypes", texts)
     writer.save()
 
@@ -65,7 +79,7 @@ def create_if_absent(df: DataFrame, name: str, target: JdbcTarget, contract: Con
 def create_all(load: Callable[[str], DataFrame | None], target: JdbcTarget, tables: list[str] | None = None) -> list[str]:
     """Create the empty tables the target lacks; return the names the lake holds."""
     held = []
-    for name in tables or REQUIRED_TABLES + OPTIONAL_TABLES:
+    for name in tables or TABLES:
         df = load(name)
         if df is not None:
             create_if_absent(df, name, target, CONTRACTS.get(name))
@@ -73,8 +87,8 @@ def create_all(load: Callable[[str], DataFrame | None], target: JdbcTarget, tabl
     return held
 
 
-def _text_types(contract: Contract) -> str:
-    return ", ".join(f"{name} {t}" for name, t in contract.types.items() if t.startswith("varchar"))
+def _text_types(contract: Contract, names: dict[str, str]) -> str:
+    return ", ".join(f"{names.get(name, name)} {t}" for name, t in contract.types.items() if t.startswith("varchar"))
 
 
 def export_all(
@@ -90,7 +104,7 @@ def export_all(
     are recorded and the remaining tables still exported.
     """
     status = []
-    for name in tables or REQUIRED_TABLES + OPTIONAL_TABLES:
+    for name in tables or TABLES:
         try:
             df = load(name)
             if df is None:

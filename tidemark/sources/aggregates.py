@@ -41,12 +41,29 @@ def flatten_aggregates(responses: DataFrame, source: str) -> DataFrame:
     )
 
 
+def read_aggregate_lines(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """Read landed files with one response on each line, which split, and flatten them; see ``rejected_lines``."""
+    return parse_aggregates(spark.read.text(path), "value", source)
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Responses and values that ``read_aggregate_lines`` leaves out, counted."""
+    return rejected_values(spark.read.text(path), "value")
+
+
 def rejected_values(texts: DataFrame, column: str) -> DataFrame:
-    """Count values that are present, not the missing marker, and still no number."""
+    """Count responses that are no valid JSON, and values that are present, not the missing marker, and no number."""
     text = value_text("raw")
     bad = (F.trim(text) != "") & (text != MISSING_MARKER) & decode_value("raw").isNull()
     points = _points(_parsed(texts, column))
-    return points.agg(F.count(F.lit(1)).alias("values"), F.count_if(bad).alias("rejected"))
+    values = points.agg(F.count(F.lit(1)).alias("values"), F.count_if(bad).alias("rejected"))
+    # A broken response parses to an array with one row of nulls, or to null.
+    parsed = F.from_json(column, f"array<struct<{AGGREGATES_SCHEMA}>>")
+    broken = parsed.isNull() | F.exists(parsed, lambda r: r["id"].isNull() & r["resultados"].isNull())
+    responses = texts.agg(F.count(F.lit(1)).alias("responses"), F.count_if(broken).alias("broken_responses"))
+    names = ["values", "rejected", "responses", "broken_responses"]
+    both = values.unionByName(responses, allowMissingColumns=True)
+    return both.agg(*[F.sum(n).alias(n) for n in names])
 
 
 def _parsed(texts: DataFrame, column: str) -> DataFrame:

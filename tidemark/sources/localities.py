@@ -23,9 +23,24 @@ def read_localities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_localities(texts: DataFrame, column: str) -> DataFrame:
-    """Project localities held as JSON text in ``column``, one object per row."""
+    """Project localities held as JSON text in ``column``, one object per row; ``rejected_localities`` counts the rest."""
     parsed = texts.select(F.from_json(column, LOCALITIES_SCHEMA).alias("l"))
-    return flatten_localities(parsed.select("l.*"))
+    return flatten_localities(parsed.where(~_broken("l")).select("l.*"))
+
+
+def read_locality_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Read landed files with one locality on each line, which split."""
+    return parse_localities(spark.read.text(path), "value")
+
+
+def rejected_localities(texts: DataFrame, column: str) -> DataFrame:
+    """Count all texts, and those that are no valid locality: broken JSON, or neither code nor name."""
+    parsed = texts.select(F.from_json(column, LOCALITIES_SCHEMA).alias("l"))
+    return parsed.agg(F.count(F.lit(1)).alias("responses"), F.count_if(_broken("l")).alias("broken_responses"))
+
+
+def _broken(column: str):
+    return F.col(column).isNull() | (F.col(f"{column}.id").isNull() & F.col(f"{column}.nome").isNull())
 
 
 def flatten_localities(rows: DataFrame) -> DataFrame:

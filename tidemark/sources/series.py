@@ -37,35 +37,35 @@ def series_catalogue(spark: SparkSession, series: dict[str, int | None] | None =
     return spark.createDataFrame(rows, "series_code int, series_name string")
 
 
-def read_series(spark: SparkSession, path: str, catalogue: DataFrame, source: str) -> DataFrame:
+def read_series(spark: SparkSession, path: str, catalogue: DataFrame, source: str, lines: bool = False) -> DataFrame:
     """Read every series under ``path/series_code=<code>/`` in one job and type it.
 
-    A file that is not valid JSON loses only its own points; ``broken_series`` lists it.
+    A file is one JSON array, or one point on each line where ``lines`` is set, which lets a large file split.
+    What is not valid JSON loses only its own points; ``broken_series`` counts it, and a run reports the counts.
     """
-    raw = _raw_points(spark, path).filter(F.col("_broken").isNull()).drop("_broken")
+    raw = _raw_points(spark, path, lines).filter(F.col("_broken").isNull()).drop("_broken")
     return land_series(raw, catalogue, source)
 
 
-def broken_series(spark: SparkSession, path: str) -> DataFrame:
-    """Files per series that could not be parsed."""
+def broken_series(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Files, or lines, per series that could not be parsed."""
     # Spark refuses a query that reads the broken text alone; its points are null as well.
-    broken = _raw_points(spark, path).filter(F.col("_broken").isNotNull() & F.col("data").isNull())
+    broken = _raw_points(spark, path, lines).filter(F.col("_broken").isNotNull() & F.col("data").isNull())
     return broken.groupBy("series_code").agg(F.count(F.lit(1)).alias("files"))
 
 
-def _raw_points(spark: SparkSession, path: str) -> DataFrame:
+def _raw_points(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     reader = spark.read.schema(f"{SERIES_SCHEMA}, _broken string, series_code int")
-    options = {"multiLine": "true", "columnNameOfCorruptRecord": "_broken", "basePath": path}
+    options = {"multiLine": str(not lines).lower(), "columnNameOfCorruptRecord": "_broken", "basePath": path}
     return reader.options(**options).json(path)
 
 
 def land_series(raw: DataFrame, catalogue: DataFrame, source: str) -> DataFrame:
     """Tag raw points with their catalogue entry and add typed date, year, month and value.
 
-    The catalogue is configuration, one row per configured series, so it is
-    broadcast; points of series outside it are not landed.
+    Points of series outside the catalogue are not landed.
     """
-    tagged = raw.join(F.broadcast(catalogue), "series_code")
+    tagged = raw.join(catalogue, "series_code")
     typed = tagged.select(
         "series_code",
         "series_name",

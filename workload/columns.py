@@ -62,12 +62,11 @@ def typed_casts(spark, sf):
 
 @query(
     "literal_tags",
-    """SELECT event_id, CAST(11 AS INTEGER) AS series_code, 'view' AS series_name, 'events' AS source
-       FROM events WHERE event_type = 'view'""",
+    """SELECT event_id, CAST(11 AS INTEGER) AS series_code, 'view' AS series_name, 'events' AS source FROM events""",
 )
 def literal_tags(spark, sf):
-    views = table(spark, sf, "events").filter("event_type = 'view'").select("event_id")
-    return c.tag_literals(views, {"series_code": 11, "series_name": "view", "source": "events"})
+    events = table(spark, sf, "events").select("event_id")
+    return c.tag_literals(events, {"series_code": 11, "series_name": "view", "source": "events"})
 
 
 @query(

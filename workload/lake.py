@@ -12,31 +12,38 @@ from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
 from tidemark.plans.lakehouse import bronze_jobs, run_all
 from tidemark.plans.run import Job, Lake, report_frame, run_layer
+from tidemark.quality.checks import require_columns
 from tidemark.quality.rules import BRONZE_RULES
 from tidemark.quality.suites import summarize
-from tidemark.sinks.contract import CONTRACTS, contract_violations, to_contract
+from tidemark.sinks.contract import CONTRACTS, contract_violations, require_contract, to_contract
 from tidemark.sinks.parquet import write_table
-from tidemark.sources.aggregates import parse_aggregates, rejected_values
+from tidemark.sources.aggregates import parse_aggregates, read_aggregate_lines, rejected_values
 from tidemark.sources.localities import parse_localities
 from tidemark.sources.selection import pick_periods
 from tidemark.sources.series import land_series, series_catalogue
 from tidemark.staging import Staging
 from workload.registry import query
 from workload.standin import (
+    BASE_SQL,
     DIM_ENTITY_SQL,
+    DIM_PERIOD_SQL,
     ENT_SQL,
+    FACT_SQL,
     GROUP_SQL,
     LOCALITIES_SQL,
+    NATION_SQL,
     SERIES,
     SERIES_NAMES,
-    base_sql,
+    clean_tables,
     entity_codes,
+    group_fact,
     localities,
     measure,
     rate,
     series_raw,
     star,
     table,
+    wide_sql,
 )
 
 STAMP = dt.datetime(2024, 5, 1)
@@ -90,12 +97,29 @@ def land_aggregates(spark, sf):
     return parse_aggregates(aggregates_json(spark, sf), "payload", "population")
 
 
+@query(
+    "land_aggregates_files",
+    f"""WITH {AGGREGATES_SQL} SELECT entity_code, entity_name, period, CAST(value AS DOUBLE) AS value,
+        '9324' AS variable, 'population' AS source, 'N6' AS level FROM points""",
+)
+def land_aggregates_files(spark, sf):
+    """The same through landed files with one response a line."""
+    folder = Staging(spark).folder("aggregates")
+    aggregates_json(spark, sf).write.text(folder)
+    return read_aggregate_lines(spark, folder, "population")
+
+
 @query(
     "land_rejects",
-    f"""WITH {AGGREGATES_SQL} SELECT count(*) AS values, count(*) FILTER (WHERE rejected) AS rejected FROM points""",
+    f"""WITH {AGGREGATES_SQL}, broken AS (SELECT count(*) AS n FROM part)
+        SELECT count(*) AS values, count(*) FILTER (WHERE rejected) AS rejected,
+               (SELECT count(*) FROM orders JOIN ent ON o_custkey = c_custkey) + any_value(n) AS responses,
+               any_value(n) AS broken_responses FROM points, broken""",
 )
 def land_rejects(spark, sf):
-    return rejected_values(aggregates_json(spark, sf), "payload")
+    """Part names stand among the responses as broken ones."""
+    broken = table(spark, sf, "part").select(F.col("p_name").alias("payload"))
+    return rejected_values(aggregates_json(spark, sf).unionByName(broken), "payload")
 
 
 @query(
@@ -188,32 +212,88 @@ def _half_up(column: str, type_: str) -> str:
     return f"CAST(CAST(CAST({column} AS VARCHAR) AS {type_}) AS DOUBLE)"
 
 
+def _cast_sql(columns: dict[str, str]) -> str:
+    """Columns cast to their contract types as the SQL side writes them."""
+    parts = []
+    for name, type_ in columns.items():
+        if type_.startswith("decimal"):
+            parts.append(f"{_half_up(name, type_)} AS {name}")
+        elif type_.startswith("varchar"):
+            parts.append(name)
+        else:
+            parts.append(f"CAST({name} AS {type_}) AS {name}")
+    return ", ".join(parts)
+
+
+CODE_LENGTH = {"entity_code": 14}
+ENTITY_CONTRACT = CONTRACTS["dim_entity"].with_lengths(**CODE_LENGTH)
+FACT_CONTRACT = CONTRACTS["fact_entity"].with_lengths(**CODE_LENGTH)
+NATION_OWN = {n: t for n, t in CONTRACTS["fact_nation"].types.items() if not n.endswith("_mean")}
+NATION_ABSENT = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in CONTRACTS["fact_nation"].types if n.endswith("_mean"))
+
+
+def checked(df, contract):
+    """As the export does it: rows that do not fit would fail the table."""
+    require_contract(df, contract)
+    return to_contract(df, contract)
+
+
+@query("contract_cast", f"WITH {GROUP_SQL} SELECT {_cast_sql(CONTRACTS['fact_group'].types)} FROM fact_group")
+def contract_cast(spark, sf):
+    staging = Staging(spark)
+    return checked(staging.freeze(group_fact(spark, sf, staging), "fact_group"), CONTRACTS["fact_group"])
+
+
+@query("contract_dim_entity", f"WITH {DIM_ENTITY_SQL} SELECT {_cast_sql(ENTITY_CONTRACT.types)} FROM dim_entity")
+def contract_dim_entity(spark, sf):
+    return checked(model.dim_entity(clean_localities(localities(spark, sf)), Staging(spark)), ENTITY_CONTRACT)
+
+
+@query("contract_dim_period", f"WITH {BASE_SQL}, {DIM_PERIOD_SQL} SELECT {_cast_sql(CONTRACTS['dim_period'].types)} FROM dim_period")
+def contract_dim_period(spark, sf):
+    clean = clean_tables(spark, sf, Staging(spark))
+    return checked(model.dim_period(spark, [clean["measure"], clean["rate"]]), CONTRACTS["dim_period"])
+
+
+@query("contract_fact_entity", f"WITH {FACT_SQL} SELECT {_cast_sql(FACT_CONTRACT.types)} FROM fact")
+def contract_fact_entity(spark, sf):
+    staging = Staging(spark)
+    return checked(staging.freeze(star(spark, sf, staging)["fact_entity"], "fact_entity"), FACT_CONTRACT)
+
+
+@query("contract_nation", f"WITH {NATION_SQL} SELECT {_cast_sql(NATION_OWN)}, {NATION_ABSENT} FROM fact_nation")
+def contract_nation(spark, sf):
+    staging = Staging(spark)
+    return checked(staging.freeze(model.fact_nation(group_fact(spark, sf, staging)), "fact_nation"), CONTRACTS["fact_nation"])
+
+
 @query(
-    "contract_cast",
-    f"""WITH {GROUP_SQL} SELECT group_code, group_short, group_name, period, CAST(entities AS INTEGER) AS entities,
-        measure, CAST(CAST(total AS DECIMAL(18,2)) AS DOUBLE) AS total,
-        {_half_up("mean_rate", "DECIMAL(18,4)")} AS mean_rate,
-        {_half_up("growth_total", "DECIMAL(10,4)")} AS growth_total,
-        {_half_up("growth_measure", "DECIMAL(10,4)")} AS growth_measure,
-        {_half_up("share_in_nation", "DECIMAL(10,4)")} AS share_in_nation, rank_in_nation FROM fact_group""",
+    "contract_nation_enriched",
+    f"""WITH {NATION_SQL}, wide AS ({wide_sql("CAST(year(ts) AS INTEGER) - 26")}), own AS (
+        SELECT {_cast_sql(NATION_OWN)}, {NATION_ABSENT} FROM fact_nation)
+        SELECT own.*, wide.* EXCLUDE (period) FROM own LEFT JOIN wide ON own.period = wide.period""",
 )
-def contract_cast(spark, sf):
-    tables = star(spark, sf)
-    groups = model.fact_group(tables["fact_entity"], tables["dim_entity"], Staging(spark))
-    return to_contract(groups, CONTRACTS["fact_group"])
+def contract_nation_enriched(spark, sf):
+    """Series columns beyond the contract pass through."""
+    staging = Staging(spark)
+    points = table(spark, sf, "events").select(
+        F.col("event_type").alias("series_name"), (F.year("ts") - 26).alias("year"), F.col("value").cast("decimal(18,4)").alias("value")
+    )
+    nation = model.nation_enriched(model.fact_nation(group_fact(spark, sf, staging)), points, SERIES_NAMES)
+    return checked(staging.freeze(nation, "fact_nation"), CONTRACTS["fact_nation"])
 
 
 @query(
     "contract_violations",
-    f"""WITH {DIM_ENTITY_SQL}, n AS (SELECT count(*) AS n FROM dim_entity)
-        SELECT column_name, CASE WHEN column_name = 'entity_code' THEN n ELSE 0 END AS violations
+    f"""WITH {DIM_ENTITY_SQL}, n AS (SELECT count(*) FILTER (WHERE length(group_name) > 7) AS n FROM dim_entity)
+        SELECT column_name, CASE WHEN column_name = 'group_name' THEN n ELSE 0 END AS violations
         FROM n JOIN (SELECT unnest(['entity_key', 'entity_code', 'entity_name', 'group_code', 'group_short',
           'group_name', 'region_code', 'region_name', 'region_short']) AS column_name) ON TRUE""",
 )
 def contract_violations_(spark, sf):
-    """The stand-in entity code is longer than the contract allows, in every row."""
+    """Some group names are longer than a narrower contract allows, others fit."""
     entities = model.dim_entity(clean_localities(localities(spark, sf)), Staging(spark))
-    return contract_violations(entities, CONTRACTS["dim_entity"])
+    return contract_violations(entities, ENTITY_CONTRACT.with_lengths(group_name=7))
 
 
 @query(
@@ -255,10 +335,14 @@ def run_sources(spark, sf):
     }
 
 
-RUN_SQL = f"""{base_sql("year(o_orderdate) = 1997", "year(o_orderdate) = 1997")}, {LOCALITIES_SQL},
+RUN_SQL = f"""{BASE_SQL}, {LOCALITIES_SQL},
 points AS (SELECT count(*) AS n FROM events),
 dates AS (SELECT count(*) AS n FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) FROM events)),
-groups AS (SELECT count(DISTINCT substr(entity_code, 1, 2)) AS n FROM base),
+clean AS (
+  SELECT entity_code, period FROM measure WHERE measure > 0 AND measure < 20000000
+  UNION SELECT entity_code, period FROM rate WHERE rate > 0 AND rate < 1000000),
+groups AS (SELECT count(*) AS n FROM (SELECT DISTINCT substr(entity_code, 1, 2), period FROM clean)),
+years AS (SELECT count(DISTINCT period) AS n FROM clean),
 report AS (
   SELECT 'bronze' AS layer, 'localities' AS dataset, count(*) AS rows FROM localities
   UNION ALL SELECT 'bronze', 'measure', count(*) FROM measure UNION ALL SELECT 'bronze', 'rate', count(*) FROM rate
@@ -268,20 +352,59 @@ report AS (
   UNION ALL SELECT 'silver', 'rate', count(*) FROM rate WHERE rate > 0 AND rate < 1000000
   UNION ALL SELECT 'silver', 'series', n FROM dates
   UNION ALL SELECT 'gold', 'dim_entity', count(*) FROM localities
-  UNION ALL SELECT 'gold', 'dim_period', 1
-  UNION ALL SELECT 'gold', 'fact_entity', count(*) FROM (
-    SELECT entity_code FROM measure WHERE measure > 0 AND measure < 20000000
-    UNION SELECT entity_code FROM rate WHERE rate > 0 AND rate < 1000000)
+  UNION ALL SELECT 'gold', 'dim_period', n FROM years
+  UNION ALL SELECT 'gold', 'fact_entity', count(*) FROM clean
   UNION ALL SELECT 'gold', 'fact_group', n FROM groups
-  UNION ALL SELECT 'gold', 'fact_nation', 1)"""
+  UNION ALL SELECT 'gold', 'fact_nation', n FROM years)"""
+
+
+def full_run(spark, sf, **options):
+    """All years of the data through all layers; the rates keep their default type."""
+    lake = Lake(spark, Staging(spark).folder("lake"))
+    years = list(range(1980, 2030))
+    return run_all(lake, run_sources(spark, sf), SERIES_NAMES, years, years, processed_at=STAMP, **options)
 
 
 @query("run_report", f"WITH {RUN_SQL} SELECT layer, dataset, 'done' AS status, rows FROM report")
 def run_report(spark, sf):
-    lake = Lake(spark, Staging(spark).folder("lake"))
+    return report_frame(spark, full_run(spark, sf).layers).select("layer", "dataset", "status", "rows")
+
+
+@query("run_unchecked", f"WITH {RUN_SQL} SELECT CAST(sum(rows) AS BIGINT) AS total_rows, CAST(NULL AS DOUBLE) AS mean_pass_rate FROM report")
+def run_unchecked(spark, sf):
+    """Totals of a run with its checks off: no pass rate."""
+    overall = full_run(spark, sf, checks_enabled=False).overall()
+    return spark.createDataFrame([(overall["total_rows"], overall["mean_pass_rate"])], "total_rows long, mean_pass_rate double")
+
+
+@query(
+    "run_missing_columns",
+    """SELECT 'bronze' AS layer, 'localities' AS dataset, 'failed' AS status, CAST(NULL AS BIGINT) AS rows
+       UNION ALL SELECT 'bronze', 'series', 'done', count(*) FROM events""",
+)
+def run_missing_columns(spark, sf):
+    """A landing whose required columns are missing fails with its assertion; the others land."""
     sources = run_sources(spark, sf)
-    run = run_all(lake, sources, SERIES_NAMES, 1997, 1997, rate_type="decimal(18,2)", processed_at=STAMP)
-    return report_frame(spark, run.layers).select("layer", "dataset", "status", "rows")
+    places = sources["localities"]
+    sources["localities"] = lambda lake: require_columns(places(lake).drop("entity_code"), ["entity_code", "entity_name"])
+    jobs = [job for job in bronze_jobs(sources, processed_at=STAMP) if job.dataset in ("localities", "series")]
+    run = run_layer(Lake(spark, Staging(spark).folder("lake")), "bronze", jobs, BRONZE_RULES)
+    return report_frame(spark, [run]).select("layer", "dataset", "status", "rows")
+
+
+@query(
+    "dim_period_given",
+    """WITH given AS (SELECT CAST(1990 + i AS INTEGER) AS period FROM range(12) r(i)),
+       keyed AS (SELECT CAST(row_number() OVER (ORDER BY period) AS BIGINT) AS period_key, period FROM given)
+       SELECT period_key, period, count(o_orderkey) AS orders FROM keyed LEFT JOIN orders ON year(o_orderdate) = period
+       GROUP BY 1, 2""",
+)
+def dim_period_given(spark, sf):
+    """A period dimension from given periods, with the orders of each."""
+    periods = model.dim_period(spark, [], periods=list(range(1990, 2002)))
+    orders = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("o_orderkey").alias("n"))
+    joined = periods.join(orders, periods.period == orders.year, "left")
+    return joined.select("period_key", "period", F.coalesce("n", F.lit(0)).alias("orders"))
 
 
 @query(
