@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import rows
@@ -7,7 +8,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 from tidemark.functions.names import with_surveyed_names
 from tidemark.plans.run import FullRun, Job, Lake, report_frame, run_layer
 from tidemark.quality.rules import DatasetRules
-from tidemark.sinks.contract import CONTRACTS, Contract, contract_violations, to_contract
+from tidemark.sinks.contract import CONTRACTS, Contract, ContractBroken, contract_violations, require_contract, to_contract
 from tidemark.sinks.jdbc import JdbcTarget, create_all, create_if_absent, export_all, export_table
 from tidemark.sinks.parquet import apply_retention, layout_of, retained, write_table
 from tidemark.staging import shared_root
@@ -71,6 +72,30 @@ def test_contract(spark):
         (2, None, "None"),
     ]
     assert rows(contract_violations(df, SMALL)) == [("absent", 0), ("k", 1), ("name", 2), ("v", 1)]
+    with pytest.raises(ContractBroken, match="k: 1, name: 2, v: 1"):
+        require_contract(df, SMALL)
+    require_contract(df.filter("k = 1"), SMALL)
+    beyond = df.selectExpr("*", "7 AS more")
+    assert to_contract(beyond, SMALL).columns == ["k", "name", "v", "absent", "more"]
+    assert SMALL.with_lengths(name=4).types["name"] == "varchar(4)" and SMALL.types["name"] == "varchar(3)"
+
+
+def test_export_of_rows_that_do_not_fit_writes_nothing(spark, monkeypatch):
+    saved = Saved().install(monkeypatch)
+    df = spark.createDataFrame([(1, "abcd", 1.0)], "k int, name string, v double")
+    with pytest.raises(ContractBroken, match="name: 1"):
+        export_table(df, "t", TARGET, contract=SMALL)
+    assert saved == []
+
+
+def test_export_under_the_surveyed_names(spark, monkeypatch):
+    saved = Saved().install(monkeypatch)
+    row = (1, "0100001", "a", "01", "AA", "g", "1", "r", "R")
+    entities = spark.createDataFrame([row], "entity_key long, " + ", ".join(f"{c} string" for c in list(CONTRACTS["dim_entity"].types)[1:]))
+    export_table(entities, "dim_entity", replace(TARGET, surveyed=True), contract=CONTRACTS["dim_entity"])
+    (_, options, columns, _), = saved
+    assert options["dbtable"] == "s.dim_municipio" and columns[:2] == [("sk_municipio", "bigint"), ("codigo_municipio", "string")]
+    assert "nome_uf varchar(100)" in options["createTableColumnTypes"]
 
 
 class Saved(list):
@@ -176,6 +201,9 @@ def test_layer_run_goes_on_after_a_failure(spark, tmp_path):
         "off": ("disabled", None, None),
     }
     assert run.pass_rate == 75.0 and run.rows == 2
+    counted = Job("counted", lambda lake: periods(spark, [(1, 2020, "a")]), rejects=lambda lake: spark.createDataFrame([(2,), (3,)], "files long"))
+    assert run_layer(lake, "silver", [counted], []).report[0][-1] == "files: 5"
+    assert run_layer(lake, "silver", jobs[:1], [], failed={"good": ["raw"]}).report[0][2] == "skipped"
     unchecked = run_layer(lake, "silver", jobs[:1], rules, checks_enabled=False)
     assert unchecked.pass_rate is None
     failed = spark.createDataFrame([("t", False, "x")], "table string, exported boolean, message string")

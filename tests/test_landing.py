@@ -6,7 +6,8 @@ from conftest import rows
 
 from tidemark.sources.aggregates import parse_aggregates, read_aggregates, rejected_values
 from tidemark.sources.lake import read_table
-from tidemark.sources.localities import read_localities
+from tidemark.functions.columns import decode_value
+from tidemark.sources.localities import read_localities, read_locality_lines, rejected_localities
 from tidemark.sources.selection import pick_periods, trailing_window
 from tidemark.sources.series import DEFAULT_SERIES, broken_series, read_series, series_catalogue
 
@@ -19,8 +20,8 @@ RESPONSE = [
                 "classificacoes": [{"id": "1"}],
                 "series": [
                     {
-                        "localidade": {"id": "3550308", "nome": "São Paulo", "nivel": {"id": "N6"}},
-                        "serie": {"2024": "12325232", "2023": {"valor": "5.5"}, "2022": "...", "2021": None},
+                        "localidade": {"id": "7012345", "nome": "Vila Nova do Cabo", "nivel": {"id": "N6"}},
+                        "serie": {"2024": "48210", "2023": {"valor": "5.5"}, "2022": "...", "2021": None},
                     },
                     {"localidade": {"id": "1", "nome": "x"}, "serie": {"media": "2", "202201": "bad"}},
                 ],
@@ -32,10 +33,10 @@ RESPONSE = [
 EXPECTED = [
     ("1", "x", 202201, None, "9324", "population", None),
     ("1", "x", None, 2.0, "9324", "population", None),
-    ("3550308", "São Paulo", 2021, None, "9324", "population", "N6"),
-    ("3550308", "São Paulo", 2022, None, "9324", "population", "N6"),
-    ("3550308", "São Paulo", 2023, 5.5, "9324", "population", "N6"),
-    ("3550308", "São Paulo", 2024, 12325232.0, "9324", "population", "N6"),
+    ("7012345", "Vila Nova do Cabo", 2021, None, "9324", "population", "N6"),
+    ("7012345", "Vila Nova do Cabo", 2022, None, "9324", "population", "N6"),
+    ("7012345", "Vila Nova do Cabo", 2023, 5.5, "9324", "population", "N6"),
+    ("7012345", "Vila Nova do Cabo", 2024, 48210.0, "9324", "population", "N6"),
 ]
 
 
@@ -45,9 +46,21 @@ def test_aggregates_from_files(spark, tmp_path):
 
 
 def test_aggregates_from_text_and_rejects(spark):
-    df = spark.createDataFrame([(json.dumps(RESPONSE),), ("[]",)], "payload string")
+    df = spark.createDataFrame([(json.dumps(RESPONSE),), ("[]",), ('[{"id": "9', ), ("no json",)], "payload string")
     assert rows(parse_aggregates(df, "payload", "population")) == EXPECTED
-    assert tuple(rejected_values(df, "payload").first())[:2] == (6, 1)
+    assert tuple(rejected_values(df, "payload").first()) == (6, 1, 4, 2)
+
+
+def test_only_plain_numbers_are_values(spark):
+    values = ["1d", "NaN", "Infinity", "1e3", " 2.5 ", "-.5", "1,5", "0x1", "..."]
+    df = spark.createDataFrame([(v,) for v in values], "raw string")
+    assert [r.v for r in df.select(decode_value("raw").alias("v")).collect()] == [None, None, None, 1000.0, 2.5, -0.5, None, None, None]
+
+
+def test_lines_of_localities_and_rejects(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('{"id": 5, "nome": "x"}\n{"id": 6, "no\n{}\n', encoding="utf-8")
+    assert [r.entity_code for r in read_locality_lines(spark, str(tmp_path)).collect()] == ["5"]
+    assert tuple(rejected_localities(spark.read.text(str(tmp_path)), "value").first()) == (3, 2)
 
 
 def test_localities_with_missing_levels(spark, tmp_path):

@@ -8,54 +8,54 @@ from tidemark.quality.suites import layer_checks, summarize
 
 @pytest.fixture
 def sample(spark):
-    data = [(1, "A", 100), (2, "B", 200), (3, None, 300), (4, "D", None)]
-    return spark.createDataFrame(data, "id int, name string, value int")
+    data = [(21, "oak", 120), (22, "elm", 240), (23, None, 330), (24, "ash", None), (25, "fir", 150)]
+    return spark.createDataFrame(data, "plot int, species string, height int")
 
 
 @pytest.fixture
 def empty(spark):
-    return spark.createDataFrame([], "id int, name string, value int")
+    return spark.createDataFrame([], "plot int, species string, height int")
 
 
 def test_required_columns(sample):
-    assert checks.missing_columns(sample, ["id", "name"]) == []
-    assert checks.missing_columns(sample, ["id", "other"]) == ["other"]
-    checks.require_columns(sample, ["id"])
+    assert checks.missing_columns(sample, ["plot", "species"]) == []
+    assert checks.missing_columns(sample, ["plot", "other"]) == ["other"]
+    checks.require_columns(sample, ["plot"])
     with pytest.raises(ValueError, match="other"):
         checks.require_columns(sample, ["other"])
-    assert rows(checks.schema_report(sample, ["name", "other"])) == [("name", True, 3), ("other", False, None)]
+    assert rows(checks.schema_report(sample, ["species", "other"])) == [("other", False, None), ("species", True, 4)]
 
 
 def test_nulls(sample, empty):
-    got = {r.column_name: r for r in checks.null_report(sample, ["id", "name", "absent"]).collect()}
-    assert set(got) == {"id", "name"}
-    assert got["id"].passed and not got["name"].passed
-    assert (got["name"].null_count, got["name"].null_percentage) == (1, 25.0)
-    assert checks.null_report(sample, ["name"], threshold=0.25).first().passed
-    assert checks.null_report(empty, ["name"]).first().passed
+    got = {r.column_name: r for r in checks.null_report(sample, ["plot", "species", "absent"]).collect()}
+    assert set(got) == {"plot", "species"}
+    assert got["plot"].passed and not got["species"].passed
+    assert (got["species"].null_count, got["species"].null_percentage) == (1, 20.0)
+    assert checks.null_report(sample, ["species"], threshold=0.25).first().passed
+    assert checks.null_report(empty, ["species"]).first().passed
 
 
 def test_duplicates(spark, empty):
-    df = spark.createDataFrame([(1, "A"), (1, "A"), (2, "B"), (None, "B"), (None, "B")], "id int, name string")
-    got = checks.duplicate_report(df, ["id", "name"]).first()
-    assert (got.total_rows, got.unique_rows, got.duplicate_count, got.passed) == (5, 3, 2, False)
-    assert checks.duplicate_report(empty, ["id"]).first().passed
+    df = spark.createDataFrame([(3, "oak"), (3, "oak"), (3, "oak"), (4, "elm"), (None, "elm"), (None, "elm")], "plot int, species string")
+    got = checks.duplicate_report(df, ["plot", "species"]).first()
+    assert (got.total_rows, got.unique_rows, got.duplicate_count, got.passed) == (6, 3, 3, False)
+    assert checks.duplicate_report(empty, ["plot"]).first().passed
 
 
 def test_range(sample, empty):
-    assert checks.range_report(sample, "value", 0, 1000).first().passed
-    assert checks.range_report(sample, "value", 100, 300).first().passed
-    above = checks.range_report(sample, "value", 0, 150).first()
-    assert (above.passed, above.failure, above.avg) == (False, "maximum above bound", 200.0)
-    assert checks.range_report(sample, "value", 150, None).first().failure == "minimum below bound"
-    assert checks.range_report(empty, "value", 0, 1).first().failure == "no values"
+    assert checks.range_report(sample, "height", 0, 1000).first().passed
+    assert checks.range_report(sample, "height", 120, 330).first().passed
+    above = checks.range_report(sample, "height", 0, 150).first()
+    assert (above.passed, above.failure, above.avg) == (False, "maximum above bound", 210.0)
+    assert checks.range_report(sample, "height", 150, None).first().failure == "minimum below bound"
+    assert checks.range_report(empty, "height", 0, 1).first().failure == "no values"
     assert checks.range_report(sample, "other", 0, 1).first().failure == "column missing"
 
 
 def test_completeness(sample, empty):
     got = {r.column_name: r for r in checks.completeness_report(sample, 0.9).collect()}
-    assert (got["id"].overall_completeness, got["id"].passed) == (83.33, False)
-    assert (got["name"].column_completeness, got["id"].total_cells, got["id"].total_filled) == (75.0, 12, 10)
+    assert (got["plot"].overall_completeness, got["plot"].passed) == (86.67, False)
+    assert (got["species"].column_completeness, got["plot"].total_cells, got["plot"].total_filled) == (80.0, 15, 13)
     assert not checks.completeness_report(empty).first().passed
 
 
@@ -68,30 +68,30 @@ def test_integrity(spark):
 
 def test_profile_and_error_rate(sample, empty):
     got = {r.column_name: r for r in checks.profile(sample).collect()}
-    assert (got["value"].row_count, got["value"].column_count, got["value"].null_count) == (4, 3, 1)
-    rate = checks.error_rate(sample, ["name"], {"value": (0, 150)}, 0.05).first()
-    assert (rate.failing_rows, rate.error_rate, rate.passed) == (3, 0.75, False)
-    assert checks.error_rate(empty, ["name"], {}, 0.05).first().passed
+    assert (got["height"].row_count, got["height"].column_count, got["height"].null_count) == (5, 3, 1)
+    rate = checks.error_rate(sample, ["species"], {"height": (0, 150)}, 0.05).first()
+    assert (rate.failing_rows, rate.error_rate, rate.passed) == (3, 0.6, False)
+    assert checks.error_rate(empty, ["species"], {}, 0.05).first().passed
 
 
-RULES = DatasetRules("test", "sample", ["id", "other"], ["id", "name"], ["id"], {"value": (0, 150)}, completeness=0.8)
+RULES = DatasetRules("test", "sample", ["plot", "other"], ["plot", "species"], ["plot"], {"height": (0, 150)}, completeness=0.8)
 
 
 def test_suite_rows(spark, sample):
     got = {r.check: r for r in layer_checks(spark, {"sample": sample}, [RULES]).collect()}
     assert {k: (r.passed, r.checked, r.failed) for k, r in got.items()} == {
         "schema": (False, 2, 1),
-        "nulls": (False, 8, 1),
-        "completeness": (True, 12, 2),
-        "range_value": (False, 3, 2),
-        "duplicates": (True, 4, 0),
+        "nulls": (False, 10, 1),
+        "completeness": (True, 15, 2),
+        "range_height": (False, 4, 2),
+        "duplicates": (True, 5, 0),
     }
-    assert got["nulls"].metric == 0.25
+    assert got["nulls"].metric == 0.2
 
 
 def test_suite_counts_integrity_and_can_be_switched_off(spark, sample):
-    tables = {"sample": sample, "parent": sample.filter("id < 3")}
-    reference = ReferenceRule("test", "sample", "parent", "id", "id")
+    tables = {"sample": sample, "parent": sample.filter("plot < 23")}
+    reference = ReferenceRule("test", "sample", "parent", "plot", "plot")
     summary = summarize(layer_checks(spark, tables, [RULES], [reference])).first()
     assert (summary.total_checks, summary.passed_checks, summary.failed_checks, summary.pass_rate) == (6, 2, 4, 33.33)
     assert layer_checks(spark, tables, [RULES], enabled=False).count() == 0
@@ -99,4 +99,4 @@ def test_suite_counts_integrity_and_can_be_switched_off(spark, sample):
 
 def test_suite_on_an_empty_table(spark, empty):
     got = {r.check: r.passed for r in layer_checks(spark, {"sample": empty}, [RULES]).collect()}
-    assert got == {"schema": False, "nulls": True, "completeness": False, "range_value": False, "duplicates": True}
+    assert got == {"schema": False, "nulls": True, "completeness": False, "range_height": False, "duplicates": True}

@@ -53,6 +53,9 @@ def parse_decimal(parsed: str | Column, raw: str | Column, type_: str = "decimal
     return F.coalesce(_col(parsed), _col(raw).try_cast(type_))
 
 
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def value_text(raw: str | Column) -> Column:
     """Text of a value in an aggregates response: the value itself, or ``valor`` of an object."""
     raw = _col(raw)
@@ -60,10 +63,13 @@ def value_text(raw: str | Column) -> Column:
 
 
 def decode_value(raw: str | Column) -> Column:
-    """Number in an aggregates response; the missing marker, empty text and other non-numbers give null."""
+    """Number in an aggregates response; the missing marker, empty text and other non-numbers give null.
+
+    Only plain decimal notation counts: a cast alone would also take a type suffix, NaN and infinity.
+    """
     # The frequent non-numbers are told apart first: a failing cast is many times slower.
     text = value_text(raw)
-    return F.when(~text.isin(MISSING_MARKER, ""), text.try_cast("double"))
+    return F.when(~text.isin(MISSING_MARKER, "") & text.rlike(NUMBER), text.try_cast("double"))
 
 
 def decode_period(text: str | Column) -> Column:

@@ -115,6 +115,7 @@ DEFAULT_RULES = CleaningRules(
     types={"codigo_municipio": "string", "valor": "double", "ano": "int"},
     not_null=["codigo_municipio", "ano"],
     trim=True,
+    standard_names=["municipio"],
 )
 
 
