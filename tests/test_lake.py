@@ -60,6 +60,17 @@ def test_retention(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "b")).count() == 2
 
 
+def test_expired_rows_leave_a_table(spark, tmp_path):
+    from tidemark.plans.lakehouse import expire
+
+    lake, today = Lake(spark, str(tmp_path)), dt.date(2024, 6, 1)
+    df = spark.createDataFrame([(1, 2020, dt.date(2024, 1, 1)), (2, 2021, dt.date(2024, 5, 1))], "v int, period int, load_date date")
+    write_table(df, lake.path("bronze", "measure"), partition_by=["period"])
+    assert expire(lake, "bronze", "measure", today) == 1 and expire(lake, "bronze", "measure", today) is None
+    assert [r.v for r in lake.read("bronze", "measure").collect()] == [2]
+    assert expire(lake, "bronze", "absent", today) is None
+
+
 SMALL = Contract({"k": "bigint", "name": "varchar(3)", "v": "decimal(5,2)", "absent": "int"}, ["k", "name"], ["k"])
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import audit_columns
 from tidemark.plans import clean, model
 from tidemark.plans.run import FullRun, Job, Lake, run_layer
 from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SILVER_RULES
 from tidemark.sinks.jdbc import JdbcTarget, export_all
+from tidemark.sinks.parquet import apply_retention, retained
 from tidemark.sources.selection import pick_periods
 from tidemark.staging import Staging
 
@@ -56,12 +58,20 @@ def bronze_jobs(
     ]
 
 
-def silver_jobs(entities_enabled: bool = True, rate_type: str = "decimal(18,4)") -> list[Job]:
-    """Cleaning jobs over the bronze tables."""
+def silver_jobs(entities_enabled: bool = True, rate_type: str = "decimal(18,4)", landed: list[int] | None = None) -> list[Job]:
+    """Cleaning jobs over the bronze tables.
+
+    ``landed`` names the periods of an incremental run: only their partitions are read, cleaned and replaced.
+    """
+
+    def raw(lake: Lake, name: str) -> DataFrame:
+        df = lake.read("bronze", name)
+        return df if landed is None else df.filter(F.col("period").isin(landed))
+
     return [
         Job("localities", lambda lake: clean.clean_localities(lake.read("bronze", "localities")), entities_enabled),
-        Job("measure", lambda lake: clean.clean_measure(lake.read("bronze", "measure")), entities_enabled),
-        Job("rate", lambda lake: clean.clean_rate(lake.read("bronze", "rate"), rate_type), entities_enabled),
+        Job("measure", lambda lake: clean.clean_measure(raw(lake, "measure")), entities_enabled),
+        Job("rate", lambda lake: clean.clean_rate(raw(lake, "rate"), rate_type), entities_enabled),
         Job("series", lambda lake: clean.clean_series(lake.read("bronze", "series"))),
     ]
 
@@ -106,6 +116,23 @@ def gold_jobs(
     ]
 
 
+def expire(lake: Lake, layer: str, dataset: str, as_of: dt.date) -> int | None:
+    """Replace a table by its rows inside the retention time; None where it was never written or has nothing to lose.
+
+    The kept rows are written beside the table first and then take its place, so no table is overwritten while it
+    is read.
+    """
+    df = lake.find(layer, dataset)
+    if df is None or df.count() == retained(df, layer, as_of).count():
+        return None
+    path, beside = lake.path(layer, dataset), lake.path(layer, f"{dataset}_retained")
+    rows = apply_retention(lake.spark, path, beside, layer, as_of)
+    files = lake.spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(lake.spark._jsc.hadoopConfiguration())
+    files.delete(lake.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    files.rename(lake.spark._jvm.org.apache.hadoop.fs.Path(beside), lake.spark._jvm.org.apache.hadoop.fs.Path(path))
+    return rows
+
+
 def run_all(
     lake: Lake,
     sources: dict[str, object],
@@ -118,24 +145,31 @@ def run_all(
     processed_at: dt.datetime | None = None,
     target: JdbcTarget | None = None,
     checks_enabled: bool = True,
+    landed: list[int] | None = None,
+    retention_as_of: dt.date | None = None,
 ) -> FullRun:
     """Bronze, silver and gold in order, each followed by its checks unless these are off; then the export, if a target is given.
 
-    A dataset whose source failed in an earlier layer is skipped. A failed export is recorded and does not fail
+    ``landed`` cleans only these periods. With ``retention_as_of`` the raw and the clean layer lose the rows past
+    their time at the end of the run. A dataset whose source failed in an earlier layer is skipped. A failed export is recorded and does not fail
     the run.
     """
     staging = Staging(lake.spark)
     bronze = bronze_jobs(sources, measure_period, rate_period, entities_enabled, processed_at)
     gold = gold_jobs(staging, series_names, entities_enabled, enrich)
     try:
-        landed = run_layer(lake, "bronze", bronze, BRONZE_RULES, checks_enabled=checks_enabled)
-        stale = {name: [name] for name in landed.failures}
-        cleaned = run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type), SILVER_RULES, checks_enabled=checks_enabled, failed=stale)
+        raw = run_layer(lake, "bronze", bronze, BRONZE_RULES, checks_enabled=checks_enabled)
+        stale = {name: [name] for name in raw.failures}
+        cleaned = run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type, landed), SILVER_RULES, checks_enabled=checks_enabled, failed=stale)
         stale = {name: [s for s in reads if s in cleaned.failures] for name, reads in GOLD_READS.items()}
         modelled = run_layer(lake, "gold", gold, GOLD_RULES, GOLD_REFERENCES, checks_enabled, stale)
     finally:
         staging.clear()
-    run = FullRun([landed, cleaned, modelled])
+    run = FullRun([raw, cleaned, modelled])
+    if retention_as_of is not None:
+        for layer in ("bronze", "silver"):
+            for dataset in ("localities", "measure", "rate", "series"):
+                expire(lake, layer, dataset, retention_as_of)
     if target is not None:
         try:
             run.export = export_all(lake.spark, lambda name: lake.find("gold", name), target)

@@ -53,7 +53,6 @@ class Job:
     needs: list[str] = field(default_factory=list)
     rejects: Callable[[Lake], DataFrame] | None = None
 
-
 def _rejected(job: Job, lake: Lake) -> str | None:
     """Sums of the counts, one row at most leaves Spark."""
     if job.rejects is None:
@@ -95,6 +94,7 @@ def run_layer(
     """Run the jobs in order, then check the written tables.
 
     Checks and later jobs read what was written, so nothing is computed twice.
+    Only the partitions that a dataset's rows belong to are replaced.
     ``failed`` maps a dataset to those of earlier layers that it reads and that
     failed in this run; it is skipped, so no table of an older run passes for new.
     """

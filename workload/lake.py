@@ -10,7 +10,7 @@ from tidemark.functions.columns import audit_columns
 from tidemark.functions.names import with_surveyed_names
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
-from tidemark.plans.lakehouse import bronze_jobs, run_all
+from tidemark.plans.lakehouse import bronze_jobs, run_all, silver_jobs
 from tidemark.plans.run import Job, Lake, report_frame, run_layer
 from tidemark.quality.checks import require_columns
 from tidemark.quality.rules import BRONZE_RULES
@@ -437,3 +437,21 @@ def layer_run_checks(spark, sf):
     jobs = [job for job in jobs if job.dataset == "localities"]
     run = run_layer(Lake(spark, Staging(spark).folder("lake")), "bronze", jobs, BRONZE_RULES)
     return summarize(run.checks)
+
+
+@query(
+    "incremental_silver",
+    f"""WITH {BASE_SQL} SELECT period, count(*) AS rows, CAST(sum(CASE WHEN period = 1997 THEN 2 * measure ELSE measure END) AS BIGINT) AS measure
+        FROM measure WHERE period IN (1996, 1997) GROUP BY 1""",
+)
+def incremental_silver(spark, sf):
+    """Two years landed and cleaned; one landed again, doubled, and only that one cleaned again."""
+    lake, sources = Lake(spark, Staging(spark).folder("lake")), run_sources(spark, sf)
+    first = sources["measure"]
+    for years, factor in (([1996, 1997], 1), ([1997], 2)):
+        sources["measure"] = lambda lake, by=factor: first(lake).withColumn("value", F.col("value") * by)
+        jobs = [job for job in bronze_jobs(sources, years, processed_at=STAMP) if job.dataset == "measure"]
+        run_layer(lake, "bronze", jobs, BRONZE_RULES, checks_enabled=False)
+        jobs = [job for job in silver_jobs(landed=years) if job.dataset == "measure"]
+        run_layer(lake, "silver", jobs, BRONZE_RULES, checks_enabled=False)
+    return lake.read("silver", "measure").groupBy("period").agg(F.count("*").alias("rows"), F.sum("measure").alias("measure"))
