@@ -199,7 +199,8 @@ def pick(marks: DataFrame, rows_per_label: int = ROWS_PER_LABEL, id_col: str = "
 def train(staging: Staging, docs: DataFrame, marks: DataFrame, rows_per_label: int = ROWS_PER_LABEL, id_col: str = "doc_id", text_col: str = "text") -> Scorer:
     """Scorer from texts and ``marks``, one label 0 or 1 an id (``doc_id``, ``toxic``).
 
-    A bounded sample of the labels picks the texts (:func:`pick`); of equal texts one is used. Spark counts in how
+    A bounded sample of the labels picks the texts (:func:`pick`), which stay on the executors; of equal texts one is
+    used. Spark counts in how
     many texts each word and stem stands, by label and by two folds. The logistic layer learns on features whose
     entries were counted without the row's own fold. Without both labels only the fixed words count, with fixed
     weights.
@@ -209,7 +210,7 @@ def train(staging: Staging, docs: DataFrame, marks: DataFrame, rows_per_label: i
     if len(counts) < 2:
         return plain
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(picked), F.col("id") == F.col("_id")).limit(8 * rows_per_label)
+    rows = texts.join(F.broadcast(picked), F.col("id") == F.col("_id"))
     rows = rows.withColumn("key", F.sha2("text", 256)).groupBy("key").agg(F.max("label").alias("label"), F.first("text").alias("text"))
     rows = staging.freeze(rows.select("label", "text", (F.crc32("key") % 2).cast("int").alias("fold")), "sample")
 
