@@ -115,9 +115,9 @@ def fit(windows: np.ndarray, wanted: np.ndarray, langs: list[str], seed: int = 7
 def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """Network from labelled rows; None where there are none.
 
-    A hash of the row picks about ``rows_per_lang`` rows of every language, spread over the table, and at most
-    twice as many in all; of each, ``WINDOWS_PER_ROW`` windows at even distances. This bounded sample alone goes
-    to the driver.
+    A hash of the row picks about ``rows_per_lang`` rows of every language, spread over the table; of each,
+    ``WINDOWS_PER_ROW`` windows at even distances, and at most twice as many in all. Only these windows go to the
+    driver.
     """
     labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.monotonically_increasing_id().alias("row"))
     labelled = labelled.where("lang IS NOT NULL AND length(text) > 0")
@@ -126,7 +126,7 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, text_col: str = "
         return None
     langs = sorted(counts)
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, rows_per_lang / counts[lang]))])
-    picked = labelled.where(F.pmod(F.xxhash64("row"), F.lit(2**30)) < share[F.col("lang")] * 2**30).limit(2 * rows_per_lang * len(langs))
+    picked = labelled.where(F.pmod(F.xxhash64("row"), F.lit(2**30)) < share[F.col("lang")] * 2**30)
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -137,7 +137,9 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, text_col: str = "
                 rows += [(lang, w.tobytes()) for w in found[at]]
             yield pd.DataFrame(rows, columns=["lang", "window"])
 
-    sample = sorted((r["lang"], bytes(r["window"])) for r in picked.select("lang", "text").mapInPandas(cut, "lang string, window binary").collect())
+    most = 2 * rows_per_lang * len(langs) * WINDOWS_PER_ROW
+    cut_windows = picked.select("lang", "text").mapInPandas(cut, "lang string, window binary").limit(most)
+    sample = sorted((r["lang"], bytes(r["window"])) for r in cut_windows.collect())
     windows = np.frombuffer(b"".join(w for _, w in sample), np.uint8).reshape(-1, WINDOW)
     number = {lang: i for i, lang in enumerate(langs)}
     return fit(windows, np.array([number[lang] for lang, _ in sample]), langs)
