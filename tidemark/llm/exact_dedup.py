@@ -47,11 +47,15 @@ def possibly_repeated(keys: DataFrame, flags: DataFrame, bits: int) -> DataFrame
     return keys.withColumn("repeated", found)
 
 
-def _decide(shared: DataFrame, id_col: str) -> DataFrame:
-    """Add ``keep_id``, ``group_size`` and ``kept`` to rows with ``row`` and ``text_sha256``."""
+def _decide(staging: Staging, shared: DataFrame, id_col: str) -> DataFrame:
+    """Add ``keep_id``, ``group_size`` and ``kept`` to rows with ``row`` and ``text_sha256``.
+
+    The groups are written, so the join back is one between two plain exchanges, whose hot keys adaptive execution
+    splits over tasks.
+    """
     first = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("row").alias("first_row")))
     groups = shared.groupBy(F.col("text_sha256").alias("_key")).agg(first.alias("_first"), F.count("*").alias("group_size"))
-    joined = shared.join(groups, F.col("text_sha256") == F.col("_key"))
+    joined = shared.join(staging.freeze(groups, "groups"), F.col("text_sha256") == F.col("_key"))
     return joined.select(
         "row", id_col, F.col("_first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("_first.first_row")).alias("kept"), "text_sha256"
     )
@@ -79,7 +83,7 @@ def exact_duplicates(staging: Staging, docs: DataFrame, id_col: str = "doc_id",
     alone = tested.where(~F.col("repeated")).select(
         "row", id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
-    return alone.unionByName(_decide(tested.where("repeated").select("row", id_col, "text_sha256"), id_col))
+    return alone.unionByName(_decide(staging, tested.where("repeated").select("row", id_col, "text_sha256"), id_col))
 
 
 def drop_exact_duplicates(staging: Staging, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -91,7 +95,7 @@ def drop_exact_duplicates(staging: Staging, docs: DataFrame, id_col: str = "doc_
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), text_key(F.col(text_col)).alias("text_sha256"), F.col(id_col).alias("_id"), whole)
     tested = _two_passes(staging, staging.freeze(keyed, "keyed"))
     shared = tested.where("repeated")
-    gone = _decide(shared.select("row", "_id", "text_sha256"), "_id").where(~F.col("kept")).select(F.col("row").alias("_gone"))
+    gone = _decide(staging, shared.select("row", "_id", "text_sha256"), "_id").where(~F.col("kept")).select(F.col("row").alias("_gone"))
     stay = shared.select("row", "doc").join(gone, F.col("row") == F.col("_gone"), "left_anti")
     return tested.where(~F.col("repeated")).select("doc.*").unionByName(stay.select("doc.*"))
 
