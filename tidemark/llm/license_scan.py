@@ -8,7 +8,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, query, table
+from tidemark.llm.common import LOWER, UPPER, lower_ascii, query, table
 
 #: Separators between words, after A-Z is lower-cased.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -125,7 +125,44 @@ def _all(conditions) -> Column:
     return result
 
 
-@query("op10_license_scan")
+def _sql_rows() -> str:
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    rows = [f"('{t.label}', {t in BASE}, {quoted(t.words)}, {quoted(t.key)}, {t.start})" for t in BASE + TEMPLATES]
+    return ", ".join(rows)
+
+
+OP10_SQL = rf"""
+WITH w AS (
+    SELECT doc_id, row_number() OVER () AS r, list_filter(string_split_regex(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{GAPS}'), lambda x: x <> '') AS words FROM documents
+), t(label, base, words, phrase, lead_words) AS (VALUES {_sql_rows()}),
+tw AS (SELECT label, unnest(words) AS word, generate_subscripts(words, 1) AS j FROM t),
+counts AS (
+    SELECT v.word, count(*) FILTER (WHERE list_contains(w.words, v.word)) AS n, count(*) AS total
+    FROM (SELECT DISTINCT word FROM tw) v CROSS JOIN w GROUP BY 1
+), idf AS (SELECT word, ln((total + 1) / (n + 1)) + 1 AS idf FROM counts),
+hits AS (
+    SELECT r, label, base, lead_words, unnest(list_filter(range(1, len(w.words) + 1),
+        lambda i: w.words[i:i + len(phrase) - 1] = phrase)) AS place FROM w CROSS JOIN t
+    WHERE list_contains(w.words, phrase[1])
+), cover AS (
+    SELECT r, label, base, place, round(sum(CASE WHEN place - lead_words + j - 1 >= 1 AND w.words[place - lead_words + j - 1] = word
+        THEN idf ELSE 0 END) / sum(idf), 6) AS coverage
+    FROM hits JOIN w USING (r) JOIN tw USING (label) JOIN idf USING (word) GROUP BY ALL
+), found AS (
+    SELECT r, count(*) FILTER (WHERE base) AS n_base, min(place - 1) FILTER (WHERE base) AS first_word,
+           max(place - 1) FILTER (WHERE base) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score
+    FROM cover GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM w LEFT JOIN found USING (r)
+"""
+
+
+@query("op10_license_scan", OP10_SQL)
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [t.label for t in BASE]
     base = F.filter("places", lambda p: p["label"].isin(names))
