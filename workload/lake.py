@@ -18,7 +18,7 @@ from tidemark.quality.suites import summarize
 from tidemark.sinks.contract import CONTRACTS, contract_violations, require_contract, to_contract
 from tidemark.sinks.parquet import write_table
 from tidemark.sources.aggregates import parse_aggregates, read_aggregate_lines, rejected_values
-from tidemark.sources.localities import parse_localities
+from tidemark.sources.localities import parse_localities, read_locality_lines
 from tidemark.sources.selection import pick_periods
 from tidemark.sources.series import land_series, series_catalogue
 from tidemark.staging import Staging
@@ -133,9 +133,7 @@ def land_measure_year(spark, sf):
     return audit_columns(pick_periods(landed, "period", 1997, []), STAMP).drop("processed_at")
 
 
-@query(
-    "land_localities",
-    """SELECT CAST(c_custkey AS VARCHAR) AS entity_code, c_name AS entity_name,
+LAND_LOCALITIES_SQL = """SELECT CAST(c_custkey AS VARCHAR) AS entity_code, c_name AS entity_name,
               CASE WHEN known THEN CAST(n_nationkey AS VARCHAR) END AS group_code,
               CASE WHEN known THEN substr(n_name, 1, 2) END AS group_short,
               CASE WHEN known THEN n_name END AS group_name,
@@ -143,9 +141,11 @@ def land_measure_year(spark, sf):
               CASE WHEN known THEN r_name END AS region_name,
               CASE WHEN known THEN substr(r_name, 1, 2) END AS region_short
        FROM (SELECT *, c_mktsegment <> 'HOUSEHOLD' AS known FROM customer JOIN nation ON c_nationkey = n_nationkey
-             JOIN region ON n_regionkey = r_regionkey)""",
-)
-def land_localities(spark, sf):
+             JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def localities_json(spark, sf):
+    """One locality per customer as JSON; households have no levels above."""
     customer, nation, region = (table(spark, sf, t) for t in ("customer", "nation", "region"))
     joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
         region, nation.n_regionkey == region.r_regionkey
@@ -167,7 +167,20 @@ def land_localities(spark, sf):
             F.when(F.col("c_mktsegment") != "HOUSEHOLD", small).alias("microrregiao"),
         )
     )
-    return parse_localities(joined.select(payload.alias("payload")), "payload")
+    return joined.select(payload.alias("payload"))
+
+
+@query("land_localities", LAND_LOCALITIES_SQL)
+def land_localities(spark, sf):
+    return parse_localities(localities_json(spark, sf), "payload")
+
+
+@query("land_localities_files", LAND_LOCALITIES_SQL)
+def land_localities_files(spark, sf):
+    """The same through landed files with one locality a line."""
+    folder = Staging(spark).folder("localities")
+    localities_json(spark, sf).write.text(folder)
+    return read_locality_lines(spark, folder)
 
 
 # Sinks

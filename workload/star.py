@@ -13,7 +13,7 @@ from tidemark.operators.series import fold_series, series_by_period, series_wide
 from tidemark.operators.standings import standings
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities, clean_measure, clean_rate, clean_series
-from tidemark.sources.series import land_series, series_catalogue
+from tidemark.sources.series import land_series, read_series, series_catalogue
 from tidemark.staging import Staging
 from workload.registry import query
 from workload.standin import (
@@ -119,17 +119,26 @@ def clean_series_(spark, sf):
     return clean_series(tagged, min_year=2010)
 
 
-@query(
-    "land_series",
-    f"""SELECT {series_code_sql()} AS series_code, event_type AS series_name, 'events' AS source,
+LAND_SERIES_SQL = f"""SELECT {series_code_sql()} AS series_code, event_type AS series_name, 'events' AS source,
                strftime(ts, '%d/%m/%Y') AS date_text, CAST(CAST(value AS DECIMAL(18,4)) AS VARCHAR) AS value_text,
                CAST(ts AS DATE) AS obs_date, CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS value,
-               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month FROM events""",
-)
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month FROM events"""
+
+
+@query("land_series", LAND_SERIES_SQL)
 def land_series_(spark, sf):
     return land_series(series_raw(spark, sf), series_catalogue(spark, SERIES), "events")
 
 
+@query("land_series_files", LAND_SERIES_SQL)
+def land_series_files(spark, sf):
+    """The same through landed files, one folder a series and one point a line."""
+    folder = Staging(spark).folder("series")
+    line = F.to_json(F.struct("data", "valor")).alias("value")
+    series_raw(spark, sf).select("series_code", line).write.partitionBy("series_code").text(folder)
+    return read_series(spark, folder, series_catalogue(spark, SERIES), "events", lines=True)
+
+
 # Dimensions
 
 
