@@ -98,7 +98,14 @@ def fact_entity(
     ``total`` is in thousands. One shuffle by entity serves the outer join, both
     dimension lookups and the growth; one sort serves all ranks and shares.
     """
-    located = attach(totals(measure, rate), entities, "entity_code", ["entity_key", "group_code"])
+    return fact_from_totals(totals(measure, rate), entities, periods, staging, strict_growth)
+
+
+def fact_from_totals(
+    both: DataFrame, entities: DataFrame, periods: DataFrame, staging: Staging, strict_growth: bool = False
+) -> DataFrame:
+    """Entity fact from the table of ``totals``."""
+    located = attach(both, entities, "entity_code", ["entity_key", "group_code"])
     grown = with_growth(
         located,
         {"total": "growth_total", "measure": "growth_measure"},

@@ -34,7 +34,6 @@ from workload.standin import (
     NATION_SQL,
     SERIES,
     SERIES_NAMES,
-    clean_tables,
     entity_codes,
     group_fact,
     localities,
@@ -42,6 +41,7 @@ from workload.standin import (
     rate,
     series_raw,
     star,
+    star_inputs,
     table,
     wide_sql,
 )
@@ -264,8 +264,8 @@ def contract_dim_entity(spark, sf):
 
 @query("contract_dim_period", f"WITH {BASE_SQL}, {DIM_PERIOD_SQL} SELECT {_cast_sql(CONTRACTS['dim_period'].types)} FROM dim_period")
 def contract_dim_period(spark, sf):
-    clean = clean_tables(spark, sf, Staging(spark))
-    return checked(model.dim_period(spark, [clean["measure"], clean["rate"]]), CONTRACTS["dim_period"])
+    inputs = star_inputs(spark, sf, Staging(spark))
+    return checked(model.dim_period(spark, [inputs["totals"]]), CONTRACTS["dim_period"])
 
 
 @query("contract_fact_entity", f"WITH {FACT_SQL} SELECT {_cast_sql(FACT_CONTRACT.types)} FROM fact")

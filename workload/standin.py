@@ -234,38 +234,31 @@ fact_nation AS (
   FROM summed)"""
 
 
-def clean_tables(spark: SparkSession, sf_dir: str, staging: Staging) -> dict[str, DataFrame]:
-    """Clean localities, measure and rate, written first, as in a lake."""
-    return staging.freeze_all(
-        {
-            "localities": clean_localities(localities(spark, sf_dir)),
-            "measure": measure(spark, sf_dir),
-            "rate": rate(spark, sf_dir),
-        }
-    )
+def star_inputs(spark: SparkSession, sf_dir: str, staging: Staging) -> dict[str, DataFrame]:
+    """Clean localities and the totals of measure and rate, written."""
+    both = model.totals(measure(spark, sf_dir), rate(spark, sf_dir))
+    return staging.freeze_all({"localities": clean_localities(localities(spark, sf_dir)), "totals": both})
 
 
 def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
-    """Dimensions and entity fact."""
+    """Dimensions and entity fact. What several of them read is written first."""
     staging = staging or Staging(spark)
-    clean = clean_tables(spark, sf_dir, staging)
-    measures, rates = clean["measure"], clean["rate"]
+    inputs = star_inputs(spark, sf_dir, staging)
     dimensions = staging.freeze_all(
         {
-            "dim_entity": model.dim_entity(clean["localities"], staging),
-            "dim_period": model.dim_period(spark, [measures, rates]),
+            "dim_entity": model.dim_entity(inputs["localities"], staging),
+            "dim_period": model.dim_period(spark, [inputs["totals"]]),
         }
     )
     entities, periods = dimensions["dim_entity"], dimensions["dim_period"]
-    fact = model.fact_entity(measures, rates, entities, periods, staging)
+    fact = model.fact_from_totals(inputs["totals"], entities, periods, staging)
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
 
 
 def group_fact(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> DataFrame:
     """Group fact from the totals, without the ranks and keys of the entity fact."""
-    staging = staging or Staging(spark)
-    clean = clean_tables(spark, sf_dir, staging)
-    return model.fact_group(model.totals(clean["measure"], clean["rate"]), clean["localities"], staging)
+    both = model.totals(measure(spark, sf_dir), rate(spark, sf_dir))
+    return model.fact_group(both, clean_localities(localities(spark, sf_dir)), staging or Staging(spark))
 
 
 def series_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,6 @@ from workload.standin import (
     SERIES,
     SERIES_NAMES,
     base_sql,
-    clean_tables,
     entity_codes,
     fact_sql,
     group_fact,
@@ -238,9 +237,8 @@ def fact_nation(spark, sf):
         FROM fact f LEFT JOIN dim_entity d ON f.entity_code = d.entity_code WHERE period = 1998 GROUP BY 1""",
 )
 def star_region_total(spark, sf):
-    clean = clean_tables(spark, sf, Staging(spark))
-    year = model.totals(clean["measure"], clean["rate"], period=1998)
-    return model.total_by_region(year, clean["localities"], 1998)
+    year = model.totals(measure(spark, sf), rate(spark, sf), period=1998)
+    return model.total_by_region(year, clean_localities(localities(spark, sf)), 1998)
 
 
 # Growth, shares and ranks on their own
