@@ -109,6 +109,28 @@ def test_minhash_dense_region_is_compared_in_full(spark, staging, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
 
 
+def test_minhash_long_copies_of_a_cluster_beyond_work_stay_connected(spark, staging):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(1000):
+        text = list(base)
+        text[rng.randrange(400)] = f"x{i}"
+        rows.append((i + 1, " ".join(text), "en", "s"))
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    found = minhash_dedup.near_duplicates(staging, docs, work=2_000_000).collect()
+    assert {r.component_id for r in found} == {1} and len(found) == 1000
+
+
+def test_exact_links_of_two_blocks_are_those_across():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.choice(60, 40).astype(np.uint64)) for _ in range(40)]
+    links = [(i, j) for j in range(15, 40) for i in range(15) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 45 * len(np.union1d(sets[i], sets[j]))]
+    want = roots(range(40), links)
+    found = dict(zip(*minhash_dedup.exact_links(sets, np.arange(40), 45, 15), strict=True))
+    assert links and {i: found.get(i, i) for i in range(40)} == want
+
+
 def test_minhash_awkward(awkward, nothing, staging):
     found = minhash_dedup.near_duplicates(staging, awkward).collect()
     assert len(found) == 11

@@ -220,17 +220,27 @@ def _cut(t: np.ndarray, key: np.ndarray) -> int:
     return half + int(prefix[half:].argmin())
 
 
-def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def paired(rows: DataFrame) -> DataFrame:
+    """Rows with ``node`` and a number of ``parts``, each with every block that its own block meets."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"), "first": F.col("own") <= F.col("other")})
+    return met.drop("parts", "own", "other")
+
+
+def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int, posted_only: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Each document with the smallest id that it reaches by links of exact similarity.
 
-    Shared shingles of a document with all others are counted at once over postings.
+    Shared shingles of a document with all others are counted at once over postings. With ``posted_only`` the first so
+    many documents are compared with the others, and neither among themselves.
     """
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(code, kind="stable")
+    listed = code if posted_only is None else code[owner < posted_only]
+    order = np.argsort(listed, kind="stable")
     posted = owner[order]
-    begin = np.r_[0, np.cumsum(np.bincount(code))]
+    begin = np.r_[0, np.cumsum(np.bincount(listed, minlength=code.max(initial=-1) + 1))]
     first = np.cumsum(np.r_[0, sizes[:-1]])
     parent = np.arange(len(sets))
 
@@ -240,7 +250,8 @@ def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int) -> tuple[
             i = parent[i]
         return i
 
-    for i, (at, size) in enumerate(zip(first, sizes, strict=True)):
+    for i in range(posted_only or 0, len(sets)):
+        at, size, others = first[i], sizes[i], i if posted_only is None else posted_only
         mine = code[at : at + size]
         shared, low = np.zeros(len(sets), np.int64), begin[mine]
         lengths = begin[mine + 1] - low
@@ -249,7 +260,7 @@ def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int) -> tuple[
             n, start = lengths[k : k + step], low[k : k + step]
             place = np.arange(n.sum()) + np.repeat(start - np.r_[0, np.cumsum(n)[:-1]], n)
             shared += np.bincount(posted[place], minlength=len(sets))
-        linked = np.flatnonzero(100 * shared[:i] >= percent * (size + sizes[:i] - shared[:i]))
+        linked = np.flatnonzero(100 * shared[:others] >= percent * (size + sizes[:others] - shared[:others]))
         for j in linked:
             a, b = root(i), root(int(j))
             if a != b:
@@ -271,36 +282,19 @@ def verified_whole(members: DataFrame, words: int, percent: int) -> DataFrame:
     return members.select("cluster", "node", "text").groupBy("cluster").applyInPandas(run, "a long, b long")
 
 
-def verified_in_regions(members: DataFrame, words: int, percent: int, work: int) -> DataFrame:
-    """Links in larger clusters: every order is sorted again and cut into regions of bounded work."""
-    near = rotated(members.select("cluster", "node", "n", "text", "signature"))
+def verified_in_blocks(members: DataFrame, words: int, percent: int, work: int) -> DataFrame:
+    """Links in larger clusters: dealt into so many blocks by hash that a pair of blocks is about ``work``, and every
+    pair of blocks is compared."""
+    parts = F.ceil(F.sqrt(F.col("work") / work)).cast("int").alias("parts")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for part in parts:
-            held = part if held is None else pd.concat([held, part], ignore_index=True)
-            while len(held) > 1 and len(held) * int(held["n"].sum()) > 4 * work:
-                cut = max(1, _cut(*arrays(held)))
-                yield from found_in(held.iloc[:cut])
-                held = held.iloc[cut:].reset_index(drop=True)
-        if held is not None:
-            yield from found_in(held)
-
-    def arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.frombuffer(b"".join(rows["key"]), np.uint8).reshape(-1, HASHES)
-        return rows["t"].to_numpy() + rows["cluster"].to_numpy() * TREES, keys
-
-    def found_in(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        t, keys = arrays(rows)
-        prefix = np.where(np.r_[True, t[1:] != t[:-1]], 0, shared_prefix(keys))
-        ids, sizes = rows["node"].to_numpy(), rows["n"].to_numpy()
-        for i, j in regions(prefix, lambda i, j: (j - i) * int(sizes[i:j].sum()) <= work or j - i == 2):
-            a, b = exact_links([shingles(x, words) for x in rows["text"].iloc[i:j]], ids[i:j], percent)
-            yield pd.DataFrame({"a": a, "b": b})
-
-    order = ["cluster", "t", "key", "node"]
-    spread = near.repartitionByRange(tasks(near), *order).sortWithinPartitions(*order)
-    return spread.mapInPandas(run, "a long, b long")
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        halved = group["low"].iloc[0] != group["high"].iloc[0]
+        group = group.sort_values("first", kind="stable") if halved else group
+        a, b = exact_links([shingles(t, words) for t in group["text"]], group["node"].to_numpy(), percent, int((~group["first"]).sum()) if halved else None)
+        return pd.DataFrame({"a": a, "b": b})
+
+    dealt_out = paired(members.select("cluster", "node", "text", parts))
+    return dealt_out.groupBy("cluster", "low", "high").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None) -> DataFrame:
@@ -309,7 +303,7 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     Texts with the same shingle set become one representative. Representatives that are neighbours in one of the
     forest's sorted orders, and whose signatures agree well enough, form clusters; within a cluster every pair is
     compared on its full shingle sets, and pairs with ``100 * intersection >= percent * union`` link. A cluster with
-    more than ``work`` is compared region by region in every order instead; no region, cluster or partner is capped.
+    more than ``work`` is dealt into blocks, and every pair of blocks is compared; no cluster or partner is capped.
     Neighbours share a prefix that is as long as the region is dense, so a pair at the threshold that shares fewer
     leading hashes in all orders is missed, with a chance below 1e-5 outside of dense regions.
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
@@ -329,14 +323,14 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     reps = staging.freeze(reps, "representatives")
     likely = components(staging, candidate_links(rotated(reps.select("node", "signature")), percent))
     clusters = likely.select("node", F.col("component").alias("cluster"))
-    members = clusters.join(reps.select(F.col("node").alias("_node"), "content.*", "n", "signature"), F.col("node") == F.col("_node")).drop("_node")
+    members = clusters.join(reps.select(F.col("node").alias("_node"), "content.*", "n"), F.col("node") == F.col("_node")).drop("_node")
     members = staging.freeze(members, "members")
     sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"))
     texts = docs.select(*[c.alias(f"_{n}") for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text")).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
     members = members.join(texts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).drop("_h1", "_h2")
     members = staging.freeze(members.join(sizes, F.col("cluster") == F.col("_cluster")).drop("_cluster"), "texts")
     links = verified_whole(members.where(F.col("work") <= work), words, percent)
-    links = links.unionByName(verified_in_regions(members.where(F.col("work") > work), words, percent, work))
+    links = links.unionByName(verified_in_blocks(members.where(F.col("work") > work), words, percent, work))
     parts = components(staging, links)
     info = reps.select("digest", "node", "least", "head").join(parts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     info = staging.freeze(info.select("digest", "least", "head", F.coalesce("component", "node").alias("component")), "info")
