@@ -131,6 +131,36 @@ def test_exact_links_of_two_blocks_are_those_across():
     assert links and {i: found.get(i, i) for i in range(40)} == want
 
 
+def test_minhash_pairs_at_the_threshold_in_a_shared_passage(spark, staging):
+    passage, rows = [f"p{i}" for i in range(80)], []
+    for i in range(4000):
+        own = [f"x{i}.{k}" for k in range(33)]
+        rows.append((2 * i + 1, " ".join(passage + own), "en", "s"))
+        if i < 200:
+            for k in (5, 15, 25):
+                own[k] = f"y{i}.{k}"
+            rows.append((2 * i + 2, " ".join(passage + own), "en", "s"))
+    assert 100 * len(words(rows[0][1], 3) & words(rows[1][1], 3)) == 85 * len(words(rows[0][1], 3) | words(rows[1][1], 3))
+    found = minhash_dedup.near_duplicates(staging, spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - 1 if i % 2 == 0 else i for i, *_ in rows}
+
+
+def test_minhash_regions_beyond_a_block(spark, staging, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "REGION", 20)
+    rows = corpus(5, 6, 60)
+    found = minhash_dedup.near_duplicates(staging, spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
+
+
+def test_more_texts_take_deeper_regions_and_more_orders():
+    few, many = minhash_dedup.plan_orders(1000, 85), minhash_dedup.plan_orders(10**8, 85)
+    assert few == (2, 12) and few[0] < many[0] and few[1] < many[1]
+    for percent in (20, 50, 80, 85, 100):
+        for texts in (0, 10**5, 10**8, 10**11):
+            depth, orders = minhash_dedup.plan_orders(texts, percent)
+            assert depth * orders <= minhash_dedup.HASHES and (1 - (percent / 100) ** depth) ** orders <= minhash_dedup.MISS
+
+
 def test_minhash_awkward(awkward, nothing, staging):
     found = minhash_dedup.near_duplicates(staging, awkward).collect()
     assert len(found) == 11

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pandas as pd
@@ -14,11 +15,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import components, query, table, tasks
 from tidemark.staging import Staging
 
-#: Hashes of a signature, sorted orders of the forest, and hashes between the beginnings of two orders.
-HASHES, TREES, STRIDE = 128, 12, 10
-#: Leading hashes that candidates share at least, neighbours compared without going deeper, most documents of a
-#: region that are all compared, rows of a sorted stretch held at once.
-PREFIX, NEAR, REGION, HELD = 2, 16, 512, 16_384
+#: Hashes of a signature, least number of orders.
+HASHES, TREES = 128, 12
+#: Documents of a region on average that its depth is chosen for, chance that a pair just at the threshold shares no
+#: region, neighbours compared at once, documents of a block.
+REGION_ROWS, MISS, NEAR, REGION = 256, 1e-5, 16, 4096
 #: How far below the wanted similarity the share of equal hashes may be: four to five standard deviations.
 SLACK = 0.17
 #: Most work of one verification group, documents times shingles, and postings gathered at once.
@@ -88,48 +89,24 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, f"row long, id {kind}, h1 long, h2 long, n long, digest binary, signature binary")
 
 
-def rotated(reps: DataFrame) -> DataFrame:
-    """One row per representative and order: ``t`` and ``key``, the signature from the order's first hash on."""
-    t = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")
-    key = F.expr(f"concat(substring(signature, t * {STRIDE} + 1), substring(signature, 1, t * {STRIDE}))").alias("key")
-    return reps.select("*", t).withColumn("key", key).drop("signature")
+def plan_orders(texts: int, percent: int) -> tuple[int, int]:
+    """Leading hashes that the texts of a region share, and number of orders.
 
+    More texts take longer prefixes, and longer prefixes more orders, so that the chance to miss a pair stays the same.
+    """
+    for depth in range(max(2, ceil(log(max(1, texts) / REGION_ROWS, 256))), 0, -1):
+        same = (percent / 100) ** depth
+        orders = TREES if same >= 1 else max(TREES, ceil(log(MISS) / log(1 - same)))
+        if depth * orders <= HASHES:
+            return depth, orders
+    raise ValueError(f"{HASHES} hashes are too few for {percent} %")
 
-def shared_prefix(keys: np.ndarray) -> np.ndarray:
-    """Equal leading hashes of each key and the one before it; 0 for the first."""
-    differs = keys[1:] != keys[:-1]
-    return np.r_[0, np.where(differs.any(1), differs.argmax(1), HASHES)]
 
-
-def regions(prefix: np.ndarray, fits) -> Iterator[tuple[int, int]]:
-    """Stretches of sorted keys that share ``PREFIX`` hashes, cut deeper and deeper until ``fits(i, j)``.
-
-    Where even whole keys are equal and still do not fit, the stretch is halved.
-    """
-    waiting = [(0, len(prefix), PREFIX)]
-    while waiting:
-        i, j, depth = waiting.pop()
-        cuts = np.flatnonzero(prefix[i + 1 : j] < depth) + i + 1
-        for a, b in zip(np.r_[i, cuts], np.r_[cuts, j], strict=True):
-            if b - a < 2:
-                continue
-            if fits(a, b):
-                yield a, b
-            elif depth < HASHES:
-                waiting.append((a, b, max(depth + 1, int(prefix[a + 1 : b].min()) + 1)))
-            else:
-                middle = (a + b) // 2
-                waiting += [(a, middle, depth), (middle, b, depth)]
-
-
-def star(close: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each of the connected rows of a symmetric matrix with the smallest id it reaches."""
-    marks, big = ids.copy(), np.iinfo(np.int64).max
-    while True:
-        after = np.minimum(marks, np.where(close, marks[None, :], big).min(1))
-        if (after == marks).all():
-            return ids[marks != ids], marks[marks != ids]
-        marks = after
+def in_regions(reps: DataFrame, depth: int, orders: int) -> DataFrame:
+    """One row per representative and order: ``t`` and ``region``, the order's own ``depth`` hashes."""
+    t = F.explode(F.sequence(F.lit(0), F.lit(orders - 1))).alias("t")
+    own = F.expr(f"substring(signature, t * {HASHES // orders} + 1, {depth})")
+    return reps.select("*", t).withColumn("region", F.conv(F.hex(own), 16, 10).cast("long"))
 
 
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,81 +128,109 @@ def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     return known[moved], known[marks[moved]]
 
 
-def candidates_in(ids: np.ndarray, keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between documents of a sorted stretch with at least ``least`` equal hashes, as a forest.
+def dealt(staging: Staging, rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """One row per row and pair of blocks of its group: ``low``, ``high``, and ``first``, whether it is of the low one.
+
+    A group of more than ``block`` rows is dealt into blocks by hash, and each pair of its blocks becomes a group of
+    its own, so that every two rows meet, however large their group is.
+    """
+    large = staging.freeze(rows.groupBy(*keys).count().where(F.col("count") > block), "large")
+    large = large.select(*[F.col(c).alias(f"_{c}") for c in keys], F.ceil(F.col("count") / block).cast("int").alias("parts"))
+    joined = rows.join(large, [F.col(c) == F.col(f"_{c}") for c in keys], "left").drop(*[f"_{c}" for c in keys])
+    return paired(joined.withColumn("parts", F.coalesce("parts", F.lit(1))))
+
+
+def paired(rows: DataFrame) -> DataFrame:
+    """Rows with ``node`` and a number of ``parts``, each with every block that its own block meets."""
+    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"), "first": F.col("own") <= F.col("other")})
+    return met.drop("parts", "own", "other")
+
+
+def alike(ids: np.ndarray, keys: np.ndarray, first: np.ndarray, whole: bool, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between documents of one group with at least ``least`` equal hashes, as a forest.
 
-    Neighbours up to ``NEAR`` places away are compared at once; regions too large for that go deeper, to the depth
-    at which a region has at most ``REGION`` documents, and are compared in full.
+    All of a ``whole`` group are compared, otherwise those of the first block with the others. Pairs that are connected
+    already are left out.
     """
-    prefix = shared_prefix(keys)
-    a, b, window = [], [], np.full(len(ids), HASHES)
-    for s in range(1, min(NEAR, len(ids) - 1) + 1):
-        window = np.minimum(window[: len(ids) - s], prefix[s:]) if s == 1 else np.minimum(window[: len(ids) - s], prefix[s:])
-        i = np.flatnonzero(window >= PREFIX)
+    left = np.arange(len(ids)) if whole else np.flatnonzero(first)
+    right = left if whole else np.flatnonzero(~first)
+    if not len(left) or not len(right):
+        return ids[:0], ids[:0]
+    columns, marks = np.ascontiguousarray(keys[right].T), ids.copy()
+    for k in range(0, len(left), 128):
+        rows, begin = left[k : k + 128], k if whole else 0
+        equal = np.zeros((len(rows), len(right) - begin), np.uint8)
+        for h in range(HASHES):
+            equal += keys[rows, h][:, None] == columns[h, begin:][None, :]
+        i, j = np.nonzero((equal >= least) & (marks[rows][:, None] != marks[right[begin:]][None, :]))
+        if len(i):
+            names = np.unique(marks)
+            moved, to = forest(names, marks[rows[i]], marks[right[begin + j]])
+            after = names.copy()
+            after[np.searchsorted(names, moved)] = to
+            marks = after[np.searchsorted(names, marks)]
+    return ids[marks != ids], marks[marks != ids]
+
+
+def candidates_in(ids: np.ndarray, keys: np.ndarray, number: np.ndarray, first: np.ndarray, whole: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links in all groups of a batch, which ``number`` counts up; every pair of a group is compared.
+
+    Groups of up to ``NEAR + 1`` documents are compared together, by places.
+    """
+    begin = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    size = np.diff(np.r_[begin, len(number)])
+    small = np.repeat((size <= NEAR + 1) & whole[begin], size)
+    a, b = [], []
+    for s in range(1, NEAR + 1):
+        i = np.flatnonzero(small[:-s] & (number[s:] == number[:-s]))
         if not len(i):
             break
         i = i[(keys[i] == keys[i + s]).sum(1) >= least]
         a.append(ids[i])
         b.append(ids[i + s])
-    for i, j in regions(prefix, lambda i, j: j - i <= REGION):
-        if j - i > NEAR:
-            equal = np.zeros((j - i, j - i), np.uint8)
-            for k in range(HASHES):
-                column = keys[i:j, k]
-                equal += column[:, None] == column[None, :]
-            np.fill_diagonal(equal, 0)
-            ends = star(equal >= least, ids[i:j])
+    for i, n in zip(begin, size, strict=True):
+        if not small[i]:
+            ends = alike(ids[i : i + n], keys[i : i + n], first[i : i + n], bool(whole[i]), least)
             a.append(ends[0])
             b.append(ends[1])
-    return forest(ids, np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
+    return (np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
 
 
-def candidate_links(trees: DataFrame, percent: int) -> DataFrame:
-    """Links between likely neighbours in all orders.
+GROUP = ["t", "region", "low", "high"]
 
-    The rows of all orders are range-sorted, which spreads even a region that holds a third of all rows over as
-    many tasks as it needs. A pair that a cut between two tasks parts is found in another order.
-    """
+
+def candidate_links(staging: Staging, trees: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links between texts that share a region in any order and agree in enough hashes; a group that spans two Arrow
+    batches is held over."""
     least = int(np.ceil((percent / 100 - SLACK) * HASHES))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order, ids, keys = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((0, HASHES), np.uint8)]
+        held = None
         for part in parts:
-            order.append(part["t"].to_numpy(np.int64))
-            ids.append(part["node"].to_numpy(np.int64))
-            keys.append(np.frombuffer(b"".join(part["key"]), np.uint8).reshape(-1, HASHES))
-            t, node, key = map(np.concatenate, (order, ids, keys))
-            while len(t) >= HELD:
-                cut = _cut(t[:HELD], key[:HELD])
-                yield from found_in(t[:cut], node[:cut], key[:cut])
-                t, node, key = t[cut:], node[cut:], key[cut:]
-            order, ids, keys = [t], [node], [key]
-        yield from found_in(*map(np.concatenate, (order, ids, keys)))
-
-    def found_in(t: np.ndarray, node: np.ndarray, key: np.ndarray) -> Iterator[pd.DataFrame]:
-        for number in np.unique(t):
-            same = t == number
-            if same.sum() > 1:
-                a, b = candidates_in(node[same], key[same], least)
-                yield pd.DataFrame({"a": a, "b": b})
-
-    spread = trees.select("t", "key", "node").repartitionByRange(tasks(trees), "t", "key", "node").sortWithinPartitions("t", "key", "node")
-    return spread.mapInPandas(run, "a long, b long")
-
-
-def _cut(t: np.ndarray, key: np.ndarray) -> int:
-    """Where to part a held stretch: in its second half, at the shortest shared prefix."""
-    prefix = np.where(np.r_[True, t[1:] != t[:-1]], 0, shared_prefix(key))
-    half = len(t) // 2
-    return half + int(prefix[half:].argmin())
-
-
-def paired(rows: DataFrame) -> DataFrame:
-    """Rows with ``node`` and a number of ``parts``, each with every block that its own block meets."""
-    own = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other"), "first": F.col("own") <= F.col("other")})
-    return met.drop("parts", "own", "other")
+            part = part if held is None else pd.concat([held, part], ignore_index=True)
+            if len(part):
+                number = counted(part)
+                last = int(np.searchsorted(number, number[-1]))
+                held = part.iloc[last:]
+                yield from found_in(part.iloc[:last], number[:last])
+        if held is not None:
+            yield from found_in(held, np.zeros(len(held), np.int64))
+
+    def counted(part: pd.DataFrame) -> np.ndarray:
+        keys = part[GROUP]
+        return (keys != keys.shift()).any(axis=1).cumsum().to_numpy()
+
+    def found_in(part: pd.DataFrame, number: np.ndarray) -> Iterator[pd.DataFrame]:
+        if len(part) > 1:
+            keys = np.frombuffer(b"".join(part["signature"]), np.uint8).reshape(-1, HASHES)
+            whole = (part["low"] == part["high"]).to_numpy()
+            a, b = candidates_in(part["node"].to_numpy(np.int64), keys, number, part["first"].to_numpy(bool), whole, least)
+            yield pd.DataFrame({"a": a, "b": b})
+
+    grouped = dealt(staging, trees, ["t", "region"], block)
+    return grouped.repartition(tasks(trees), *GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, "a long, b long")
 
 
 def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int, posted_only: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -300,12 +305,12 @@ def verified_in_blocks(members: DataFrame, words: int, percent: int, work: int)
 def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None) -> DataFrame:
     """One row per text: ``row``, id, ``n_shingles``, ``component_id``, ``kept_row``.
 
-    Texts with the same shingle set become one representative. Representatives that are neighbours in one of the
-    forest's sorted orders, and whose signatures agree well enough, form clusters; within a cluster every pair is
-    compared on its full shingle sets, and pairs with ``100 * intersection >= percent * union`` link. A cluster with
-    more than ``work`` is dealt into blocks, and every pair of blocks is compared; no cluster or partner is capped.
-    Neighbours share a prefix that is as long as the region is dense, so a pair at the threshold that shares fewer
-    leading hashes in all orders is missed, with a chance below 1e-5 outside of dense regions.
+    Texts with the same shingle set become one representative. Representatives that share a region, the leading
+    hashes of one of the orders, and whose signatures agree well enough, form clusters; within a cluster every pair is
+    compared on its full shingle sets, and pairs with ``100 * intersection >= percent * union`` link. A region of more
+    than ``REGION`` texts and a cluster with more than ``work`` are dealt into blocks, and every pair of blocks is
+    compared; no region, cluster or partner is capped. A pair at the threshold that shares no region in any order is
+    missed, with a chance below ``MISS`` however dense its regions are.
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
     with the smallest id, then the first written; a null id comes last. Texts without words and null texts link
     with nothing. Repeated rows are in one component. An empty table gives an empty result; other columns are not
@@ -321,9 +326,10 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("head"),
     )
     reps = staging.freeze(reps, "representatives")
-    likely = components(staging, candidate_links(rotated(reps.select("node", "signature")), percent))
+    trees = in_regions(reps.select("node", "signature"), *plan_orders(reps.count(), percent))
+    likely = components(staging, candidate_links(staging, trees, percent, REGION))
     clusters = likely.select("node", F.col("component").alias("cluster"))
-    members = clusters.join(reps.select(F.col("node").alias("_node"), "content.*", "n"), F.col("node") == F.col("_node")).drop("_node")
+    members = clusters.join(reps.select(F.col("node").alias("_node"), "content.*", "n", "signature"), F.col("node") == F.col("_node")).drop("_node")
     members = staging.freeze(members, "members")
     sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"))
     texts = docs.select(*[c.alias(f"_{n}") for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text")).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
