@@ -242,6 +242,21 @@ def test_contexts_reveal_what_the_base_misses(spark, staging):
     assert found[901].spans == "" and found[0].spans == found[0].base
 
 
+def test_contexts_reveal_values_with_spaces_and_obfuscated_mail(spark, staging):
+    card = lambda n: f"{n}{next(d for d in '0123456789' if pii.luhn(f'{n}{d}'))}"
+    known = [("billed to card number", [card(n) for n in range(400000000000000, 400000000000030)])]
+    known += [("reach me on phone", [f"+4917155501{n}" for n in range(10, 40)]), ("write to mail", [f"user{n}@example.com" for n in range(30)])]
+    unseen = [("billed to card number", "card", "4111 1111 1111 1112"), ("billed to card number", "card", "4111-1111 1111-1112")]
+    unseen += [("reach me on phone", "phone", v) for v in ("0171 555 0142", "(555) 123-4567", "0171.555 0143", "(0171)5550144 22")]
+    unseen += [("write to mail", "email", v) for v in ("john[at]example.com", "john(at)example.com")]
+    rows = [(1000 * k + n, f"{lead} {v} today", "en", "s") for k, (lead, values) in enumerate(known) for n, v in enumerate(values)]
+    rows += [(9000 + n, f"{lead} {v} today", "en", "s") for n, (lead, _, v) in enumerate(unseen)]
+    rows += [(9900, "part 4111 1111 1111 1113 of it, by john[at]example.org", "en", "s")]
+    found = {r.doc_id: r.spans for r in pii.find(staging, spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {9000 + n: f"found_{kind}:{len(lead) + 1}:{len(lead) + 1 + len(v)}" for n, (lead, kind, v) in enumerate(unseen)}
+    assert {i: s for i, s in found.items() if i >= 9000} == {**want, 9900: ""}
+
+
 def test_pii_awkward(awkward, nothing, staging):
     assert [r.spans for r in pii.find(staging, awkward).collect()] == [""] * 11
     assert pii.find(staging, nothing).count() == 0

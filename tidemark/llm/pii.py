@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, table
@@ -26,7 +26,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT, NOT_DIGIT = re.compile("[0-9]"), re.compile("[^0-9]+")
-SPACE = re.compile(r"\s")
+SPACE, MARK = re.compile(r"\s"), re.compile(r"[0-9@]|\([aA][tT]\)|\[[aA][tT]\]")
+#: Groups of digits joined by single spaces, dots, dashes, slashes or brackets.
+RUN = re.compile(r"\+?\(?[0-9]++(?:(?:\)[\x20./-]?|[\x20./-]?\(|[\x20./-])[0-9]++)++")
 EDGE = ".,;:!?\"'()[]{}<>|*&%$#"
 
 
@@ -70,20 +72,19 @@ def shape(token: str) -> str | None:
     """Kind that a token resembles by a looser rule than the base patterns."""
     digits = NOT_DIGIT.sub("", token)
     rest = set(token) - set("0123456789")
-    if "@" in token or "(at)" in token or "[at]" in token:
+    if "@" in token or "(at)" in token.lower() or "[at]" in token.lower():
         return "email"
     if token.count(".") >= 3 and rest <= {"."}:
         return "ip"
     if 12 <= len(digits) <= 20 and rest <= set(" -"):
         return "card"
-    return "phone" if 7 <= len(digits) <= 15 and rest <= set("+()./-") else None
+    return "phone" if 7 <= len(digits) <= 15 and rest <= set("+()./- ") else None
 
 
 def other_tokens(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
-    """Words that hold a digit or an at sign and touch no base span."""
+    """Words that hold a digit, an at sign, ``(at)`` or ``[at]`` and touch no base span."""
     spans, k, at = sorted((i, j) for _, i, j in taken), 0, 0
-    mark = re.compile("[0-9@]")
-    while found := mark.search(text, at):
+    while found := MARK.search(text, at):
         end = SPACE.search(text, found.end())
         end = end.start() if end else len(text)
         start = found.start()
@@ -100,6 +101,18 @@ def other_tokens(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple
             yield start, end
 
 
+def digit_runs(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs of digit groups over several words that resemble a kind, are no part of a word and touch no base span."""
+    spans, k = sorted((i, j) for _, i, j in taken), 0
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        while k < len(spans) and spans[k][1] <= start:
+            k += 1
+        joined = text[start - 1 : start].isalnum() or text[end : end + 1].isalnum() or "@" in (text[start - 1 : start], text[end : end + 1])
+        if " " in m[0] and not joined and shape(m[0]) and not any(i < end for i, _ in spans[k : k + 1]):
+            yield start, end
+
+
 def words_around(text: str, start: int, end: int) -> tuple[str, str]:
     """Two patterns: the two words before, and the words on both sides."""
     before = [w.strip(EDGE + "=").lower() for w in text[max(0, start - AROUND) : start].split()]
@@ -109,8 +122,8 @@ def words_around(text: str, start: int, end: int) -> tuple[str, str]:
 
 
 def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
-    """Every seed and every other token with its value, kind or resembled kind, and its two context patterns."""
-    spots = [(k, k, i, j) for k, i, j in base] + [(None, shape(text[i:j]), i, j) for i, j in other_tokens(text, base)]
+    """Every seed, every other word and every run of digit groups with its value, kind or resembled kind, and its two context patterns."""
+    spots = [(k, k, i, j) for k, i, j in base] + [(None, shape(text[i:j]), i, j) for i, j in (*other_tokens(text, base), *digit_runs(text, base))]
     return [dict(seed=seed, kind=kind, start=i, end=j, value=text[i:j].lower(), patterns=list(words_around(text, i, j))) for seed, kind, i, j in spots]
 
 
@@ -166,7 +179,7 @@ def bootstrap(staging: Staging, seen: DataFrame, rounds: int = ROUNDS) -> DataFr
 def find(staging: Staging, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: id, ``n_*``, ``base`` and ``spans`` (kind:start:end, by kind and start), ``n_found``.
 
-    Base spans always stay; spans that the contexts reveal follow as ``found_`` kinds. Null and empty texts have no
+    Base spans always stay; spans that the contexts reveal follow as ``found_`` kinds, without those inside another. Null and empty texts have no
     spans; long texts are read whole; repeated rows have equal spans and count once as values; an empty table gives
     an empty result; other columns are not read.
     """
@@ -175,6 +188,8 @@ def find(staging: Staging, docs: DataFrame, id_col: str = "doc_id", text_col: st
     seen = rows.where(F.size("found") > 0).select("row", F.explode("found").alias("f")).select("row", "f.*")
     revealed = bootstrap(staging, seen).select(F.col("value").alias("_value"), F.col("kind").alias("_kind"))
     hits = seen.where("seed IS NULL AND kind IS NOT NULL").join(revealed, (F.col("value") == F.col("_value")) & (F.col("kind") == F.col("_kind")))
+    before = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
+    hits = hits.withColumn("reached", F.max("end").over(before)).where("reached IS NULL OR end > reached")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     spans = hits.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct(order.alias("no"), "start", "end", "kind"))).alias("more"))
     text = F.array_join(F.transform("more", lambda s: F.concat_ws(":", F.concat(F.lit("found_"), s["kind"]), s["start"], s["end"])), ",")
