@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = {n.split("_")[0] for n in entry.queries()}
-    assert {f"op{k}" for k in range(1, 11)} <= names
+    assert {f"op{k}" for k in range(1, 14)} <= names
     assert "pipeline" in entry.queries()
 
 
