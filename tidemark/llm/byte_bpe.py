@@ -12,8 +12,9 @@ from functools import cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table
+from tidemark.llm.common import as_text, from_text, query, table
 
 #: Code point classes. The letters of the contractions are classes of their own.
 SEP, SPACE, WHITE, LETTER, NUMBER, OTHER, QUOTE, S, T, R, V, M, L, D, E = range(15)
@@ -272,7 +273,6 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     rows are encoded each; an empty table gives an empty result; other columns are not read. ``path`` names the
     rank file, which every executor opens for itself.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -282,8 +282,9 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 rows.append((sum([n for n, _, _ in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest(), len(found)))
             yield pd.concat([part[["id"]], pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "n_slices"], index=part.index)], axis=1)
 
-    narrow = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
-    return narrow.mapInPandas(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long").withColumnRenamed("id", id_col)
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    made = as_text(narrow, ["id"]).mapInPandas(run, "id string, n_tokens long, ids_sha256 string, decoded_sha256 string, n_slices long")
+    return from_text(made, ["id"], narrow).withColumnRenamed("id", id_col)
 
 
 @query("op9_byte_bpe")

@@ -42,6 +42,16 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with ``columns`` as text, for the way through pandas, where a null beside large numbers would round them."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("string") for c in columns})
+
+
+def from_text(df: DataFrame, columns: list[str], like: DataFrame) -> DataFrame:
+    """Undo :func:`as_text`: ``columns`` of ``df`` have the types that they have in ``like`` again."""
+    return df.withColumns({c: F.col(f"`{c}`").cast(like.schema[c].dataType) for c in columns})
+
+
 def tasks(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, remainder, table
+from tidemark.llm.common import as_text, from_text, query, remainder, table
 
 #: Bytes of a window, size of a byte's vector, filter widths, filters of each width.
 WINDOW, SIZE, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
@@ -169,8 +169,8 @@ def predict(docs: DataFrame, net: Network | None, columns: list[str], text_col:
             yield part.drop(columns="_text").assign(lang_pred=named, score=scores)
 
     narrow = docs.select(*columns, F.col(text_col).alias("_text"))
-    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in columns)
-    return narrow.mapInPandas(run, f"{schema}, lang_pred string, score double")
+    schema = "".join(f"`{c}` string, " for c in columns)
+    return from_text(as_text(narrow, columns).mapInPandas(run, f"{schema}lang_pred string, score double"), columns, docs)
 
 
 def bunches(used: list[int], texts: list[str], most: int = 2_000_000) -> Iterator[list[int]]:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, query, table, tasks
+from tidemark.llm.common import as_text, components, from_text, query, table, tasks
 from tidemark.staging import Staging
 
 #: Hashes of a signature, least number of orders.
@@ -76,7 +76,6 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 def described(docs: DataFrame, words: int) -> DataFrame:
     """Rows (row, id, h1, h2, text) to row, id, h1, h2, number of shingles, digest of the set, signature."""
-    kind = docs.schema["id"].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -86,7 +85,8 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 rows.append((len(found), hashlib.md5(found.tobytes()).digest(), signature(found).tobytes()))
             yield pd.concat([part.drop(columns="text"), pd.DataFrame(rows, columns=["n", "digest", "signature"], index=part.index)], axis=1)
 
-    return docs.mapInPandas(run, f"row long, id {kind}, h1 long, h2 long, n long, digest binary, signature binary")
+    made = as_text(docs, ["id"]).mapInPandas(run, "row long, id string, h1 long, h2 long, n long, digest binary, signature binary")
+    return from_text(made, ["id"], docs)
 
 
 def plan_orders(texts: int, percent: int) -> tuple[int, int]:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, remainder, table
+from tidemark.llm.common import as_text, from_text, query, remainder, table
 from tidemark.staging import Staging
 
 #: Labelled rows of each label to learn from, at most; entries of the learned word list, at most.
@@ -266,8 +266,8 @@ def score(docs: DataFrame, scorer: Scorer, columns: list[str], text_col: str = "
             yield part.drop(columns="_text").assign(score=scores, predicted=(scores >= threshold).astype("int32"))
 
     narrow = docs.select(*columns, F.col(text_col).alias("_text"))
-    schema = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in columns)
-    return narrow.mapInPandas(run, f"{schema}, score double, predicted int")
+    schema = "".join(f"`{c}` string, " for c in columns)
+    return from_text(as_text(narrow, columns).mapInPandas(run, f"{schema}score double, predicted int"), columns, docs)
 
 
 def drop_toxic(docs: DataFrame, scorer: Scorer, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
