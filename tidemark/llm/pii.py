@@ -10,14 +10,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table
+from tidemark.llm.common import as_text, from_text, query, table
 from tidemark.staging import Staging
 
 #: Kinds in their fixed order; what a context finds is named after the kind it resembles.
 KINDS = ("email", "ip", "card", "phone")
 #: Rounds of scoring, least confidence of a pattern, least sure instances of it, least score of a found identifier.
 ROUNDS, CONFIDENCE, SURE_INSTANCES, SCORE = 3, 0.8, 5, 0.9
-#: Characters looked at on both sides of an instance for its neighbouring words.
+#: Characters first looked at on both sides of an instance for its neighbouring words; more where these are longer.
 AROUND = 60
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -113,12 +113,32 @@ def digit_runs(text: str, taken: list[tuple[str, int, int]]) -> Iterator[tuple[i
             yield start, end
 
 
+def words_before(text: str, start: int) -> list[str]:
+    """The two words before a place, without the marks around them; fewer at the start of a text."""
+    width = AROUND
+    while True:
+        low = max(0, start - width)
+        pieces = text[low:start].split()
+        found = [w for w in (p.strip(EDGE + "=").lower() for p in pieces[low > 0 :]) if w]
+        if len(found) >= 2 or not low:
+            return found[-2:]
+        width *= 2
+
+
+def word_after(text: str, end: int) -> str:
+    """What stands behind a place up to the end of the next word, without the marks around it."""
+    width = AROUND
+    while True:
+        pieces = text[end : end + width].split()
+        if len(pieces) > 1 or end + width >= len(text):
+            return pieces[0].strip(EDGE).lower() if pieces else ""
+        width *= 2
+
+
 def words_around(text: str, start: int, end: int) -> tuple[str, str]:
     """Two patterns: the two words before, and the words on both sides."""
-    before = [w.strip(EDGE + "=").lower() for w in text[max(0, start - AROUND) : start].split()]
-    after = [w.strip(EDGE).lower() for w in text[end : end + AROUND].split()[:1]]
-    before, after = ["", *[w for w in before if w]][-2:], after or [""]
-    return f"{' '.join(before)} _", f"{before[-1]} _ {after[0]}"
+    before = ["", *words_before(text, start)][-2:]
+    return f"{' '.join(before)} _", f"{before[-1]} _ {word_after(text, end)}"
 
 
 def instances(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
@@ -132,7 +152,6 @@ INSTANCE = "struct<seed: string, kind: string, start: long, end: long, value: st
 
 def extract(docs: DataFrame) -> DataFrame:
     """Rows (row, id, text) to row, id, base counts, base spans as text and all instances."""
-    kind = docs.schema["id"].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -145,7 +164,8 @@ def extract(docs: DataFrame) -> DataFrame:
             yield pd.concat([part[["row", "id"]], made], axis=1)
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.mapInPandas(run, f"row long, id {kind}, {counts}, base string, found array<{INSTANCE}>")
+    made = as_text(docs, ["id"]).mapInPandas(run, f"row long, id string, {counts}, base string, found array<{INSTANCE}>")
+    return from_text(made, ["id"], docs)
 
 
 def bootstrap(staging: Staging, seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -206,4 +226,4 @@ def find(staging: Staging, docs: DataFrame, id_col: str = "doc_id", text_col: st
 @query("op1_pii")
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(Staging(spark), table(spark, sf_dir, "documents"))
-    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2("base", 256).alias("base_sha256"), "spans", "n_found")
