@@ -77,11 +77,11 @@ def test_word_ids_equal_whole_texts():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     rng, mine = random.Random(4), packing.WordIds(path)
     letters = " \t\n\x1c\x85 éÉAİΣσs'tlve1²中<|endoftext|>.,̈ﬁ"
     for _ in range(2000):
-        text = "".join(rng.choice(letters) for _ in range(rng.randrange(20))) + rng.choice(["", "<|endoftext|>"])
+        parts = ["".join(rng.choice(letters) for _ in range(rng.randrange(20))) for _ in range(rng.randrange(1, 4))]
+        text = rng.choice(["", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", " <|endoftext|>.", "<|endoftext|><|endoftext|>"]).join(parts)
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
@@ -119,7 +119,10 @@ def test_local_search_empties_bins_by_swaps_and_moves():
     lengths = [55, 40, 60, 45]
     after = packing.improve([[0, 1], [2], [3]], lengths, 100)
     assert sorted(sorted(lengths[i] for i in b) for b in after) == [[40, 60], [45, 55]]
-    assert packing.exchange([0], [1, 2], 10, [50, 30, 25]) == ([2, 1], [0])
+    offers = lambda *items: packing.Offers(list(items), [50, 30, 25, 60, 20, 15])
+    taken, given = packing.exchange(offers(0), offers(1, 2), 10)
+    assert (sorted(taken), given) == ([1, 2], [0])
+    assert packing.exchange(offers(3), offers(4, 5), 40) == ([4], [])
     rng = random.Random(3)
     for _ in range(50):
         lengths = [rng.randrange(1, 90) for _ in range(60)]
@@ -129,6 +132,13 @@ def test_local_search_empties_bins_by_swaps_and_moves():
         assert all(0 < sum(lengths[i] for i in b) <= 100 for b in after)
 
 
+def test_pairs_of_all_items_are_offered():
+    lengths = [1] * 40 + [3] * 40 + [700, 710, 5, 9]
+    offers = packing.Offers(list(range(len(lengths))), lengths)
+    assert offers.pair(1410) == (1410, [80, 81]) and offers.pair(1409)[0] == 719
+    assert offers.pair(2)[0] == 2 and offers.pair(1) == (0, []) and offers.single(8)[0] == 5
+
+
 def test_packing_awkward(awkward, nothing, staging):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = packing.pack(staging, packing.pieces(awkward, path)).collect()

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
 
@@ -12,12 +13,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import query, table
+from tidemark.llm.common import as_text, from_text, query, table
 from tidemark.staging import Staging
 
-#: Tokens of a sequence, id behind every document, pieces packed together in one task, most rounds of the search,
-#: items of a bin that are offered in pairs, remembered words.
-CAPACITY, END_ID, GROUP, ROUNDS, PAIRED, MEMORY = 2048, 0, 8192, 200, 32, 1_200_000
+#: Tokens of a sequence, id behind every document, pieces packed together in one task, remembered words.
+CAPACITY, END_ID, GROUP, MEMORY = 2048, 0, 8192, 1_200_000
 #: Marks that the tokenizer surely parts from letters before them.
 MARKS = ".,;:!?|*&%$#)"
 
@@ -25,17 +25,30 @@ MARKS = ".,;:!?|*&%$#)"
 class WordIds:
     """Ids of texts as little-endian 32-bit words; each word is encoded once and remembered, up to a bound.
 
-    Words end at ASCII white space, which surely parts them for the tokenizer; other white space is left to it.
+    Words end at ASCII white space, which surely parts them for the tokenizer; other white space is left to it. The
+    tokenizer's added tokens are found in the whole text first, as it does itself, so the words between them hold none.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"{path} has added tokens that are not matched as they stand")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
+        # words are lower-cased before they are looked up, which must not make an added token of one
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {b"": b""}
 
     def encode(self, text: str) -> bytes:
+        if not any(token in text for token in self.added):
+            return self.plain(text)
+        return b"".join(self.added[part] if k % 2 else self.plain(part) for k, part in enumerate(self.cuts.split(text)))
+
+    def plain(self, text: str) -> bytes:
         words = text.encode("utf-8", "replace").split()
         new = set(words).difference(self.known)
         if new and len(self.known) + 2 * len(new) > MEMORY:
@@ -79,7 +92,6 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     A text's ids end with ``END_ID``. Only a text of more than ``capacity`` ids is cut, into pieces of that length;
     the last one may be shorter. Null and empty texts are one piece of one id. Every executor opens the file.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end = word_ids(path).encode, np.array([END_ID], "<u4").tobytes()
@@ -90,12 +102,11 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at : at + 4 * capacity]
                     rows.append((row, doc_id, k, at // 4, len(cut) // 4, zlib.crc32(cut), cut if with_ids else None))
-            made = pd.DataFrame(rows, columns=["row", "id", "piece", "start", "length", "ids_crc32", "ids"])
-            made["id"] = made["id"].astype("Int64") if part["id"].dtype.kind in "fiu" else made["id"]
-            yield made
+            yield pd.DataFrame(rows, columns=["row", "id", "piece", "start", "length", "ids_crc32", "ids"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cut = rows.mapInPandas(run, f"row long, id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
+    cut = as_text(rows, ["id"]).mapInPandas(run, "row long, id string, piece int, start long, length long, ids_crc32 long, ids binary")
+    cut = from_text(cut, ["id"], rows)
     return cut.withColumnRenamed("id", id_col) if with_ids else cut.drop("ids").withColumnRenamed("id", id_col)
 
 
@@ -115,34 +126,63 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def exchange(target: list[int], donor: list[int], gap: int, lengths: list[int]) -> tuple[list[int], list[int]] | None:
+class Offers:
+    """What a bin can give: its items by length, and the lengths of single items and of pairs, sorted.
+
+    Lengths that differ add up to at most the capacity, so there are few of them (63 of 2048) and all pairs are looked at.
+    """
+
+    def __init__(self, items: list[int], lengths: list[int]):
+        self.items: dict[int, list[int]] = {}
+        for item in items:
+            self.items.setdefault(lengths[item], []).append(item)
+        self.singles = sorted(self.items)
+        sizes = self.singles
+        both = {a + b: (a, b) for k, a in enumerate(sizes) for b in sizes[k:] if a != b or len(self.items[a]) > 1}
+        self.pairs, self.parts = sorted(both), both
+
+    def single(self, most: int) -> tuple[int, list[int]]:
+        """The largest item of at most ``most``: its length and itself."""
+        at = bisect_right(self.singles, most)
+        return (self.singles[at - 1], self.items[self.singles[at - 1]][:1]) if at else (0, [])
+
+    def pair(self, most: int) -> tuple[int, list[int]]:
+        """The largest two items of together at most ``most``."""
+        at = bisect_right(self.pairs, most)
+        if not at:
+            return 0, []
+        a, b = self.parts[self.pairs[at - 1]]
+        return a + b, [self.items[a][0], self.items[b][-1]]
+
+
+def exchange(target: Offers, donor: Offers, gap: int) -> tuple[list[int], list[int]] | None:
     """Items to take out of ``donor`` and ``target`` so that ``target`` grows most, by at most ``gap``.
 
     Tries a move, one for one, and two for one. ``donor`` must not be fuller than ``target``: then the sum of
     squared fills grows with every exchange.
     """
-    best, found = 0, None
-    offers = sorted((lengths[b], (b,)) for b in donor)
-    pairs = [(lengths[a] + lengths[b], (a, b)) for i, a in enumerate(donor[:PAIRED]) for b in donor[:i]]
-    offers = sorted([*offers, *pairs], key=lambda x: x[0])
-    sizes = [size for size, _ in offers]
-    wanted = [(0, ()), *((lengths[a], (a,)) for a in target)]
-    for size, given in wanted:
-        at = bisect_left(sizes, size + gap + 1) - 1
-        if at >= 0 and (gain := sizes[at] - size) > best and (given or len(offers[at][1]) == 1):
-            best, found = gain, (list(offers[at][1]), list(given))
+    best, out = donor.single(gap)
+    found = (out, []) if out else None
+    for size in target.singles:
+        if best == gap:
+            break
+        for taken, out in (donor.single(size + gap), donor.pair(size + gap)):
+            if taken - size > best:
+                best, found = taken - size, (out, target.items[size][:1])
     return found
 
 
 def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Local search: the emptiest bins give to fuller ones by moves and swaps, until some are empty.
 
-    Every exchange makes a fuller bin fuller, so the sum of squared fills grows and the search ends. It stops as
-    soon as no packing with fewer bins can exist.
+    Every exchange makes a fuller bin fuller, so the sum of squared fills grows and the search ends by itself, when no
+    exchange is left. It stops earlier as soon as no packing with fewer bins can exist.
     """
     least = -(-sum(lengths) // capacity)
     fill = [sum(lengths[i] for i in b) for b in bins]
-    for _ in range(ROUNDS):
+    offers = [Offers(b, lengths) if f < capacity else None for b, f in zip(bins, fill, strict=True)]
+    changed = True
+    while changed:
         open_ = sorted((k for k in range(len(bins)) if 0 < fill[k] < capacity), key=lambda k: -fill[k])
         if sum(f > 0 for f in fill) <= least or len(open_) < 2:
             break
@@ -151,16 +191,15 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
             for target in open_:
                 if target == donor or not 0 < fill[donor] <= fill[target] < capacity:
                     continue
-                if found := exchange(bins[target], bins[donor], capacity - fill[target], lengths):
+                if found := exchange(offers[target], offers[donor], capacity - fill[target]):
                     out, back = found
                     bins[target] = [i for i in bins[target] if i not in back] + out
                     bins[donor] = [i for i in bins[donor] if i not in out] + back
+                    offers[target], offers[donor] = Offers(bins[target], lengths), Offers(bins[donor], lengths)
                     moved = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
                     fill[target], fill[donor], changed = fill[target] + moved, fill[donor] - moved, True
             if not fill[donor]:
                 break
-        if not changed:
-            break
     return [b for b in bins if b]
 
 
