@@ -9,6 +9,7 @@ from tidemark.functions.columns import percent
 from tidemark.operators.keys import place_in_order
 from tidemark.staging import Staging
 
+STANDINGS = ["share_in_group", "share_in_nation", "rank_in_group", "rank_in_nation"]
 _CELL = ["_part", "_period", "_no_period", "_group", "_no_group"]
 
 
@@ -20,6 +21,7 @@ def standings(
     tiebreak: str,
     staging: Staging,
     period_columns: DataFrame | None = None,
+    reread: bool = False,
 ) -> DataFrame:
     """Add rank and share of ``value`` in (group, period) and in (period), at any size.
 
@@ -32,10 +34,12 @@ def standings(
     ever receives more than one sort range of a period or group.
 
     ``period_columns`` is an optional table with one row per period whose
-    other columns are added, through the small cell table.
+    other columns are added, through the small cell table. ``reread`` says that
+    the rows are cheap to compute twice, so no copy is written before the sort.
     """
     order = [F.col(period), F.col(value).desc_nulls_last(), F.col(tiebreak)]
-    placed = place_in_order(staging.freeze(df, "unsorted"), order, staging, "standings").withColumns(
+    rows = df if reread else staging.freeze(df, "unsorted")
+    placed = place_in_order(rows, order, staging, "standings").withColumns(
         {
             "_period": F.coalesce(F.col(period).cast("string"), F.lit("")),
             "_no_period": F.col(period).isNull(),
@@ -60,6 +64,18 @@ def standings(
     )
 
 
+def standings_by_key(df: DataFrame, group: str, period: str, value: str, key: str, staging: Staging) -> DataFrame:
+    """One row per ``key`` with ``standings``, a map from its periods to ranks and shares.
+
+    The rank index: only (period, group, value, key) is sorted, numbered and shuffled, and wide rows that are
+    partitioned by ``key`` already take their ranks by a join on it without another exchange. ``key`` and period are
+    not null and unique together, so a map holds at most one entry per period.
+    """
+    ranked = standings(df.select(key, group, period, value), group, period, value, key, staging, reread=True)
+    entry = F.struct(F.col(period).alias("key"), F.struct(*STANDINGS).alias("value"))
+    return ranked.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("standings"))
+
+
 def _added(period_columns: DataFrame | None, period: str) -> list[str]:
     return [c for c in period_columns.columns if c != period] if period_columns is not None else []
 

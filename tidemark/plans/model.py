@@ -14,7 +14,7 @@ from tidemark.operators.keys import dense_index, spine_index
 from tidemark.operators.rollup import mean
 from tidemark.operators.series import fold_series, series_wide
 from tidemark.operators.spine import union_periods
-from tidemark.operators.standings import standings
+from tidemark.operators.standings import STANDINGS, standings, standings_by_key
 from tidemark.staging import Staging
 
 DIM_ENTITY = [
@@ -96,7 +96,8 @@ def fact_entity(
     """Entity fact from cleaned measure and rate, both unique per entity and period.
 
     ``total`` is in thousands. One shuffle by entity serves the outer join, both
-    dimension lookups and the growth; one sort serves all ranks and shares.
+    dimension lookups, the growth and the ranks; these come from an index of
+    narrow rows, sorted once, so no full row is sorted or shuffled for them.
     """
     return fact_from_totals(totals(measure, rate), entities, periods, staging, strict_growth)
 
@@ -104,8 +105,21 @@ def fact_entity(
 def fact_from_totals(
     both: DataFrame, entities: DataFrame, periods: DataFrame, staging: Staging, strict_growth: bool = False
 ) -> DataFrame:
-    """Entity fact from the table of ``totals``."""
-    located = attach(both, entities, "entity_code", ["entity_key", "group_code"])
+    """Entity fact from the table of ``totals``, whose entities and periods are not null, as cleaning leaves them."""
+    return fact_from_index(both, entities, periods, totals_index(both, entities, staging), strict_growth)
+
+
+def totals_index(both: DataFrame, entities: DataFrame, staging: Staging) -> DataFrame:
+    """Ranks and shares of every entity, as a map by period; ``entities`` needs code and group only."""
+    narrow = attach(both.select("entity_code", "period", "total"), entities, "entity_code", ["group_code"])
+    return standings_by_key(narrow, "group_code", "period", "total", "entity_code", staging)
+
+
+def fact_from_index(
+    both: DataFrame, entities: DataFrame, periods: DataFrame, index: DataFrame, strict_growth: bool = False
+) -> DataFrame:
+    """Entity fact from the totals, both dimensions and the rank index: one full-width shuffle, by entity."""
+    located = attach(both, entities, "entity_code", ["entity_key"])
     grown = with_growth(
         located,
         {"total": "growth_total", "measure": "growth_measure"},
@@ -113,9 +127,9 @@ def fact_from_totals(
         ["entity_code"],
         strict_growth,
     )
-    period_keys = periods.select("period", "period_key")
-    placed = standings(grown, "group_code", "period", "total", "entity_code", staging, period_keys)
-    return placed.select(*FACT_ENTITY)
+    placed = attach(grown, index, "entity_code", ["standings"]).withColumn("_found", F.element_at("standings", F.col("period")))
+    ranked = placed.withColumns({c: F.col(f"_found.{c}") for c in STANDINGS})
+    return attach(ranked, periods, "period", ["period_key"]).select(*FACT_ENTITY)
 
 
 def fact_group(fact: DataFrame, entities: DataFrame, staging: Staging) -> DataFrame:

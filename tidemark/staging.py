@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,12 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def at_once(steps: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent steps at the same time, each of which may start Spark jobs; the first error is raised."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return dict(zip(steps, pool.map(lambda step: step(), steps.values()), strict=True))
+
+
 class Staging:
     """One run's own folder under the shared root."""
 
@@ -47,9 +54,7 @@ class Staging:
 
     def freeze_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Freeze independent tables at the same time, so that small jobs overlap."""
-        with ThreadPoolExecutor(len(tables)) as pool:
-            frozen = pool.map(lambda item: self.freeze(item[1], item[0]), tables.items())
-            return dict(zip(tables, frozen, strict=True))
+        return at_once({name: lambda name=name, df=df: self.freeze(df, name) for name, df in tables.items()})
 
     def folder(self, name: str) -> str:
         """A fresh path below this run's folder."""

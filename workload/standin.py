@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
 from tidemark.sources.lake import read_table
-from tidemark.staging import Staging
+from tidemark.staging import Staging, at_once
 
 SERIES = {"view": 11, "signup": 12, "purchase": 13, "error": 14, "click": 15, "uncoded": None}
 SERIES_NAMES = ["view", "signup", "purchase", "error", "click"]
@@ -124,14 +124,14 @@ def order_values_sql(factor: int) -> str:
 
 
 def measure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean measure. Lines are summed per order and orders per customer before each join."""
+    """Clean measure, summed in whole hundredths. Lines are summed per order and orders per customer before each join."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
-    per_order = lines.agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"))
+    per_order = lines.agg(F.sum(F.round(F.col("l_quantity") * 100).cast("bigint")).alias("hundredths"))
     orders = table(spark, sf_dir, "orders")
     per_customer = (
         orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
         .groupBy("o_custkey", F.year("o_orderdate").alias("period"))
-        .agg(F.sum("quantity").cast("bigint").alias("measure"))
+        .agg(F.expr("sum(hundredths) div 100").alias("measure"))
     )
     return _with_entity(spark, sf_dir, per_customer, "measure")
 
@@ -241,17 +241,19 @@ def star_inputs(spark: SparkSession, sf_dir: str, staging: Staging) -> dict[str,
 
 
 def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. What several of them read is written first."""
+    """Dimensions and entity fact. What several of them read is written first; dimensions and rank index at the same time."""
     staging = staging or Staging(spark)
     inputs = star_inputs(spark, sf_dir, staging)
-    dimensions = staging.freeze_all(
+    places, totals = inputs["localities"], inputs["totals"]
+    built = at_once(
         {
-            "dim_entity": model.dim_entity(inputs["localities"], staging),
-            "dim_period": model.dim_period(spark, [inputs["totals"]]),
+            "dim_entity": lambda: staging.freeze(model.dim_entity(places, staging), "dim_entity"),
+            "dim_period": lambda: staging.freeze(model.dim_period(spark, [totals]), "dim_period"),
+            "index": lambda: model.totals_index(totals, places, staging),
         }
     )
-    entities, periods = dimensions["dim_entity"], dimensions["dim_period"]
-    fact = model.fact_from_totals(inputs["totals"], entities, periods, staging)
+    entities, periods = built["dim_entity"], built["dim_period"]
+    fact = model.fact_from_index(totals, entities, periods, built["index"])
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
 
 
