@@ -10,7 +10,9 @@ from tidemark.plans.run import FullRun, Job, Lake, report_frame, run_layer
 from tidemark.quality.rules import DatasetRules
 from tidemark.sinks.contract import CONTRACTS, Contract, ContractBroken, contract_violations, require_contract, to_contract
 from tidemark.sinks.jdbc import JdbcTarget, create_all, create_if_absent, export_all, export_table
-from tidemark.sinks.parquet import apply_retention, layout_of, retained, write_table
+from tidemark.sinks import folders, retention
+from tidemark.sinks.parquet import layout_of, retained, write_table
+from tidemark.sinks.retention import expire
 from tidemark.staging import shared_root
 
 
@@ -56,19 +58,68 @@ def test_retention(spark, tmp_path):
     assert sorted(r.v for r in retained(df, "silver", today).collect()) == [1, 2]
     assert retained(df, "gold", today).count() == 3
     write_table(df, str(tmp_path / "a"))
-    assert apply_retention(spark, str(tmp_path / "a"), str(tmp_path / "b"), "silver", today) == 2
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 2
+    assert expire(spark, str(tmp_path / "a"), "silver", today) == 2
+    assert spark.read.parquet(folders.current(spark, str(tmp_path / "a"))).count() == 2
 
 
 def test_expired_rows_leave_a_table(spark, tmp_path):
-    from tidemark.plans.lakehouse import expire
-
     lake, today = Lake(spark, str(tmp_path)), dt.date(2024, 6, 1)
     df = spark.createDataFrame([(1, 2020, dt.date(2024, 1, 1)), (2, 2021, dt.date(2024, 5, 1))], "v int, period int, load_date date")
     write_table(df, lake.path("bronze", "measure"), partition_by=["period"])
-    assert expire(lake, "bronze", "measure", today) == 1 and expire(lake, "bronze", "measure", today) is None
+    path = lake.path("bronze", "measure")
+    assert expire(spark, path, "bronze", today) == 1 and expire(spark, path, "bronze", today) is None
     assert [r.v for r in lake.read("bronze", "measure").collect()] == [2]
-    assert expire(lake, "bronze", "absent", today) is None
+    assert expire(spark, lake.path("bronze", "absent"), "bronze", today) is None
+    assert expire(spark, path, "bronze", dt.date(2030, 1, 1)) == 0 and lake.find("bronze", "measure") is None
+
+
+def mixed_table(spark, path):
+    """One partition within its time, one past it, one with rows of both, one without any date."""
+    days = {1: (2024, dt.date(2024, 5, 1)), 2: (2020, dt.date(2023, 1, 1)), 3: (2021, dt.date(2023, 1, 1)), 4: (2021, dt.date(2024, 5, 2)), 5: (2019, None)}
+    df = spark.createDataFrame([(v, period, day, "a b/%") for v, (period, day) in days.items()], "v int, period int, load_date date, source string")
+    write_table(df, path, partition_by=["period", "source"])
+
+
+def test_only_partitions_that_lose_some_rows_make_a_new_version(spark, tmp_path, monkeypatch):
+    path, today = str(tmp_path / "t"), dt.date(2024, 6, 1)
+    mixed_table(spark, path)
+    read = []
+    written = retention.write_table
+    monkeypatch.setattr(retention, "write_table", lambda df, *a, **k: (read.extend(df.inputFiles()), written(df, *a, **k))[1])
+    assert expire(spark, path, "bronze", today) == 2
+    assert rows(spark.read.parquet(folders.current(spark, path)).select("v", "period", "source")) == [(1, 2024, "a b/%"), (4, 2021, "a b/%")]
+    assert folders.names(spark, path) == ["_versions"] and folders.names(spark, f"{path}/_versions") == ["1"]
+    # the next landing and the next retention work on the version
+    write_table(spark.createDataFrame([(6, 2024, dt.date(2023, 1, 1), "a b/%")], "v int, period int, load_date date, source string"), folders.current(spark, path), partition_by=["period", "source"])
+    assert expire(spark, path, "bronze", today) == 1
+    assert [r.v for r in spark.read.parquet(folders.current(spark, path)).collect()] == [4]
+
+
+@pytest.mark.parametrize("died_in", ["write_table", "publish", "forget_others", "delete"])
+def test_a_run_that_dies_leaves_a_whole_table(spark, tmp_path, monkeypatch, died_in):
+    path, today = str(tmp_path / "t"), dt.date(2024, 6, 1)
+    mixed_table(spark, path)
+    place = retention if died_in == "write_table" else folders
+    whole, calls = getattr(place, died_in), []
+
+    def dies(*args, **kwargs):
+        calls.append(args)
+        # the first call of these two is the clean-up before any work
+        if died_in in ("forget_others", "delete") and len(calls) == 1:
+            return whole(*args, **kwargs)
+        if died_in == "write_table":
+            whole(*args, **kwargs)
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(place, died_in, dies)
+        with pytest.raises(RuntimeError, match="killed"):
+            expire(spark, path, "bronze", today)
+    seen = sorted(r.v for r in spark.read.parquet(folders.current(spark, path)).collect())
+    assert seen == ([1, 4] if died_in in ("forget_others", "delete") else [1, 2, 3, 4, 5])
+    expire(spark, path, "bronze", today)
+    assert sorted(r.v for r in spark.read.parquet(folders.current(spark, path)).collect()) == [1, 4]
+    assert folders.names(spark, path) == ["_versions"] and len(folders.names(spark, f"{path}/_versions")) == 1
 
 
 SMALL = Contract({"k": "bigint", "name": "varchar(3)", "v": "decimal(5,2)", "absent": "int"}, ["k", "name"], ["k"])
@@ -214,7 +265,6 @@ def test_layer_run_goes_on_after_a_failure(spark, tmp_path):
     assert run.pass_rate == 75.0 and run.rows == 2
     counted = Job("counted", lambda lake: periods(spark, [(1, 2020, "a")]), rejects=lambda lake: spark.createDataFrame([(2,), (3,)], "files long"))
     assert run_layer(lake, "silver", [counted], []).report[0][-1] == "files: 5"
-    assert run_layer(lake, "silver", jobs[:1], [], failed={"good": ["raw"]}).report[0][2] == "skipped"
     unchecked = run_layer(lake, "silver", jobs[:1], rules, checks_enabled=False)
     assert unchecked.pass_rate is None
     failed = spark.createDataFrame([("t", False, "x")], "table string, exported boolean, message string")
@@ -295,3 +345,126 @@ def test_default_periods_and_enriched_nation(spark, tmp_path):
     status = {r.table: r.exported for r in run.export.collect()}
     assert set(status) == {"dim_period", "fact_nation", "dim_entity", "fact_entity", "fact_group"}
     assert not any(status.values()) and run.overall()["exported"] is False
+
+
+PLACES = "entity_code string, entity_name string, group_code string, group_short string, group_name string, region_code string, region_name string, region_short string"
+VALUES = "entity_code string, entity_name string, period int, value double, source string"
+
+
+def small_sources(spark, measures, rates=((1, 2020, 2.0), (1, 2021, 3.0), (1, 2023, 4.0), (2, 2020, 1.0)), groups=("01", "01")):
+    """Two entities; rows of values are (entity, period, value)."""
+    from tidemark.sources.series import land_series, series_catalogue
+
+    code = "010000{}".format
+    places = [(code(k), "n", group, group, f"g{group}", "1", "r", "R") for k, group in enumerate(groups, 1)]
+    values = lambda data, source: spark.createDataFrame([(code(k), "n", p, float(v), source) for k, p, v in data], VALUES)
+    points = spark.createDataFrame([("01/02/2021", "1.0", 5)], "data string, valor string, series_code int")
+    return {
+        "localities": lambda lake: spark.createDataFrame(places, PLACES),
+        "measure": lambda lake: values(measures, "m"),
+        "rate": lambda lake: values(rates, "r"),
+        "series": lambda lake: land_series(points, series_catalogue(spark, {"x": 5}), "api"),
+    }
+
+
+def statuses(spark, run):
+    return {f"{r.layer}/{r.dataset}": r.status for r in report_frame(spark, run.layers).collect()}
+
+
+def test_tables_of_an_earlier_run_never_stand_in(spark, tmp_path):
+    from tidemark.plans.lakehouse import run_all
+
+    years, lake = list(range(2019, 2025)), Lake(spark, str(tmp_path))
+    sources = small_sources(spark, [(1, 2020, 10), (2, 2020, 20), (1, 2021, 30)])
+    first = run_all(lake, sources, ["x"], years, years, enrich=True)
+    assert set(statuses(spark, first).values()) == {"done"}
+
+    def down(lake):
+        raise RuntimeError("down")
+
+    without = statuses(spark, run_all(lake, {**sources, "series": down}, ["x"], years, years, enrich=True))
+    assert [k for k, s in without.items() if s != "done"] == ["bronze/series", "silver/series", "gold/fact_nation"]
+    without = statuses(spark, run_all(lake, {**sources, "localities": down}, ["x"], years, years))
+    assert [k for k, s in without.items() if s == "skipped"] == [
+        "silver/localities", "gold/entity_keys", "gold/dim_entity", "gold/fact_entity", "gold/fact_group", "gold/fact_nation"
+    ]
+    with pytest.raises(ValueError, match="failed in this run"):
+        replace(lake, hidden=frozenset({"gold/dim_entity"})).read("gold", "dim_entity")
+    assert replace(lake, hidden=frozenset({"gold/dim_entity"})).find("gold", "dim_entity") is None
+
+
+def test_datasets_that_wait_for_each_other_are_an_error(spark, tmp_path):
+    jobs = [Job("a", lambda lake: None, needs=["b"]), Job("b", lambda lake: None, needs=["a"])]
+    with pytest.raises(ValueError, match="wait for each other"):
+        run_layer(Lake(spark, str(tmp_path)), "silver", jobs, [])
+
+
+def test_independent_datasets_run_at_the_same_time(spark, tmp_path):
+    import threading
+
+    both = threading.Barrier(2, timeout=60)
+
+    def build(lake):
+        both.wait()
+        return periods(spark, [(1, 2020, "a")])
+
+    run = run_layer(Lake(spark, str(tmp_path)), "silver", [Job("a", build), Job("b", build)], [])
+    assert [row[2] for row in run.report] == ["done", "done"]
+
+
+def test_only_changed_partitions_of_the_facts_are_written(spark, tmp_path):
+    from tidemark.plans.lakehouse import run_all
+
+    years, lake, whole = list(range(2019, 2026)), Lake(spark, str(tmp_path / "a")), Lake(spark, str(tmp_path / "b"))
+    old = [(1, 2020, 10), (1, 2021, 30), (1, 2022, 5), (1, 2023, 40), (2, 2020, 20), (2, 2024, 50)]
+    options = {"checks_enabled": False, "gold_by_period": True}
+
+    def files(name):
+        return {p: sorted(folders.names(spark, f"{lake.folder('gold', name)}/{p}")) for p in folders.names(spark, lake.folder("gold", name)) if "=" in p}
+
+    def changed(name, before):
+        return {p for p, held in files(name).items() if held != before.get(p)}
+
+    def same_as_whole(sources):
+        run_all(whole, sources, ["x"], years, years, checks_enabled=False)
+        for name in ("fact_entity", "fact_group", "fact_nation"):
+            columns = whole.read("gold", name).columns
+            assert rows(lake.read("gold", name).select(*columns)) == rows(whole.read("gold", name))
+
+    run_all(lake, small_sources(spark, old), ["x"], years, years, **options)
+    same_as_whole(small_sources(spark, old))
+    # entity 1 goes on in 2022 and the group too; entity 2 has no row in 2021
+    before = {name: files(name) for name in ("fact_entity", "fact_group")}
+    new = [(k, p, 99 if p == 2021 else v) for k, p, v in old]
+    run_all(lake, small_sources(spark, new), ["x"], 2021, 2021, landed=[2021], **options)
+    assert changed("fact_entity", before["fact_entity"]) == {"period=2021", "period=2022"}
+    assert changed("fact_group", before["fact_group"]) == {"period=2021", "period=2022"}
+    same_as_whole(small_sources(spark, new))
+    # a new last year touches nothing before it, a new year in between moves the later keys
+    before = files("fact_entity")
+    new += [(2, 2025, 7)]
+    run_all(lake, small_sources(spark, new), ["x"], 2025, 2025, landed=[2025], **options)
+    assert changed("fact_entity", before) == {"period=2025"}
+    same_as_whole(small_sources(spark, new))
+    before = files("fact_entity")
+    new += [(2, 2019, 3)]
+    run_all(lake, small_sources(spark, new), ["x"], 2019, 2019, landed=[2019], **options)
+    assert changed("fact_entity", before) == {f"period={p}" for p in range(2019, 2026)}
+    same_as_whole(small_sources(spark, new))
+    # another group of an entity is another basis: everything is built again
+    before = files("fact_entity")
+    run_all(lake, small_sources(spark, new, groups=("01", "02")), ["x"], 2025, 2025, landed=[2025], **options)
+    assert len(changed("fact_entity", before)) == 7
+    same_as_whole(small_sources(spark, new, groups=("01", "02")))
+
+
+def test_keys_stay_and_new_ones_follow(spark, staging):
+    from tidemark.operators.keys import new_keys
+
+    codes = lambda *held: spark.createDataFrame([(c,) for c in held], "code string")
+    first = staging.freeze(new_keys(codes("m", "c", "c", None, "x"), None, "code", "key", staging), "first")
+    assert rows(first) == [(0, "c"), (1, "m"), (2, "x")]
+    second = new_keys(codes("a", "m", "z"), first, "code", "key", staging)
+    assert rows(second) == [(3, "a"), (4, "z")]
+    assert rows(new_keys(codes("c"), first, "code", "key", staging)) == []
+    assert rows(new_keys(codes("q"), first.limit(0), "code", "key", staging)) == [(0, "q")]

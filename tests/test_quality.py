@@ -62,8 +62,12 @@ def test_completeness(sample, empty):
 def test_integrity(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (None,)], "pk int")
-    assert tuple(checks.integrity_report(child, parent, "k", "pk").first()) == (3, 2, False)
-    assert checks.integrity_report(child.filter("k = 1"), parent, "k", "pk").first().passed
+    assert tuple(checks.integrity_report(child, parent, "k", "pk").first()) == (3, 2, False, "null,2")
+    whole = checks.integrity_report(child.filter("k = 1"), parent, "k", "pk").first()
+    assert whole.passed and whole.sample is None
+    many = spark.range(1000).selectExpr("cast(id % 500 as int) AS k").repartition(7)
+    found = checks.integrity_report(many, parent, "k", "pk", size=4).first()
+    assert (found.total_child_keys, found.orphan_count, found.sample) == (500, 499, "0,2,3,4")
 
 
 def test_profile_and_error_rate(sample, empty):
@@ -100,3 +104,31 @@ def test_suite_counts_integrity_and_can_be_switched_off(spark, sample):
 def test_suite_on_an_empty_table(spark, empty):
     got = {r.check: r.passed for r in layer_checks(spark, {"sample": empty}, [RULES]).collect()}
     assert got == {"schema": False, "nulls": True, "completeness": False, "range_height": False, "duplicates": True}
+
+
+def test_rules_survive_the_way_through_a_table(spark):
+    from dataclasses import replace
+
+    from tidemark.quality.rules import BRONZE_RULES, DECLARED_RULES, GOLD_RULES, SILVER_RULES, rule_table, rules_from
+
+    rules = [*BRONZE_RULES, *SILVER_RULES, *GOLD_RULES[:2], replace(RULES, ranges={"height": (None, 150.0)}), DECLARED_RULES]
+    expected = [replace(r, checks=tuple(c for c in r.checks if c != "range" or r.ranges)) for r in rules]
+    assert rules_from(rule_table(spark, rules)) == expected
+
+
+def test_a_switched_off_check_takes_its_rows_alone(spark, sample):
+    from tidemark.quality.rules import rule_table, rules_from
+
+    table = rule_table(spark, [RULES])
+    whole = {r.check: r for r in layer_checks(spark, {"sample": sample}, rules_from(table)).collect()}
+    for check in ("schema", "nulls", "completeness", "duplicates", "range"):
+        left = layer_checks(spark, {"sample": sample}, rules_from(table.where(f"check <> '{check}'"))).collect()
+        assert {r.check: r for r in left} == {name: r for name, r in whole.items() if not name.startswith(check)}
+    assert layer_checks(spark, {"sample": sample}, rules_from(table.where("false"))).count() == 0
+
+
+def test_error_rate_as_a_check(spark, sample):
+    from dataclasses import replace
+
+    found = layer_checks(spark, {"sample": sample}, [replace(RULES, checks=(), error_rate=0.6)]).collect()
+    assert [(r.check, r.passed, r.checked, r.failed, r.metric) for r in found] == [("error_rate", True, 5, 3, 0.6)]

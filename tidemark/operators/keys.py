@@ -38,6 +38,20 @@ def dense_index(df: DataFrame, order: list[Column | str], staging: Staging, inde
     return indexed.select(index, *df.columns)
 
 
+def new_keys(codes: DataFrame, known: DataFrame | None, code: str, index: str, staging: Staging) -> DataFrame:
+    """Rows (``index``, ``code``) for the codes that have no key among ``known`` yet.
+
+    Known keys never change, also those of codes that are gone; new ones follow the largest without a gap, in the
+    order of the code. Without ``known`` the keys start at 0. Null codes get none.
+    """
+    fresh, start = codes.select(code).where(F.col(code).isNotNull()).distinct(), 0
+    if known is not None:
+        fresh = fresh.join(known.select(code), code, "left_anti")
+        largest = known.agg(F.max(index)).first()[0]
+        start = 0 if largest is None else largest + 1
+    return dense_index(fresh, [code], staging, index, start)
+
+
 def spine_index(values: DataFrame, column: str, index: str) -> DataFrame:
     """One-based position of each value of a short list, such as the distinct periods."""
     position = F.row_number().over(Window.orderBy(column)).cast("bigint")

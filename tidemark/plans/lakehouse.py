@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import audit_columns
-from tidemark.plans import clean, model
-from tidemark.plans.run import FullRun, Job, Lake, run_layer
+from tidemark.plans import clean, incremental, model
+from tidemark.plans.run import FullRun, Job, Lake, Layer, Whole, run_layers
 from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SILVER_RULES
 from tidemark.sinks.jdbc import JdbcTarget, export_all
-from tidemark.sinks.parquet import apply_retention, retained
+from tidemark.sinks.retention import expire
 from tidemark.sources.selection import pick_periods
 from tidemark.staging import Staging
 
@@ -21,10 +21,6 @@ MEASURE_PERIODS = [202201, 202210, 2024]
 RATE_PERIODS = list(range(2010, 2022))
 
 
-# Silver tables that each gold table cannot do without.
-GOLD_READS = {"dim_entity": ["localities"], "dim_period": [], "fact_entity": ["measure", "rate"]}
-
-
 def bronze_jobs(
     sources: dict[str, object],
     measure_period: int | list[int] | None = 2024,
@@ -69,10 +65,10 @@ def silver_jobs(entities_enabled: bool = True, rate_type: str = "decimal(18,4)",
         return df if landed is None else df.filter(F.col("period").isin(landed))
 
     return [
-        Job("localities", lambda lake: clean.clean_localities(lake.read("bronze", "localities")), entities_enabled),
-        Job("measure", lambda lake: clean.clean_measure(raw(lake, "measure")), entities_enabled),
-        Job("rate", lambda lake: clean.clean_rate(raw(lake, "rate"), rate_type), entities_enabled),
-        Job("series", lambda lake: clean.clean_series(lake.read("bronze", "series"))),
+        Job("localities", lambda lake: clean.clean_localities(lake.read("bronze", "localities")), entities_enabled, ["bronze/localities"]),
+        Job("measure", lambda lake: clean.clean_measure(raw(lake, "measure")), entities_enabled, ["bronze/measure"]),
+        Job("rate", lambda lake: clean.clean_rate(raw(lake, "rate"), rate_type), entities_enabled, ["bronze/rate"]),
+        Job("series", lambda lake: clean.clean_series(lake.read("bronze", "series")), True, ["bronze/series"]),
     ]
 
 
@@ -82,18 +78,48 @@ def gold_jobs(
     entities_enabled: bool = True,
     enrich: bool = False,
     as_of: dt.date | None = None,
+    landed: list[int] | None = None,
+    by_period: bool = False,
 ) -> list[Job]:
-    """Modelling jobs; without entity data the national fact comes from the series alone."""
+    """Modelling jobs; without entity data the national fact comes from the series alone.
+
+    With ``by_period`` the entity and the group fact are partitioned by period, and a run that landed a few periods
+    builds and replaces only the partitions that these change.
+    """
 
     def periods(lake: Lake) -> DataFrame:
         tables = [lake.find("silver", n) for n in ("measure", "rate")] if entities_enabled else []
         found = [t for t in tables if t is not None]
         return model.dim_period(lake.spark, found, lake.find("silver", "series"), as_of=as_of)
 
-    def entity_fact(lake: Lake) -> DataFrame:
+    def keys(lake: Lake) -> DataFrame:
+        return model.entity_keys(lake.read("silver", "localities"), lake.find("gold", "entity_keys"), staging)
+
+    def entities(lake: Lake) -> DataFrame:
+        return model.dim_entity(lake.read("silver", "localities"), staging, lake.read("gold", "entity_keys"))
+
+    def old(lake: Lake, name: str) -> DataFrame | None:
+        """The fact as it is, if only some of its partitions need to be built again."""
+        found = [lake.find("gold", n) for n in (name, "fact_basis")] if by_period and landed is not None else [None]
+        if any(table is None for table in found):
+            return None
+        return found[0] if found[1].first() == incremental.basis(lake.read("gold", "dim_entity")).first() else None
+
+    def entity_fact(lake: Lake) -> DataFrame | Whole:
         measure, rate = lake.read("silver", "measure"), lake.read("silver", "rate")
-        entities, spine = lake.read("gold", "dim_entity"), lake.read("gold", "dim_period")
-        return model.fact_entity(measure, rate, entities, spine, staging)
+        dimension, spine, before = lake.read("gold", "dim_entity"), lake.read("gold", "dim_period"), old(lake, "fact_entity")
+        if before is None:
+            return Whole(model.fact_entity(measure, rate, dimension, spine, staging))
+        after = measure.select("entity_code", "period").unionByName(rate.select("entity_code", "period"))
+        dirty = incremental.touched_periods(before, after, "entity_code", landed)
+        dirty = sorted({*dirty, *incremental.moved_periods(before, spine)})
+        return incremental.fact_entity_of(measure, rate, dimension, spine, dirty, staging)
+
+    def group_fact(lake: Lake) -> DataFrame | Whole:
+        fact, dimension, before = lake.read("gold", "fact_entity"), lake.read("gold", "dim_entity"), old(lake, "fact_group")
+        if before is None:
+            return Whole(model.fact_group(fact, dimension, staging))
+        return incremental.fact_group_of(before, fact, dimension, landed, staging)
 
     def nation(lake: Lake) -> DataFrame:
         if not entities_enabled:
@@ -102,35 +128,21 @@ def gold_jobs(
         fact = model.fact_nation(lake.read("gold", "fact_group"))
         return model.nation_enriched(fact, lake.read("silver", "series"), series_names) if enrich else fact
 
-    return [
-        Job("dim_entity", lambda lake: model.dim_entity(lake.read("silver", "localities"), staging), entities_enabled),
-        Job("dim_period", periods),
-        Job("fact_entity", entity_fact, entities_enabled, ["dim_entity", "dim_period"]),
-        Job(
-            "fact_group",
-            lambda lake: model.fact_group(lake.read("gold", "fact_entity"), lake.read("gold", "dim_entity"), staging),
-            entities_enabled,
-            ["fact_entity"],
-        ),
-        Job("fact_nation", nation, True, ["fact_group"] if entities_enabled else ["dim_period"]),
+    layout = ["period"] if by_period else []
+    measures = ["silver/measure", "silver/rate"]
+    national = ["fact_group", *(["silver/series"] if enrich else [])] if entities_enabled else ["dim_period", "silver/series"]
+    jobs = [
+        Job("entity_keys", keys, entities_enabled, ["silver/localities"], mode="append"),
+        Job("dim_entity", entities, entities_enabled, ["silver/localities", "entity_keys"]),
+        Job("dim_period", periods, needs=measures if entities_enabled else [], uses=["silver/series"]),
+        Job("fact_entity", entity_fact, entities_enabled, [*measures, "dim_entity", "dim_period"], partition_by=layout),
+        Job("fact_group", group_fact, entities_enabled, ["fact_entity", "dim_entity"], partition_by=layout),
+        Job("fact_nation", nation, True, national),
     ]
-
-
-def expire(lake: Lake, layer: str, dataset: str, as_of: dt.date) -> int | None:
-    """Replace a table by its rows inside the retention time; None where it was never written or has nothing to lose.
-
-    The kept rows are written beside the table first and then take its place, so no table is overwritten while it
-    is read.
-    """
-    df = lake.find(layer, dataset)
-    if df is None or df.count() == retained(df, layer, as_of).count():
-        return None
-    path, beside = lake.path(layer, dataset), lake.path(layer, f"{dataset}_retained")
-    rows = apply_retention(lake.spark, path, beside, layer, as_of)
-    files = lake.spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(lake.spark._jsc.hadoopConfiguration())
-    files.delete(lake.spark._jvm.org.apache.hadoop.fs.Path(path), True)
-    files.rename(lake.spark._jvm.org.apache.hadoop.fs.Path(beside), lake.spark._jvm.org.apache.hadoop.fs.Path(path))
-    return rows
+    if by_period:
+        basis = Job("fact_basis", lambda lake: incremental.basis(lake.read("gold", "dim_entity")), entities_enabled, ["fact_group"])
+        jobs.append(basis)
+    return jobs
 
 
 def run_all(
@@ -147,29 +159,29 @@ def run_all(
     checks_enabled: bool = True,
     landed: list[int] | None = None,
     retention_as_of: dt.date | None = None,
+    gold_by_period: bool = False,
 ) -> FullRun:
-    """Bronze, silver and gold in order, each followed by its checks unless these are off; then the export, if a target is given.
+    """Bronze, silver and gold, each followed by its checks unless these are off; then the export, if a target is given.
 
-    ``landed`` cleans only these periods. With ``retention_as_of`` the raw and the clean layer lose the rows past
-    their time at the end of the run. A dataset whose source failed in an earlier layer is skipped. A failed export is recorded and does not fail
-    the run.
+    The datasets of all layers are one graph: whatever a failed source reaches is skipped, and the tables of earlier
+    runs never stand in for it. ``landed`` cleans only these periods, and with ``gold_by_period`` models only what they
+    change; a run that did not finish is repeated with the same periods. With ``retention_as_of`` the raw and the clean
+    layer lose the rows past their time at the end of the run. A failed export is recorded and does not fail the run.
     """
     staging = Staging(lake.spark)
-    bronze = bronze_jobs(sources, measure_period, rate_period, entities_enabled, processed_at)
-    gold = gold_jobs(staging, series_names, entities_enabled, enrich)
+    layers = [
+        Layer("bronze", bronze_jobs(sources, measure_period, rate_period, entities_enabled, processed_at), BRONZE_RULES),
+        Layer("silver", silver_jobs(entities_enabled, rate_type, landed), SILVER_RULES),
+        Layer("gold", gold_jobs(staging, series_names, entities_enabled, enrich, None, landed, gold_by_period), GOLD_RULES, GOLD_REFERENCES),
+    ]
     try:
-        raw = run_layer(lake, "bronze", bronze, BRONZE_RULES, checks_enabled=checks_enabled)
-        stale = {name: [name] for name in raw.failures}
-        cleaned = run_layer(lake, "silver", silver_jobs(entities_enabled, rate_type, landed), SILVER_RULES, checks_enabled=checks_enabled, failed=stale)
-        stale = {name: [s for s in reads if s in cleaned.failures] for name, reads in GOLD_READS.items()}
-        modelled = run_layer(lake, "gold", gold, GOLD_RULES, GOLD_REFERENCES, checks_enabled, stale)
+        run = FullRun(run_layers(lake, layers, checks_enabled))
     finally:
         staging.clear()
-    run = FullRun([raw, cleaned, modelled])
     if retention_as_of is not None:
         for layer in ("bronze", "silver"):
             for dataset in ("localities", "measure", "rate", "series"):
-                expire(lake, layer, dataset, retention_as_of)
+                expire(lake.spark, lake.path(layer, dataset), layer, retention_as_of)
     if target is not None:
         try:
             run.export = export_all(lake.spark, lambda name: lake.find("gold", name), target)

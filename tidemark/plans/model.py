@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import period_half, period_quarter, ratio, with_total
 from tidemark.operators.combine import attach, stack_measures
 from tidemark.operators.growth import with_growth
-from tidemark.operators.keys import dense_index, spine_index
+from tidemark.operators.keys import dense_index, new_keys, spine_index
 from tidemark.operators.rollup import mean
 from tidemark.operators.series import fold_series, series_wide
 from tidemark.operators.spine import union_periods
@@ -43,10 +43,21 @@ FACT_ENTITY = [
     "rank_in_nation",
 ]
 
+GROUP_SUMS = ["group_code", "group_short", "group_name", "period", "entities", "measure", "total", "mean_rate"]
+FACT_GROUP = [*GROUP_SUMS, "growth_total", "growth_measure", "share_in_nation", "rank_in_nation"]
 
-def dim_entity(localities: DataFrame, staging: Staging) -> DataFrame:
-    """Entity dimension with a dense key in the order of the entity code."""
-    return dense_index(localities.select(*DIM_ENTITY), ["entity_code"], staging, "entity_key")
+
+def dim_entity(localities: DataFrame, staging: Staging, keys: DataFrame | None = None) -> DataFrame:
+    """Entity dimension with the ``keys`` given (entity_key, entity_code), else a dense key in the order of the code."""
+    places = localities.select(*DIM_ENTITY)
+    if keys is None:
+        return dense_index(places, ["entity_code"], staging, "entity_key")
+    return places.join(keys.select("entity_key", "entity_code"), "entity_code").select("entity_key", *DIM_ENTITY)
+
+
+def entity_keys(localities: DataFrame, known: DataFrame | None, staging: Staging) -> DataFrame:
+    """Keys of the entities that have none yet: keys once given stay, whatever lands later."""
+    return new_keys(localities, known, "entity_code", "entity_key", staging)
 
 
 def dim_period(
@@ -134,36 +145,31 @@ def fact_from_index(
 
 def fact_group(fact: DataFrame, entities: DataFrame, staging: Staging) -> DataFrame:
     """Group fact from the entity fact or its totals: sums, unweighted mean rate, growth, national share and rank."""
+    return group_standings(group_growth(group_sums(fact, entities)), staging)
+
+
+def group_sums(fact: DataFrame, entities: DataFrame) -> DataFrame:
+    """Entities, sums and unweighted mean rate per group and period."""
     groups = ["group_code", "group_short", "group_name"]
-    rolled = (
-        attach(fact, entities, "entity_code", groups)
-        .groupBy(*groups, "period")
-        .agg(
-            F.count("entity_code").alias("entities"),
-            F.sum("measure").alias("measure"),
-            F.sum("total").alias("total"),
-            mean("rate").alias("mean_rate"),
-        )
-    )
-    grown = with_growth(
-        rolled, {"total": "growth_total", "measure": "growth_measure"}, "period", ["group_code"]
-    )
-    return standings(grown, "group_code", "period", "total", "group_code", staging).select(
-        "group_code",
-        "group_short",
-        "group_name",
-        "period",
-        "entities",
-        "measure",
-        "total",
-        "mean_rate",
-        "growth_total",
-        "growth_measure",
-        "share_in_nation",
-        "rank_in_nation",
+    located = attach(fact, entities, "entity_code", groups)
+    return located.groupBy(*groups, "period").agg(
+        F.count("entity_code").alias("entities"),
+        F.sum("measure").alias("measure"),
+        F.sum("total").alias("total"),
+        mean("rate").alias("mean_rate"),
     )
 
 
+def group_growth(rolled: DataFrame) -> DataFrame:
+    """The sums with their growth over the group's previous period."""
+    return with_growth(rolled, {"total": "growth_total", "measure": "growth_measure"}, "period", ["group_code"])
+
+
+def group_standings(grown: DataFrame, staging: Staging) -> DataFrame:
+    """Group fact from sums with growth, for whole periods."""
+    return standings(grown, "group_code", "period", "total", "group_code", staging).select(*FACT_GROUP)
+
+
 def fact_nation(groups: DataFrame) -> DataFrame:
     """National fact from the group fact; a missing group code adds to the sums but not to the count."""
     rolled = groups.groupBy("period").agg(

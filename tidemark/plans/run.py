@@ -1,20 +1,24 @@
-"""Layer runs: build, write, check and report each dataset of a layer.
+"""Layer runs: build, write, check and report each dataset of the layers.
 
-The loop is over the few datasets of a layer; all work on rows is Spark jobs.
-A dataset that fails is reported and the rest still runs.
+Every dataset names what it reads, so the datasets are a graph over all layers:
+one starts as soon as its reads are written, independent ones run at the same
+time, and one whose read failed is skipped, wherever that read is. The driver
+handles the few datasets; all work on rows is Spark jobs.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.quality.rules import DatasetRules, ReferenceRule
 from tidemark.quality.suites import RESULT_SCHEMA, layer_checks, summarize
+from tidemark.sinks import folders
 from tidemark.sinks.parquet import layout_of, write_table
 
 REPORT_SCHEMA = "layer string, dataset string, status string, rows bigint, seconds double, message string"
@@ -22,36 +26,67 @@ REPORT_SCHEMA = "layer string, dataset string, status string, rows bigint, secon
 
 @dataclass
 class Lake:
-    """Paths of the three layers under one base path."""
+    """Paths of the three layers under one base path. ``hidden`` datasets (``layer/dataset``) are as if never written."""
 
     spark: SparkSession
     base: str
+    hidden: frozenset[str] = frozenset()
 
     def path(self, layer: str, dataset: str) -> str:
+        """Where the table lives, with all its versions."""
         return f"{self.base.rstrip('/')}/{layer}/{dataset}"
 
+    def folder(self, layer: str, dataset: str) -> str:
+        """The folder whose files are the table now: to be read, and written to by partition."""
+        return folders.current(self.spark, self.path(layer, dataset))
+
     def read(self, layer: str, dataset: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, dataset))
+        if f"{layer}/{dataset}" in self.hidden:
+            raise ValueError(f"{layer}/{dataset} failed in this run")
+        return self.spark.read.parquet(self.folder(layer, dataset))
 
     def find(self, layer: str, dataset: str) -> DataFrame | None:
         """The table, or None if it was never written; a broken one raises."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, dataset))
-        held = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-        return self.read(layer, dataset) if held else None
+        there = f"{layer}/{dataset}" not in self.hidden and folders.exists(self.spark, self.path(layer, dataset))
+        return self.read(layer, dataset) if there else None
+
+
+@dataclass
+class Whole:
+    """Rows that replace a partitioned table as a whole, also the partitions that have none of them."""
+
+    rows: DataFrame
 
 
 @dataclass
 class Job:
-    """How to build one dataset. ``needs`` names datasets of this layer to be built before.
+    """How to build one dataset.
 
-    ``rejects`` counts what the landing leaves out; its counts go into the message of the report row.
+    ``needs`` names the datasets that it reads and cannot do without, ``uses`` those that it reads if they are there;
+    a name is one of this layer or ``layer/dataset``. ``rejects`` counts what the landing leaves out; its
+    counts go into the message of the report row. ``partition_by`` replaces the layout of the layer; mode ``append``
+    adds rows to the table instead of replacing it or its partitions.
     """
 
     dataset: str
-    build: Callable[[Lake], DataFrame]
+    build: Callable[[Lake], DataFrame | Whole]
     enabled: bool = True
     needs: list[str] = field(default_factory=list)
     rejects: Callable[[Lake], DataFrame] | None = None
+    uses: list[str] = field(default_factory=list)
+    partition_by: list[str] | None = None
+    mode: str = "overwrite"
+
+
+@dataclass
+class Layer:
+    """The jobs of a layer and the checks of its tables."""
+
+    name: str
+    jobs: list[Job]
+    rules: list[DatasetRules]
+    references: list[ReferenceRule] = field(default_factory=list)
+
 
 def _rejected(job: Job, lake: Lake) -> str | None:
     """Sums of the counts, one row at most leaves Spark."""
@@ -89,37 +124,107 @@ def run_layer(
     rules: list[DatasetRules],
     references: list[ReferenceRule] | None = None,
     checks_enabled: bool = True,
-    failed: dict[str, list[str]] | None = None,
 ) -> LayerRun:
-    """Run the jobs in order, then check the written tables.
+    """One layer alone; what its jobs read of other layers is taken as it was written before."""
+    return run_layers(lake, [Layer(layer, jobs, rules, references or [])], checks_enabled)[0]
+
 
-    Checks and later jobs read what was written, so nothing is computed twice.
-    Only the partitions that a dataset's rows belong to are replaced.
-    ``failed`` maps a dataset to those of earlier layers that it reads and that
-    failed in this run; it is skipped, so no table of an older run passes for new.
+def run_layers(lake: Lake, layers: list[Layer], checks_enabled: bool = True, at_once: int = 4) -> list[LayerRun]:
+    """Build all datasets, ``at_once`` of them together, then check the written tables of each layer.
+
+    A dataset starts once all that it reads in this run is written. It is skipped if one that it needs failed, was
+    skipped or is switched off. One that it only uses is hidden from it then: no table of an older run passes for
+    new. Checks and later jobs read what was written, so nothing is computed twice. A failure stops nothing but what depends on it. Each
+    dataset's Spark jobs are a job group named after it. Only the partitions that its rows belong to are replaced.
     """
-    tables, report, failed = {}, [], failed or {}
-    for job in jobs:
-        started = time.monotonic()
+    run = _Run(lake, layers, checks_enabled)
+    waiting = [(layer.name, job) for layer in layers for job in layer.jobs]
+    unchecked, checks = list(layers), {}
+    pending: set[Future] = set()
+    with ThreadPoolExecutor(at_once) as pool:
+        while waiting or unchecked or pending:
+            before = len(waiting) + len(unchecked)
+            for name, job in list(waiting):
+                verdict = run.verdict(name, job)
+                if verdict == "start":
+                    pending.add(pool.submit(run.build, name, job))
+                if verdict != "wait":
+                    waiting.remove((name, job))
+            for layer in list(unchecked):
+                if run.closed(layer):
+                    checks[layer.name] = pool.submit(run.check, layer)
+                    pending.add(checks[layer.name])
+                    unchecked.remove(layer)
+            if not pending and before == len(waiting) + len(unchecked):
+                raise ValueError(f"datasets wait for each other: {[job.dataset for _, job in waiting]}")
+            done, pending = wait(pending, return_when=FIRST_COMPLETED)
+            for future in done:
+                future.result()
+    return [run.result(layer, checks[layer.name].result()) for layer in layers]
+
+
+def _paths(layer: str, names: list[str]) -> list[str]:
+    return [name if "/" in name else f"{layer}/{name}" for name in names]
+
+
+class _Run:
+    """What became of each dataset of a run so far."""
+
+    def __init__(self, lake: Lake, layers: list[Layer], checks_enabled: bool):
+        self.lake, self.checks_enabled = lake, checks_enabled
+        self.known = {f"{layer.name}/{job.dataset}" for layer in layers for job in layer.jobs}
+        self.status: dict[str, str] = {}
+        self.tables: dict[str, DataFrame] = {}
+        self.rows: dict[str, tuple] = {}
+
+    def verdict(self, layer: str, job: Job) -> str:
+        """Whether a dataset can start, has to wait, or is closed without being built."""
         if not job.enabled:
-            report.append((layer, job.dataset, "disabled", None, 0.0, None))
-            continue
-        absent = [*failed.get(job.dataset, []), *(n for n in job.needs if n not in tables)]
-        if absent:
-            report.append((layer, job.dataset, "skipped", None, 0.0, f"needs {', '.join(absent)}"))
-            continue
+            self.close(layer, job, "disabled")
+            return "closed"
+        needs, uses = ([r for r in _paths(layer, names) if r in self.known] for names in (job.needs, job.uses))
+        if lost := [r for r in needs if self.status.get(r) in ("failed", "skipped", "disabled")]:
+            names = ", ".join(r.removeprefix(f"{layer}/") for r in lost)
+            self.close(layer, job, "skipped", f"needs {names}")
+            return "closed"
+        return "start" if all(r in self.status for r in needs + uses) else "wait"
+
+    def closed(self, layer: Layer) -> bool:
+        return all(f"{layer.name}/{job.dataset}" in self.status for job in layer.jobs)
+
+    def close(self, layer: str, job: Job, status: str, message: str | None = None, rows: int | None = None, seconds: float = 0.0) -> None:
+        path = f"{layer}/{job.dataset}"
+        self.rows[path] = (layer, job.dataset, status, rows, seconds, message)
+        self.status[path] = status
+
+    def build(self, layer: str, job: Job) -> None:
+        started = time.monotonic()
+        self.lake.spark.sparkContext.setJobGroup(f"{layer}/{job.dataset}", f"build {layer}/{job.dataset}")
         try:
-            df = job.build(lake)
-            rows = write_table(df, lake.path(layer, job.dataset), partition_by=layout_of(layer, df))
-            tables[job.dataset] = lake.read(layer, job.dataset)
-            report.append((layer, job.dataset, "done", rows, time.monotonic() - started, _rejected(job, lake)))
+            stale = frozenset(path for path, status in self.status.items() if status in ("failed", "skipped"))
+            built = job.build(replace(self.lake, hidden=stale))
+            whole = isinstance(built, Whole)
+            df = built.rows if whole else built
+            layout = layout_of(layer, df) if job.partition_by is None else job.partition_by
+            rows = write_table(df, self.lake.folder(layer, job.dataset), job.mode, layout, full=whole)
+            self.tables[f"{layer}/{job.dataset}"] = self.lake.read(layer, job.dataset)
+            self.close(layer, job, "done", _rejected(job, self.lake), rows, time.monotonic() - started)
         except Exception as error:  # one dataset must not stop the others
-            seconds = time.monotonic() - started
-            report.append((layer, job.dataset, "failed", None, seconds, str(error)))
-    # The results are one row per declared check, so they are kept as they are.
-    results = layer_checks(lake.spark, tables, rules, references, checks_enabled).collect()
-    checks = lake.spark.createDataFrame(results, RESULT_SCHEMA)
-    return LayerRun(tables, report, checks, summarize(checks).first()["pass_rate"] if results else None)
+            self.close(layer, job, "failed", str(error), seconds=time.monotonic() - started)
+
+    def check(self, layer: Layer) -> list:
+        """Results of the layer's checks: one row per declared check, so they are kept as they are."""
+        self.lake.spark.sparkContext.setJobGroup(layer.name, f"check {layer.name}")
+        return layer_checks(self.lake.spark, self.written(layer), layer.rules, layer.references, self.checks_enabled).collect()
+
+    def written(self, layer: Layer) -> dict[str, DataFrame]:
+        paths = {job.dataset: f"{layer.name}/{job.dataset}" for job in layer.jobs}
+        return {dataset: self.tables[path] for dataset, path in paths.items() if path in self.tables}
+
+    def result(self, layer: Layer, results: list) -> LayerRun:
+        checks = self.lake.spark.createDataFrame(results, RESULT_SCHEMA)
+        report = [self.rows[f"{layer.name}/{job.dataset}"] for job in layer.jobs]
+        return LayerRun(self.written(layer), report, checks, summarize(checks).first()["pass_rate"] if results else None)
 
 
 def report_frame(spark: SparkSession, runs: list[LayerRun]) -> DataFrame:

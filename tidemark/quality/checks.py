@@ -127,14 +127,23 @@ def completeness_report(df: DataFrame, threshold: float = 0.95) -> DataFrame:
     )
 
 
-def integrity_report(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Distinct child keys and those absent from the parent; a null child key is an orphan."""
+def integrity_report(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, size: int = 10) -> DataFrame:
+    """Distinct child keys, those absent from the parent, and the first ``size`` of these; a null child key is an orphan.
+
+    Both sides of the result come from the same joined keys, whose exchanges Spark reuses. Every task keeps its first
+    ``size`` orphans only, so the sample is bounded however many there are. ``sample`` is null without orphans.
+    """
     keys = child.select(F.col(child_key).alias("_key")).distinct()
     known = parent.select(F.col(parent_key).alias("_known")).distinct()
     matched = keys.join(known, F.col("_key") == F.col("_known"), "left")
-    return matched.agg(
-        row_count().alias("total_child_keys"), F.count_if(F.col("_known").isNull()).alias("orphan_count")
-    ).withColumn("passed", F.col("orphan_count") == 0)
+    counted = matched.agg(row_count().alias("total_child_keys"), F.count_if(F.col("_known").isNull()).alias("orphan_count"))
+    first = matched.where(F.col("_known").isNull()).orderBy("_key").limit(size)
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("_key"))), lambda s: F.coalesce(s["_key"].cast("string"), F.lit("null")))
+    sampled = first.agg(F.array_join(listed, ",").alias("sample"))
+    both = counted.unionByName(sampled, allowMissingColumns=True)
+    merged = both.agg(F.max("total_child_keys").alias("total_child_keys"), F.max("orphan_count").alias("orphan_count"), F.max("sample").alias("sample"))
+    found = F.when(F.col("orphan_count") > 0, F.col("sample"))
+    return merged.select("total_child_keys", "orphan_count", (F.col("orphan_count") == 0).alias("passed"), found.alias("sample"))
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ Result columns: layer, dataset, check, passed, checked, failed, metric. What
 ``checked`` and ``failed`` count depends on the check: columns (schema), cells
 (nulls, completeness), rows (duplicates, range) or keys (integrity). ``metric``
 is the largest null share, the duplicate share, the completeness, the share
-outside the range, or the orphan share.
+outside the range, the orphan share, or the share of failing rows. ``sample``
+holds the first orphans of an integrity check.
 """
 
 from __future__ import annotations
@@ -16,24 +17,30 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, round2
 from tidemark.functions.predicates import within_closed
-from tidemark.quality.checks import duplicate_report, integrity_report, missing_columns, row_count
+from tidemark.quality.checks import breaks_rules, duplicate_report, integrity_report, missing_columns, row_count
 from tidemark.quality.rules import DatasetRules, ReferenceRule
 
 RESULT_SCHEMA = (
-    "layer string, dataset string, check string, passed boolean, checked bigint, failed bigint, metric double"
+    "layer string, dataset string, check string, passed boolean, checked bigint, failed bigint, metric double, sample string"
 )
 
 
 def dataset_checks(df: DataFrame, rules: DatasetRules) -> DataFrame:
-    """Schema, nulls, completeness and ranges from one aggregation, duplicates from a second."""
-    rows = [*_schema_row(df, rules), *_null_rows(df, rules), *_completeness_row(df, rules)]
-    for column, (low, high) in rules.ranges.items():
-        rows.append(_range_row(df, column, low, high))
-    counted = df.agg(row_count().alias("_rows"), *_counters(df, rules))
-    fused = counted.select(F.inline(F.array(*rows)))
-    results = fused
-    if not missing_columns(df, rules.keys):
-        results = fused.unionByName(_duplicate_rows(df, rules))
+    """Schema, nulls, completeness, ranges and error rate from one aggregation, duplicates from a second.
+
+    Only checks that are switched on; there is at least one.
+    """
+    makers = {"schema": _schema_row, "nulls": _null_rows, "completeness": _completeness_row, "range": _range_rows}
+    rows = [row for check, make in makers.items() if check in rules.checks for row in make(df, rules)]
+    if rules.error_rate is not None:
+        rows.append(_error_row(rules))
+    parts = []
+    if rows:
+        counted = df.agg(row_count().alias("_rows"), *_counters(df, rules))
+        parts.append(counted.select(F.inline(F.array(*rows))))
+    if "duplicates" in rules.checks and not missing_columns(df, rules.keys):
+        parts.append(_duplicate_rows(df, rules))
+    results = reduce(DataFrame.unionByName, parts)
     return results.select(F.lit(rules.layer).alias("layer"), F.lit(rules.dataset).alias("dataset"), "*")
 
 
@@ -47,7 +54,7 @@ def layer_checks(
     """All checks of the tables at hand; none when switched off."""
     parts = []
     if enabled:
-        parts = [dataset_checks(tables[r.dataset], r) for r in rules if r.dataset in tables]
+        parts = [dataset_checks(tables[r.dataset], r) for r in rules if r.dataset in tables and (r.checks or r.error_rate is not None)]
         for rule in references or []:
             if rule.child in tables and rule.parent in tables:
                 parts.append(_integrity_rows(tables, rule))
@@ -64,13 +71,14 @@ def summarize(results: DataFrame) -> DataFrame:
     )
 
 
-def _row(check: str, passed, checked, failed, metric):
+def _row(check: str, passed, checked, failed, metric, sample=None):
     return F.struct(
         F.lit(check).alias("check"),
         passed.alias("passed"),
         checked.cast("bigint").alias("checked"),
         failed.cast("bigint").alias("failed"),
         metric.cast("double").alias("metric"),
+        (F.lit(None) if sample is None else sample).cast("string").alias("sample"),
     )
 
 
@@ -80,6 +88,8 @@ def _counters(df: DataFrame, rules: DatasetRules):
         if column in df.columns:
             outside = ~within_closed(column, low, high)
             counters.append(F.count_if(outside).alias(f"_outside_{column}"))
+    if rules.error_rate is not None:
+        counters.append(F.count_if(breaks_rules(rules.critical, rules.ranges)).alias("_failing"))
     return counters
 
 
@@ -106,7 +116,11 @@ def _completeness_row(df, rules):
     return [_row("completeness", share >= rules.completeness, cells, cells - filled, share)]
 
 
-def _range_row(df, column, low, high):
+def _range_rows(df, rules):
+    return [_range_row(df, column) for column in rules.ranges]
+
+
+def _range_row(df, column):
     if column not in df.columns:
         return _row(f"range_{column}", F.lit(False), F.lit(0), F.lit(0), F.lit(None))
     count, outside = F.col(f"_n_{column}"), F.col(f"_outside_{column}")
@@ -114,6 +128,11 @@ def _range_row(df, column, low, high):
     return _row(f"range_{column}", passed, count, outside, ratio(outside, count))
 
 
+def _error_row(rules):
+    share = F.coalesce(ratio("_failing", "_rows"), F.lit(0.0))
+    return _row("error_rate", share <= rules.error_rate, F.col("_rows"), F.col("_failing"), share)
+
+
 def _duplicate_rows(df, rules):
     report = duplicate_report(df, rules.keys)
     share = F.coalesce(ratio("duplicate_count", "total_rows"), F.lit(0.0))
@@ -125,5 +144,5 @@ def _integrity_rows(tables, rule):
     report = integrity_report(tables[rule.child], tables[rule.parent], rule.child_key, rule.parent_key)
     share = F.coalesce(ratio("orphan_count", "total_child_keys"), F.lit(0.0))
     name = f"integrity_{rule.child_key}"
-    row = _row(name, F.col("passed"), F.col("total_child_keys"), F.col("orphan_count"), share)
+    row = _row(name, F.col("passed"), F.col("total_child_keys"), F.col("orphan_count"), share, F.col("sample"))
     return report.select(F.lit(rule.layer).alias("layer"), F.lit(rule.child).alias("dataset"), F.inline(F.array(row)))

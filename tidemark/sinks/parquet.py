@@ -1,10 +1,10 @@
-"""Parquet tables: layouts, dynamic partition overwrite, retention."""
+"""Parquet tables: layouts, dynamic partition overwrite, retention times."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Partition columns per layer. Measures have a period and series a year;
@@ -49,21 +49,14 @@ def layout_of(layer: str, df: DataFrame) -> list[str]:
 RETENTION_DAYS = {"bronze": 90, "silver": 365, "gold": None}
 
 
-def retained(df: DataFrame, layer: str, as_of: dt.date, column: str = "load_date") -> DataFrame:
-    """Rows still inside the retention time of their layer."""
+def within_retention(layer: str, as_of: dt.date, column: str = "load_date") -> Column:
+    """Whether a row is still inside the retention time of its layer; one without a date is not."""
     days = RETENTION_DAYS[layer]
     if days is None:
-        return df
-    return df.filter(F.col(column) >= F.lit(as_of - dt.timedelta(days=days)))
-
+        return F.lit(True)
+    return F.coalesce(F.col(column) >= F.lit(as_of - dt.timedelta(days=days)), F.lit(False))
 
-def apply_retention(
-    spark: SparkSession, path: str, target: str, layer: str, as_of: dt.date, column: str = "load_date"
-) -> int:
-    """Write the retained rows of ``path`` to ``target`` and return their number.
 
-    A table is never overwritten while it is being read, so the caller swaps
-    the two paths afterwards.
-    """
-    table = spark.read.parquet(path)
-    return write_table(retained(table, layer, as_of, column), target, partition_by=layout_of(layer, table), full=True)
+def retained(df: DataFrame, layer: str, as_of: dt.date, column: str = "load_date") -> DataFrame:
+    """Rows still inside the retention time of their layer."""
+    return df.filter(within_retention(layer, as_of, column))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.plans import model
@@ -10,12 +12,15 @@ from tidemark.quality import checks
 from tidemark.quality.rules import (
     BRONZE_RULES,
     DECLARED_RANGES,
+    DECLARED_RULES,
     ERROR_RATE,
     GOLD_REFERENCES,
     GOLD_RULES,
     SILVER_RULES,
     DatasetRules,
     ReferenceRule,
+    rule_table,
+    rules_from,
 )
 from tidemark.quality.suites import layer_checks, summarize
 from tidemark.staging import Staging
@@ -123,8 +128,10 @@ def check_completeness(spark, sf):
     "check_integrity",
     """WITH k AS (SELECT DISTINCT doc_id FROM documents),
             t AS (SELECT count(*) AS total_child_keys,
-                         count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS orphan_count FROM k)
-       SELECT *, orphan_count = 0 AS passed FROM t""",
+                         count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS orphan_count FROM k),
+            s AS (SELECT string_agg(doc_id, ',' ORDER BY doc_id) AS sample
+                  FROM (SELECT doc_id FROM k WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 10))
+       SELECT t.*, orphan_count = 0 AS passed, sample FROM t, s""",
 )
 def check_integrity(spark, sf):
     return checks.integrity_report(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id", "doc_id")
@@ -177,8 +184,9 @@ def error_rate(spark, sf):
                CAST(failing_rows AS DOUBLE) / rows <= {ERROR_RATE} AS passed FROM t""",
 )
 def declared_error_rate(spark, sf):
-    fact = star(spark, sf)["fact_entity"]
-    return checks.error_rate(fact, ["entity_code", "period", "total"], DECLARED_RANGES, ERROR_RATE)
+    """Critical columns, ranges and limit come from the rule table."""
+    rules = rules_from(rule_table(spark, [DECLARED_RULES]))[0]
+    return checks.error_rate(star(spark, sf)["fact_entity"], rules.critical, rules.ranges, rules.error_rate)
 
 
 @query(
@@ -214,28 +222,38 @@ def dataset_sql(rule: DatasetRules, relation: str, columns: list[str]) -> str:
     complete = f"coalesce(CAST({filled} AS DOUBLE) / nullif({cells}, 0), 0)"
     parts = [
         f"""{head} 'schema' AS check, {missing == 0} AS passed, CAST({len(rule.required)} AS BIGINT) AS checked,
-            CAST({missing} AS BIGINT) AS failed, CAST({missing / len(rule.required)} AS DOUBLE) AS metric""",
+            CAST({missing} AS BIGINT) AS failed, CAST({missing / len(rule.required)} AS DOUBLE) AS metric,
+            CAST(NULL AS VARCHAR) AS sample""",
         f"""{head} 'nulls', {worst} <= {rule.null_threshold}, count(*) * {len(critical)}, {" + ".join(nulls) or 0},
-            CAST({worst} AS DOUBLE) FROM {relation}""",
+            CAST({worst} AS DOUBLE), NULL FROM {relation}""",
         f"""{head} 'completeness', {complete} >= {rule.completeness}, {cells}, {cells} - ({filled}),
-            {complete} FROM {relation}""",
+            {complete}, NULL FROM {relation}""",
         f"""{head} 'duplicates', CAST(sum(n) AS BIGINT) = count(*), CAST(sum(n) AS BIGINT),
-            CAST(sum(n) - count(*) AS BIGINT), CAST(sum(n) - count(*) AS DOUBLE) / CAST(sum(n) AS DOUBLE)
+            CAST(sum(n) - count(*) AS BIGINT), CAST(sum(n) - count(*) AS DOUBLE) / CAST(sum(n) AS DOUBLE), NULL
             FROM (SELECT {", ".join(rule.keys)}, count(*) AS n FROM {relation} GROUP BY ALL)""",
     ]
     for column, (low, high) in rule.ranges.items():
         outside = f"count(*) FILTER (WHERE {column} < {low} OR {column} > {high})"
         parts.append(
             f"""{head} 'range_{column}', count({column}) > 0 AND {outside} = 0, count({column}), {outside},
-                CAST({outside} AS DOUBLE) / nullif(count({column}), 0) FROM {relation}"""
+                CAST({outside} AS DOUBLE) / nullif(count({column}), 0), NULL FROM {relation}"""
         )
+    if rule.error_rate is not None:
+        broken = [f"{c} IS NULL" for c in rule.critical]
+        broken += [f"{c} IS NULL OR {c} NOT BETWEEN {low} AND {high}" for c, (low, high) in rule.ranges.items()]
+        failing = f"count(*) FILTER (WHERE {' OR '.join(broken)})"
+        share = f"CAST({failing} AS DOUBLE) / count(*)"
+        parts.append(f"{head} 'error_rate', {share} <= {rule.error_rate}, count(*), {failing}, {share}, NULL FROM {relation}")
     return " UNION ALL ".join(parts)
 
 
 def integrity_sql(rule: ReferenceRule) -> str:
-    orphan = f"count(*) FILTER (WHERE k IS NULL OR k NOT IN (SELECT {rule.parent_key} FROM {rule.parent}))"
+    missing = f"k IS NULL OR k NOT IN (SELECT {rule.parent_key} FROM {rule.parent})"
+    orphan = f"count(*) FILTER (WHERE {missing})"
     return f"""SELECT '{rule.layer}', '{rule.child}', 'integrity_{rule.child_key}', {orphan} = 0, count(*), {orphan},
-        CAST({orphan} AS DOUBLE) / nullif(count(*), 0) FROM (SELECT DISTINCT {rule.child_key} AS k FROM {rule.child})"""
+        CAST({orphan} AS DOUBLE) / nullif(count(*), 0),
+        array_to_string(list(coalesce(CAST(k AS VARCHAR), 'null') ORDER BY k NULLS FIRST) FILTER (WHERE {missing})[1:10], ',')
+        FROM (SELECT DISTINCT {rule.child_key} AS k FROM {rule.child})"""
 
 
 VALUE_COLUMNS = ["entity_code", "entity_name", "period", "value", "source", "processed_at", "load_date"]
@@ -365,3 +383,33 @@ def suite_gold(spark, sf):
 )
 def quality_summary(spark, sf):
     return summarize(layer_checks(spark, bronze_tables(spark, sf), BRONZE_RULES))
+
+
+# Rules as a table
+
+
+CHANGED_RULES = replace(
+    DECLARED_RULES,
+    critical=["entity_code", "total"],
+    ranges={c: bounds for c, bounds in DECLARED_RANGES.items() if c != "period"},
+    null_threshold=0.5,
+    completeness=0.5,
+)
+
+
+@query(
+    "suite_from_rules",
+    f"""WITH {FACT_SQL}, results AS ({dataset_sql(CHANGED_RULES, "fact", model.FACT_ENTITY)})
+        SELECT * FROM results WHERE "check" <> 'duplicates'""",
+)
+def suite_from_rules(spark, sf):
+    """The declared rules as a table, read back after a user changed it.
+
+    Duplicates are off, the period has no range and is no longer critical, and two limits are others.
+    """
+    rules = rule_table(spark, [DECLARED_RULES])
+    off = (F.col("check") == "duplicates") | (F.col("check").isin("nulls", "range") & (F.col("column") == "period"))
+    limit = F.when(F.col("check").isin("nulls", "completeness"), 0.5).otherwise(F.col("limit"))
+    changed = rules.withColumns({"enabled": F.col("enabled") & ~off, "limit": limit})
+    fact = Staging(spark).freeze(star(spark, sf)["fact_entity"], "fact_entity")
+    return layer_checks(spark, {"fact_entity": fact}, rules_from(changed))

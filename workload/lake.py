@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import audit_columns
 from tidemark.functions.names import with_surveyed_names
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities
-from tidemark.plans.lakehouse import bronze_jobs, run_all, silver_jobs
-from tidemark.plans.run import Job, Lake, report_frame, run_layer
+from tidemark.plans.lakehouse import bronze_jobs, gold_jobs, run_all, silver_jobs
+from tidemark.plans.run import Job, Lake, Layer, report_frame, run_layer, run_layers
 from tidemark.quality.checks import require_columns
-from tidemark.quality.rules import BRONZE_RULES
+from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SILVER_RULES, DatasetRules
 from tidemark.quality.suites import summarize
 from tidemark.sinks.contract import CONTRACTS, contract_violations, require_contract, to_contract
 from tidemark.sinks.parquet import write_table
@@ -22,6 +24,7 @@ from tidemark.sources.localities import parse_localities, read_locality_lines
 from tidemark.sources.selection import pick_periods
 from tidemark.sources.series import land_series, series_catalogue
 from tidemark.staging import Staging
+from workload.checks import GOLD_COLUMNS, dataset_sql, integrity_sql
 from workload.registry import query
 from workload.standin import (
     BASE_SQL,
@@ -35,10 +38,12 @@ from workload.standin import (
     SERIES,
     SERIES_NAMES,
     entity_codes,
+    fact_sql,
     group_fact,
     localities,
     measure,
     rate,
+    series_code_sql,
     series_raw,
     star,
     star_inputs,
@@ -364,6 +369,7 @@ report AS (
   UNION ALL SELECT 'silver', 'measure', count(*) FROM measure WHERE measure > 0 AND measure < 20000000
   UNION ALL SELECT 'silver', 'rate', count(*) FROM rate WHERE rate > 0 AND rate < 1000000
   UNION ALL SELECT 'silver', 'series', n FROM dates
+  UNION ALL SELECT 'gold', 'entity_keys', count(*) FROM localities
   UNION ALL SELECT 'gold', 'dim_entity', count(*) FROM localities
   UNION ALL SELECT 'gold', 'dim_period', n FROM years
   UNION ALL SELECT 'gold', 'fact_entity', count(*) FROM clean
@@ -371,10 +377,13 @@ report AS (
   UNION ALL SELECT 'gold', 'fact_nation', n FROM years)"""
 
 
+def order_years(spark, sf):
+    return sorted(r[0] for r in table(spark, sf, "orders").select(F.year("o_orderdate")).distinct().collect())
+
+
 def full_run(spark, sf, **options):
     """All years of the data through all layers; the rates keep their default type."""
-    lake = Lake(spark, Staging(spark).folder("lake"))
-    years = list(range(1980, 2030))
+    lake, years = Lake(spark, Staging(spark).folder("lake")), order_years(spark, sf)
     return run_all(lake, run_sources(spark, sf), SERIES_NAMES, years, years, processed_at=STAMP, **options)
 
 
@@ -438,20 +447,65 @@ def land_all_tolerant(spark, sf):
     return report_frame(spark, [run]).select("layer", "dataset", "status", "rows")
 
 
+# What a landed table of values, places or points holds, for its completeness.
+VALUE_COLUMNS = ["entity_code", "period", "value", "entity_name", "source", "processed_at", "load_date"]
+POINT_COLUMNS = ["date_text", "value_text", "series_code", "series_name", "source", "obs_date", "year", "month", "value", "processed_at", "load_date"]
+SERIES_RULE = DatasetRules("bronze", "series", ["series_code", "obs_date"], ["series_code"], ["series_code", "obs_date"])
+LANDED_SQL = f"""{ENT_SQL}, {LOCALITIES_SQL},
+landed_measure AS (
+  SELECT entity_code, CAST(year(o_orderdate) AS INTEGER) AS period,
+         CASE WHEN o_totalprice < 100000 THEN o_totalprice END AS value, c_name AS entity_name, 'orders' AS source,
+         1 AS processed_at, 1 AS load_date
+  FROM orders JOIN ent ON o_custkey = c_custkey),
+landed_rate AS (SELECT * FROM landed_measure QUALIFY row_number() OVER (PARTITION BY entity_code, period ORDER BY value) = 1),
+landed_localities AS (SELECT *, 1 AS processed_at, 1 AS load_date FROM localities),
+landed_series AS (
+  SELECT 1 AS date_text, 1 AS value_text, {series_code_sql()} AS series_code, CAST(ts AS DATE) AS obs_date,
+         event_type AS series_name, 1 AS source, 1 AS year, 1 AS month, CAST(value AS DECIMAL(18,4)) AS value,
+         1 AS processed_at, 1 AS load_date FROM events),
+results AS (
+{dataset_sql(BRONZE_RULES[0], "landed_measure", VALUE_COLUMNS)} UNION ALL
+{dataset_sql(BRONZE_RULES[1], "landed_rate", VALUE_COLUMNS)} UNION ALL
+{dataset_sql(BRONZE_RULES[2], "landed_localities", [*model.DIM_ENTITY, "processed_at", "load_date"])} UNION ALL
+{dataset_sql(SERIES_RULE, "landed_series", POINT_COLUMNS)})"""
+
+
+def landed_with_faults(spark, sf):
+    """Four raw datasets, some of whose checks fail: orders as measures repeat their keys, and large values are missing."""
+    prices = table(spark, sf, "orders").join(entity_codes(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
+    values = prices.select(
+        "entity_code",
+        F.year("o_orderdate").alias("period"),
+        F.when(F.col("o_totalprice") < 100_000, F.col("o_totalprice")).alias("value"),
+        F.col("c_name").alias("entity_name"),
+        F.lit("orders").alias("source"),
+    )
+    single = values.groupBy("entity_code", "period", "entity_name", "source").agg(F.min("value").alias("value"))
+    sources = {**run_sources(spark, sf), "measure": lambda lake: values, "rate": lambda lake: single}
+    years = order_years(spark, sf)
+    return bronze_jobs(sources, years, years, processed_at=STAMP)
+
+
 @query(
     "layer_run_checks",
-    """SELECT 'bronze' AS layer, CAST(4 AS BIGINT) AS total_checks, CAST(4 AS BIGINT) AS passed_checks,
-              CAST(0 AS BIGINT) AS failed_checks, CAST(100 AS DOUBLE) AS pass_rate
-       FROM customer HAVING count(*) > 0""",
+    f"""WITH {LANDED_SQL}
+        SELECT layer, count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks,
+               count(*) FILTER (WHERE NOT passed) AS failed_checks,
+               floor(CAST(count(*) FILTER (WHERE passed) AS DOUBLE) / count(*) * 100 * 100 + 0.5) / 100 AS pass_rate
+        FROM results GROUP BY layer""",
 )
 def layer_run_checks(spark, sf):
-    """Checks of a landed layer, read from what was written."""
-    jobs = bronze_jobs(run_sources(spark, sf), 1997, 1997, processed_at=STAMP)
-    jobs = [job for job in jobs if job.dataset == "localities"]
-    run = run_layer(Lake(spark, Staging(spark).folder("lake")), "bronze", jobs, BRONZE_RULES)
+    """Checks of all four datasets of a landed layer, read from what was written; some of them fail."""
+    run = run_layer(Lake(spark, Staging(spark).folder("lake")), "bronze", landed_with_faults(spark, sf), [*BRONZE_RULES, SERIES_RULE])
     return summarize(run.checks)
 
 
+@query("layer_run_results", f"WITH {LANDED_SQL} SELECT * FROM results")
+def layer_run_results(spark, sf):
+    """The same run, check by check."""
+    return run_layer(Lake(spark, Staging(spark).folder("lake")), "bronze", landed_with_faults(spark, sf), [*BRONZE_RULES, SERIES_RULE]).checks
+
+
 @query(
     "incremental_silver",
     f"""WITH {BASE_SQL} SELECT period, count(*) AS rows, CAST(sum(CASE WHEN period = 1997 THEN 2 * measure ELSE measure END) AS BIGINT) AS measure
@@ -468,3 +522,178 @@ def incremental_silver(spark, sf):
         jobs = [job for job in silver_jobs(landed=years) if job.dataset == "measure"]
         run_layer(lake, "silver", jobs, BRONZE_RULES, checks_enabled=False)
     return lake.read("silver", "measure").groupBy("period").agg(F.count("*").alias("rows"), F.sum("measure").alias("measure"))
+
+
+# Runs after a failure, with retention, with later landings
+
+
+@query(
+    "run_after_failure",
+    f"""WITH {RUN_SQL}, runs AS (
+        SELECT 'series' AS broken, * FROM report UNION ALL SELECT 'measure', * FROM report),
+        fate AS (SELECT *, CASE
+          WHEN layer = 'bronze' AND dataset = broken THEN 'failed'
+          WHEN layer = 'silver' AND dataset = broken THEN 'skipped'
+          WHEN broken = 'series' AND layer = 'gold' AND dataset = 'fact_nation' THEN 'skipped'
+          WHEN broken = 'measure' AND layer = 'gold' AND dataset NOT IN ('entity_keys', 'dim_entity') THEN 'skipped'
+          ELSE 'done' END AS status FROM runs)
+        SELECT broken, layer, dataset, status,
+               CASE WHEN status <> 'done' THEN NULL WHEN dataset = 'entity_keys' THEN 0 ELSE rows END AS rows FROM fate""",
+)
+def run_after_failure(spark, sf):
+    """A good run, then one without the series and one without the measure: what reads them is skipped, in every layer."""
+    lake, years, sources = Lake(spark, Staging(spark).folder("lake")), order_years(spark, sf), run_sources(spark, sf)
+    run_all(lake, sources, SERIES_NAMES, years, years, enrich=True, processed_at=STAMP, checks_enabled=False)
+    frames = []
+    for broken in ("series", "measure"):
+        held = {**sources, broken: lambda lake: spark.read.parquet(f"{sf}/no_such_table.parquet")}
+        run = run_all(lake, held, SERIES_NAMES, years, years, enrich=True, processed_at=STAMP, checks_enabled=False)
+        frames.append(report_frame(spark, run.layers).select(F.lit(broken).alias("broken"), "layer", "dataset", "status", "rows"))
+    return frames[0].unionByName(frames[1])
+
+
+def part_of(sources, name, parity):
+    """A source's rows of every other entity, under a source name of their own."""
+    odd = F.col("entity_code").cast("decimal(20,0)") % 2 == parity
+    return lambda lake: sources[name](lake).where(odd).withColumn("source", F.lit(f"{name}-{parity}"))
+
+
+RETAINED_SQL = """SELECT '{layer}' AS layer, '{name}' AS dataset, period, count(*) AS rows FROM {name}
+  WHERE period IN (1996, 1997) AND CAST(entity_code AS DECIMAL(20,0)) % 2 = 1 AND {bounds} GROUP BY period"""
+
+
+@query(
+    "run_retention",
+    f"WITH {BASE_SQL} "
+    + " UNION ALL ".join(
+        RETAINED_SQL.format(layer=layer, name=name, bounds=bounds)
+        for name, limit in (("measure", 20_000_000), ("rate", 1_000_000))
+        for layer, bounds in (("bronze", "TRUE"), ("silver", f"{name} > 0 AND {name} < {limit}"))
+    ),
+)
+def run_retention(spark, sf):
+    """Half of the entities landed long ago, the others of late; at the end of the second run the first are past their time.
+
+    In the raw layer they are partitions of their own, which are deleted; in the clean layer they share the partition
+    of 1996 with others, so a new version of the table takes its place.
+    """
+    lake, sources = Lake(spark, Staging(spark).folder("lake")), run_sources(spark, sf)
+    for parity, years, stamp, as_of in ((0, [1996], dt.datetime(2022, 12, 1), None), (1, [1996, 1997], STAMP, dt.date(2024, 5, 2))):
+        held = {**sources, **{name: part_of(sources, name, parity) for name in ("measure", "rate")}}
+        run_all(lake, held, SERIES_NAMES, years, years, processed_at=stamp, checks_enabled=False, retention_as_of=as_of)
+    counts = [
+        lake.read(layer, name).groupBy("period").agg(F.count("*").alias("rows")).select(F.lit(layer).alias("layer"), F.lit(name).alias("dataset"), "period", "rows")
+        for layer in ("bronze", "silver")
+        for name in ("measure", "rate")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def run_base_sql(doubled: int) -> str:
+    """Totals as a run cleans them, the measure of one year doubled."""
+    inputs, base = BASE_SQL.replace("measure AS (", "all_measures AS (", 1).replace("rate AS (", "all_rates AS (", 1).split("base AS (")
+    return f"""{inputs}landed_measures AS (
+  SELECT entity_code, period, CASE WHEN period = {doubled} THEN 2 * measure ELSE measure END AS measure FROM all_measures),
+measure AS (SELECT * FROM landed_measures WHERE measure > 0 AND measure < 20000000),
+rate AS (SELECT * FROM all_rates WHERE rate > 0 AND rate < 1000000),
+base AS ({base}"""
+
+
+INCREMENTAL_SQL = fact_sql(run_base_sql(1997))
+
+
+def landed_twice(spark, sf):
+    """A run over all years, then one that lands 1997 again, doubled, and builds only what that changes."""
+    lake, years, sources = Lake(spark, Staging(spark).folder("lake")), order_years(spark, sf), run_sources(spark, sf)
+    options = {"processed_at": STAMP, "checks_enabled": False, "gold_by_period": True}
+    run_all(lake, sources, SERIES_NAMES, years, years, **options)
+    doubled = {**sources, "measure": lambda lake: sources["measure"](lake).withColumn("value", 2 * F.col("value"))}
+    run_all(lake, doubled, SERIES_NAMES, 1997, 1997, landed=[1997], **options)
+    return lake
+
+
+@query(
+    "incremental_fact",
+    f"""WITH {INCREMENTAL_SQL} SELECT entity_key, period_key, entity_code, period, measure, CAST(total AS DOUBLE) AS total,
+        CAST(rate AS DOUBLE) AS rate, growth_total, growth_measure, share_in_group, share_in_nation, rank_in_group,
+        rank_in_nation FROM fact""",
+)
+def incremental_fact(spark, sf):
+    """The entity fact after the second landing, equal to one built as a whole."""
+    return landed_twice(spark, sf).read("gold", "fact_entity").select(*model.FACT_ENTITY)
+
+
+@query(
+    "incremental_group",
+    f"""WITH {GROUP_SQL.replace(FACT_SQL, INCREMENTAL_SQL)} SELECT group_code, group_short, group_name, period, entities, measure,
+        CAST(total AS DOUBLE) AS total, mean_rate, growth_total, growth_measure, share_in_nation, rank_in_nation FROM fact_group""",
+)
+def incremental_group(spark, sf):
+    """The group fact after the second landing."""
+    return landed_twice(spark, sf).read("gold", "fact_group").select(*model.FACT_GROUP)
+
+
+@query(
+    "stable_keys",
+    f"""WITH {LOCALITIES_SQL}, marked AS (SELECT *, CAST(entity_code AS DECIMAL(20,0)) % 2 = 0 AS late FROM localities)
+        SELECT CAST(row_number() OVER (ORDER BY late, entity_code) - 1 AS BIGINT) AS entity_key, entity_code, group_code
+        FROM marked""",
+)
+def stable_keys(spark, sf):
+    """Entities with odd codes land first, all of them later: the first keep their keys, the new ones follow."""
+    lake, staging = Lake(spark, Staging(spark).folder("lake")), Staging(spark)
+    jobs = [job for job in gold_jobs(staging, SERIES_NAMES) if job.dataset in ("entity_keys", "dim_entity")]
+    places = clean_localities(localities(spark, sf))
+    for landed in (places.where(F.col("entity_code").cast("decimal(20,0)") % 2 == 1), places):
+        run_layers(lake, [Layer("silver", [Job("localities", lambda lake, df=landed: df)], []), Layer("gold", jobs, [])])
+    return lake.read("gold", "dim_entity").select("entity_key", "entity_code", "group_code")
+
+
+# Checks of a full run
+
+
+RUN_STAR_SQL = NATION_SQL.replace(FACT_SQL, fact_sql(run_base_sql(0)))
+FILLED = "'x' AS source, 1 AS processed_at, 1 AS load_date"
+CHECKED_SQL = f"""{RUN_STAR_SQL}, fact_entity AS (SELECT * FROM fact),
+bronze_measure AS (
+  SELECT entity_code, period, measure AS value, 'x' AS entity_name, {FILLED}
+  FROM (SELECT * FROM all_measures UNION ALL SELECT * FROM all_measures WHERE period = 1997)),
+bronze_rate AS (SELECT entity_code, period, rate AS value, 'x' AS entity_name, {FILLED} FROM all_rates),
+places AS (SELECT *, 1 AS processed_at, 1 AS load_date FROM localities),
+silver_measure AS (SELECT *, 'x' AS entity_name, 'x' AS group_code, 1 AS processed_at, 1 AS load_date FROM measure),
+silver_rate AS (SELECT *, 'x' AS entity_name, 'x' AS group_code, 1 AS processed_at, 1 AS load_date FROM rate),
+silver_series AS (
+  SELECT DISTINCT event_type AS series_code, CAST(ts AS DATE) AS obs_date, 1 AS value, 'x' AS series_name, 'x' AS date_text,
+         'x' AS value_text, 1 AS year, 1 AS month, {FILLED} FROM events),
+results AS (
+{dataset_sql(BRONZE_RULES[0], "bronze_measure", VALUE_COLUMNS)} UNION ALL
+{dataset_sql(BRONZE_RULES[1], "bronze_rate", VALUE_COLUMNS)} UNION ALL
+{dataset_sql(BRONZE_RULES[2], "places", [*model.DIM_ENTITY, "processed_at", "load_date"])} UNION ALL
+{dataset_sql(SILVER_RULES[0], "silver_measure", ["entity_code", "period", "measure", "entity_name", "group_code", "processed_at", "load_date"])} UNION ALL
+{dataset_sql(SILVER_RULES[1], "silver_rate", ["entity_code", "period", "rate", "entity_name", "group_code", "processed_at", "load_date"])} UNION ALL
+{dataset_sql(SILVER_RULES[2], "places", [*model.DIM_ENTITY, "processed_at", "load_date"])} UNION ALL
+{dataset_sql(SILVER_RULES[3], "silver_series", POINT_COLUMNS)} UNION ALL
+{" UNION ALL ".join(dataset_sql(r, r.dataset, GOLD_COLUMNS[r.dataset]) for r in GOLD_RULES)} UNION ALL
+{" UNION ALL ".join(integrity_sql(r) for r in GOLD_REFERENCES)}),
+rates AS (
+  SELECT layer, count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks,
+         floor(CAST(count(*) FILTER (WHERE passed) AS DOUBLE) / count(*) * 100 * 100 + 0.5) / 100 AS pass_rate
+  FROM results GROUP BY layer)"""
+
+
+@query(
+    "run_pass_rate",
+    f"""WITH {CHECKED_SQL}
+        SELECT layer, total_checks, passed_checks, pass_rate FROM rates UNION ALL
+        SELECT 'all', CAST(sum(total_checks) AS BIGINT), CAST(sum(passed_checks) AS BIGINT), round(avg(pass_rate), 2) FROM rates""",
+)
+def run_pass_rate(spark, sf):
+    """Checks of a full run whose raw measure holds one year twice: per layer, and the mean rate of the run."""
+    lake, years, sources = Lake(spark, Staging(spark).folder("lake")), order_years(spark, sf), run_sources(spark, sf)
+    measures = sources["measure"]
+    sources["measure"] = lambda lake: measures(lake).unionByName(measures(lake).where("period = 1997"))
+    run = run_all(lake, sources, SERIES_NAMES, years, years, processed_at=STAMP)
+    layers = reduce(DataFrame.unionByName, [summarize(layer.checks) for layer in run.layers]).drop("failed_checks")
+    mean = F.lit(run.overall()["mean_pass_rate"]).alias("pass_rate")
+    sums = [F.sum(c).alias(c) for c in ("total_checks", "passed_checks")]
+    return layers.unionByName(layers.agg(*sums).select(F.lit("all").alias("layer"), "total_checks", "passed_checks", mean))
