@@ -152,13 +152,39 @@ def test_minhash_regions_beyond_a_block(spark, staging, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
 
 
+def test_minhash_without_a_deeper_level_compares_all_blocks(spark, staging, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "REGION", 20)
+    monkeypatch.setattr(minhash_dedup, "MOST_ORDERS", 12)
+    passage, rows = [f"p{i}" for i in range(90)], []
+    for i in range(300):
+        own = [f"x{i}.{k}" for k in range(23)]
+        rows.append((2 * i + 1, " ".join(passage + own), "en", "s"))
+        if i % 10 == 0:
+            own[5] = own[15] = "y"
+            rows.append((2 * i + 2, " ".join(passage + own), "en", "s"))
+    assert [v.number for v in minhash_dedup.plan_levels(330, 85)] == [0]
+    found = minhash_dedup.near_duplicates(staging, spark.createDataFrame(rows, SCHEMA), block=50).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
+
+
+def test_region_keys_agree_as_often_as_their_texts():
+    rng = np.random.default_rng(1)
+    level = minhash_dedup.Level(1, 3, 400)
+    base = np.unique(rng.integers(0, 2**63, 400, np.uint64))
+    other = np.concatenate([base[:-36], rng.integers(0, 2**63, 36, np.uint64)])
+    same = (minhash_dedup.region_keys(base, level) == minhash_dedup.region_keys(other, level)).mean()
+    assert abs(same - (364 / 436) ** 3) < 0.08
+
+
 def test_more_texts_take_deeper_regions_and_more_orders():
-    few, many = minhash_dedup.plan_orders(1000, 85), minhash_dedup.plan_orders(10**8, 85)
-    assert few == (2, 12) and few[0] < many[0] and few[1] < many[1]
+    few, many = minhash_dedup.plan_levels(1000, 85), minhash_dedup.plan_levels(10**8, 85)
+    assert few[0][1:] == (2, 12) and few[0] < many[0] and len(few) > 3
     for percent in (20, 50, 80, 85, 100):
         for texts in (0, 10**5, 10**8, 10**11):
-            depth, orders = minhash_dedup.plan_orders(texts, percent)
-            assert depth * orders <= minhash_dedup.HASHES and (1 - (percent / 100) ** depth) ** orders <= minhash_dedup.MISS
+            levels = minhash_dedup.plan_levels(texts, percent)
+            assert levels[0].depth * levels[0].orders <= minhash_dedup.HASHES
+            assert all((1 - (percent / 100) ** v.depth) ** v.orders <= minhash_dedup.MISS for v in levels)
+            assert all(a.depth < b.depth and a.orders <= b.orders for a, b in zip(levels, levels[1:], strict=False))
 
 
 def test_minhash_awkward(awkward, nothing, staging):

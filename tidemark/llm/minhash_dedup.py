@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from math import ceil, log
+from collections.abc import Callable, Iterator
+from functools import reduce
+from math import ceil, log, log1p
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_text, components, from_text, query, table, tasks
+from tidemark.llm.common import as_text, components, from_text, query, table
+from tidemark.operators.keys import dense_index
 from tidemark.staging import Staging
 
-#: Hashes of a signature, least number of orders.
-HASHES, TREES = 128, 12
-#: Documents of a region on average that its depth is chosen for, chance that a pair just at the threshold shares no
-#: region, neighbours compared at once, documents of a block.
-REGION_ROWS, MISS, NEAR, REGION = 256, 1e-5, 16, 4096
+#: Hashes of a signature, least number of orders, and the most of a level.
+HASHES, TREES, MOST_ORDERS = 128, 12, 512
+#: Documents of a region on average that the first depth is chosen for, most documents of a region that are all compared,
+#: hashes that the next level goes deeper, chance at every level that a pair just at the threshold shares no region.
+REGION_ROWS, REGION, DEEPER, MISS = 256, 512, 3, 1e-5
+#: Neighbours compared at once, rows of a block where no level is left, orders of the first look at a large cluster.
+NEAR, BLOCK, FIRST_LOOK = 16, 4096, 2
 #: How far below the wanted similarity the share of equal hashes may be: four to five standard deviations.
 SLACK = 0.17
 #: Most work of one verification group, documents times shingles, and postings gathered at once.
@@ -89,24 +94,66 @@ def described(docs: DataFrame, words: int) -> DataFrame:
     return from_text(made, ["id"], docs)
 
 
-def plan_orders(texts: int, percent: int) -> tuple[int, int]:
-    """Leading hashes that the texts of a region share, and number of orders.
+class Level(NamedTuple):
+    """Orders of one depth: a region is the texts that agree in the ``depth`` leading hashes of an order."""
 
-    More texts take longer prefixes, and longer prefixes more orders, so that the chance to miss a pair stays the same.
+    number: int
+    depth: int
+    orders: int
+
+
+def orders_of(depth: int, percent: int) -> int:
+    """So many orders that a pair at the threshold shares no region of this depth with chance ``MISS`` at most."""
+    same = (percent / 100) ** depth
+    return TREES if same >= 1 else max(TREES, ceil(log(MISS) / log1p(-same)))
+
+
+def plan_levels(texts: int, percent: int) -> list[Level]:
+    """The first depth follows the number of texts; every further level is deeper and has as many more orders as that takes.
+
+    The first level takes its hashes out of the signature, so its depth gives way where these are too few.
     """
-    for depth in range(max(2, ceil(log(max(1, texts) / REGION_ROWS, 256))), 0, -1):
-        same = (percent / 100) ** depth
-        orders = TREES if same >= 1 else max(TREES, ceil(log(MISS) / log(1 - same)))
-        if depth * orders <= HASHES:
-            return depth, orders
-    raise ValueError(f"{HASHES} hashes are too few for {percent} %")
+    wanted = max(2, ceil(log(max(1, texts) / REGION_ROWS, 256)))
+    fitting = [d for d in range(wanted, 0, -1) if d * orders_of(d, percent) <= HASHES]
+    if not fitting:
+        raise ValueError(f"{HASHES} hashes are too few for {percent} %")
+    levels = [Level(0, fitting[0], orders_of(fitting[0], percent))]
+    while (orders := orders_of(levels[-1].depth + DEEPER, percent)) <= MOST_ORDERS and levels[-1].depth + DEEPER <= HASHES:
+        levels.append(Level(len(levels), levels[-1].depth + DEEPER, orders))
+    return levels
+
+
+def in_first_regions(rows: DataFrame, level: Level) -> DataFrame:
+    """One row per row and order of the first level: ``t`` and ``region``, from the order's own hashes of the signature."""
+    t = F.explode(F.sequence(F.lit(0), F.lit(level.orders - 1))).alias("t")
+    own = F.expr(f"substring(signature, t * {HASHES // level.orders} + 1, {level.depth})")
+    return rows.select("*", t).withColumn("region", F.conv(F.hex(own), 16, 10).cast("long"))
+
+
+def region_keys(hashes: np.ndarray, level: Level) -> np.ndarray:
+    """A number for each order of a deeper level, the same for texts that agree in its ``depth`` least hash values."""
+    factors = np.random.default_rng(SEED + level.number).integers(0, 2**63, level.orders * level.depth, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(0, len(factors), 256):
+        for at in range(0, len(hashes), 4096):
+            part = (factors[k : k + 256, None] * hashes[None, at : at + 4096]).min(1)
+            np.minimum(least[k : k + 256], part, out=least[k : k + 256])
+    key = np.zeros(level.orders, np.uint64)
+    for column in least.reshape(level.orders, level.depth).T:
+        key = mix(key * np.uint64(3) + column)
+    return key.view(np.int64)
+
+
+def in_deeper_regions(rows: DataFrame, texts: DataFrame, level: Level, words: int) -> DataFrame:
+    """As :func:`in_first_regions` for a deeper level, whose hashes are made of the texts of these rows alone."""
 
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"_node": part["node"], "keys": [region_keys(shingles(text, words), level) for text in part["text"]]})
 
-def in_regions(reps: DataFrame, depth: int, orders: int) -> DataFrame:
-    """One row per representative and order: ``t`` and ``region``, the order's own ``depth`` hashes."""
-    t = F.explode(F.sequence(F.lit(0), F.lit(orders - 1))).alias("t")
-    own = F.expr(f"substring(signature, t * {HASHES // orders} + 1, {depth})")
-    return reps.select("*", t).withColumn("region", F.conv(F.hex(own), 16, 10).cast("long"))
+    wanted = rows.select("node").join(texts, "node")
+    keys = wanted.mapInPandas(run, "_node long, keys array<long>").select("_node", F.posexplode("keys").alias("t", "region"))
+    return rows.join(keys, F.col("node") == F.col("_node")).drop("_node")
 
 
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,16 +175,44 @@ def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     return known[moved], known[marks[moved]]
 
 
-def dealt(staging: Staging, rows: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """One row per row and pair of blocks of its group: ``low``, ``high``, and ``first``, whether it is of the low one.
+AT = ["t", "region"]
+GROUP = [*AT, "low", "high"]
+
+
+def several(staging: Staging, rows: DataFrame, condition: str) -> DataFrame:
+    """Regions (``_t``, ``_region``, ``rows``) that meet a condition on ``rows`` and the components ``low`` to ``high`` in them."""
+    sized = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in AT]).agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return staging.freeze(sized.where(condition).drop("low", "high"), "regions")
+
+
+def in_region() -> Column:
+    """Joins rows with what :func:`several` finds."""
+    return (F.col("t") == F.col("_t")) & (F.col("region") == F.col("_region"))
+
+
+def whole_groups(rows: DataFrame) -> DataFrame:
+    """Groups that are compared in full."""
+    return rows.select(*AT, F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(True).alias("first"), "node", "signature")
 
-    A group of more than ``block`` rows is dealt into blocks by hash, and each pair of its blocks becomes a group of
-    its own, so that every two rows meet, however large their group is.
+
+def neighbours(staging: Staging, rows: DataFrame) -> DataFrame:
+    """Groups of ``REGION`` rows that follow each other in the sorted signatures of their region.
+
+    Each order sorts the signatures from its own start on, so texts with the longest common prefixes stand together.
+    The rows are sorted over ranges and numbered; every row is in two groups, whose borders lie half a group apart.
     """
-    large = staging.freeze(rows.groupBy(*keys).count().where(F.col("count") > block), "large")
-    large = large.select(*[F.col(c).alias(f"_{c}") for c in keys], F.ceil(F.col("count") / block).cast("int").alias("parts"))
-    joined = rows.join(large, [F.col(c) == F.col(f"_{c}") for c in keys], "left").drop(*[f"_{c}" for c in keys])
-    return paired(joined.withColumn("parts", F.coalesce("parts", F.lit(1))))
+    own = F.expr(f"concat(substring(signature, t * {DEEPER} % {HASHES} + 1), substring(signature, 1, t * {DEEPER} % {HASHES}))")
+    placed = dense_index(rows.withColumn("own", own), [*AT, "own", "node"], staging, "at").drop("own", *AT)
+    half = REGION // 2
+    twice = F.explode(F.array(*[F.struct(F.lit(-1 - k).alias("t"), F.expr(f"(at + {k * half}) div {REGION}").alias("region")) for k in (0, 1)])).alias("g")
+    return whole_groups(placed.select("node", "signature", twice).select("node", "signature", "g.*"))
+
+
+def dealt(staging: Staging, rows: DataFrame, block: int) -> DataFrame:
+    """Groups for regions that no level parts: dealt into blocks by hash, each pair of blocks a group, so every two rows meet."""
+    large = several(staging, rows, f"rows > {block}").withColumn("parts", F.ceil(F.col("rows") / block).cast("int")).drop("rows")
+    joined = rows.join(large, in_region(), "left").drop("_t", "_region")
+    return paired(joined.withColumn("parts", F.coalesce("parts", F.lit(1)))).select(*GROUP, "first", "node", "signature")
 
 
 def paired(rows: DataFrame) -> DataFrame:
@@ -198,12 +273,8 @@ def candidates_in(ids: np.ndarray, keys: np.ndarray, number: np.ndarray, first:
     return (np.concatenate(a), np.concatenate(b)) if a else (ids[:0], ids[:0])
 
 
-GROUP = ["t", "region", "low", "high"]
-
-
-def candidate_links(staging: Staging, trees: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links between texts that share a region in any order and agree in enough hashes; a group that spans two Arrow
-    batches is held over."""
+def likely_links(groups: DataFrame, percent: int) -> DataFrame:
+    """Links between texts of a group that agree in enough hashes; a group that spans two Arrow batches is held over."""
     least = int(np.ceil((percent / 100 - SLACK) * HASHES))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,8 +300,7 @@ def candidate_links(staging: Staging, trees: DataFrame, percent: int, block: int
             a, b = candidates_in(part["node"].to_numpy(np.int64), keys, number, part["first"].to_numpy(bool), whole, least)
             yield pd.DataFrame({"a": a, "b": b})
 
-    grouped = dealt(staging, trees, ["t", "region"], block)
-    return grouped.repartition(tasks(trees), *GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, "a long, b long")
+    return groups.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, "a long, b long")
 
 
 def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int, posted_only: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -287,10 +357,8 @@ def verified_whole(members: DataFrame, words: int, percent: int) -> DataFrame:
     return members.select("cluster", "node", "text").groupBy("cluster").applyInPandas(run, "a long, b long")
 
 
-def verified_in_blocks(members: DataFrame, words: int, percent: int, work: int) -> DataFrame:
-    """Links in larger clusters: dealt into so many blocks by hash that a pair of blocks is about ``work``, and every
-    pair of blocks is compared."""
-    parts = F.ceil(F.sqrt(F.col("work") / work)).cast("int").alias("parts")
+def exact_group_links(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between texts of a group by their full sets of shingles."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         halved = group["low"].iloc[0] != group["high"].iloc[0]
@@ -298,19 +366,86 @@ def verified_in_blocks(members: DataFrame, words: int, percent: int, work: int)
         a, b = exact_links([shingles(t, words) for t in group["text"]], group["node"].to_numpy(), percent, int((~group["first"]).sum()) if halved else None)
         return pd.DataFrame({"a": a, "b": b})
 
-    dealt_out = paired(members.select("cluster", "node", "text", parts))
-    return dealt_out.groupBy("cluster", "low", "high").applyInPandas(run, "a long, b long")
+    return groups.drop("signature").join(texts, "node").groupBy(*GROUP).applyInPandas(run, "a long, b long")
+
 
+def descend(
+    staging: Staging, rows: DataFrame, texts: DataFrame, levels: list[Level], words: int, compare: Callable[[DataFrame], DataFrame], looks: int | None = None, block: int = BLOCK
+) -> DataFrame:
+    """Links (a, b) that connect all texts which ``compare`` links: the LSH forest.
 
-def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None) -> DataFrame:
+    ``rows`` hold node and signature. At every level the rows fall into one region per order. Of a region of at most
+    ``REGION`` rows all pairs are compared. Of a larger one, neighbours in the sorted order are compared, which connects
+    most copies; and where it still holds several components, its rows, and these alone, go on to the next level, whose
+    regions are deeper and whose orders are as many more as keep the chance of a miss. Two rows that go on different
+    ways never shared a region that was too large, so at their last common level they were compared, or share none with
+    chance ``MISS``. Regions that are too large at the last level are compared by all pairs of blocks. So a row is
+    copied once or twice per order, however large its regions are. With ``looks`` so many orders of the first level are compared
+    first, and later ones skip regions of a single component.
+    """
+    found: list[DataFrame] = []
+    active = rows.select("node", F.col("node").alias("component"), "signature")
+    if looks:
+        first = in_first_regions(active, levels[0]).where(F.col("t") < looks)
+        active = level_links(staging, active, first, found, compare, False)[0]
+    for level in levels:
+        regions = in_first_regions(active, level) if not level.number else in_deeper_regions(active, texts, level, words)
+        regions = staging.freeze(regions, "trees") if level.number else regions
+        active, large = level_links(staging, active, regions, found, compare, bool(looks or level.number))
+        if large is None:
+            break
+        if level == levels[-1]:
+            found.append(staging.freeze(compare(dealt(staging, large, block)), "links"))
+        active = staging.freeze(large.select("node", "component", "signature").dropDuplicates(["node"]), "active")
+    return reduce(DataFrame.unionByName, found)
+
+
+def level_links(
+    staging: Staging, active: DataFrame, regions: DataFrame, found: list[DataFrame], compare: Callable[[DataFrame], DataFrame], merged: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """Add the links of one level to ``found``; the rows with their components, and those of large regions that still hold several.
+
+    ``merged`` says that components are known already, so that regions of a single one are skipped.
+    """
+    if merged:
+        sizes = several(staging, regions, "low <> high")
+        regions = staging.freeze(regions.join(sizes, in_region()).drop("_t", "_region"), "trees")
+        small, large = regions.where(f"rows <= {REGION}"), regions.where(f"rows > {REGION}").drop("rows")
+    else:
+        sizes = several(staging, regions, f"rows > {REGION}")
+        small, large = regions.join(sizes, in_region(), "left_anti"), regions.join(sizes, in_region(), "left_semi")
+    large = staging.freeze(large, "large")
+    crowded = not large.isEmpty()
+    groups = whole_groups(small)
+    if crowded:
+        groups = groups.unionByName(neighbours(staging, large))
+    found.append(staging.freeze(compare(groups), "links"))
+    known = components(staging, reduce(DataFrame.unionByName, found)) if crowded or merged else None
+    if known is None:
+        return active, None
+    known = staging.freeze(known.withColumnsRenamed({"node": "_node", "component": "_component"}), "components")
+
+    def renewed(rows: DataFrame) -> DataFrame:
+        joined = rows.join(known, F.col("node") == F.col("_node"), "left")
+        return joined.withColumn("component", F.coalesce("_component", "component")).drop("_node", "_component")
+
+    active = staging.freeze(renewed(active), "active")
+    if not crowded:
+        return active, None
+    large = staging.freeze(renewed(large), "large")
+    left = several(staging, large, "low <> high").drop("rows")
+    large = staging.freeze(large.join(left, in_region(), "left_semi"), "large")
+    return active, None if large.isEmpty() else large
+
+
+def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None, block: int = BLOCK) -> DataFrame:
     """One row per text: ``row``, id, ``n_shingles``, ``component_id``, ``kept_row``.
 
-    Texts with the same shingle set become one representative. Representatives that share a region, the leading
-    hashes of one of the orders, and whose signatures agree well enough, form clusters; within a cluster every pair is
-    compared on its full shingle sets, and pairs with ``100 * intersection >= percent * union`` link. A region of more
-    than ``REGION`` texts and a cluster with more than ``work`` are dealt into blocks, and every pair of blocks is
-    compared; no region, cluster or partner is capped. A pair at the threshold that shares no region in any order is
-    missed, with a chance below ``MISS`` however dense its regions are.
+    Texts with the same shingle set become one representative. Representatives that the forest brings together and
+    whose signatures agree well enough form clusters (:func:`descend`). Within a cluster every pair is compared on its full
+    shingle sets, and pairs with ``100 * intersection >= percent * union`` link; a cluster of more than ``REGION`` texts
+    or ``work`` descends the forest a second time, now with the sets. No region, cluster or partner is capped. A pair at
+    the threshold is missed with a chance of about ``MISS`` a level.
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
     with the smallest id, then the first written; a null id comes last. Texts without words and null texts link
     with nothing. Repeated rows are in one component. An empty table gives an empty result; other columns are not
@@ -326,17 +461,25 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("head"),
     )
     reps = staging.freeze(reps, "representatives")
-    trees = in_regions(reps.select("node", "signature"), *plan_orders(reps.count(), percent))
-    likely = components(staging, candidate_links(staging, trees, percent, REGION))
-    clusters = likely.select("node", F.col("component").alias("cluster"))
-    members = clusters.join(reps.select(F.col("node").alias("_node"), "content.*", "n", "signature"), F.col("node") == F.col("_node")).drop("_node")
-    members = staging.freeze(members, "members")
-    sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"))
-    texts = docs.select(*[c.alias(f"_{n}") for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text")).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
-    members = members.join(texts, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).drop("_h1", "_h2")
-    members = staging.freeze(members.join(sizes, F.col("cluster") == F.col("_cluster")).drop("_cluster"), "texts")
-    links = verified_whole(members.where(F.col("work") <= work), words, percent)
-    links = links.unionByName(verified_in_blocks(members.where(F.col("work") > work), words, percent, work))
+    levels = plan_levels(reps.count(), percent)
+    contents = docs.select(*[c.alias(f"_{n}") for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text")).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
+
+    def with_texts(nodes: DataFrame) -> DataFrame:
+        """Node and text; of the texts of one content any will do."""
+        return nodes.join(contents, (F.col("content.h1") == F.col("_h1")) & (F.col("content.h2") == F.col("_h2"))).select("node", "text")
+
+    alike_ = descend(staging, reps, with_texts(reps), levels, words, lambda groups: likely_links(groups, percent), block=block)
+    clusters = components(staging, alike_).select(F.col("node").alias("_node"), F.col("component").alias("cluster"))
+    members = staging.freeze(reps.join(clusters, F.col("node") == F.col("_node")).select("node", "cluster", "content", "n", "signature"), "members")
+    sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"), F.count("*").alias("texts"))
+    members = staging.freeze(members.join(sizes, F.col("cluster") == F.col("_cluster")).drop("_cluster"), "members")
+    texts = staging.freeze(with_texts(members), "texts")
+    small = (F.col("work") <= work) & (F.col("texts") <= REGION)
+    links = verified_whole(members.where(small).select("cluster", "node").join(texts, "node"), words, percent)
+    large = members.where(~small).select("node", "cluster", "signature")
+    if not large.isEmpty():
+        exact = lambda groups: exact_group_links(groups, texts, words, percent)
+        links = links.unionByName(descend(staging, large, texts, levels, words, exact, FIRST_LOOK, block))
     parts = components(staging, links)
     info = reps.select("digest", "node", "least", "head").join(parts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     info = staging.freeze(info.select("digest", "least", "head", F.coalesce("component", "node").alias("component")), "info")
