@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.combine import attach
 from tidemark.plans import model
 from tidemark.staging import Staging
 

@@ -11,12 +11,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_collecting: list[list[Staging]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -39,12 +41,29 @@ def at_once(steps: dict[str, Callable[[], object]]) -> dict[str, object]:
         return dict(zip(steps, pool.map(lambda step: step(), steps.values()), strict=True))
 
 
+@contextmanager
+def collected() -> Iterator[list[Staging]]:
+    """Lists the folders that are opened meanwhile, so that a caller can delete them once its result is written."""
+    opened: list[Staging] = []
+    _collecting.append(opened)
+    try:
+        yield opened
+    finally:
+        _collecting.remove(opened)
+
+
 class Staging:
     """One run's own folder under the shared root."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.path = f"{shared_root(spark)}/staging-{uuid.uuid4().hex}"
+        self.path = f"{root or shared_root(spark)}/staging-{uuid.uuid4().hex}"
+        for opened in _collecting:
+            opened.append(self)
+
+    def below(self, name: str) -> Staging:
+        """A folder of its own within this one, for tables that are deleted earlier."""
+        return Staging(self.spark, f"{self.path}/{name}")
 
     def freeze(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table."""
