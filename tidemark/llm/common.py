@@ -63,22 +63,25 @@ def components(staging: Staging, edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node hands its larger neighbours to its smallest one,
     then its smaller neighbours to its smallest one. Each step keeps at most as many edges as it got, and the
     smallest neighbour is an aggregate with map-side combining, and it is written, so that the join back is one
-    between two plain exchanges: adaptive execution splits the rows of a node with very many edges. Every round is written to the shared folder, which cuts the
-    lineage and survives lost executors. Self-links and nulls are ignored; no edges give no rows.
+    between two plain exchanges: adaptive execution splits the rows of a node with very many edges. Every round is
+    written to the shared folder, which cuts the lineage and survives lost executors, and the round before it is deleted.
+    Self-links and nulls are ignored; no edges give no rows.
     """
     links = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = staging.freeze(links, "links")
-    before = None
+    held, before = staging.below("components"), None
+    links = held.freeze(links, "links")
     while True:
+        last, held = held, staging.below("components")
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("hub")).agg(F.least(F.min("b"), F.first("a")).alias("low"))
-        least = staging.freeze(least, "least")
+        least = held.freeze(least, "least")
         large = both.where("b > a").join(least, F.col("a") == F.col("hub")).where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = staging.freeze(large.distinct(), "large")
+        large = held.freeze(large.distinct(), "large")
         least = large.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("low"))
         moved = large.join(least, F.col("a") == F.col("hub"))
         links = moved.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
-        links = staging.freeze(links.where("a <> b").distinct(), "links")
+        links = held.freeze(links.where("a <> b").distinct(), "links")
+        last.clear()
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

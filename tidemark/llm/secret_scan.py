@@ -45,26 +45,31 @@ def matches(text: Column, docs: DataFrame) -> DataFrame:
     return bodied.withColumn("found", F.concat(*[_matches(kind, pattern, group) for kind, pattern, _, group in (*BASE, BARE)])).drop("body")
 
 
-def judge(staging: Staging, found: DataFrame) -> DataFrame:
+def judge(staging: Staging, found: DataFrame, census: DataFrame | None = None) -> DataFrame:
     """``row`` and ``spans`` of texts that have any, from rows (row, repository, owner, found).
 
     Spark gives the pieces between the matches, but no places: a running sum of lengths per text and kind gives
     those. Values are hashed, and each hash is counted by distinct repositories and owners: first once per hash,
     owner and repository, then per hash and owner, then per hash, so a value in a third of all texts is spread over
-    all tasks. A value of at most ``LIVE_OWNERS`` owners is live-looking, any other a copied example. Only matches
+    all tasks. A value of at most ``LIVE_OWNERS`` owners is live-looking, any other a copied example. Owners are those of
+    these texts and of the ``census``, more rows (repository, owner, found) of texts that are not judged. Only matches
     are shuffled, never texts. Spans are sorted by start, then kind: kind, start, end, value, owners,
     repositories, live.
     """
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     so_far = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    placed = found.select("row", "repository", "owner", F.explode("found").alias("m")).select("row", "repository", "owner", "m.*")
-    placed = placed.withColumn("end", F.sum(F.col("skipped") + F.col("length")).over(so_far)).withColumn("start", F.col("end") - F.col("length"))
     shortest = F.create_map(*[F.lit(x) for kind, _, least, _ in (*BASE, BARE) for x in (kind, least)])
     mixed = " and ".join(f"length(regexp_replace(value, '[^{chars}]', '')) >= {least}" for chars, least in (("0-9", 6), ("A-Z", 4), ("a-z", 4)))
-    placed = placed.where((F.length("value") >= shortest[F.col("kind")]) & ((F.col("kind") != BARE[0]) | F.expr(mixed)))
+    counted = (F.length("value") >= shortest[F.col("kind")]) & ((F.col("kind") != BARE[0]) | F.expr(mixed))
+    placed = found.select("row", "repository", "owner", F.explode("found").alias("m")).select("row", "repository", "owner", "m.*")
+    placed = placed.withColumn("end", F.sum(F.col("skipped") + F.col("length")).over(so_far)).withColumn("start", F.col("end") - F.col("length")).where(counted)
     placed = placed.select("row", "repository", "owner", "kind", order.alias("no"), "start", "end", "value", F.sha2("value", 256).alias("key"))
     placed = staging.freeze(placed, "candidates")
-    per_owner = placed.select("key", "owner", "repository").distinct().groupBy("key", "owner").agg(F.count("*").alias("repositories"))
+    holders = placed.select("key", "owner", "repository")
+    if census is not None:
+        others = census.select("owner", "repository", F.explode("found").alias("m")).select("owner", "repository", "m.kind", "m.value").where(counted)
+        holders = holders.unionByName(others.select(F.sha2("value", 256).alias("key"), "owner", "repository"))
+    per_owner = holders.distinct().groupBy("key", "owner").agg(F.count("*").alias("repositories"))
     owners = per_owner.groupBy("key").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     judged = placed.drop("repository").join(owners.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
     span = F.struct("start", "no", "kind", "end", "value", "owners", "repositories", (F.col("owners") <= LIVE_OWNERS).alias("live"))
@@ -88,10 +93,15 @@ def scan(staging: Staging, docs: DataFrame, id_col: str = "doc_id", text_col: st
     return rows.join(spans, F.col("row") == F.col("_row"), "left").select(F.col("id").alias(id_col), "spans")
 
 
-def mask_live(staging: Staging, docs: DataFrame, text_col: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
+def mask_live(
+    staging: Staging, docs: DataFrame, text_col: str = "text", repository: str = "doc_id", owner: str = "source", census: DataFrame | None = None
+) -> DataFrame:
     """``docs`` with every live-looking value in its text replaced; copied examples and all other columns stay.
 
-    Rows without any match pass straight through; only the others are shuffled with their text.
+    Rows without any match pass straight through; only the others are shuffled with their text. ``census`` is a table
+    with the same columns whose texts count for owners and repositories, such as the corpus before its copies went:
+    what many sources copied is an example, also where one copy is left. Null and empty texts have no match, repeated
+    rows are masked each, and an empty table gives an empty result.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.col(text_col).alias("_text"), F.struct("*").alias("doc")
@@ -100,7 +110,10 @@ def mask_live(staging: Staging, docs: DataFrame, text_col: str = "text", reposit
     touched = rows.where(F.size("found") > 0)
     live = F.array_distinct(F.transform(F.filter("spans", lambda s: s["live"]), lambda s: s["value"]))
     longest_first = F.array_sort(live, lambda a, b: F.length(b) - F.length(a))
-    values = judge(staging, touched).select(F.col("row").alias("_row"), longest_first.alias("_values"))
+    if census is not None:
+        census = census.select(F.col(repository).alias("repository"), F.col(owner).alias("owner"), F.col(text_col).alias("_text"))
+        census = matches(F.col("_text"), census).where(F.size("found") > 0)
+    values = judge(staging, touched, census).select(F.col("row").alias("_row"), longest_first.alias("_values"))
     joined = touched.join(values, F.col("row") == F.col("_row"), "left")
     masked = F.aggregate("_values", F.col(f"doc.{text_col}"), lambda text, value: F.replace(text, value, F.lit(MASK)))
     text = F.when(F.size("_values") > 0, masked).otherwise(F.col(f"doc.{text_col}"))
