@@ -2,9 +2,13 @@
 
 Toxic documents go, of equal and of nearly equal documents one stays, live-looking credentials are masked, and
 what is left is tokenised and packed. Every stage reads all rows that its predecessor kept. Its result is written
-as Parquet and read again, so a lost executor never sends the run back beyond the stage that was running. Rows
-with a null or empty text are documents like any other; they are equal to each other, so one of them stays. An
-empty table gives an empty result, and columns beside those of ``documents`` pass through up to packing.
+as Parquet and read again, so a lost executor never sends the run back beyond the stage that was running; what it
+wrote on the way is deleted then.
+
+In every stage a row with a null or empty text is a document like any other; they are equal to each other, so one
+of them stays. A null id comes after all others, equal rows are documents of their own until one of them is kept,
+and ties go to the first written. Long texts are read whole. An empty table gives an empty result. Columns beside
+those of ``documents`` pass through up to packing, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,31 +22,41 @@ from tidemark.llm.minhash_dedup import drop_near_duplicates
 from tidemark.llm.packing import pack, pieces
 from tidemark.llm.secret_scan import mask_live
 from tidemark.llm.toxicity import drop_toxic, known_labels, train
-from tidemark.staging import Staging
+from tidemark.staging import Staging, collected
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the clause grammar, learned from ``labels``, rejects."""
+    """Drop documents that the clause grammar, learned from ``labels``, rejects.
+
+    A null text scores as an empty one. Equal rows score the same. Without labels of both kinds the fixed words decide.
+    """
     return drop_toxic(docs, train(Staging(spark), docs, known_labels(table(spark, sf_dir, "labels"))))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for white space, keep the smallest ``doc_id``."""
+    """Of texts that are equal but for white space, keep the smallest ``doc_id``, of equal ids the first written."""
     return drop_exact_duplicates(Staging(spark), docs)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more on shingles of five words, keep the smallest ``doc_id``."""
+    """Of documents linked by a similarity of 0.8 or more on shingles of five words, keep the smallest ``doc_id``.
+
+    Texts without words link with nothing, so all of them stay.
+    """
     return drop_near_duplicates(Staging(spark), docs, words=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask credentials that only one source holds; every document stays."""
-    return mask_live(Staging(spark), docs)
+    """Mask credentials that only one source holds; every document stays.
+
+    Sources are counted over the whole ``documents`` table as well: its copies are gone by now, and an example that
+    many sources copied must not look like the secret of the one that is left.
+    """
+    return mask_live(Staging(spark), docs, census=table(spark, sf_dir, "documents"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece with its sequence and offset."""
+    """One row per piece with its sequence and offset; a text without words is a piece of one id."""
     return pack(Staging(spark), pieces(docs, public_tokenizers.path("word_bpe_49k.json"))).drop("row")
 
 
@@ -54,7 +68,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express the learned grammar or the tokenizer; the tests compare with a brute-force version.
+#: SQL cannot express the learned grammar or the tokenizer; tests/llm/test_pipeline.py runs the stages in plain Python.
 ORACLE_SQL = None
 
 
@@ -62,5 +76,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     staging, docs = Staging(spark), table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staging.freeze(stage(spark, docs, sf_dir), name)
+        with collected() as opened:
+            docs = staging.freeze(stage(spark, docs, sf_dir), name)
+        for folder in opened:
+            folder.clear()
     return docs
