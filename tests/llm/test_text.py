@@ -171,6 +171,17 @@ def test_licences_of_whole_lines_and_awkward_texts(spark, awkward, nothing):
     found = {r.doc_id: {p.label: p.coverage for p in r.places} for r in license_scan.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found[1] == {"mit": 1.0} and found[2] == {}
     assert found[3]["gpl-3"] == 1.0 and found[3]["gpl"] == 1.0
+    usual = """MIT License
+
+    Copyright (c) 2020 Someone
+
+    Permission is hereby granted, free of charge, to any person obtaining a copy
+    of this software and associated documentation files (the "Software"), to deal
+    in the Software without restriction"""
+    fee = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+    rows = [(1, usual, "en", "s"), (2, fee, "en", "s"), (3, usual.replace("free of", "for a"), "en", "s"), (4, usual + usual, "en", "s")]
+    found = {r.doc_id: sorted((p.label, p.start, p.coverage > 0.8) for p in r.places) for r in license_scan.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {1: [("mit", 6, True)], 2: [("isc", 10, True)], 3: [], 4: [("mit", 6, True), ("mit", 40, True)]}
     assert all(not r.places for r in license_scan.scan(awkward).collect())
     assert license_scan.scan(nothing).count() == 0
 
