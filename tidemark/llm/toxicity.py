@@ -35,6 +35,11 @@ WORDS = {
     REPORT: "said says say wrote writes claimed called quoted told sagte schrieb dit écrit dijo escribió",
     INTENT: "will going gonna shall werde wirst vais voy must should",
 }
+#: Insults and threats of several words; a word of a class above stands for its whole class there.
+PHRASES = {
+    INSULT: ("piece of trash", "piece of garbage", "waste of space", "good for nothing", "shut up", "halt die klappe", "bon à rien", "pedazo de basura"),
+    THREAT: ("make you pay", "come after you", "watch your back", "go to hell", "burn in hell", "mach dich fertig"),
+}
 #: What a clause can give, as numbers that the scorer weighs.
 EVENTS = ("insult", "targeted", "negated", "reported", "mild", "threat", "softened")
 
@@ -50,12 +55,45 @@ class Transducer:
         return known.get(symbol) or known.get(-1) or (state, None)
 
 
+def class_of() -> dict[str, int]:
+    """Symbols of the fixed words, and further ones of the words that only phrases know."""
+    symbols = {w: symbol for symbol, words in WORDS.items() for w in words.split()}
+    for phrase in (p for phrases in PHRASES.values() for p in phrases):
+        for word in phrase.split():
+            symbols.setdefault(word, 1 + max(OTHER, *symbols.values()))
+    return symbols
+
+
+FIXED = class_of()
+SYMBOLS = 1 + max(FIXED.values())
+
+
+def spelled(symbol: int, tag: str, phrase_tag: str) -> Transducer:
+    """Gives ``tag`` at the symbol itself and ``phrase_tag`` where one of its phrases ends.
+
+    A state is the longest beginning of a phrase that has just been read, as in a search for several words at once.
+    """
+    phrases = {tuple(FIXED[w] for w in phrase.split()) for phrase in PHRASES[symbol]}
+    begun = sorted({p[:k] for p in phrases for k in range(len(p))}, key=lambda b: (len(b), b))
+    number = {b: k for k, b in enumerate(begun)}
+
+    def after(read: tuple[int, ...]) -> tuple[int, str | None]:
+        ends = any(read[-len(p) :] == p for p in phrases)
+        state = next(number[read[k:]] for k in range(len(read) + 1) if read[k:] in number)
+        return state, phrase_tag if ends else tag if read[-1] == symbol else None
+
+    return Transducer({number[b]: {**{s: after((*b, s)) for s in range(SYMBOLS)}, -1: (0, None)} for b in begun})
+
+
 #: A tag per symbol tells what holds there. Negation reaches three words; report and target hold to the clause's end.
 NEGATED = Transducer({0: {NEGATION: (3, None)}, **{k: {NEGATION: (3, "neg"), -1: (k - 1, "neg")} for k in (1, 2, 3)}})
 REPORTED = Transducer({0: {REPORT: (1, None)}, 1: {-1: (1, "rep")}})
 AIMED = Transducer({0: {TARGET: (1, None)}, 1: {-1: (1, "aim")}})
 INTENDED = Transducer({0: {INTENT: (1, None)}, 1: {-1: (1, "int")}})
-GRAMMAR = (NEGATED, REPORTED, AIMED, INTENDED)
+INSULTING, THREATENING = spelled(INSULT, "insult", "insult"), spelled(THREAT, "threat", "vow")
+GRAMMAR = (NEGATED, REPORTED, AIMED, INTENDED, INSULTING, THREATENING)
+#: Symbols without which a clause gives nothing.
+TELLING = frozenset({INSULT, MILD, THREAT} | {FIXED[p.split()[-1]] for phrases in PHRASES.values() for p in phrases})
 
 
 def compose(parts: tuple[Transducer, ...]) -> tuple[np.ndarray, list[list[frozenset]]]:
@@ -65,7 +103,7 @@ def compose(parts: tuple[Transducer, ...]) -> tuple[np.ndarray, list[list[frozen
     while waiting:
         states = waiting.pop(0)
         row, tagged = [], []
-        for symbol in range(OTHER + 1):
+        for symbol in range(SYMBOLS):
             steps = [part.step(state, symbol) for part, state in zip(parts, states, strict=True)]
             after = tuple(state for state, _ in steps)
             if after not in numbers:
@@ -78,22 +116,27 @@ def compose(parts: tuple[Transducer, ...]) -> tuple[np.ndarray, list[list[frozen
     return np.array(rows), tags
 
 
+def event_of(symbol: int, held: frozenset) -> int:
+    """Number of the event that a symbol makes under the tags of all transducers, -1 for none."""
+    if "insult" in held:
+        return 2 if "neg" in held else 3 if "rep" in held else 1 if "aim" in held else 0
+    if symbol == MILD:
+        return 4
+    if "vow" in held or ("threat" in held and held & {"aim", "int"}):
+        return 6 if held & {"neg", "rep"} else 5
+    return -1
+
+
+def weight_of(symbol: int, weight: float) -> float:
+    """Weight of an event: its word's own, or that of a strong word for a phrase."""
+    return weight if symbol in (INSULT, MILD, THREAT) else STRONG_ODDS
+
+
 @cache
 def outputs() -> tuple[list[list[int]], list[list[int]]]:
     """Next state and event (-1: none) by state and symbol."""
     step, tags = compose(GRAMMAR)
-
-    def event(symbol: int, held: frozenset) -> int:
-        quiet = held & {"neg", "rep"}
-        if symbol == INSULT:
-            return 2 if "neg" in held else 3 if "rep" in held else 1 if "aim" in held else 0
-        if symbol == MILD:
-            return 4
-        if symbol == THREAT and held & {"aim", "int"}:
-            return 6 if quiet else 5
-        return -1
-
-    return step.tolist(), [[event(symbol, held) for symbol, held in enumerate(row)] for row in tags]
+    return step.tolist(), [[event_of(symbol, held) for symbol, held in enumerate(row)] for row in tags]
 
 
 @dataclass
@@ -114,12 +157,12 @@ class Grammar:
 
     def _look_up(self, word: str) -> tuple[int, float]:
         odds = max([self.entries.get(f, 0.0) for f in forms(word)])
-        fixed = fixed_symbols().get(word, OTHER)
+        fixed = FIXED.get(word, OTHER)
         if odds >= STRONG_ODDS or fixed == INSULT:
             return INSULT, max(odds, STRONG_ODDS)
-        if fixed != OTHER:
+        if fixed < OTHER:
             return fixed, 1.0
-        return (MILD, odds) if odds >= MILD_ODDS else (OTHER, 0.0)
+        return (MILD, odds) if odds >= MILD_ODDS else (fixed, 0.0)
 
     def features(self, text: str) -> list[float]:
         """Weight of each event over all clauses, best clause, and events per clause."""
@@ -129,24 +172,20 @@ class Grammar:
             words = WORD.findall(clause)
             clauses += bool(words)
             symbols = [self.known.get(w) or self.symbol(w) for w in words]
-            if not any(s in (INSULT, MILD, THREAT) for s, _ in symbols):
+            if not any(s in TELLING for s, _ in symbols):
                 continue
             state, score = 0, 0.0
             for symbol, weight in symbols:
                 event = events[state][symbol]
                 state = step[state][symbol]
                 if event >= 0:
+                    weight = weight_of(symbol, weight)
                     sums[event] += weight
                     score += weight if event in (0, 1, 4, 5) else weight / 2
             best = max(best, score)
         return [*np.log1p(sums), np.log1p(best), np.log1p(20 * sum(sums) / max(1, clauses))]
 
 
-@cache
-def fixed_symbols() -> dict[str, int]:
-    return {w: symbol for symbol, words in WORDS.items() for w in words.split()}
-
-
 def forms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in STEMS if len(word) > k)]
 
@@ -257,7 +296,9 @@ def score(docs: DataFrame, scorer: Scorer, columns: list[str], text_col: str = "
     """``columns`` of every row with ``score`` and ``predicted``.
 
     Every clause of the whole text is matched, in time in proportion to its length. A null text counts as empty;
-    an empty one gets the score of a text without any match. An empty table gives an empty result.
+    an empty one gets the score of a text without any match. Repeated rows get the same score, null ids stay null, a
+    score at the threshold counts as toxic, an empty table gives an empty result, and columns of any other name are not
+    read.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
