@@ -112,14 +112,16 @@ def fit(windows: np.ndarray, wanted: np.ndarray, langs: list[str], seed: int = 7
     return net
 
 
-def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, text_col: str = "text", lang_col: str = "lang") -> Network | None:
+def train(
+    docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id"
+) -> Network | None:
     """Network from labelled rows; None where there are none.
 
-    A hash of the row picks about ``rows_per_lang`` rows of every language, spread over the table; of each,
+    A hash of id and text, which does not depend on the layout of the files, picks about ``rows_per_lang`` rows of every language, spread over the table; of each,
     ``WINDOWS_PER_ROW`` windows at even distances, and at most twice as many in all. Only these windows go to the
     driver.
     """
-    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.monotonically_increasing_id().alias("row"))
+    labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("row"))
     labelled = labelled.where("lang IS NOT NULL AND length(text) > 0")
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     if not counts:
@@ -150,7 +152,9 @@ def predict(docs: DataFrame, net: Network | None, columns: list[str], text_col:
 
     Every window of the whole text counts, by its number of bytes; the score is the mean probability of the
     language with the largest one. A text that is null or has no letter, and any text without a network, is
-    ``und`` with score 0. Windows are scored a few at a time, so a very long text takes little memory.
+    ``und`` with score 0. Of languages with equal probability the first in order wins. Repeated rows get the same
+    answer, an empty table an empty result; columns of any other name are not read. Windows are scored a few at a time,
+    so a very long text takes little memory.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -90,7 +90,8 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """Pieces of tokenised texts: ``row``, id, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``.
 
     A text's ids end with ``END_ID``. Only a text of more than ``capacity`` ids is cut, into pieces of that length;
-    the last one may be shorter. Null and empty texts are one piece of one id. Every executor opens the file.
+    the last one may be shorter. Null and empty texts are one piece of one id. Repeated rows are documents of their own,
+    told apart by ``row``; null ids stay null; columns of any other name are not read. Every executor opens the file.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
