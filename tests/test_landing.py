@@ -4,12 +4,13 @@ import json
 import pytest
 from conftest import rows
 
-from tidemark.sources.aggregates import parse_aggregates, read_aggregates, rejected_values
+from tidemark.sources.aggregates import broken_aggregate_pieces, parse_aggregates, read_aggregate_pieces, read_aggregates, rejected_values
 from tidemark.sources.lake import read_table
 from tidemark.functions.columns import decode_value
 from tidemark.sources.localities import read_localities, read_locality_lines, rejected_localities
+from tidemark.sources.pieces import read_pieces
 from tidemark.sources.selection import pick_periods, trailing_window
-from tidemark.sources.series import DEFAULT_SERIES, broken_series, read_series, series_catalogue
+from tidemark.sources.series import DEFAULT_SERIES, broken_series, broken_series_pieces, read_series, read_series_pieces, series_catalogue
 
 RESPONSE = [
     {
@@ -93,6 +94,58 @@ def test_series_files_are_read_in_one_job(spark, tmp_path):
     ]
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut every few hundred bytes."""
+    conf = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name in conf:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_array_of_points_is_read_by_many_tasks(small_splits, tmp_path, indent):
+    spark = small_splits
+    points = [{"data": f"{1 + k % 28:02d}/01/20{k % 20:02d}", "valor": f"{k}.25"} for k in range(200)]
+    for code in (1, 2):
+        (tmp_path / f"series_code={code}").mkdir()
+        (tmp_path / f"series_code={code}" / "p.json").write_text(json.dumps(points[: 200 // code], indent=indent))
+    catalogue = series_catalogue(spark, {"a": 1, "b": 2})
+    found = read_series_pieces(spark, str(tmp_path), catalogue, "api")
+    assert read_pieces(spark, str(tmp_path), "data", "series_code int").rdd.getNumPartitions() > 10
+    assert rows(found) == rows(read_series(spark, str(tmp_path), catalogue, "api")) and found.count() == 300
+    assert broken_series_pieces(spark, str(tmp_path)).count() == 0
+    text = (tmp_path / "series_code=2" / "p.json").read_text()
+    (tmp_path / "series_code=2" / "p.json").write_text(text[: text.rindex("valor") + 2])
+    assert read_series_pieces(spark, str(tmp_path), catalogue, "api").count() == 299
+    assert rows(broken_series_pieces(spark, str(tmp_path))) == [(2, 1)]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_one_response_is_read_by_many_tasks(small_splits, tmp_path, indent):
+    spark = small_splits
+
+    def place(k):
+        return {"localidade": {"id": str(k), "nivel": {"id": "N6"}, "nome": f"place {k}"}, "serie": {"2020": str(k), "2021": {"valor": "1.5"}}}
+
+    response = [
+        {"id": str(v), "variavel": "x", "resultados": [{"classificacoes": [{"id": "9"}], "series": [place(k) for k in range(v, v + 60)]}, {"series": [place(900 + v)]}]}
+        for v in (37, 9324)
+    ]
+    response.insert(1, {"id": "5", "resultados": []})
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.json").write_text(json.dumps(response, indent=indent))
+    (tmp_path / "a" / "two.json").write_text(json.dumps(RESPONSE, indent=indent))
+    found = read_aggregate_pieces(spark, str(tmp_path / "a"), "population")
+    assert rows(found) == rows(read_aggregates(spark, str(tmp_path / "a"), "population"))
+    assert found.count() == 2 * 2 * 61 + len(EXPECTED)
+    assert read_pieces(spark, str(tmp_path / "a"), "localidade").rdd.getNumPartitions() > 10
+    (tmp_path / "a" / "two.json").write_text(json.dumps(RESPONSE)[:-60])
+    assert tuple(broken_aggregate_pieces(spark, str(tmp_path / "a")).first()) == (124, 1)
+
+
 def test_a_broken_series_file_does_not_stop_the_other_series(spark, tmp_path):
     for code, text in {1: '[{"data": "01/01/2020", "valor": "1"}]', 2: '[{"data": "01/01/2020", "val'}.items():
         (tmp_path / f"series_code={code}").mkdir()

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import MISSING_MARKER, decode_period, decode_value, value_text
 from tidemark.sources import JSON_ARRAY_FILE
+from tidemark.sources.pieces import parsed, read_pieces
 
 # Field names of the public aggregates format. A map value may be
 # text or an object; read as text, an object keeps its JSON form.
-AGGREGATES_SCHEMA = (
-    "id string, resultados array<struct<series: array<struct<"
-    "localidade: struct<id: string, nome: string, nivel: struct<id: string>>,"
-    "serie: map<string, string>>>>>"
-)
+SERIES_RECORD = "localidade struct<id: string, nome: string, nivel: struct<id: string>>, serie map<string, string>"
+AGGREGATES_SCHEMA = f"id string, resultados array<struct<series: array<struct<{SERIES_RECORD}>>>>"
+# The id of a variable: the last one before its results.
+VARIABLE = r'(?s)"id"\s*:\s*"([^"]*)"(?:(?!"id"\s*:|"resultados").)*+"resultados"'
 
 
 def read_aggregates(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -30,7 +30,11 @@ def parse_aggregates(texts: DataFrame, column: str, source: str) -> DataFrame:
 
 def flatten_aggregates(responses: DataFrame, source: str) -> DataFrame:
     """One row per (locality, year); a year that is no number becomes null."""
-    return _points(responses).select(
+    return _typed(_points(responses), source)
+
+
+def _typed(points: DataFrame, source: str) -> DataFrame:
+    return points.select(
         "entity_code",
         "entity_name",
         decode_period("year").alias("period"),
@@ -46,6 +50,36 @@ def read_aggregate_lines(spark: SparkSession, path: str, source: str) -> DataFra
     return parse_aggregates(spark.read.text(path), "value", source)
 
 
+def read_aggregate_pieces(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """As :func:`read_aggregates`, but a response that is one large array is read by many tasks.
+
+    The files are cut at the key of the locality, which each series has first. The variable stands once before all of
+    its series: the last one before a series in its file is its own. Only these few headers are collected per file;
+    no series is shuffled. A broken series loses only itself; ``broken_aggregate_pieces`` counts it.
+    """
+    pieces = _series_pieces(spark, path)
+    headers = pieces.where(F.col("variable").isNotNull()).groupBy(F.col("file").alias("_file"))
+    headers = headers.agg(F.sort_array(F.collect_list(F.struct("block", "at", "variable"))).alias("headers"))
+    before = lambda h: (h["block"] < F.col("block")) | ((h["block"] == F.col("block")) & (h["at"] < F.col("at")))
+    known = pieces.drop("variable").join(headers, F.col("file") == F.col("_file"), "left")
+    own = F.try_element_at(F.filter("headers", before), F.lit(-1))["variable"]
+    series = parsed(known, "localidade", SERIES_RECORD).where("not broken")
+    return _typed(_years(series.select(own.alias("variable"), F.col("record").alias("s"))), source)
+
+
+def broken_aggregate_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Series that ``read_aggregate_pieces`` leaves out, counted."""
+    series = parsed(_series_pieces(spark, path), "localidade", SERIES_RECORD)
+    return series.agg(F.count(F.lit(1)).alias("series"), F.count_if("broken").alias("broken_series"))
+
+
+def _series_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Pieces with the last ``variable`` that starts in them, if any."""
+    pieces = read_pieces(spark, path, "localidade")
+    found = F.regexp_extract_all("value", F.lit(VARIABLE), F.lit(1))
+    return pieces.withColumn("variable", F.when(F.col("value").contains('"resultados"'), F.try_element_at(found, F.lit(-1))))
+
+
 def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
     """Responses and values that ``read_aggregate_lines`` leaves out, counted."""
     return rejected_values(spark.read.text(path), "value")
@@ -75,7 +109,10 @@ def _parsed(texts: DataFrame, column: str) -> DataFrame:
 
 def _points(responses: DataFrame) -> DataFrame:
     results = responses.select(F.col("id").alias("variable"), F.explode("resultados").alias("result"))
-    series = results.select("variable", F.explode("result.series").alias("s"))
+    return _years(results.select("variable", F.explode("result.series").alias("s")))
+
+
+def _years(series: DataFrame) -> DataFrame:
     # Only flat columns go along with each year, not the whole series again.
     flat = series.select(
         "variable",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_date, parse_decimal, year_month
+from tidemark.sources.pieces import parsed, read_pieces
 
 # Name and public code of each default series.
 DEFAULT_SERIES = {
@@ -54,6 +55,25 @@ def broken_series(spark: SparkSession, path: str, lines: bool = False) -> DataFr
     return broken.groupBy("series_code").agg(F.count(F.lit(1)).alias("files"))
 
 
+def read_series_pieces(spark: SparkSession, path: str, catalogue: DataFrame, source: str) -> DataFrame:
+    """As :func:`read_series`, but a file that is one large array is read by many tasks.
+
+    The files are cut at the key of the date, which each point has first. A broken point loses only itself, where the
+    whole file is lost otherwise; ``broken_series_pieces`` counts it.
+    """
+    points = _point_pieces(spark, path).where("not broken")
+    return land_series(points.select("record.data", "record.valor", "series_code"), catalogue, source)
+
+
+def broken_series_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Points per series that could not be parsed."""
+    return _point_pieces(spark, path).where("broken").groupBy("series_code").agg(F.count(F.lit(1)).alias("points"))
+
+
+def _point_pieces(spark: SparkSession, path: str) -> DataFrame:
+    return parsed(read_pieces(spark, path, "data", "series_code int"), "data", SERIES_SCHEMA)
+
+
 def _raw_points(spark: SparkSession, path: str, lines: bool) -> DataFrame:
     reader = spark.read.schema(f"{SERIES_SCHEMA}, _broken string, series_code int")
     options = {"multiLine": str(not lines).lower(), "columnNameOfCorruptRecord": "_broken", "basePath": path}

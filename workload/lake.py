@@ -19,7 +19,7 @@ from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SI
 from tidemark.quality.suites import summarize
 from tidemark.sinks.contract import CONTRACTS, contract_violations, require_contract, to_contract
 from tidemark.sinks.parquet import write_table
-from tidemark.sources.aggregates import parse_aggregates, read_aggregate_lines, rejected_values
+from tidemark.sources.aggregates import parse_aggregates, read_aggregate_lines, read_aggregate_pieces, rejected_values
 from tidemark.sources.localities import parse_localities, read_locality_lines
 from tidemark.sources.selection import pick_periods
 from tidemark.sources.series import land_series, series_catalogue
@@ -114,6 +114,18 @@ def land_aggregates_files(spark, sf):
     return read_aggregate_lines(spark, folder, "population")
 
 
+@query(
+    "land_aggregates_pieces",
+    f"""WITH {AGGREGATES_SQL} SELECT entity_code, entity_name, period, CAST(value AS DOUBLE) AS value,
+        '9324' AS variable, 'population' AS source, 'N6' AS level FROM points""",
+)
+def land_aggregates_pieces(spark, sf):
+    """The same through files of whole responses, cut at a key; several responses follow each other in a file."""
+    folder = Staging(spark).folder("aggregates")
+    aggregates_json(spark, sf).write.text(folder)
+    return read_aggregate_pieces(spark, folder, "population")
+
+
 @query(
     "land_rejects",
     f"""WITH {AGGREGATES_SQL}, broken AS (SELECT count(*) AS n FROM part)

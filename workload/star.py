@@ -13,7 +13,7 @@ from tidemark.operators.series import fold_series, series_by_period, series_wide
 from tidemark.operators.standings import standings
 from tidemark.plans import model
 from tidemark.plans.clean import clean_localities, clean_measure, clean_rate, clean_series
-from tidemark.sources.series import land_series, read_series, series_catalogue
+from tidemark.sources.series import land_series, read_series, read_series_pieces, series_catalogue
 from tidemark.staging import Staging
 from workload.registry import query
 from workload.standin import (
@@ -138,6 +138,17 @@ def land_series_files(spark, sf):
     return read_series(spark, folder, series_catalogue(spark, SERIES), "events", lines=True)
 
 
+@query("land_series_pieces", LAND_SERIES_SQL)
+def land_series_pieces(spark, sf):
+    """The same through files that hold whole arrays, cut at a key."""
+    folder = Staging(spark).folder("series")
+    point = F.to_json(F.struct("data", "valor"))
+    days = series_raw(spark, sf).withColumn("day", F.to_date("processed_at"))
+    arrays = days.groupBy("series_code", "day").agg(F.concat(F.lit("[ "), F.array_join(F.collect_list(point), ", "), F.lit(" ]")).alias("value"))
+    arrays.select("series_code", "value").write.partitionBy("series_code").text(folder)
+    return read_series_pieces(spark, folder, series_catalogue(spark, SERIES), "events")
+
+
 # Dimensions
 
 
