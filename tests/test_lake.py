@@ -9,7 +9,7 @@ from tidemark.functions.names import with_surveyed_names
 from tidemark.plans.run import FullRun, Job, Lake, report_frame, run_layer
 from tidemark.quality.rules import DatasetRules
 from tidemark.sinks.contract import CONTRACTS, Contract, ContractBroken, contract_violations, require_contract, to_contract
-from tidemark.sinks.jdbc import JdbcTarget, create_all, create_if_absent, export_all, export_table
+from tidemark.sinks.jdbc import JdbcTarget, create_all, create_if_absent, export_all, export_table, export_whole
 from tidemark.sinks import folders, retention
 from tidemark.sinks.parquet import layout_of, retained, write_table
 from tidemark.sinks.retention import expire
@@ -225,6 +225,63 @@ def test_export_all_reports_missing_and_failed_tables(spark, monkeypatch):
     ]
 
 
+class Recorded:
+    """A connection that records its statements, and fails at one that is told."""
+
+    def __init__(self, counts, fails_at=None):
+        self.seen, self.counts, self.fails_at = [], counts, fails_at
+
+    def __call__(self, spark, target):
+        return self
+
+    def execute(self, statement):
+        self.seen.append(statement)
+        if self.fails_at and statement.startswith(self.fails_at):
+            raise RuntimeError("deadlock")
+
+    def number(self, statement):
+        return self.counts[statement.rsplit(".", 1)[1]]
+
+    def __getattr__(self, name):
+        return lambda: self.seen.append(name)
+
+
+def test_whole_export_is_one_transaction(spark, monkeypatch):
+    saved = Saved().install(monkeypatch)
+    period = spark.createDataFrame([(1, 2020, 1, 1), (2, 2021, 2, 2)], "period_key int, period int, half int, quarter int")
+    nation = spark.createDataFrame([(2020, 1, 5, 2.0)], "period int, groups int, measure bigint, total double")
+    monkeypatch.setitem(CONTRACTS, "fact_nation", Contract({"period": "int", "groups": "int"}, ["period"], ["period"]))
+    tables = {"dim_period": period, "fact_nation": nation}
+    columns = "period_key, period, half, quarter"
+    drops = ["DROP TABLE s.dim_period_next", "DROP TABLE s.fact_nation_next", "commit", "close"]
+    swap = [
+        "DELETE FROM s.fact_nation",
+        "DELETE FROM s.dim_period",
+        f"INSERT INTO s.dim_period ({columns}) SELECT {columns} FROM s.dim_period_next",
+        "INSERT INTO s.fact_nation (period, groups, measure, total) SELECT period, groups, measure, total FROM s.fact_nation_next",
+    ]
+    counts = {"dim_period_next": 2, "fact_nation_next": 1}
+    good = Recorded(counts)
+    status = export_whole(spark, tables.get, TARGET, connect=good)
+    assert good.seen == [*swap, "commit", *drops]
+    assert {r.table: (r.exported, r.message) for r in status.collect()} == {
+        **{name: (True, None) for name in tables}, **{name: (False, "optional table missing") for name in ("dim_entity", "fact_entity", "fact_group")}
+    }
+    assert [(mode, options["dbtable"]) for mode, options, *_ in saved] == [
+        ("ignore", "s.dim_period"), ("overwrite", "s.dim_period_next"), ("ignore", "s.fact_nation"), ("overwrite", "s.fact_nation_next")
+    ]
+
+    broken = Recorded(counts, "INSERT INTO s.fact_nation")
+    status = export_whole(spark, tables.get, TARGET, connect=broken)
+    assert broken.seen == [*swap, "rollback", *drops] and {r.message for r in status.collect()} == {"deadlock"}
+    short = Recorded({**counts, "fact_nation_next": 0})
+    status = export_whole(spark, tables.get, TARGET, connect=short)
+    assert short.seen == ["rollback", *drops] and {r.message for r in status.collect()} == {"s.fact_nation_next has 0 of 1 rows"}
+    unused = Recorded(counts)
+    status = export_whole(spark, {"dim_period": period}.get, TARGET, connect=unused)
+    assert not unused.seen and {(r.exported, r.message) for r in status.collect()} == {(False, "required table missing: fact_nation")}
+
+
 def test_create_all_makes_empty_tables_of_what_the_lake_holds(spark, monkeypatch):
     saved = Saved().install(monkeypatch)
     period = spark.createDataFrame([(1, 2020, 1, 1)], "period_key int, period int, half int, quarter int")

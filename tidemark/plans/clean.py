@@ -50,8 +50,12 @@ def clean_measure(df: DataFrame) -> DataFrame:
     return clean_values(df, "measure", "bigint", MEASURE_BOUNDS)
 
 
-def clean_rate(df: DataFrame, type_: str = "double") -> DataFrame:
-    """Rate (GDP per head); pass a decimal type for sums that do not depend on row order."""
+# The default keeps sums exact, so that they do not depend on row order.
+RATE_TYPE = "decimal(18,4)"
+
+
+def clean_rate(df: DataFrame, type_: str = RATE_TYPE) -> DataFrame:
+    """Rate (GDP per head)."""
     return clean_values(df, "rate", type_, RATE_BOUNDS)
 
 

@@ -54,7 +54,7 @@ def bronze_jobs(
     ]
 
 
-def silver_jobs(entities_enabled: bool = True, rate_type: str = "decimal(18,4)", landed: list[int] | None = None) -> list[Job]:
+def silver_jobs(entities_enabled: bool = True, rate_type: str = clean.RATE_TYPE, landed: list[int] | None = None) -> list[Job]:
     """Cleaning jobs over the bronze tables.
 
     ``landed`` names the periods of an incremental run: only their partitions are read, cleaned and replaced.
@@ -153,7 +153,7 @@ def run_all(
     rate_period: int | list[int] | None = 2021,
     entities_enabled: bool = True,
     enrich: bool = False,
-    rate_type: str = "decimal(18,4)",
+    rate_type: str = clean.RATE_TYPE,
     processed_at: dt.datetime | None = None,
     target: JdbcTarget | None = None,
     checks_enabled: bool = True,

@@ -274,7 +274,7 @@ STAMPED_LOCALITIES = f"""{LOCALITIES_SQL}, stamped AS (
 
 
 def bronze_tables(spark, sf):
-    values = order_values(spark, sf, 3)
+    values = Staging(spark).freeze(order_values(spark, sf, 3), "values")
     gaps = values.withColumn("value", F.when(F.col("value") < 500_000, F.col("value")))
     return {"measure": values, "rate": gaps, "localities": localities(spark, sf)}
 
@@ -331,7 +331,7 @@ def suite_silver(spark, sf):
     )
     clean = {
         "measure": clean_measure(values),
-        "rate": clean_rate(values),
+        "rate": clean_rate(values, "double"),
         "localities": clean_localities(localities(spark, sf)),
         "series": clean_series(points).select("series_code", "series_name", "obs_date", "value"),
     }

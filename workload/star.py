@@ -76,7 +76,7 @@ def clean_measure_(spark, sf):
 
 @query("clean_rate", _clean_sql("rate", "DOUBLE", 0, 1_000_000, 3))
 def clean_rate_(spark, sf):
-    return clean_rate(order_values(spark, sf, 3))
+    return clean_rate(order_values(spark, sf, 3), "double")
 
 
 @query(
