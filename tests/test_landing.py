@@ -186,3 +186,16 @@ def test_forced_schema(spark, tmp_path):
     spark.range(3).selectExpr("id", "id * 2 as other").write.parquet(str(tmp_path / "t"))
     assert read_table(spark, str(tmp_path / "t"), "id bigint, absent string").columns == ["id", "absent"]
     assert read_table(spark, str(tmp_path / "t")).columns == ["id", "other"]
+
+
+def test_a_landing_brings_its_own_rejects(spark, tmp_path):
+    from tidemark.plans.lakehouse import bronze_jobs
+    from tidemark.plans.run import Lake, run_layer
+    from tidemark.sources.series import series_landing
+
+    (tmp_path / "in" / "series_code=1").mkdir(parents=True)
+    (tmp_path / "in" / "series_code=1" / "p.json").write_text('[{"data": "01/01/2020", "valor": "1"}, {"data": "02/01/2020", "val')
+    catalogue = series_catalogue(spark, {"a": 1})
+    jobs = bronze_jobs({"series": lambda lake: series_landing(spark, str(tmp_path / "in"), catalogue, "api")}, entities_enabled=False)
+    report = run_layer(Lake(spark, str(tmp_path / "lake")), "bronze", jobs, []).report[-1]
+    assert (report[1], report[2], report[3], report[5]) == ("series", "done", 1, "points: 1")

@@ -13,6 +13,7 @@ from tidemark.plans.run import FullRun, Job, Lake, Layer, Whole, run_layers
 from tidemark.quality.rules import BRONZE_RULES, GOLD_REFERENCES, GOLD_RULES, SILVER_RULES
 from tidemark.sinks.jdbc import JdbcTarget, export_all
 from tidemark.sinks.retention import expire
+from tidemark.sources import Landing
 from tidemark.sources.selection import pick_periods
 from tidemark.staging import Staging
 
@@ -30,13 +31,16 @@ def bronze_jobs(
 ) -> list[Job]:
     """Landing jobs. ``sources`` maps localities, measure, rate and series to functions of the lake.
 
-    A period is one value, a list, or None for the usual list. A further entry such as ``series_rejects`` counts what that landing leaves out, for the run report.
+    A period is one value, a list, or None for the usual list. A function may return a ``Landing``, whose counts of what
+    it leaves out go into the run report; a further entry such as ``series_rejects`` does the same for plain rows.
     """
 
     def landed(name: str, pick=None):
-        def build(lake: Lake) -> DataFrame:
-            df = sources[name](lake)
-            return audit_columns(pick(df) if pick else df, processed_at)
+        def build(lake: Lake) -> DataFrame | Landing:
+            found = sources[name](lake)
+            df = found.rows if isinstance(found, Landing) else found
+            rows = audit_columns(pick(df) if pick else df, processed_at)
+            return Landing(rows, found.rejects) if isinstance(found, Landing) else rows
 
         return build
 

@@ -20,6 +20,7 @@ from tidemark.quality.rules import DatasetRules, ReferenceRule
 from tidemark.quality.suites import RESULT_SCHEMA, layer_checks, summarize
 from tidemark.sinks import folders
 from tidemark.sinks.parquet import layout_of, write_table
+from tidemark.sources import Landing
 
 REPORT_SCHEMA = "layer string, dataset string, status string, rows bigint, seconds double, message string"
 
@@ -64,12 +65,12 @@ class Job:
 
     ``needs`` names the datasets that it reads and cannot do without, ``uses`` those that it reads if they are there;
     a name is one of this layer or ``layer/dataset``. ``rejects`` counts what the landing leaves out; its
-    counts go into the message of the report row. ``partition_by`` replaces the layout of the layer; mode ``append``
+    counts, or those of a ``Landing``, go into the message of the report row. ``partition_by`` replaces the layout of the layer; mode ``append``
     adds rows to the table instead of replacing it or its partitions.
     """
 
     dataset: str
-    build: Callable[[Lake], DataFrame | Whole]
+    build: Callable[[Lake], DataFrame | Whole | Landing]
     enabled: bool = True
     needs: list[str] = field(default_factory=list)
     rejects: Callable[[Lake], DataFrame] | None = None
@@ -88,11 +89,10 @@ class Layer:
     references: list[ReferenceRule] = field(default_factory=list)
 
 
-def _rejected(job: Job, lake: Lake) -> str | None:
+def _rejected(counts: DataFrame | None) -> str | None:
     """Sums of the counts, one row at most leaves Spark."""
-    if job.rejects is None:
+    if counts is None:
         return None
-    counts = job.rejects(lake)
     numbers = [f.name for f in counts.schema.fields if f.dataType.typeName() == "long"]
     sums = counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in numbers]).first()
     return ", ".join(f"{n}: {sums[n]}" for n in numbers)
@@ -204,11 +204,12 @@ class _Run:
             stale = frozenset(path for path, status in self.status.items() if status in ("failed", "skipped"))
             built = job.build(replace(self.lake, hidden=stale))
             whole = isinstance(built, Whole)
-            df = built.rows if whole else built
+            df = built.rows if isinstance(built, Whole | Landing) else built
+            rejects = built.rejects if isinstance(built, Landing) else job.rejects and job.rejects(self.lake)
             layout = layout_of(layer, df) if job.partition_by is None else job.partition_by
             rows = write_table(df, self.lake.folder(layer, job.dataset), job.mode, layout, full=whole)
             self.tables[f"{layer}/{job.dataset}"] = self.lake.read(layer, job.dataset)
-            self.close(layer, job, "done", _rejected(job, self.lake), rows, time.monotonic() - started)
+            self.close(layer, job, "done", _rejected(rejects), rows, time.monotonic() - started)
         except Exception as error:  # one dataset must not stop the others
             self.close(layer, job, "failed", str(error), seconds=time.monotonic() - started)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import MISSING_MARKER, decode_period, decode_value, value_text
-from tidemark.sources import JSON_ARRAY_FILE
+from tidemark.sources import JSON_ARRAY_FILE, Landing
 from tidemark.sources.pieces import parsed, read_pieces
 
 # Field names of the public aggregates format. A map value may be
@@ -67,6 +67,11 @@ def read_aggregate_pieces(spark: SparkSession, path: str, source: str) -> DataFr
     return _typed(_years(series.select(own.alias("variable"), F.col("record").alias("s"))), source)
 
 
+def aggregates_landing(spark: SparkSession, path: str, source: str) -> Landing:
+    """Responses as :func:`read_aggregate_pieces` reads them, with the series that are broken."""
+    return Landing(read_aggregate_pieces(spark, path, source), broken_aggregate_pieces(spark, path))
+
+
 def broken_aggregate_pieces(spark: SparkSession, path: str) -> DataFrame:
     """Series that ``read_aggregate_pieces`` leaves out, counted."""
     series = parsed(_series_pieces(spark, path), "localidade", SERIES_RECORD)

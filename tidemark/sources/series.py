@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import parse_date, parse_decimal, year_month
+from tidemark.sources import Landing
 from tidemark.sources.pieces import parsed, read_pieces
 
 # Name and public code of each default series.
@@ -65,6 +66,11 @@ def read_series_pieces(spark: SparkSession, path: str, catalogue: DataFrame, sou
     return land_series(points.select("record.data", "record.valor", "series_code"), catalogue, source)
 
 
+def series_landing(spark: SparkSession, path: str, catalogue: DataFrame, source: str) -> Landing:
+    """Series as :func:`read_series_pieces` reads them, with the points that are broken."""
+    return Landing(read_series_pieces(spark, path, catalogue, source), broken_series_pieces(spark, path))
+
+
 def broken_series_pieces(spark: SparkSession, path: str) -> DataFrame:
     """Points per series that could not be parsed."""
     return _point_pieces(spark, path).where("broken").groupBy("series_code").agg(F.count(F.lit(1)).alias("points"))
