@@ -147,6 +147,7 @@ def test_minhash_pairs_at_the_threshold_in_a_shared_passage(spark, staging):
 
 def test_minhash_regions_beyond_a_block(spark, staging, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "REGION", 20)
+    monkeypatch.setattr(minhash_dedup, "EXACT_REGION", 20)
     rows = corpus(5, 6, 60)
     found = minhash_dedup.near_duplicates(staging, spark.createDataFrame(rows, SCHEMA)).collect()
     assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
@@ -154,6 +155,7 @@ def test_minhash_regions_beyond_a_block(spark, staging, monkeypatch):
 
 def test_minhash_without_a_deeper_level_compares_all_blocks(spark, staging, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "REGION", 20)
+    monkeypatch.setattr(minhash_dedup, "EXACT_REGION", 20)
     monkeypatch.setattr(minhash_dedup, "MOST_ORDERS", 12)
     passage, rows = [f"p{i}" for i in range(90)], []
     for i in range(300):
@@ -176,6 +178,14 @@ def test_region_keys_agree_as_often_as_their_texts():
     assert abs(same - (364 / 436) ** 3) < 0.08
 
 
+def test_sketches_agree_where_hashes_do():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 256, (2, 500, minhash_dedup.HASHES)).astype(np.uint8)
+    b[:, :60] = a[:, :60]
+    pack = lambda rows: np.frombuffer(b"".join(minhash_dedup.sketch(r) for r in rows), np.uint64).reshape(-1, 4)
+    assert minhash_dedup.agreeing(pack(a), pack(b)).tolist() == (a % 4 == b % 4).sum(1).tolist()
+
+
 def test_more_texts_take_deeper_regions_and_more_orders():
     few, many = minhash_dedup.plan_levels(1000, 85), minhash_dedup.plan_levels(10**8, 85)
     assert few[0][1:] == (2, 12) and few[0] < many[0] and len(few) > 3

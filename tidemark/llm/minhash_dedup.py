@@ -21,12 +21,13 @@ from tidemark.staging import Staging
 #: Hashes of a signature, least number of orders, and the most of a level.
 HASHES, TREES, MOST_ORDERS = 128, 12, 512
 #: Documents of a region on average that the first depth is chosen for, most documents of a region that are all compared,
-#: hashes that the next level goes deeper, chance at every level that a pair just at the threshold shares no region.
-REGION_ROWS, REGION, DEEPER, MISS = 256, 512, 3, 1e-5
+#: by sketch and by full sets, hashes that the next level goes deeper, chance at every level that a pair just at the
+#: threshold shares no region.
+REGION_ROWS, REGION, EXACT_REGION, DEEPER, MISS = 256, 4096, 512, 3, 1e-5
 #: Neighbours compared at once, rows of a block where no level is left, orders of the first look at a large cluster.
 NEAR, BLOCK, FIRST_LOOK = 16, 4096, 2
-#: How far below the wanted similarity the share of equal hashes may be: four to five standard deviations.
-SLACK = 0.17
+#: How far below the wanted similarity an estimate may be: five standard deviations of one from two bits of each hash.
+SLACK = 0.19
 #: Most work of one verification group, documents times shingles, and postings gathered at once.
 WORK, GATHER = 1_500_000_000, 4_000_000
 #: Remembered words, seed.
@@ -79,18 +80,38 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (mix(least) & np.uint64(0xFF)).astype(np.uint8)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Two bits of each hash of a signature, in 32 bytes."""
+    low = found & np.uint8(3)
+    return (low[0::4] | low[1::4] << np.uint8(2) | low[2::4] << np.uint8(4) | low[3::4] << np.uint8(6)).tobytes()
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many hashes of two sketches, as four numbers along the last axis, agree in their bits."""
+    differ = a ^ b
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return HASHES - np.bitwise_count(differ).sum(-1, dtype=np.int64)
+
+
+def least_agreeing(percent: int) -> int:
+    """Agreeing hashes that a pair at the threshold has almost surely; hashes that differ agree in a quarter of cases."""
+    similarity = max(0.0, percent / 100 - SLACK)
+    return ceil((similarity + (1 - similarity) / 4) * HASHES)
+
+
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (row, id, h1, h2, text) to row, id, h1, h2, number of shingles, digest of the set, signature."""
+    """Rows (row, id, h1, h2, text) to row, id, h1, h2, number of shingles, digest of the set, signature, sketch."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for text in part["text"]:
                 found = shingles(text, words)
-                rows.append((len(found), hashlib.md5(found.tobytes()).digest(), signature(found).tobytes()))
-            yield pd.concat([part.drop(columns="text"), pd.DataFrame(rows, columns=["n", "digest", "signature"], index=part.index)], axis=1)
+                hashes = signature(found)
+                rows.append((len(found), hashlib.md5(found.tobytes()).digest(), hashes.tobytes(), sketch(hashes)))
+            yield pd.concat([part.drop(columns="text"), pd.DataFrame(rows, columns=["n", "digest", "signature", "sketch"], index=part.index)], axis=1)
 
-    made = as_text(docs, ["id"]).mapInPandas(run, "row long, id string, h1 long, h2 long, n long, digest binary, signature binary")
+    made = as_text(docs, ["id"]).mapInPandas(run, "row long, id string, h1 long, h2 long, n long, digest binary, signature binary, sketch binary")
     return from_text(made, ["id"], docs)
 
 
@@ -127,7 +148,7 @@ def in_first_regions(rows: DataFrame, level: Level) -> DataFrame:
     """One row per row and order of the first level: ``t`` and ``region``, from the order's own hashes of the signature."""
     t = F.explode(F.sequence(F.lit(0), F.lit(level.orders - 1))).alias("t")
     own = F.expr(f"substring(signature, t * {HASHES // level.orders} + 1, {level.depth})")
-    return rows.select("*", t).withColumn("region", F.conv(F.hex(own), 16, 10).cast("long"))
+    return rows.select("*", t).withColumn("region", F.xxhash64("scope", own)).drop("signature", "scope")
 
 
 def region_keys(hashes: np.ndarray, level: Level) -> np.ndarray:
@@ -152,8 +173,9 @@ def in_deeper_regions(rows: DataFrame, texts: DataFrame, level: Level, words: in
             yield pd.DataFrame({"_node": part["node"], "keys": [region_keys(shingles(text, words), level) for text in part["text"]]})
 
     wanted = rows.select("node").join(texts, "node")
-    keys = wanted.mapInPandas(run, "_node long, keys array<long>").select("_node", F.posexplode("keys").alias("t", "region"))
-    return rows.join(keys, F.col("node") == F.col("_node")).drop("_node")
+    keyed = rows.join(wanted.mapInPandas(run, "_node long, keys array<long>"), F.col("node") == F.col("_node")).drop("_node")
+    exploded = keyed.select("node", "sketch", "scope", F.posexplode("keys").alias("t", "key"))
+    return exploded.withColumn("region", F.xxhash64("scope", "key")).drop("key", "scope")
 
 
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,40 +201,46 @@ AT = ["t", "region"]
 GROUP = [*AT, "low", "high"]
 
 
-def several(staging: Staging, rows: DataFrame, condition: str) -> DataFrame:
-    """Regions (``_t``, ``_region``, ``rows``) that meet a condition on ``rows`` and the components ``low`` to ``high`` in them."""
-    sized = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in AT]).agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-    return staging.freeze(sized.where(condition).drop("low", "high"), "regions")
-
-
 def in_region() -> Column:
-    """Joins rows with what :func:`several` finds."""
+    """Joins rows with a table of regions."""
     return (F.col("t") == F.col("_t")) & (F.col("region") == F.col("_region"))
 
 
 def whole_groups(rows: DataFrame) -> DataFrame:
     """Groups that are compared in full."""
-    return rows.select(*AT, F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(True).alias("first"), "node", "signature")
+    return rows.select(*AT, F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(True).alias("first"), "node", "sketch")
 
 
-def neighbours(staging: Staging, rows: DataFrame) -> DataFrame:
-    """Groups of ``REGION`` rows that follow each other in the sorted signatures of their region.
+def neighbours(staging: Staging, rows: DataFrame, most: int) -> DataFrame:
+    """Groups of ``most`` rows that follow each other in the sorted sketches of their region.
 
-    Each order sorts the signatures from its own start on, so texts with the longest common prefixes stand together.
+    Each order sorts the sketches from its own start on, so texts with the longest common prefixes stand together.
     The rows are sorted over ranges and numbered; every row is in two groups, whose borders lie half a group apart.
     """
-    own = F.expr(f"concat(substring(signature, t * {DEEPER} % {HASHES} + 1), substring(signature, 1, t * {DEEPER} % {HASHES}))")
+    start = f"t * {DEEPER} % {HASHES // 4}"
+    own = F.expr(f"concat(substring(sketch, {start} + 1), substring(sketch, 1, {start}))")
     placed = dense_index(rows.withColumn("own", own), [*AT, "own", "node"], staging, "at").drop("own", *AT)
-    half = REGION // 2
-    twice = F.explode(F.array(*[F.struct(F.lit(-1 - k).alias("t"), F.expr(f"(at + {k * half}) div {REGION}").alias("region")) for k in (0, 1)])).alias("g")
-    return whole_groups(placed.select("node", "signature", twice).select("node", "signature", "g.*"))
+    half = max(1, most // 2)
+    twice = F.explode(F.array(*[F.struct(F.lit(-1 - k).alias("t"), F.expr(f"(at + {k * half}) div {most}").alias("region")) for k in (0, 1)])).alias("g")
+    return whole_groups(placed.select("node", "sketch", twice).select("node", "sketch", "g.*"))
+
+
+def across(mixed: DataFrame, rows: DataFrame, most: int) -> DataFrame:
+    """Groups in which all rows outside a region's largest component meet all rows of it.
+
+    The largest component is dealt into blocks of about ``most`` rows, the few others go into each of them. ``mixed`` has
+    node, component, t, region and the region's ``top`` component and number of ``rows``; ``rows`` has the sketches.
+    """
+    parts = F.ceil(F.col("rows") / most).cast("int")
+    own = F.when(F.col("component") == F.col("top"), F.array(F.pmod(F.xxhash64("node"), parts).cast("int"))).otherwise(F.sequence(F.lit(0), parts - 1))
+    blocks = mixed.select(*AT, "node", F.explode(own).alias("low")).join(rows.select("node", "sketch"), "node")
+    return blocks.select(*AT, "low", F.col("low").alias("high"), F.lit(True).alias("first"), "node", "sketch")
 
 
-def dealt(staging: Staging, rows: DataFrame, block: int) -> DataFrame:
+def dealt(mixed: DataFrame, rows: DataFrame, block: int) -> DataFrame:
     """Groups for regions that no level parts: dealt into blocks by hash, each pair of blocks a group, so every two rows meet."""
-    large = several(staging, rows, f"rows > {block}").withColumn("parts", F.ceil(F.col("rows") / block).cast("int")).drop("rows")
-    joined = rows.join(large, in_region(), "left").drop("_t", "_region")
-    return paired(joined.withColumn("parts", F.coalesce("parts", F.lit(1)))).select(*GROUP, "first", "node", "signature")
+    parts = mixed.select(*AT, "node", F.ceil(F.col("rows") / block).cast("int").alias("parts"))
+    return paired(parts).join(rows.select("node", "sketch"), "node").select(*GROUP, "first", "node", "sketch")
 
 
 def paired(rows: DataFrame) -> DataFrame:
@@ -233,12 +261,10 @@ def alike(ids: np.ndarray, keys: np.ndarray, first: np.ndarray, whole: bool, lea
     right = left if whole else np.flatnonzero(~first)
     if not len(left) or not len(right):
         return ids[:0], ids[:0]
-    columns, marks = np.ascontiguousarray(keys[right].T), ids.copy()
+    others, marks = keys[right], ids.copy()
     for k in range(0, len(left), 128):
         rows, begin = left[k : k + 128], k if whole else 0
-        equal = np.zeros((len(rows), len(right) - begin), np.uint8)
-        for h in range(HASHES):
-            equal += keys[rows, h][:, None] == columns[h, begin:][None, :]
+        equal = agreeing(keys[rows][:, None, :], others[None, begin:, :])
         i, j = np.nonzero((equal >= least) & (marks[rows][:, None] != marks[right[begin:]][None, :]))
         if len(i):
             names = np.unique(marks)
@@ -262,7 +288,7 @@ def candidates_in(ids: np.ndarray, keys: np.ndarray, number: np.ndarray, first:
         i = np.flatnonzero(small[:-s] & (number[s:] == number[:-s]))
         if not len(i):
             break
-        i = i[(keys[i] == keys[i + s]).sum(1) >= least]
+        i = i[agreeing(keys[i], keys[i + s]) >= least]
         a.append(ids[i])
         b.append(ids[i + s])
     for i, n in zip(begin, size, strict=True):
@@ -275,7 +301,7 @@ def candidates_in(ids: np.ndarray, keys: np.ndarray, number: np.ndarray, first:
 
 def likely_links(groups: DataFrame, percent: int) -> DataFrame:
     """Links between texts of a group that agree in enough hashes; a group that spans two Arrow batches is held over."""
-    least = int(np.ceil((percent / 100 - SLACK) * HASHES))
+    least = least_agreeing(percent)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -295,7 +321,7 @@ def likely_links(groups: DataFrame, percent: int) -> DataFrame:
 
     def found_in(part: pd.DataFrame, number: np.ndarray) -> Iterator[pd.DataFrame]:
         if len(part) > 1:
-            keys = np.frombuffer(b"".join(part["signature"]), np.uint8).reshape(-1, HASHES)
+            keys = np.frombuffer(b"".join(part["sketch"]), np.uint64).reshape(-1, HASHES // 32)
             whole = (part["low"] == part["high"]).to_numpy()
             a, b = candidates_in(part["node"].to_numpy(np.int64), keys, number, part["first"].to_numpy(bool), whole, least)
             yield pd.DataFrame({"a": a, "b": b})
@@ -348,13 +374,13 @@ def exact_links(sets: list[np.ndarray], ids: np.ndarray, percent: int, posted_on
 
 
 def verified_whole(members: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links in clusters small enough for one group."""
+    """Exact components (node, component) in clusters small enough for one group; nodes that link with none are left out."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        a, b = exact_links([shingles(t, words) for t in group["text"]], group["node"].to_numpy(), percent)
-        return pd.DataFrame({"a": a, "b": b})
+        nodes, low = exact_links([shingles(t, words) for t in group["text"]], group["node"].to_numpy(), percent)
+        return pd.DataFrame({"node": nodes, "component": low})
 
-    return members.select("cluster", "node", "text").groupBy("cluster").applyInPandas(run, "a long, b long")
+    return members.select("cluster", "node", "text").groupBy("cluster").applyInPandas(run, "node long, component long")
 
 
 def exact_group_links(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -366,76 +392,93 @@ def exact_group_links(groups: DataFrame, texts: DataFrame, words: int, percent:
         a, b = exact_links([shingles(t, words) for t in group["text"]], group["node"].to_numpy(), percent, int((~group["first"]).sum()) if halved else None)
         return pd.DataFrame({"a": a, "b": b})
 
-    return groups.drop("signature").join(texts, "node").groupBy(*GROUP).applyInPandas(run, "a long, b long")
+    return groups.drop("sketch").join(texts, "node").groupBy(*GROUP).applyInPandas(run, "a long, b long")
+
+
+def merged(staging: Staging, known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) of ``known`` ones and further links; only links between components are followed."""
+    if known is None:
+        return staging.freeze(components(staging, links), "components")
+    side = lambda name: known.select(F.col("node").alias(f"_{name}"), F.col("component").alias(f"_{name}_component"))
+    ends = links.join(side("a"), F.col("a") == F.col("_a"), "left").join(side("b"), F.col("b") == F.col("_b"), "left")
+    ends = ends.select(F.coalesce("_a_component", "a").alias("a"), F.coalesce("_b_component", "b").alias("b")).where("a <> b").distinct()
+    ends = staging.freeze(ends, "ends")
+    if ends.isEmpty():
+        return known
+    moved = staging.freeze(components(staging, ends), "moved")
+    to = moved.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    renamed = known.join(to, F.col("component") == F.col("_node"), "left").select("node", F.coalesce("_component", "component").alias("component"))
+    alone = moved.join(known.select(F.col("node").alias("_known")), F.col("node") == F.col("_known"), "left_anti")
+    return staging.freeze(renamed.unionByName(alone), "components")
+
+
+def with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with the component of their node, which is the node itself where nothing links it."""
+    found = known.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    joined = rows.join(found, F.col("node") == F.col("_node"), "left")
+    return joined.withColumn("component", F.coalesce("_component", "node")).drop("_node", "_component")
 
 
 def descend(
-    staging: Staging, rows: DataFrame, texts: DataFrame, levels: list[Level], words: int, compare: Callable[[DataFrame], DataFrame], looks: int | None = None, block: int = BLOCK
+    staging: Staging, rows: DataFrame, texts: DataFrame, levels: list[Level], words: int, compare: Callable[[DataFrame], DataFrame], most: int, looks: int | None = None, block: int = BLOCK
 ) -> DataFrame:
-    """Links (a, b) that connect all texts which ``compare`` links: the LSH forest.
-
-    ``rows`` hold node and signature. At every level the rows fall into one region per order. Of a region of at most
-    ``REGION`` rows all pairs are compared. Of a larger one, neighbours in the sorted order are compared, which connects
-    most copies; and where it still holds several components, its rows, and these alone, go on to the next level, whose
-    regions are deeper and whose orders are as many more as keep the chance of a miss. Two rows that go on different
-    ways never shared a region that was too large, so at their last common level they were compared, or share none with
-    chance ``MISS``. Regions that are too large at the last level are compared by all pairs of blocks. So a row is
-    copied once or twice per order, however large its regions are. With ``looks`` so many orders of the first level are compared
-    first, and later ones skip regions of a single component.
+    """Components (node, component) of all texts that ``compare`` links: the LSH forest.
+
+    ``rows`` hold node, signature, sketch and a ``scope`` that regions do not cross. At every level the rows fall into one
+    region per order. Of a region of at most ``most`` rows all pairs are compared. Of a larger one, neighbours in the sorted
+    order are compared, which connects most copies; then the rows outside its largest component are compared with all of it,
+    if these are at most ``most``. Where they are more, the region's rows, and these alone, go on to the next level,
+    whose regions are deeper and whose orders are as many more as keep the chance of a miss. Two rows that go on
+    different ways never shared a region that was too large, so at their last common level they were compared, or share
+    none with chance ``MISS``. What is too large at the last level is compared by all pairs of blocks. So a row is copied
+    a few times per order, however large its regions are. With ``looks`` so many orders of the first level are compared first,
+    and later ones skip regions of a single component.
     """
-    found: list[DataFrame] = []
-    active = rows.select("node", F.col("node").alias("component"), "signature")
+    known, active = None, rows
     if looks:
-        first = in_first_regions(active, levels[0]).where(F.col("t") < looks)
-        active = level_links(staging, active, first, found, compare, False)[0]
+        regions = in_first_regions(rows, levels[0]).where(F.col("t") < looks)
+        known, _ = level_components(staging, rows, regions, known, compare, most)
     for level in levels:
-        regions = in_first_regions(active, level) if not level.number else in_deeper_regions(active, texts, level, words)
-        regions = staging.freeze(regions, "trees") if level.number else regions
-        active, large = level_links(staging, active, regions, found, compare, bool(looks or level.number))
-        if large is None:
-            break
-        if level == levels[-1]:
-            found.append(staging.freeze(compare(dealt(staging, large, block)), "links"))
-        active = staging.freeze(large.select("node", "component", "signature").dropDuplicates(["node"]), "active")
-    return reduce(DataFrame.unionByName, found)
+        regions = in_first_regions(active, level) if not level.number else staging.freeze(in_deeper_regions(active, texts, level, words), "regions")
+        known, mixed = level_components(staging, active, regions, known, compare, most)
+        if mixed is None:
+            return known
+        if level != levels[-1]:
+            active = staging.freeze(active.join(mixed.select("node").distinct(), "node", "left_semi"), "active")
+    return merged(staging, known, staging.freeze(compare(dealt(mixed, rows, block)), "links"))
 
 
-def level_links(
-    staging: Staging, active: DataFrame, regions: DataFrame, found: list[DataFrame], compare: Callable[[DataFrame], DataFrame], merged: bool
+def level_components(
+    staging: Staging, rows: DataFrame, regions: DataFrame, known: DataFrame | None, compare: Callable[[DataFrame], DataFrame], most: int
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Add the links of one level to ``found``; the rows with their components, and those of large regions that still hold several.
-
-    ``merged`` says that components are known already, so that regions of a single one are skipped.
-    """
-    if merged:
-        sizes = several(staging, regions, "low <> high")
-        regions = staging.freeze(regions.join(sizes, in_region()).drop("_t", "_region"), "trees")
-        small, large = regions.where(f"rows <= {REGION}"), regions.where(f"rows > {REGION}").drop("rows")
-    else:
-        sizes = several(staging, regions, f"rows > {REGION}")
+    """Components after one level, and the rows of regions that are still too large for it, None without any."""
+    sized = regions if known is None else with_components(regions, known)
+    counted = [F.count("*").alias("rows")] if known is None else [F.count("*").alias("rows"), F.min("component").alias("least"), F.max("component").alias("most")]
+    sizes = sized.groupBy(*[F.col(c).alias(f"_{c}") for c in AT]).agg(*counted)
+    if known is None:
+        sizes = staging.freeze(sizes.where(f"rows > {most}").drop("rows"), "sizes")
         small, large = regions.join(sizes, in_region(), "left_anti"), regions.join(sizes, in_region(), "left_semi")
+    else:
+        sizes = staging.freeze(sizes.where("least <> most").drop("least", "most"), "sizes")
+        held = regions.join(sizes, in_region()).drop("_t", "_region")
+        small, large = held.where(f"rows <= {most}"), held.where(f"rows > {most}").drop("rows")
     large = staging.freeze(large, "large")
     crowded = not large.isEmpty()
     groups = whole_groups(small)
     if crowded:
-        groups = groups.unionByName(neighbours(staging, large))
-    found.append(staging.freeze(compare(groups), "links"))
-    known = components(staging, reduce(DataFrame.unionByName, found)) if crowded or merged else None
-    if known is None:
-        return active, None
-    known = staging.freeze(known.withColumnsRenamed({"node": "_node", "component": "_component"}), "components")
-
-    def renewed(rows: DataFrame) -> DataFrame:
-        joined = rows.join(known, F.col("node") == F.col("_node"), "left")
-        return joined.withColumn("component", F.coalesce("_component", "component")).drop("_node", "_component")
-
-    active = staging.freeze(renewed(active), "active")
+        groups = groups.unionByName(neighbours(staging, large, most))
+    known = merged(staging, known, staging.freeze(compare(groups), "links"))
     if not crowded:
-        return active, None
-    large = staging.freeze(renewed(large), "large")
-    left = several(staging, large, "low <> high").drop("rows")
-    large = staging.freeze(large.join(left, in_region(), "left_semi"), "large")
-    return active, None if large.isEmpty() else large
+        return known, None
+    placed = staging.freeze(with_components(large.select(*AT, "node"), known), "placed")
+    per = placed.groupBy(*[F.col(c).alias(f"_{c}") for c in AT], "component").agg(F.count("*").alias("n"))
+    tops = per.groupBy("_t", "_region").agg(F.max_by("component", "n").alias("top"), F.sum("n").alias("rows"), (F.sum("n") - F.max("n")).alias("others"))
+    tops = staging.freeze(tops.where("others > 0"), "tops")
+    mixed = staging.freeze(placed.join(tops, in_region()).drop("_t", "_region"), "mixed")
+    few = mixed.where(f"others <= {most}")
+    known = merged(staging, known, staging.freeze(compare(across(few, rows, most)), "links"))
+    left = mixed.where(f"others > {most}")
+    return known, None if left.isEmpty() else left
 
 
 def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", work: int = WORK, row_col: str | None = None, block: int = BLOCK) -> DataFrame:
@@ -443,8 +486,8 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
 
     Texts with the same shingle set become one representative. Representatives that the forest brings together and
     whose signatures agree well enough form clusters (:func:`descend`). Within a cluster every pair is compared on its full
-    shingle sets, and pairs with ``100 * intersection >= percent * union`` link; a cluster of more than ``REGION`` texts
-    or ``work`` descends the forest a second time, now with the sets. No region, cluster or partner is capped. A pair at
+    shingle sets, and pairs with ``100 * intersection >= percent * union`` link; a cluster of more than ``work`` descends
+    the forest a second time, now with the sets. No region, cluster or partner is capped. A pair at
     the threshold is missed with a chance of about ``MISS`` a level.
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
     with the smallest id, then the first written; a null id comes last. Texts without words and null texts link
@@ -457,7 +500,7 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     rows = docs.select(number.alias("row"), F.col(id_col).alias("id"), *content, text.alias("text"))
     rows = staging.freeze(described(rows, words), "described")
     reps = rows.where("n > 0").groupBy("digest").agg(
-        F.min("row").alias("node"), F.min("id").alias("least"), F.min(F.struct("h1", "h2")).alias("content"), F.first("n").alias("n"), F.first("signature").alias("signature"),
+        F.min("row").alias("node"), F.min("id").alias("least"), F.min(F.struct("h1", "h2")).alias("content"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"),
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("head"),
     )
     reps = staging.freeze(reps, "representatives")
@@ -468,19 +511,19 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
         """Node and text; of the texts of one content any will do."""
         return nodes.join(contents, (F.col("content.h1") == F.col("_h1")) & (F.col("content.h2") == F.col("_h2"))).select("node", "text")
 
-    alike_ = descend(staging, reps, with_texts(reps), levels, words, lambda groups: likely_links(groups, percent), block=block)
-    clusters = components(staging, alike_).select(F.col("node").alias("_node"), F.col("component").alias("cluster"))
-    members = staging.freeze(reps.join(clusters, F.col("node") == F.col("_node")).select("node", "cluster", "content", "n", "signature"), "members")
-    sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"), F.count("*").alias("texts"))
+    likely = lambda groups: likely_links(groups, percent)
+    found = descend(staging, reps.select("node", "signature", "sketch", F.lit(0).cast("long").alias("scope")), with_texts(reps), levels, words, likely, REGION, block=block)
+    clusters = found.select(F.col("node").alias("_node"), F.col("component").alias("cluster"))
+    members = staging.freeze(reps.join(clusters, F.col("node") == F.col("_node")).select("node", "cluster", "content", "n", "signature", "sketch"), "members")
+    sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"))
     members = staging.freeze(members.join(sizes, F.col("cluster") == F.col("_cluster")).drop("_cluster"), "members")
     texts = staging.freeze(with_texts(members), "texts")
-    small = (F.col("work") <= work) & (F.col("texts") <= REGION)
-    links = verified_whole(members.where(small).select("cluster", "node").join(texts, "node"), words, percent)
-    large = members.where(~small).select("node", "cluster", "signature")
+    small = F.col("work") <= work
+    parts = verified_whole(members.where(small).select("cluster", "node").join(texts, "node"), words, percent)
+    large = members.where(~small).select("node", "signature", "sketch", F.col("cluster").alias("scope"))
     if not large.isEmpty():
         exact = lambda groups: exact_group_links(groups, texts, words, percent)
-        links = links.unionByName(descend(staging, large, texts, levels, words, exact, FIRST_LOOK, block))
-    parts = components(staging, links)
+        parts = parts.unionByName(descend(staging, large, texts, levels, words, exact, EXACT_REGION, FIRST_LOOK, block))
     info = reps.select("digest", "node", "least", "head").join(parts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     info = staging.freeze(info.select("digest", "least", "head", F.coalesce("component", "node").alias("component")), "info")
     least = info.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"), F.min("head").alias("best"))
