@@ -11,8 +11,9 @@ from tidemark.llm.common import query, table
 from tidemark.staging import Staging
 
 SPACES = r"[\x20\x09-\x0D]+"
-#: Filter bits per row, positions per row, and the most bits of a filter: 2**28 bits are at most some 200 MB as a broadcast table.
-BITS_PER_ROW, POSITIONS, MOST_BITS = 16, 2, 2**28
+#: Filter bits per row, positions per row, and the most bits of a filter: 2**28 bits are at most some 200 MB as a broadcast
+#: table. One position in twice the bits lets as few rows through by chance as two (3 %), and shuffles half as much.
+BITS_PER_ROW, POSITIONS, MOST_BITS = 32, 1, 2**28
 
 
 def text_key(text: Column) -> Column:
@@ -27,8 +28,8 @@ def positions(key: Column, bits: int) -> list[Column]:
 def repeat_filter(keys: DataFrame, bits: int) -> DataFrame:
     """First pass: bits that more than one row sets, as rows (word, bits) of 64 bits each.
 
-    Every row sets ``POSITIONS`` bits. Counts are combined before the shuffle, so a very frequent text arrives as
-    one row per task. The table has at most ``bits / 64`` rows.
+    Every row sets ``POSITIONS`` bits. Counts are combined before the shuffle, so a task sends one row for each position that
+    its texts set, one a document at most and fewer where texts repeat. The table has at most ``bits / 64`` rows.
     """
     hits = keys.select(F.explode(F.array(*positions(F.col("text_sha256"), bits))).alias("at"))
     again = hits.groupBy("at").agg(F.count("*").alias("n")).where("n > 1")
