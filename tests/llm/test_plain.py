@@ -76,15 +76,17 @@ def plain_bootstrap(seen):
                 known[value] = max(name, known.get(value, name))
         edges |= {(value, pattern) for pattern in patterns}
     size = Counter(pattern for _, pattern in edges)
+    alike = Counter((pattern, kind.get(value)) for value, pattern in edges)
     scores = {(v, k): 1.0 for v, k in seed.items()}
     for _ in range(pii.ROUNDS):
-        sums, sure = defaultdict(float), Counter()
+        sums, sure, scored = defaultdict(float), Counter(), Counter()
         for value, pattern in edges:
             for (v, k), score in scores.items():
                 if v == value:
                     sums[pattern, k] += score
                     sure[pattern, k] += score >= pii.SCORE
-        trust = {(p, k): s / (size[p] + 2) for (p, k), s in sums.items() if sure[p, k] >= pii.SURE_INSTANCES and size[p] >= pii.SURE_INSTANCES}
+                    scored[pattern, k] += 1
+        trust = {(p, k): s / (scored[p, k] + size[p] - alike[p, k] + 2) for (p, k), s in sums.items() if sure[p, k] >= pii.SURE_INSTANCES and size[p] >= pii.SURE_INSTANCES}
         trust = {at: t for at, t in trust.items() if t >= pii.CONFIDENCE}
         doubt = defaultdict(lambda: 1.0)
         for value, pattern in edges:

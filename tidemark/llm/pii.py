@@ -173,20 +173,24 @@ def bootstrap(staging: Staging, seen: DataFrame, rounds: int = ROUNDS) -> DataFr
     ``seen`` has one row per occurrence: value, seed, kind, patterns. The graph links each pattern with its distinct
     values, counted once however often they repeat. In every round a pattern's confidence in a kind is the mean
     score of its values, damped by two unknown ones; it needs ``SURE_INSTANCES`` surely known values and
-    ``CONFIDENCE``. A value's score is the chance that not all of its confident patterns err; seeds keep score 1.
+    ``CONFIDENCE``. A value that resembles the kind and has no score yet speaks neither for nor against the pattern; all
+    others that are not of the kind speak against it. A value's score is the chance that not all of its confident patterns err; seeds keep score 1.
     Only values that resemble the kind can be found. All steps are grouped sums with map-side combining and joins
     against tables with one row a key, which adaptive execution splits where a key is hot.
     """
     values = seen.groupBy("value").agg(F.max("seed").alias("seed"), F.max("kind").alias("kind"))
     edges = seen.select("value", F.explode("patterns").alias("pattern")).distinct()
     edges = staging.freeze(edges.join(values.withColumnRenamed("value", "_value"), F.col("value") == F.col("_value")).drop("_value"), "edges")
-    sizes = staging.freeze(edges.groupBy(F.col("pattern").alias("_pattern")).agg(F.count("*").alias("size")).where(f"size >= {SURE_INSTANCES}"), "sizes")
+    alike = edges.groupBy(F.col("pattern").alias("_pattern"), F.col("kind").alias("_kind")).agg(F.count("*").alias("alike"))
+    sizes = alike.groupBy("_pattern").agg(F.sum("alike").alias("size"), F.map_from_entries(F.collect_list(F.struct(F.coalesce("_kind", F.lit("")), "alike"))).alias("alike"))
+    sizes = staging.freeze(sizes.where(f"size >= {SURE_INSTANCES}"), "sizes")
     seeds = values.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
     scores = staging.freeze(seeds, "scores")
     for _ in range(rounds):
         known = edges.select("value", "pattern").join(scores.withColumnRenamed("value", "_value"), F.col("value") == F.col("_value"))
-        trust = known.groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.sum((F.col("score") >= SCORE).cast("int")).alias("sure"))
-        trust = trust.join(sizes, F.col("pattern") == F.col("_pattern")).withColumn("trust", F.col("sum") / (F.col("size") + 2))
+        trust = known.groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.sum((F.col("score") >= SCORE).cast("int")).alias("sure"), F.count("*").alias("scored"))
+        against = F.col("size") - F.coalesce(F.try_element_at("alike", F.col("kind")), F.lit(0))
+        trust = trust.join(sizes, F.col("pattern") == F.col("_pattern")).withColumn("trust", F.col("sum") / (F.col("scored") + against + 2))
         trust = trust.where((F.col("sure") >= SURE_INSTANCES) & (F.col("trust") >= CONFIDENCE)).select(F.col("pattern").alias("_pattern"), F.col("kind").alias("_kind"), "trust")
         trust = staging.freeze(trust, "trust")
         fresh = edges.where("seed IS NULL AND kind IS NOT NULL").join(trust, (F.col("pattern") == F.col("_pattern")) & (F.col("kind") == F.col("_kind")))
