@@ -183,7 +183,7 @@ def test_sketches_agree_where_hashes_do():
     a, b = rng.integers(0, 256, (2, 500, minhash_dedup.HASHES)).astype(np.uint8)
     b[:, :60] = a[:, :60]
     pack = lambda rows: np.frombuffer(b"".join(minhash_dedup.sketch(r) for r in rows), np.uint64).reshape(-1, 4)
-    assert minhash_dedup.agreeing(pack(a), pack(b)).tolist() == (a % 4 == b % 4).sum(1).tolist()
+    assert minhash_dedup.agreeing(pack(a).T, pack(b).T).tolist() == (a % 4 == b % 4).sum(1).tolist()
 
 
 def test_more_texts_take_deeper_regions_and_more_orders():
@@ -248,6 +248,39 @@ def test_embeddings_against_brute_force(spark, staging, block):
     assert {r.vec_id: r.n_links for r in found if r.vec_id != 0} == by_id
 
 
+@pytest.mark.parametrize("halved", [False, True])
+def test_suspects_have_a_near_vector_that_they_met_in_no_earlier_table(halved):
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 256, (12, 16), dtype=np.uint8)
+    sketch = np.repeat(base, 6, axis=0)
+    flips = rng.integers(0, 128, (len(sketch), 9))
+    for row, places in zip(sketch, flips, strict=True):
+        for place in places:
+            row[place // 8] ^= 1 << (place % 8)
+    codes = rng.integers(0, 3, (len(sketch), 4)).astype("<u4")
+    first = rng.random(len(sketch)) < 0.5 if halved else np.ones(len(sketch), bool)
+    group = pd.DataFrame({"rep": np.arange(len(sketch)), "t": 2, "low": 0, "high": int(halved), "first": first, "sketch": [r.tobytes() for r in sketch], "codes": [r.tobytes() for r in codes]})
+    most = embedding_dedup.most_differing(0.93)
+    differ = np.unpackbits(sketch, axis=1)[:, None] != np.unpackbits(sketch, axis=1)[None]
+    near = (differ.sum(2) <= most) & (codes[:, None, :2] != codes[None, :, :2]).all(2) & ~np.eye(len(sketch), dtype=bool)
+    if halved:
+        near &= first[:, None] != first[None]
+    found = embedding_dedup.suspects_in(group, most)
+    assert sorted(found["rep"]) == np.flatnonzero(near.any(1)).tolist() and 0 < len(found) < len(sketch)
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    rng, planes = np.random.default_rng(4), np.random.default_rng(5).standard_normal((32, embedding_dedup.SIGNS))
+    a = rng.standard_normal((2000, 32))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((2000, 32))
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    assert ((a @ planes > 0) != (b @ planes > 0)).sum(1).max() <= embedding_dedup.most_differing(0.93)
+
+
 def test_embeddings_of_nothing(spark, staging):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(staging, df).count() == 0

@@ -24,14 +24,15 @@ HASHES, TREES, MOST_ORDERS = 128, 12, 512
 #: by sketch and by full sets, hashes that the next level goes deeper, chance at every level that a pair just at the
 #: threshold shares no region.
 REGION_ROWS, REGION, EXACT_REGION, DEEPER, MISS = 256, 4096, 512, 3, 1e-5
-#: Neighbours compared at once, rows of a block where no level is left, orders of the first look at a large cluster.
-NEAR, BLOCK, FIRST_LOOK = 16, 4096, 2
+#: Neighbours compared at once, pairs of sketches held at once, rows of a block where no level is left, orders of the first
+#: look at a large cluster.
+NEAR, AT_ONCE, BLOCK, FIRST_LOOK = 16, 2**18, 4096, 2
 #: How far below the wanted similarity an estimate may be: five standard deviations of one from two bits of each hash.
 SLACK = 0.19
 #: Most work of one verification group, documents times shingles, and postings gathered at once.
 WORK, GATHER = 1_500_000_000, 4_000_000
 #: Remembered words, seed.
-MEMORY, SEED = 500_000, 20_011
+MEMORY, SEED = 250_000, 20_011
 
 
 class WordCodes(dict):
@@ -87,10 +88,14 @@ def sketch(found: np.ndarray) -> bytes:
 
 
 def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many hashes of two sketches, as four numbers along the last axis, agree in their bits."""
-    differ = a ^ b
-    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
-    return HASHES - np.bitwise_count(differ).sum(-1, dtype=np.int64)
+    """How many hashes of sketches agree in their bits; ``a`` and ``b`` hold one number per 32 hashes along the first axis."""
+    differ = np.uint8(0)
+    for left, right in zip(a, b, strict=True):
+        bits = left ^ right
+        bits |= bits >> np.uint64(1)
+        bits &= np.uint64(0x5555555555555555)
+        differ = differ + np.bitwise_count(bits)
+    return np.uint8(HASHES) - differ
 
 
 def least_agreeing(percent: int) -> int:
@@ -110,6 +115,7 @@ def described(docs: DataFrame, words: int) -> DataFrame:
                 hashes = signature(found)
                 rows.append((len(found), hashlib.md5(found.tobytes()).digest(), hashes.tobytes(), sketch(hashes)))
             yield pd.concat([part.drop(columns="text"), pd.DataFrame(rows, columns=["n", "digest", "signature", "sketch"], index=part.index)], axis=1)
+        CODES.clear()
 
     made = as_text(docs, ["id"]).mapInPandas(run, "row long, id string, h1 long, h2 long, n long, digest binary, signature binary, sketch binary")
     return from_text(made, ["id"], docs)
@@ -261,10 +267,11 @@ def alike(ids: np.ndarray, keys: np.ndarray, first: np.ndarray, whole: bool, lea
     right = left if whole else np.flatnonzero(~first)
     if not len(left) or not len(right):
         return ids[:0], ids[:0]
-    others, marks = keys[right], ids.copy()
-    for k in range(0, len(left), 128):
-        rows, begin = left[k : k + 128], k if whole else 0
-        equal = agreeing(keys[rows][:, None, :], others[None, begin:, :])
+    others, marks = np.ascontiguousarray(keys[right].T), ids.copy()
+    step = max(1, AT_ONCE // len(right))
+    for k in range(0, len(left), step):
+        rows, begin = left[k : k + step], k if whole else 0
+        equal = agreeing(keys[rows].T[:, :, None], others[:, None, begin:])
         i, j = np.nonzero((equal >= least) & (marks[rows][:, None] != marks[right[begin:]][None, :]))
         if len(i):
             names = np.unique(marks)
@@ -288,7 +295,7 @@ def candidates_in(ids: np.ndarray, keys: np.ndarray, number: np.ndarray, first:
         i = np.flatnonzero(small[:-s] & (number[s:] == number[:-s]))
         if not len(i):
             break
-        i = i[agreeing(keys[i], keys[i + s]) >= least]
+        i = i[agreeing(keys[i].T, keys[i + s].T) >= least]
         a.append(ids[i])
         b.append(ids[i + s])
     for i, n in zip(begin, size, strict=True):

@@ -29,7 +29,7 @@ class WordIds:
     tokenizer's added tokens are found in the whole text first, as it does itself, so the words between them hold none.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -42,6 +42,7 @@ class WordIds:
         # words are lower-cased before they are looked up, which must not make an added token of one
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {b"": b""}
+        self.memory = memory
 
     def encode(self, text: str) -> bytes:
         if not any(token in text for token in self.added):
@@ -51,7 +52,7 @@ class WordIds:
     def plain(self, text: str) -> bytes:
         words = text.encode("utf-8", "replace").split()
         new = set(words).difference(self.known)
-        if new and len(self.known) + 2 * len(new) > MEMORY:
+        if new and len(self.known) + 2 * len(new) > self.memory:
             self.known, new = {b"": b""}, set(words)
         if new:
             self.learn(new)
@@ -79,23 +80,26 @@ def parted(word: str) -> tuple[bytes, bytes]:
 
 
 @cache
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, memory: int) -> WordIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordIds(path)
+    return WordIds(path, memory)
 
 
-def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False, memory: int = MEMORY
+) -> DataFrame:
     """Pieces of tokenised texts: ``row``, id, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``.
 
     A text's ids end with ``END_ID``. Only a text of more than ``capacity`` ids is cut, into pieces of that length;
     the last one may be shorter. Null and empty texts are one piece of one id. Repeated rows are documents of their own,
-    told apart by ``row``; null ids stay null; columns of any other name are not read. Every executor opens the file.
+    told apart by ``row``; null ids stay null; columns of any other name are not read. Every executor opens the file, and
+    a task remembers the ids of up to ``memory`` words (some 150 bytes each).
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = word_ids(path).encode, np.array([END_ID], "<u4").tobytes()
+        encode, end = word_ids(path, memory).encode, np.array([END_ID], "<u4").tobytes()
         for part in parts:
             rows = []
             for row, doc_id, text in zip(part["row"], part["id"], part["text"].fillna(""), strict=True):
