@@ -56,8 +56,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece with its sequence and offset; a text without words is a piece of one id."""
-    return pack(Staging(spark), pieces(docs, public_tokenizers.path("word_bpe_49k.json"))).drop("row")
+    """One row per piece with its sequence and offset; a text without words is a piece of one id.
+
+    All stages share the Python workers of an executor, so fewer words are remembered here.
+    """
+    return pack(Staging(spark), pieces(docs, public_tokenizers.path("word_bpe_49k.json"), memory=400_000)).drop("row")
 
 
 STAGES = [
