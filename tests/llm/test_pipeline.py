@@ -47,11 +47,10 @@ def test_stages_of_nothing(spark, nothing):
 
 
 def test_run_over_the_smallest_tables(spark):
+    """At most one of equal texts is left; test_plain.py holds the whole result against plain stages."""
     found = corpus_pipeline.run(spark, SF)
     kept = {r.doc_id for r in found.select("doc_id").distinct().collect()}
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     texts = {}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
         texts.setdefault(" ".join((r.text or "").split()), []).append(r.doc_id)
     assert all(sum(i in kept for i in ids) <= 1 for ids in texts.values())
-    assert sum(labels.get(i) == 1 for i in kept) <= sum(labels.values())
