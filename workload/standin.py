@@ -241,18 +241,25 @@ def star_inputs(spark: SparkSession, sf_dir: str, staging: Staging) -> dict[str,
 
 
 def star(spark: SparkSession, sf_dir: str, staging: Staging | None = None) -> dict[str, DataFrame]:
-    """Dimensions and entity fact. What several of them read is written first; dimensions and rank index at the same time."""
+    """Dimensions and entity fact. What several of them read is written first, what is independent at the same time."""
     staging = staging or Staging(spark)
-    inputs = star_inputs(spark, sf_dir, staging)
-    places, totals = inputs["localities"], inputs["totals"]
+
+    def entity_dimension() -> DataFrame:
+        places = staging.freeze(clean_localities(localities(spark, sf_dir)), "localities")
+        return staging.freeze(model.dim_entity(places, staging), "dim_entity")
+
+    def all_totals() -> DataFrame:
+        return staging.freeze(model.totals(measure(spark, sf_dir), rate(spark, sf_dir)), "totals")
+
+    first = at_once({"totals": all_totals, "dim_entity": entity_dimension})
+    totals, entities = first["totals"], first["dim_entity"]
     built = at_once(
         {
-            "dim_entity": lambda: staging.freeze(model.dim_entity(places, staging), "dim_entity"),
             "dim_period": lambda: staging.freeze(model.dim_period(spark, [totals]), "dim_period"),
-            "index": lambda: model.totals_index(totals, places, staging),
+            "index": lambda: model.totals_index(totals, entities, staging),
         }
     )
-    entities, periods = built["dim_entity"], built["dim_period"]
+    periods = built["dim_period"]
     fact = model.fact_from_index(totals, entities, periods, built["index"])
     return {"dim_entity": entities, "dim_period": periods, "fact_entity": fact}
 
