@@ -3,6 +3,7 @@ from dataclasses import replace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
 from tidemark.functions.names import with_surveyed_names
@@ -14,6 +15,8 @@ from tidemark.sinks import folders, retention
 from tidemark.sinks.parquet import layout_of, retained, write_table
 from tidemark.sinks.retention import expire
 from tidemark.staging import shared_root
+from workload import lake, star  # noqa: F401  register their queries
+from workload.registry import QUERIES
 
 
 def periods(spark, data):
@@ -142,6 +145,22 @@ def test_contract(spark):
     assert SMALL.with_lengths(name=4).types["name"] == "varchar(4)" and SMALL.types["name"] == "varchar(3)"
 
 
+def test_fact_contract_holds_growth_of_any_size(spark, tmp_path):
+    """An order of next to nothing makes the next year's total grow by more than decimal(10,4) holds."""
+    source = "/root/testdata/sf0.001"
+    for name in ("region", "nation", "customer", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{source}/{name}.parquet")
+    orders = spark.read.parquet(f"{source}/orders.parquet").where("o_orderstatus <> 'P'")
+    yearly = orders.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first"), F.countDistinct(F.year("o_orderdate")).alias("years"))
+    chosen = yearly.where("years > 3").orderBy("o_custkey").first()
+    tiny = (F.col("o_custkey") == chosen["o_custkey"]) & (F.year("o_orderdate") == chosen["first"])
+    orders.withColumn("o_totalprice", F.when(tiny, F.lit(0.01)).otherwise(F.col("o_totalprice"))).write.parquet(str(tmp_path / "orders.parquet"))
+    fact = QUERIES["contract_fact_entity"](spark, str(tmp_path))
+    plain = QUERIES["fact_entity"](spark, str(tmp_path)).agg(F.count("*"), F.round(F.max("growth_total"), 4)).first()
+    assert tuple(fact.agg(F.count("*"), F.max("growth_total")).first()) == tuple(plain)
+    assert plain[1] > 1_000_000
+
+
 def test_export_of_rows_that_do_not_fit_writes_nothing(spark, monkeypatch):
     saved = Saved().install(monkeypatch)
     df = spark.createDataFrame([(1, "abcd", 1.0)], "k int, name string, v double")

@@ -19,7 +19,11 @@ class Contract:
 
     def with_lengths(self, **lengths: int) -> Contract:
         """The same contract with other text lengths."""
-        return replace(self, types=self.types | {name: f"varchar({n})" for name, n in lengths.items()})
+        return self.with_types(**{name: f"varchar({n})" for name, n in lengths.items()})
+
+    def with_types(self, **types: str) -> Contract:
+        """The same contract with other column types, for a table whose columns were altered."""
+        return replace(self, types=self.types | types)
 
 
 class ContractBroken(ValueError):

@@ -258,6 +258,8 @@ def _cast_sql(columns: dict[str, str]) -> str:
 CODE_LENGTH = {"entity_code": 14}
 ENTITY_CONTRACT = CONTRACTS["dim_entity"].with_lengths(**CODE_LENGTH)
 FACT_CONTRACT = CONTRACTS["fact_entity"].with_lengths(**CODE_LENGTH)
+# An entity may grow from next to nothing, so its percentages have no bound that the surveyed decimal(10,4) would hold.
+WIDE_FACT_CONTRACT = FACT_CONTRACT.with_types(growth_total="decimal(38,4)", growth_measure="decimal(38,4)")
 NATION_OWN = {n: t for n, t in CONTRACTS["fact_nation"].types.items() if not n.endswith("_mean")}
 NATION_ABSENT = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in CONTRACTS["fact_nation"].types if n.endswith("_mean"))
 
@@ -287,8 +289,9 @@ def contract_dim_period(spark, sf):
 
 @query("contract_fact_entity", f"WITH {FACT_SQL} SELECT {_cast_sql(FACT_CONTRACT.types)} FROM fact")
 def contract_fact_entity(spark, sf):
+    """The entity fact as a table with columns for growth of any size."""
     staging = Staging(spark)
-    return checked(staging.freeze(star(spark, sf, staging)["fact_entity"], "fact_entity"), FACT_CONTRACT)
+    return checked(staging.freeze(star(spark, sf, staging)["fact_entity"], "fact_entity"), WIDE_FACT_CONTRACT)
 
 
 @query("contract_nation", f"WITH {NATION_SQL} SELECT {_cast_sql(NATION_OWN)}, {NATION_ABSENT} FROM fact_nation")
