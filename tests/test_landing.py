@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 
 from tidemark.sources.aggregates import broken_aggregate_pieces, parse_aggregates, read_aggregate_pieces, read_aggregates, rejected_values
 from tidemark.sources.lake import read_table
@@ -146,6 +146,20 @@ def test_one_response_is_read_by_many_tasks(small_splits, tmp_path, indent):
     assert tuple(broken_aggregate_pieces(spark, str(tmp_path / "a")).first()) == (124, 1)
 
 
+def test_a_file_of_many_responses_carries_each_variable_on(small_splits, tmp_path):
+    spark = small_splits
+    texts = [
+        json.dumps([{"id": str(v), "resultados": [{"series": [{"localidade": {"id": f"{v}-{k}", "nivel": {"id": "N6"}, "nome": "x"}, "serie": {"2020": "1"}} for k in range(v % 4)]}]}])
+        for v in range(400)
+    ]
+    (tmp_path / "many.json").write_text("\n".join(texts))
+    (tmp_path / "none.json").write_text('[{"resultados": [{"series": [{"localidade": {"id": "9", "nome": "y"}, "serie": {"2020": "1"}}]}]}]')
+    found = read_aggregate_pieces(spark, str(tmp_path), "population")
+    # a list of all variables of a file, searched for each series, takes time in proportion to the square of the file
+    assert "collect_list" not in plan(found)
+    assert rows(found.select("entity_code", "variable")) == sorted([*((f"{v}-{k}", str(v)) for v in range(400) for k in range(v % 4)), ("9", None)])
+
+
 def test_a_broken_series_file_does_not_stop_the_other_series(spark, tmp_path):
     for code, text in {1: '[{"data": "01/01/2020", "valor": "1"}]', 2: '[{"data": "01/01/2020", "val'}.items():
         (tmp_path / f"series_code={code}").mkdir()

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import MISSING_MARKER, decode_period, decode_value, value_text
 from tidemark.sources import JSON_ARRAY_FILE, Landing
-from tidemark.sources.pieces import parsed, read_pieces
+from tidemark.sources.pieces import parsed, read_pieces, with_record
 
 # Field names of the public aggregates format. A map value may be
 # text or an object; read as text, an object keeps its JSON form.
@@ -54,17 +54,21 @@ def read_aggregate_pieces(spark: SparkSession, path: str, source: str) -> DataFr
     """As :func:`read_aggregates`, but a response that is one large array is read by many tasks.
 
     The files are cut at the key of the locality, which each series has first. The variable stands once before all of
-    its series: the last one before a series in its file is its own. Only these few headers are collected per file;
-    no series is shuffled. A broken series loses only itself; ``broken_aggregate_pieces`` counts it.
+    its series: the last one before a series in its file is its own. Within a block, which one task reads, it is carried
+    on by a window, so the parsed series are shuffled once, by block; over the blocks of a file one row each is carried
+    on. The work grows with the text, however many variables a file holds. A broken series loses only itself;
+    ``broken_aggregate_pieces`` counts it.
     """
     pieces = _series_pieces(spark, path)
-    headers = pieces.where(F.col("variable").isNotNull()).groupBy(F.col("file").alias("_file"))
-    headers = headers.agg(F.sort_array(F.collect_list(F.struct("block", "at", "variable"))).alias("headers"))
-    before = lambda h: (h["block"] < F.col("block")) | ((h["block"] == F.col("block")) & (h["at"] < F.col("at")))
-    known = pieces.drop("variable").join(headers, F.col("file") == F.col("_file"), "left")
-    own = F.try_element_at(F.filter("headers", before), F.lit(-1))["variable"]
-    series = parsed(known, "localidade", SERIES_RECORD).where("not broken")
-    return _typed(_years(series.select(own.alias("variable"), F.col("record").alias("s"))), source)
+    whole = with_record(pieces, "localidade", SERIES_RECORD).where(~F.col("broken") | F.col("variable").isNotNull())
+    in_block = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    filled = whole.select("file", "block", "at", "broken", "record", "variable").withColumn("_own", F.last("variable", ignorenulls=True).over(in_block))
+    last = F.max_by("variable", F.when(F.col("variable").isNotNull(), F.col("at")))
+    blocks = pieces.groupBy(F.col("file").alias("_file"), F.col("block").alias("_block")).agg(last.alias("_last"))
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select("_file", "_block", F.last("_last", ignorenulls=True).over(in_file).alias("_carried"))
+    known = filled.where("not broken").join(carried, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")), "left")
+    return _typed(_years(known.select(F.coalesce("_own", "_carried").alias("variable"), F.col("record").alias("s"))), source)
 
 
 def aggregates_landing(spark: SparkSession, path: str, source: str) -> Landing:

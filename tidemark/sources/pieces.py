@@ -27,7 +27,12 @@ def read_pieces(spark: SparkSession, path: str, key: str, columns: str = "") ->
 
 def parsed(pieces: DataFrame, key: str, schema: str) -> DataFrame:
     """Records as the struct ``record``; ``broken`` tells those that are no whole object, as where a file was cut off."""
+    return with_record(pieces.where("is_record"), key, schema)
+
+
+def with_record(pieces: DataFrame, key: str, schema: str) -> DataFrame:
+    """As :func:`parsed`, but what stands before the first record stays, as a broken one."""
     options = {"columnNameOfCorruptRecord": "_broken"}
     text = F.concat(F.lit(f'{{"{key}"'), F.col("value"))
-    records = pieces.where("is_record").withColumn("record", F.from_json(text, f"{schema}, _broken string", options))
-    return records.withColumn("broken", F.col("record").isNull() | F.col("record._broken").isNotNull())
+    records = pieces.withColumn("record", F.from_json(text, f"{schema}, _broken string", options))
+    return records.withColumn("broken", ~F.col("is_record") | F.col("record").isNull() | F.col("record._broken").isNotNull())
