@@ -2,8 +2,9 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tidemark.plans import clean, model
+from tidemark.plans import clean, incremental, model
 
 STAMP = "timestamp '2024-05-01 00:00:00'"
 
@@ -159,3 +160,24 @@ def test_declared_rules(spark):
     df = spark.createDataFrame([(" 1 ", "5.5", "2020", " x "), (None, "1", "2020", "y"), ("2", "bad", "20x", "z")], "codigo_municipio string, Valor string, Ano string, other string")
     got = rows(clean.apply_rules(df, clean.DEFAULT_RULES))
     assert got == [("1", 5.5, 2020, "x")]
+
+
+def test_a_landing_merges_and_ranks_only_its_own_periods(spark, staging):
+    """Rows of other periods come from the fact as it is; only their growth is taken anew."""
+    both = [(f"0{e}", p, 100 * e + p % 7, float(e + p % 5)) for e in range(1, 9) for p in range(2015, 2020) if (e + p) % 4]
+    places = spark.createDataFrame([(e, f"0{e}", f"{e % 2}") for e in range(1, 9)], "entity_key long, entity_code string, group_code string")
+    periods = spark.createDataFrame([(p - 2014, p) for p in range(2015, 2020)], "period_key long, period int")
+
+    def sides(data):
+        measures = spark.createDataFrame([(e, p, m) for e, p, m, _ in data], "entity_code string, period int, measure long")
+        rates = spark.createDataFrame([(e, p, r) for e, p, _, r in data], "entity_code string, period int, rate double")
+        return measures, rates.withColumn("rate", F.col("rate").cast("decimal(18,4)"))
+
+    changed = [(e, p, 3 * m if p == 2017 else m, r) for e, p, m, r in both if (e, p) != ("03", 2017)]
+    before, after = (staging.freeze(model.fact_entity(*sides(data), places, periods, staging), "fact") for data in (both, changed))
+    keys = sides(changed)[0].select("entity_code", "period")
+    dirty = incremental.touched_periods(before, keys, "entity_code", [2017])
+    alone = sides([row for row in changed if row[1] == 2017])
+    found = incremental.fact_entity_of(before, *alone, places, periods, [2017], dirty, staging)
+    assert dirty == [2017, 2018, 2019]
+    assert rows(found) == rows(after.where(F.col("period").isin(dirty)))

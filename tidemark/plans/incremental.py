@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.combine import attach
 from tidemark.plans import model
 from tidemark.staging import Staging
 
@@ -18,9 +19,11 @@ def touched_periods(before: DataFrame, after: DataFrame, key: str, landed: list[
     """Periods of ``after`` to build again: the landed ones, and those with a row that follows, or followed, one of them.
 
     Both tables hold ``key`` and period. Only these two columns are read and shuffled, and a key has at most one row
-    per period. The answer is as long as the list of periods at most.
+    per period. The answer is as long as the list of periods at most. A row that follows a landed one is later than the
+    first of these, so earlier partitions are not read.
     """
-    sides = [(before, "_before"), (after, "_after")]
+    from_first = F.col("period") >= min(landed, default=0)
+    sides = [(before.where(from_first), "_before"), (after.where(from_first), "_after")]
     marked = [df.select(key, "period", *[F.lit(name == side).alias(name) for _, name in sides]) for df, side in sides]
     merged = marked[0].unionByName(marked[1]).groupBy(key, "period").agg(*[F.max(name).alias(name) for _, name in sides])
     earlier = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,13 +50,23 @@ def basis(entities: DataFrame) -> DataFrame:
 
 
 def fact_entity_of(
-    measure: DataFrame, rate: DataFrame, entities: DataFrame, periods: DataFrame, dirty: list[int], staging: Staging
+    before: DataFrame, measure: DataFrame, rate: DataFrame, entities: DataFrame, periods: DataFrame, landed: list[int], dirty: list[int], staging: Staging
 ) -> DataFrame:
-    """The entity fact's rows of the ``dirty`` periods, equal to those of the whole fact; later periods are not read."""
-    earlier = [df.where(F.col("period") <= max(dirty, default=0)) for df in (measure, rate)]
-    both = staging.freeze(model.totals(*earlier), "totals")
-    index = model.totals_index(both.where(F.col("period").isin(dirty)), entities, staging)
-    return model.fact_from_index(both, entities, periods, index).where(F.col("period").isin(dirty))
+    """The entity fact's rows of the ``dirty`` periods, equal to those of the whole fact; later periods are not read.
+
+    Only the ``landed`` periods are merged and ranked again. Shares and ranks of the others have not changed, so their
+    rows come from the fact as it is, and the growth of all is taken anew. Of periods that are not dirty only the values
+    that growth compares with are read.
+    """
+    in_landed, in_dirty = F.col("period").isin(landed), F.col("period").isin(dirty)
+    both = staging.freeze(model.totals(measure.where(in_landed), rate.where(in_landed)), "totals")
+    fresh = model.fact_from_index(both, entities, periods, model.totals_index(both, entities, staging))
+    again = ["growth_total", "growth_measure", "period_key"]
+    kept = before.where(in_dirty & ~in_landed).select(*[c for c in model.FACT_ENTITY if c not in again])
+    earlier = before.where((F.col("period") < max(dirty, default=0)) & ~in_dirty & ~in_landed).select("entity_code", "period", "measure", "total")
+    rows = fresh.drop(*again).unionByName(kept).unionByName(earlier, allowMissingColumns=True)
+    grown = model.entity_growth(rows).where(in_dirty)
+    return attach(grown, periods, "period", ["period_key"]).select(*model.FACT_ENTITY)
 
 
 def fact_group_of(old: DataFrame, fact: DataFrame, entities: DataFrame, landed: list[int], staging: Staging) -> DataFrame:

@@ -117,7 +117,7 @@ def gold_jobs(
         after = measure.select("entity_code", "period").unionByName(rate.select("entity_code", "period"))
         dirty = incremental.touched_periods(before, after, "entity_code", landed)
         dirty = sorted({*dirty, *incremental.moved_periods(before, spine)})
-        return incremental.fact_entity_of(measure, rate, dimension, spine, dirty, staging)
+        return incremental.fact_entity_of(before, measure, rate, dimension, spine, landed, dirty, staging)
 
     def group_fact(lake: Lake) -> DataFrame | Whole:
         fact, dimension, before = lake.read("gold", "fact_entity"), lake.read("gold", "dim_entity"), old(lake, "fact_group")

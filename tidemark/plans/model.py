@@ -131,18 +131,17 @@ def fact_from_index(
 ) -> DataFrame:
     """Entity fact from the totals, both dimensions and the rank index: one full-width shuffle, by entity."""
     located = attach(both, entities, "entity_code", ["entity_key"])
-    grown = with_growth(
-        located,
-        {"total": "growth_total", "measure": "growth_measure"},
-        "period",
-        ["entity_code"],
-        strict_growth,
-    )
+    grown = entity_growth(located, strict_growth)
     placed = attach(grown, index, "entity_code", ["standings"]).withColumn("_found", F.element_at("standings", F.col("period")))
     ranked = placed.withColumns({c: F.col(f"_found.{c}") for c in STANDINGS})
     return attach(ranked, periods, "period", ["period_key"]).select(*FACT_ENTITY)
 
 
+def entity_growth(rows: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows with the growth of total and measure over the entity's previous period."""
+    return with_growth(rows, {"total": "growth_total", "measure": "growth_measure"}, "period", ["entity_code"], strict)
+
+
 def fact_group(fact: DataFrame, entities: DataFrame, staging: Staging) -> DataFrame:
     """Group fact from the entity fact or its totals: sums, unweighted mean rate, growth, national share and rank."""
     return group_standings(group_growth(group_sums(fact, entities)), staging)
