@@ -2,7 +2,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
@@ -32,6 +32,20 @@ def test_overwrite_replaces_only_its_partitions_unless_full(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(5, 2022, "a")]
 
 
+def test_a_large_partition_of_one_task_is_written_by_several(spark, tmp_path):
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        df = spark.range(0, 40_000, 1, 1).selectExpr("sha2(string(id), 256) AS v", "2020 AS period", "map('a', id) AS m")
+        assert write_table(df, str(tmp_path / "t"), partition_by=["period"]) == 40_000
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    written = spark.read.parquet(str(tmp_path / "t"))
+    assert written.count() == 40_000 and written.columns == ["v", "m", "period"] and len(written.inputFiles()) > 4
+
+
 def test_write_modes_and_empty_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(periods(spark, [(1, 2020, "a")]), path)
@@ -53,6 +67,17 @@ def test_layouts(spark):
     assert layout_of("bronze", df.select("v")) == []
 
 
+def test_retention_counts_rows_without_sorting_them(spark, tmp_path):
+    path, today = str(tmp_path / "t"), dt.date(2024, 6, 1)
+    data = [(1, 2023, dt.date(2024, 1, 1)), (2, 2024, dt.date(2024, 5, 1)), (3, 2024, dt.date(2020, 1, 1))]
+    write_table(spark.createDataFrame(data, "v int, period int, load_date date"), path, partition_by=["period"])
+    found = retention.survey(spark.read.parquet(path), "bronze", today)
+    assert plan(found).split("FileScan")[0].rsplit("Aggregate(", 1)[0].endswith("Hash")
+    assert rows(found.drop("file")) == [(2023, 1, 0), (2024, 2, 1)]
+    nothing = spark.read.parquet(path).where("v > 9").drop("period")
+    assert [(r["rows"], r["kept"]) for r in retention.survey(nothing, "bronze", today).collect()] == [(0, 0)]
+
+
 def test_retention(spark, tmp_path):
     data = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 5, 1)), (3, dt.date(2020, 1, 1))]
     df = spark.createDataFrame(data, "v int, load_date date")

@@ -10,7 +10,7 @@ from tidemark.functions.columns import decode_value
 from tidemark.sources.localities import read_localities, read_locality_lines, rejected_localities
 from tidemark.sources.pieces import read_pieces
 from tidemark.sources.selection import pick_periods, trailing_window
-from tidemark.sources.series import DEFAULT_SERIES, broken_series, broken_series_pieces, read_series, read_series_pieces, series_catalogue
+from tidemark.sources.series import DEFAULT_SERIES, broken_series, broken_series_pieces, land_series, read_series, read_series_pieces, series_catalogue
 
 RESPONSE = [
     {
@@ -213,3 +213,10 @@ def test_a_landing_brings_its_own_rejects(spark, tmp_path):
     jobs = bronze_jobs({"series": lambda lake: series_landing(spark, str(tmp_path / "in"), catalogue, "api")}, entities_enabled=False)
     report = run_layer(Lake(spark, str(tmp_path / "lake")), "bronze", jobs, []).report[-1]
     assert (report[1], report[2], report[3], report[5]) == ("series", "done", 1, "points: 1")
+
+
+def test_series_meet_their_catalogue_without_a_task_for_each(spark):
+    raw = spark.createDataFrame([(433, "01/01/2020", "1.5")], "series_code int, data string, valor string")
+    landed = land_series(raw, series_catalogue(spark), "api")
+    assert "BroadcastHashJoin" in plan(landed) and "SortMergeJoin" not in plan(landed)
+    assert [(r.series_name, str(r.value)) for r in landed.collect()] == [("ipca_mensal", "1.5000")]

@@ -91,7 +91,8 @@ def land_series(raw: DataFrame, catalogue: DataFrame, source: str) -> DataFrame:
 
     Points of series outside the catalogue are not landed.
     """
-    tagged = raw.join(catalogue, "series_code")
+    # The catalogue is configuration, whose size Spark cannot know; a join by code would leave one task per series.
+    tagged = raw.join(F.broadcast(catalogue), "series_code")
     typed = tagged.select(
         "series_code",
         "series_name",
