@@ -1,7 +1,11 @@
 """Exact, MinHash and embedding deduplication against brute force."""
 
+import json
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -169,6 +173,42 @@ def test_minhash_without_a_deeper_level_compares_all_blocks(spark, staging, monk
     assert {r.doc_id: r.component_id for r in found} == brute_components(rows, 3, 85)
 
 
+#: Near duplicates in a session of its own, whose event log tells what was shuffled.
+LOGGED = """
+import json, sys
+from pathlib import Path
+from pyspark.sql import SparkSession
+from tidemark.llm import minhash_dedup
+from tidemark.staging import Staging
+
+folder = Path(sys.argv[1])
+conf = {
+    "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "3", "spark.checkpoint.dir": str(folder / "shared"), "spark.eventLog.enabled": "true",
+    "spark.eventLog.dir": folder.as_uri(), "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+minhash_dedup.REGION = 20
+found = minhash_dedup.near_duplicates(Staging(spark), spark.read.parquet(str(folder / "documents"))).collect()
+spark.stop()
+events = [json.loads(line) for f in folder.glob("local-*") for line in f.open()]
+metrics = [e["Task Metrics"]["Shuffle Write Metrics"] for e in events if e["Event"] == "SparkListenerTaskEnd"]
+print(json.dumps({"shuffled": sum(m["Shuffle Bytes Written"] for m in metrics), "found": [(r.doc_id, r.component_id) for r in found]}))
+"""
+
+
+def test_minhash_deeper_regions_do_not_shuffle_all_texts(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"{rng.getrandbits(128):x}" for _ in range(600)), "en", "s") for i in range(400)]
+    passage = [f"p{i}" for i in range(90)]
+    crowd = [" ".join(passage + [f"x{i}.{k}" for k in range(23)]) for i in range(100)]
+    rows += [(1000 + i, t, "en", "s") for i, t in enumerate(crowd + [f"{t} end" for t in crowd[:10]] + crowd[5:15])]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents"))
+    run = subprocess.run([sys.executable, "-c", LOGGED, str(tmp_path)], stdout=subprocess.PIPE, env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)}, check=True)
+    seen = json.loads(run.stdout.splitlines()[-1])
+    assert dict(seen["found"]) == brute_components(rows, 3, 85)
+    assert 0 < seen["shuffled"] < sum(len(t) for _, t, *_ in rows) / 4
+
+
 def test_region_keys_agree_as_often_as_their_texts():
     rng = np.random.default_rng(1)
     level = minhash_dedup.Level(1, 3, 400)

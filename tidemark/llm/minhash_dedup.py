@@ -31,6 +31,9 @@ NEAR, AT_ONCE, BLOCK, FIRST_LOOK = 16, 2**18, 4096, 2
 SLACK = 0.19
 #: Most work of one verification group, documents times shingles, and postings gathered at once.
 WORK, GATHER = 1_500_000_000, 4_000_000
+#: Wanted texts for each 64-bit word of a filter, bits that one sets in its word, and the most words: 2**20 are some 50 MB as
+#: a broadcast table.
+TEXTS_PER_WORD, TEXT_BITS, MOST_WORDS = 4, 3, 2**20
 #: Remembered words, seed.
 MEMORY, SEED = 250_000, 20_011
 
@@ -154,7 +157,7 @@ def in_first_regions(rows: DataFrame, level: Level) -> DataFrame:
     """One row per row and order of the first level: ``t`` and ``region``, from the order's own hashes of the signature."""
     t = F.explode(F.sequence(F.lit(0), F.lit(level.orders - 1))).alias("t")
     own = F.expr(f"substring(signature, t * {HASHES // level.orders} + 1, {level.depth})")
-    return rows.select("*", t).withColumn("region", F.xxhash64("scope", own)).drop("signature", "scope")
+    return rows.select("*", t).withColumn("region", F.xxhash64("scope", own)).drop("signature", "scope", "h1", "h2")
 
 
 def region_keys(hashes: np.ndarray, level: Level) -> np.ndarray:
@@ -171,17 +174,48 @@ def region_keys(hashes: np.ndarray, level: Level) -> np.ndarray:
     return key.view(np.int64)
 
 
-def in_deeper_regions(rows: DataFrame, texts: DataFrame, level: Level, words: int) -> DataFrame:
-    """As :func:`in_first_regions` for a deeper level, whose hashes are made of the texts of these rows alone."""
+def possibly_wanted(contents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``contents`` (h1, h2, text) whose bits the ``wanted`` rows (h1, h2) set in a Bloom filter, which is broadcast.
+
+    All wanted texts are among them, and of the others about one in a hundred, more if ``MOST_WORDS`` bounds the filter; nothing
+    but the filter shuffles.
+    """
+    size = min(MOST_WORDS, wanted.count() // TEXTS_PER_WORD + 1)
+    word = F.pmod(F.col("h1"), F.lit(size))
+    mask = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(h2, {6 * k}) & 63 as int))" for k in range(TEXT_BITS)))
+    words = wanted.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits"))
+    tested = contents.join(F.broadcast(words), word == F.col("_word"))
+    return tested.where(F.col("_bits").bitwiseAND(mask) == mask).select("h1", "h2", "text")
+
+
+def same_content() -> Column:
+    """Joins rows with a table of contents."""
+    return (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
+
+
+def with_texts(rows: DataFrame, contents: DataFrame) -> DataFrame:
+    """Rows (h1, h2, ...) with their text; of the texts of one content any will do, and only possibly wanted ones shuffle."""
+    texts = possibly_wanted(contents, rows).groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(F.first("text").alias("text"))
+    return rows.join(texts, same_content()).drop("h1", "h2", "_h1", "_h2")
+
+
+def with_region_keys(rows: DataFrame, contents: DataFrame, level: Level, words: int) -> DataFrame:
+    """Rows with the ``keys`` of a deeper level, made of their texts where these are read: keys shuffle, texts do not."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.DataFrame({"_node": part["node"], "keys": [region_keys(shingles(text, words), level) for text in part["text"]]})
+            part = part.drop_duplicates(["h1", "h2"])
+            yield pd.DataFrame({"_h1": part["h1"], "_h2": part["h2"], "keys": [region_keys(shingles(text, words), level) for text in part["text"]]})
+        CODES.clear()
+
+    made = possibly_wanted(contents, rows).mapInPandas(run, "_h1 long, _h2 long, keys array<long>")
+    return rows.join(made.groupBy("_h1", "_h2").agg(F.first("keys").alias("keys")), same_content()).drop("h1", "h2", "_h1", "_h2")
 
-    wanted = rows.select("node").join(texts, "node")
-    keyed = rows.join(wanted.mapInPandas(run, "_node long, keys array<long>"), F.col("node") == F.col("_node")).drop("_node")
-    exploded = keyed.select("node", "sketch", "scope", F.posexplode("keys").alias("t", "key"))
-    return exploded.withColumn("region", F.xxhash64("scope", "key")).drop("key", "scope")
+
+def in_deeper_regions(keyed: DataFrame) -> DataFrame:
+    """As :func:`in_first_regions` for the ``keys`` of a deeper level."""
+    exploded = keyed.select("*", F.posexplode("keys").alias("t", "key"))
+    return exploded.withColumn("region", F.xxhash64("scope", "key")).drop("key", "keys", "scope")
 
 
 def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -427,11 +461,12 @@ def with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def descend(
-    staging: Staging, rows: DataFrame, texts: DataFrame, levels: list[Level], words: int, compare: Callable[[DataFrame], DataFrame], most: int, looks: int | None = None, block: int = BLOCK
+    staging: Staging, rows: DataFrame, contents: DataFrame, levels: list[Level], words: int, compare: Callable[[DataFrame], DataFrame], most: int, looks: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """Components (node, component) of all texts that ``compare`` links: the LSH forest.
 
-    ``rows`` hold node, signature, sketch and a ``scope`` that regions do not cross. At every level the rows fall into one
+    ``rows`` hold node, h1 and h2 of a text, signature, sketch and a ``scope`` that regions do not cross; ``contents`` has the
+    texts. At every level the rows fall into one
     region per order. Of a region of at most ``most`` rows all pairs are compared. Of a larger one, neighbours in the sorted
     order are compared, which connects most copies; then the rows outside its largest component are compared with all of it,
     if these are at most ``most``. Where they are more, the region's rows, and these alone, go on to the next level,
@@ -446,22 +481,28 @@ def descend(
         regions = in_first_regions(rows, levels[0]).where(F.col("t") < looks)
         known, _ = level_components(staging, rows, regions, known, compare, most)
     for level in levels:
-        regions = in_first_regions(active, level) if not level.number else staging.freeze(in_deeper_regions(active, texts, level, words), "regions")
+        placed = active if known is None else with_components(active, known)
+        if not level.number:
+            regions = in_first_regions(placed, level)
+        else:
+            regions = in_deeper_regions(staging.freeze(with_region_keys(placed, contents, level, words), "keyed"))
         known, mixed = level_components(staging, active, regions, known, compare, most)
         if mixed is None:
             return known
         if level != levels[-1]:
-            active = staging.freeze(active.join(mixed.select("node").distinct(), "node", "left_semi"), "active")
+            active = staging.freeze(active.drop("signature").join(mixed.select("node").distinct(), "node", "left_semi"), "active")
     return merged(staging, known, staging.freeze(compare(dealt(mixed, rows, block)), "links"))
 
 
 def level_components(
     staging: Staging, rows: DataFrame, regions: DataFrame, known: DataFrame | None, compare: Callable[[DataFrame], DataFrame], most: int
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Components after one level, and the rows of regions that are still too large for it, None without any."""
-    sized = regions if known is None else with_components(regions, known)
+    """Components after one level, and the rows of regions that are still too large for it, None without any.
+
+    ``regions`` have the ``component`` of each node where components are known.
+    """
     counted = [F.count("*").alias("rows")] if known is None else [F.count("*").alias("rows"), F.min("component").alias("least"), F.max("component").alias("most")]
-    sizes = sized.groupBy(*[F.col(c).alias(f"_{c}") for c in AT]).agg(*counted)
+    sizes = regions.groupBy(*[F.col(c).alias(f"_{c}") for c in AT]).agg(*counted)
     if known is None:
         sizes = staging.freeze(sizes.where(f"rows > {most}").drop("rows"), "sizes")
         small, large = regions.join(sizes, in_region(), "left_anti"), regions.join(sizes, in_region(), "left_semi")
@@ -469,7 +510,7 @@ def level_components(
         sizes = staging.freeze(sizes.where("least <> most").drop("least", "most"), "sizes")
         held = regions.join(sizes, in_region()).drop("_t", "_region")
         small, large = held.where(f"rows <= {most}"), held.where(f"rows > {most}").drop("rows")
-    large = staging.freeze(large, "large")
+    large = staging.freeze(large.select(*AT, "node", "sketch"), "large")
     crowded = not large.isEmpty()
     groups = whole_groups(small)
     if crowded:
@@ -494,7 +535,8 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     Texts with the same shingle set become one representative. Representatives that the forest brings together and
     whose signatures agree well enough form clusters (:func:`descend`). Within a cluster every pair is compared on its full
     shingle sets, and pairs with ``100 * intersection >= percent * union`` link; a cluster of more than ``work`` descends
-    the forest a second time, now with the sets. No region, cluster or partner is capped. A pair at
+    the forest a second time, now with the sets. Only texts of clusters shuffle, and the few that the filter lets through
+    with them. No region, cluster or partner is capped. A pair at
     the threshold is missed with a chance of about ``MISS`` a level.
     ``component_id`` is the smallest id reachable, ``kept_row`` true for exactly one row of a component: the one
     with the smallest id, then the first written; a null id comes last. Texts without words and null texts link
@@ -512,25 +554,21 @@ def near_duplicates(staging: Staging, docs: DataFrame, words: int = 3, percent:
     )
     reps = staging.freeze(reps, "representatives")
     levels = plan_levels(reps.count(), percent)
-    contents = docs.select(*[c.alias(f"_{n}") for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text")).groupBy("_h1", "_h2").agg(F.first("text").alias("text"))
-
-    def with_texts(nodes: DataFrame) -> DataFrame:
-        """Node and text; of the texts of one content any will do."""
-        return nodes.join(contents, (F.col("content.h1") == F.col("_h1")) & (F.col("content.h2") == F.col("_h2"))).select("node", "text")
-
+    contents = docs.select(*[c.alias(n) for c, n in zip(content, ("h1", "h2"), strict=True)], text.alias("text"))
+    in_forest = ["node", "content.h1", "content.h2", "signature", "sketch"]
     likely = lambda groups: likely_links(groups, percent)
-    found = descend(staging, reps.select("node", "signature", "sketch", F.lit(0).cast("long").alias("scope")), with_texts(reps), levels, words, likely, REGION, block=block)
+    found = descend(staging, reps.select(*in_forest, F.lit(0).cast("long").alias("scope")), contents, levels, words, likely, REGION, block=block)
     clusters = found.select(F.col("node").alias("_node"), F.col("component").alias("cluster"))
     members = staging.freeze(reps.join(clusters, F.col("node") == F.col("_node")).select("node", "cluster", "content", "n", "signature", "sketch"), "members")
     sizes = members.groupBy(F.col("cluster").alias("_cluster")).agg((F.count("*") * F.sum("n")).alias("work"))
     members = staging.freeze(members.join(sizes, F.col("cluster") == F.col("_cluster")).drop("_cluster"), "members")
-    texts = staging.freeze(with_texts(members), "texts")
     small = F.col("work") <= work
-    parts = verified_whole(members.where(small).select("cluster", "node").join(texts, "node"), words, percent)
-    large = members.where(~small).select("node", "signature", "sketch", F.col("cluster").alias("scope"))
+    parts = verified_whole(with_texts(members.where(small).select("cluster", "node", "content.h1", "content.h2"), contents), words, percent)
+    large = members.where(~small).select(*in_forest, F.col("cluster").alias("scope"))
     if not large.isEmpty():
+        texts = staging.freeze(with_texts(large.select("node", "h1", "h2"), contents), "texts")
         exact = lambda groups: exact_group_links(groups, texts, words, percent)
-        parts = parts.unionByName(descend(staging, large, texts, levels, words, exact, EXACT_REGION, FIRST_LOOK, block))
+        parts = parts.unionByName(descend(staging, large, contents, levels, words, exact, EXACT_REGION, FIRST_LOOK, block))
     info = reps.select("digest", "node", "least", "head").join(parts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     info = staging.freeze(info.select("digest", "least", "head", F.coalesce("component", "node").alias("component")), "info")
     least = info.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"), F.min("head").alias("best"))
